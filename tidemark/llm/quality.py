@@ -55,7 +55,9 @@ def with_stats(docs: DataFrame) -> DataFrame:
     x = x.withColumn("_lines", F.filter(F.split(text, "\n", -1), lambda s: s.rlike(f"[^{SPACE}]")))
     count = lambda pattern: F.regexp_count("_joined", F.lit(pattern)).cast("long")
     x = x.select(
-        *docs.columns, "n_words", "n_repeat_words", F.length("_joined").cast("long").alias("word_chars"), count(f"[{SYMBOLS}]").alias("n_symbols"),
+        *docs.columns,
+        # not deterministic for the optimizer: no filter is pushed below, where it would repeat these expressions inside lambdas
+        (F.col("n_words") + F.monotonically_increasing_id() * 0).alias("n_words"), "n_repeat_words", F.length("_joined").cast("long").alias("word_chars"), count(f"[{SYMBOLS}]").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"), F.size("_lines").cast("long").alias("n_lines"),
         count("[A-Z]").alias("n_upper"), count("[0-9]").alias("n_digits"), count("[!?]").alias("n_marks"),
     )
@@ -137,14 +139,22 @@ def verdict(rules, features: dict[str, str] = FEATURES) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with statistics, ``base_failed``, ``rule`` (0: none) and ``kept``, by rules learned from ``labels.quality``."""
+def learned(docs: DataFrame, labels: DataFrame) -> tuple[list, DataFrame]:
+    """Rules from ``labels.quality`` and the statistics of all documents (doc_id and numbers, no text)."""
+    stats = materialize(with_stats(docs.select("doc_id", "text")).drop("text"), "quality")
     marks = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
-    stats = with_stats(docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id")))
-    rules = learn(stats.where(~F.col("base_failed")).withColumn("low", F.col("_quality") == 0))
-    x = with_stats(docs).withColumn("rule", verdict(rules))
-    return x.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    rows = stats.where(~F.col("base_failed")).join(marks, F.col("doc_id") == F.col("_id"))
+    return learn(rows.withColumn("low", F.col("_quality") == 0)), stats
+
+
+def passing(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without those that the base rule or a learned rule rejects."""
+    rules, _ = learned(docs, labels)
+    kept = ~F.col("base_failed") & (verdict(rules) == 0)
+    return with_stats(docs.withColumn("_doc", F.struct(*docs.columns)).select("text", "_doc")).where(kept).select("_doc.*")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return judged(docs.select("doc_id", "text"), labels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+    rules, stats = learned(docs, labels)
+    x = stats.withColumn("rule", verdict(rules))
+    return x.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"), "rule")
