@@ -78,7 +78,7 @@ def learn(labelled: DataFrame, features: dict[str, str] = FEATURES, bins: int =
     cuts = {n: sorted(set(cuts[n] or [])) for n in names}
     cuts = {n: c for n, c in cuts.items() if c}
     # bin b of a feature: that many of its thresholds lie below the value, so "x > cuts[b]" is "bin > b"
-    binned = rows.select("low", "held", *[F.size(F.filter(F.array(*map(F.lit, c)), lambda t, n=n: t < F.col(n))).alias(n) for n, c in cuts.items()])
+    binned = rows.select("low", "held", *[reduce(lambda a, b: a + b, [(F.col(n) > t).cast("int") for t in c]).alias(n) for n, c in cuts.items()])
     binned = materialize(binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("n")), "quality")
 
     def cond(c):
