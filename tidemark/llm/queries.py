@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, packing, quality, secrets, toxicity, warc
+from . import media, mixing, neardup, packing, quality, secrets, toxicity, warc
 from ._io import table
 
 
@@ -24,6 +24,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -36,5 +40,5 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op7_packing, op8_warc, op9_media)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op6_neardup, op7_packing, op8_warc, op9_media)}
 ORACLES = {"op4_mixing": mixing.ORACLE}
