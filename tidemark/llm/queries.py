@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, neardup, packing, quality, secrets, toxicity, warc
+from . import media, mixing, neardup, packing, quality, repeats, secrets, toxicity, warc
 from ._io import table
 
 
@@ -40,5 +40,9 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op6_neardup, op7_packing, op8_warc, op9_media)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op6_neardup, op7_packing, op8_warc, op9_media, op10_repeats)}
 ORACLES = {"op4_mixing": mixing.ORACLE}
