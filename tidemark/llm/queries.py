@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, neardup, packing, quality, repeats, secrets, toxicity, warc
+from . import contextmix, media, mixing, neardup, packing, quality, repeats, secrets, toxicity, warc
 from ._io import table
 
 
@@ -24,6 +24,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contextmix.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op6_neardup, op7_packing, op8_warc, op9_media, op10_repeats)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op5_lm, op6_neardup, op7_packing, op8_warc, op9_media, op10_repeats)}
 ORACLES = {"op4_mixing": mixing.ORACLE}
