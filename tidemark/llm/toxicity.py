@@ -135,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[np.nda
     rows = rows.groupBy(F.xxhash64("raw").alias("_k"), "label").agg(F.first("raw").alias("raw"))  # each text once
     rows = materialize(rows.repartition(8, "_k").select("raw", "label"), "toxicity")
     sums, seen = np.zeros((2, 1 << BITS)), np.zeros(2)
-    for r in counted(rows).toLocalIterator():
+    for r in materialize(counted(rows), "toxicity").toLocalIterator():
         sums[r["label"]] += np.frombuffer(r["counts"], np.uint32)
         seen[r["label"]] += r["docs"]
     weights = np.zeros(1 << BITS)
