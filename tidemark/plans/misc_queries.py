@@ -185,7 +185,7 @@ def scalar_text(spark, sf):
     )
 
 
-@query("""SELECT o_orderkey AS id, CASE WHEN b >= 1073741824 THEN printf('%.2fG', b / 1073741824.0) WHEN b >= 1048576 THEN printf('%.2fM', b / 1048576.0) WHEN b >= 1024 THEN printf('%.2fK', b / 1024.0) ELSE printf('%.2fB', b::DOUBLE) END AS pretty,
+@query("""SELECT o_orderkey AS id, CASE WHEN b >= 1073741824 THEN printf('%.2fG', round(b / 1073741824.0, 2)) WHEN b >= 1048576 THEN printf('%.2fM', round(b / 1048576.0, 2)) WHEN b >= 1024 THEN printf('%.2fK', round(b / 1024.0, 2)) ELSE printf('%.2fB', b::DOUBLE) END AS pretty,
     (o_orderkey % 50) * 1048576 AS parsed, CASE WHEN o_custkey % 3 = 0 THEN 0.0 ELSE o_orderkey / (o_custkey % 3)::DOUBLE END AS ratio, o_orderkey + (b - o_orderkey) // 2 AS middle, o_orderkey AS log_secs, o_orderkey AS t, CAST(o_custkey % 100 AS INTEGER) AS i,
     CASE WHEN o_orderkey % 5000 = 0 THEN 'PT0S' ELSE 'PT' || CASE WHEN o_orderkey % 5000 >= 3600 THEN '1H' ELSE '' END || CASE WHEN (o_orderkey % 5000) % 3600 // 60 > 0 THEN ((o_orderkey % 5000) % 3600 // 60) || 'M' ELSE '' END || CASE WHEN (o_orderkey % 5000) % 60 > 0 THEN ((o_orderkey % 5000) % 60) || 'S' ELSE '' END END AS ttl,
     o_orderkey % 2 <> 0 AS truthy FROM (SELECT *, o_orderkey * o_custkey + o_orderkey AS b FROM orders)""")

@@ -249,9 +249,9 @@ def schema_change(spark, sf):
 # --- sets ---
 
 
-@query("SELECT 'left' AS side, c_nationkey AS k FROM (SELECT DISTINCT c_nationkey FROM customer WHERE c_acctbal < 0 EXCEPT SELECT s_nationkey FROM supplier) UNION ALL SELECT 'right', s_nationkey FROM (SELECT DISTINCT s_nationkey FROM supplier EXCEPT SELECT c_nationkey FROM customer WHERE c_acctbal < 0)")
+@query("SELECT 'left' AS side, c_nationkey AS k FROM (SELECT DISTINCT c_nationkey FROM customer WHERE c_acctbal < -950 EXCEPT SELECT s_nationkey FROM supplier) UNION ALL SELECT 'right', s_nationkey FROM (SELECT DISTINCT s_nationkey FROM supplier EXCEPT SELECT c_nationkey FROM customer WHERE c_acctbal < -950)")
 def except_both(spark, sf):
-    a = load(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_nationkey").alias("k")).distinct()
+    a = load(spark, sf, "customer").where("c_acctbal < -950").select(F.col("c_nationkey").alias("k")).distinct()
     b = load(spark, sf, "supplier").select(F.col("s_nationkey").alias("k")).distinct()
     return a.subtract(b).select(F.lit("left").alias("side"), "k").unionByName(b.subtract(a).select(F.lit("right").alias("side"), "k"))
 
