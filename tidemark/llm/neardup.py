@@ -32,8 +32,11 @@ SHINGLE, THRESHOLD = 5, 75  # words; percent
 SKETCH, PROBES, LEAST_ESTIMATE = 64, 24, 0.5
 #: Classes in a list from which on its value is hot; share of hot values from which on a class is probed by them too.
 HOT_LIST, HOT_SHARE = 128, 0.5
+#: Least values of a sketch that may be probed, words of the bitmap that stands for a sketch, share of its bits in common.
+WINDOW, WORDS, COMMON = 40, 8, 0.45
 ROUNDS = 2
 BLOCK = 2 << 20
+BIT_COLUMNS = tuple(f"b{i}" for i in range(WORDS))
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, powers: Powers, size: int = SHINGLE) -> list[np.ndarray]:
@@ -69,23 +72,27 @@ def each_text(batch, powers: Powers, size: int):
 
 
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n (set size), s1 and s2 (128 bits that stand for the set) and ``sketch``, ascending, of each row."""
+    """doc_id, n (set size), s1 and s2 (128 bits that stand for the set), ``sketch``, ascending, and its bitmap, of each row."""
 
     def sketch(batches):
         powers = Powers()
         for batch in batches:
-            n, s1, s2, low = [], [], [], []
+            n, s1, s2, low, bits = [], [], [], [], []
             with np.errstate(over="ignore"):
                 for s in each_text(batch, powers, size):
                     n.append(len(s))
                     s1.append(s.sum(dtype=np.uint64))
                     s2.append(np.bitwise_xor.reduce(mix(s + np.uint64(BASE))) if len(s) else np.uint64(0))
-                    low.append((s[:SKETCH] >> np.uint64(1)).astype(np.int64))
+                    k = (s[:SKETCH] >> np.uint64(1)).astype(np.int64)
+                    low.append(k)
+                    b = np.zeros(WORDS, np.int64)
+                    np.bitwise_or.at(b, k % WORDS, np.int64(1) << (k // WORDS % 64))
+                    bits.append(b)
             whole = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), whole(s1), whole(s2), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "n", "s1", "s2", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), whole(s1), whole(s2), pa.array(low, pa.list_(pa.int64())), *[pa.array([b[i] for b in bits], pa.int64()) for i in range(WORDS)]], names=["doc_id", "n", "s1", "s2", "sketch", *BIT_COLUMNS])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("raw"))
-    return map_arrow(rows, sketch, "doc_id long, n long, s1 long, s2 long, sketch array<long>")
+    return map_arrow(rows, sketch, "doc_id long, n long, s1 long, s2 long, sketch array<long>, " + ", ".join(f"{b} long" for b in BIT_COLUMNS))
 
 
 def full_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -146,51 +153,54 @@ def classes_of(sk: DataFrame) -> DataFrame:
 
 
 def links_between(sk: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """Links (a, b) between class representatives that connect all that are connected."""
-    low = sk.where("n > 0").select("doc_id", "n", "s1", "s2", "sketch")
+    """Links (a, b) between class representatives that connect all that are connected.
+
+    Rows of inverted lists are narrow: ids, sizes and bitmaps; sketches are fetched only for pairs whose bitmaps agree.
+    """
+    low = sk.where("n > 0").select("doc_id", "n", "s1", "s2", "sketch", *BIT_COLUMNS)
     reps = low.join(classes_of(sk).select(F.col("rep").alias("doc_id"), "s1", "s2"), ["doc_id", "s1", "s2"]).dropDuplicates(["doc_id", "s1", "s2"])
-    reps = materialize(reps.select(F.col("doc_id").alias("rep"), "s1", "n", "sketch"), "classes")
-    # list sizes of all retained values; only values in two classes or more matter
-    lists = reps.select(F.explode("sketch").alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    lists = materialize(lists, "lists")
-    rows = reps.select("rep", "s1", F.size("sketch").alias("k"), F.posexplode("sketch").alias("p", "v")).join(lists, "v")
+    reps = materialize(reps.withColumnRenamed("doc_id", "rep").drop("s2"), "classes")
+    # list sizes of the values that may be probed; only values in two classes or more matter
+    values = reps.select("rep", "s1", F.posexplode(F.slice("sketch", 1, WINDOW)).alias("p", "v"))
+    lists = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "lists")
+    rows = values.join(lists, "v")
     hot = F.col("m") > HOT_LIST
     # a class is central by the sizes of its lists
     near = rows.groupBy("rep", "s1").agg(
-        F.max("k").alias("k"), F.sum(F.log2("m")).alias("central"),
-        F.array_sort(F.collect_list(F.when(~hot, F.struct("p", "v")))).alias("cold"), F.array_sort(F.collect_list(F.when(hot, F.struct("p", "v")))).alias("hots"),
+        F.sum(F.log2("m")).alias("central"), F.array_sort(F.collect_list(F.when(~hot, F.struct("p", "v")))).alias("cold"), F.array_sort(F.collect_list(F.when(hot, F.struct("p", "v")))).alias("hots"),
     )
     # the order of probing is that of the hash; positions count values that no other class has, too
     cold = F.expr(f"transform(filter(cold, x -> x.p - size(filter(hots, y -> y.p < x.p)) < {PROBES}), x -> x.v)")
-    dominated = F.size("hots") >= HOT_SHARE * F.col("k")
+    near = near.join(reps.select("rep", "s1", "n", *BIT_COLUMNS), ["rep", "s1"])
+    dominated = F.size("hots") >= HOT_SHARE * F.least(F.col("n"), F.lit(WINDOW))
     probes = F.concat(cold, F.when(dominated, F.expr(f"transform(slice(hots, 1, {PROBES}), x -> x.v)")).otherwise(F.array().cast("array<bigint>")))
-    near = near.select("rep", "s1", "central", F.array_sort(probes).alias("probes")).where(F.size("probes") > 0)
-    near = materialize(near.join(reps, ["rep", "s1"]), "near")
+    near = near.select("rep", "s1", "n", "central", *BIT_COLUMNS, probes.alias("probes")).where(F.size("probes") > 0)
+    near = materialize(near, "near")
 
     links, comps = None, None
     for turn in range(ROUNDS + 1):
         now = near if comps is None else near.join(comps, near.rep == comps.id, "left").drop("id")
         now = now.withColumn("c", F.col("rep") if comps is None else F.coalesce("component", "rep"))
-        member = now.select(F.explode("probes").alias("v"), "rep", "s1", "n", "c", "sketch", "probes", "central")
+        member = now.select(F.explode("probes").alias("v"), "rep", "s1", "n", "c", "central", *BIT_COLUMNS)
+        # lists that lie in one component are done
+        member = member.join(member.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
+        cols = ("rep", "s1", "n", "c", *BIT_COLUMNS)
         if turn < ROUNDS:
-            # the most central class of each list, in later turns of those not in its component
-            best = member.groupBy("v").agg(F.max_by(F.struct("rep", "s1", "n", "c", "sketch", "probes"), F.struct("central", -F.col("rep"))).alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+            # the most central class of each list; in later turns among the members outside of the first one's component
+            top = lambda x: x.groupBy("v").agg(F.max(F.struct(F.col("central").alias("central"), (-F.col("rep")).alias("order"), *cols)).alias("x"))
+            best = top(member)
             if turn:
-                open_ = member.join(best.select("v", F.col("x.c").alias("done")), "v").where("c <> done")
-                best = open_.groupBy("v").agg(F.max_by(F.struct("rep", "s1", "n", "c", "sketch", "probes"), F.struct("central", -F.col("rep"))).alias("x"))
-            other = best.select("v", *[F.col(f"x.{k}").alias(f"{k}_") for k in ("rep", "s1", "n", "c", "sketch", "probes")])
+                best = top(member.join(best.select("v", F.col("x.c").alias("done")), "v").where("c <> done"))
+            other = best.select("v", *[F.col(f"x.{k}").alias(f"{k}_") for k in cols])
         else:
-            mixed = member.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v")
-            member = member.join(mixed, "v", "left_semi")
-            other = member.select("v", *[F.col(k).alias(f"{k}_") for k in ("rep", "s1", "n", "c", "sketch", "probes")])
-        # sizes, then each pair once, at the first value that both are probed by, then the estimate
-        ask = F.col("m.c") != F.col("o.c_")
-        if turn == ROUNDS:
-            ask &= F.col("m.c") < F.col("o.c_")
-        ask &= (F.col("m.n") * 100 >= F.col("o.n_") * threshold) & (F.col("o.n_") * 100 >= F.col("m.n") * threshold)
-        ask &= F.expr("get(array_intersect(m.probes, o.probes_), 0) = m.v") if turn == ROUNDS else F.lit(True)
-        ask &= F.expr(estimate("m.sketch", "o.sketch_")) >= LEAST_ESTIMATE
-        pairs = member.alias("m").join(other.alias("o"), (F.col("m.v") == F.col("o.v")) & ask).select(F.col("m.rep").alias("a"), F.col("m.s1").alias("a1"), F.col("o.rep_").alias("b"), F.col("o.s1_").alias("b1")).distinct()
+            other = member.select("v", *[F.col(k).alias(f"{k}_") for k in cols])
+        ask = F.col("c") < F.col("c_") if turn == ROUNDS else F.col("c") != F.col("c_")
+        ask &= (F.col("n") * 100 >= F.col("n_") * threshold) & (F.col("n_") * 100 >= F.col("n") * threshold)
+        ask &= F.expr(" + ".join(f"bit_count({b} & {b}_)" for b in BIT_COLUMNS)) >= COMMON * F.least(F.col("n"), F.col("n_"), F.lit(SKETCH))
+        pairs = member.alias("m").join(other.alias("o"), (F.col("m.v") == F.col("o.v")) & ask)
+        pairs = pairs.select(F.col("rep").alias("a"), F.col("s1").alias("a1"), F.col("rep_").alias("b"), F.col("s1_").alias("b1")).distinct()
+        side = lambda k: reps.select(F.col("rep").alias(k), F.col("s1").alias(f"{k}1"), F.col("sketch").alias(f"s{k}"))
+        pairs = pairs.join(side("a"), ["a", "a1"]).join(side("b"), ["b", "b1"]).where(F.expr(estimate("sa", "sb")) >= LEAST_ESTIMATE).drop("sa", "sb")
         found = verified(pairs, docs, threshold, size)
         links = found if links is None else links.union(found)
         if turn < ROUNDS:
