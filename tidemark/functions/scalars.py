@@ -182,16 +182,13 @@ def shape_of(text: str | None) -> str | None:
         return None
     fields: set[str] = set()
 
-    def nested(v) -> bool:
-        return isinstance(v, dict) and any(k.startswith("$") for k in v) and any(isinstance(x, dict | list) for x in v.values())
-
     def walk(d: dict) -> dict:
         out = {}
         for k, v in d.items():
             if k.strip().lower() in LOGICAL:
                 out[k] = [walk(x) for x in v if isinstance(x, dict)] if isinstance(v, list) else 1
             else:
-                out[k] = walk(v) if nested(v) else 1
+                out[k] = walk(v) if isinstance(v, dict) else 1
                 if not k.startswith("$") and k != "find":
                     fields.add(k)
         return dict(sorted(out.items()))

@@ -156,7 +156,7 @@ def schema_profile(spark, sf):
     return x.groupBy("key").agg(F.max_by(kind, F.col("event_id")).alias("type"), F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last"))
 
 
-@query("""SELECT CASE event_type WHEN 'view' THEN '{"shape":{"user":1},"fields":["user"]}' WHEN 'click' THEN '{"shape":{"$and":[{"user":1},{"k":1}]},"fields":["k","user"]}' ELSE '{"shape":{"k":1,"user":1},"fields":["k","user"]}' END AS shape,
+@query("""SELECT CASE event_type WHEN 'view' THEN '{"shape":{"user":{"$gt":1}},"fields":["user"]}' WHEN 'click' THEN '{"shape":{"$and":[{"user":1},{"k":{"$in":1}}]},"fields":["k","user"]}' ELSE '{"shape":{"k":1,"user":1},"fields":["k","user"]}' END AS shape,
     CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1""")
 def query_shape(spark, sf):
     """Predicates without their values, and how often each shape occurs."""
