@@ -187,7 +187,8 @@ def removable(docs: DataFrame) -> DataFrame:
     """(doc_id, key, cuts): byte intervals of each text (raw, key) that repeat anywhere."""
     segs = materialize(located(docs), "segments")
     anchors = segs.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("n > 1").select("a", (F.col("lo") == F.col("hi")).alias("same"))
-    shared = materialize(segs.join(anchors, "a"), "shared")
+    # aggregates are written before they are joined: both sides of the join are then dealt by its own exchanges, which Spark splits where a key is hot
+    shared = materialize(segs.join(materialize(anchors, "anchors"), "a"), "shared")
     kinds = shared.where("not same").groupBy("a", "h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "key", "p", "w")).alias("at"))
     kinds = materialize(kinds, "kinds")
     per = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT_SEGMENTS)
@@ -205,7 +206,7 @@ def removable(docs: DataFrame) -> DataFrame:
     ranges = materialize(parts.union(single), "ranges")
     whole = F.array(F.struct(F.lit(0).alias("lo"), F.col("w").alias("hi")))
     counted = kinds.select("a", "h", "n").join(ranges, ["a", "h"], "left").where("n > 1 or ranges is not null").select("a", "h", (F.col("n") > 1).alias("again"), "ranges")
-    got = shared.join(counted, ["a", "h"], "left").withColumn("r", F.when(F.col("same") | F.col("again"), whole).otherwise(F.col("ranges")))
+    got = shared.join(materialize(counted, "counted"), ["a", "h"], "left").withColumn("r", F.when(F.col("same") | F.col("again"), whole).otherwise(F.col("ranges")))
     cuts = F.transform("r", lambda r: F.struct((F.col("p") + r["lo"]).alias("lo"), (F.col("p") + r["hi"] - 1 + LENGTH).alias("hi")))
     return got.where("r is not null").groupBy("doc_id", "key").agg(F.flatten(F.collect_list(cuts)).alias("cuts"))
 
