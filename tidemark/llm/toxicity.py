@@ -23,8 +23,8 @@ from ._text import BASE, binary_column, blocks, lower_table, mix, space_table
 #: Labelled rows that are learned from at most; a bound on what the driver fits.
 MAX_LABELLED = 20_000
 ORDERS, BITS = (4, 5, 6), 20
-#: n-grams kept by weight of evidence, and the least number of documents that hold one.
-FEATURES, LEAST_DOCS = 1 << 13, 5
+#: n-grams kept by likelihood ratio, the least such ratio, log-count ratio and number of documents of one.
+FEATURES, LEAST_G, LEAST_RATIO, LEAST_DOCS = 1 << 11, 15.0, 1.0, 8
 BLOCK = 2 << 20
 
 
@@ -127,6 +127,17 @@ def fit(labels: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, l2: f
     return w, b
 
 
+def likelihood_ratio(sums: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """G statistic of presence against label for each n-gram."""
+    both, total = sums.sum(0), seen.sum()
+    g = np.zeros(sums.shape[1])
+    for y in (0, 1):
+        for observed, expected in ((sums[y], both * seen[y] / total), (seen[y] - sums[y], (total - both) * seen[y] / total)):
+            ok = observed > 0
+            g[ok] += 2 * observed[ok] * np.log(observed[ok] / expected[ok])
+    return g
+
+
 def train(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[np.ndarray, float]:
     """A weight for each hashed n-gram and the bias."""
     mark = labels.where(learnable & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("label"))
@@ -143,9 +154,9 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[np.nda
         return weights, 0.0
     p, q = (sums[1] + 0.5) / (seen[1] + 1), (sums[0] + 0.5) / (seen[0] + 1)
     ratio = np.log(p) - np.log(q)
-    evidence = np.where(sums.sum(0) >= LEAST_DOCS, np.abs(p - q) * np.abs(ratio), 0)
+    evidence = np.where((sums.sum(0) >= LEAST_DOCS) & (np.abs(ratio) >= LEAST_RATIO), likelihood_ratio(sums, seen), 0)
     kept = np.argsort(-evidence, kind="stable")[:FEATURES]
-    kept = np.sort(kept[evidence[kept] > 0])
+    kept = np.sort(kept[evidence[kept] >= LEAST_G])
     place = np.full(1 << BITS, -1, np.int32)
     place[kept] = np.arange(len(kept))
     got = present(rows, place).collect()
