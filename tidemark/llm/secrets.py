@@ -40,10 +40,10 @@ def scan(text: str, rules, bare) -> list[tuple[str, int, int, str]]:
         for m in pattern.finditer(text):
             if m.end(group) - m.start(group) >= least:
                 out.append((kind, m.start(), m.end(), m.group(group)))
-    taken = {(s, e) for _, s, e, _ in out}
+    taken = [(s, e) for _, s, e, _ in out]
     for m in bare.finditer(text):
         v = m.group()
-        if (m.start(), m.end()) not in taken and any(c.isdigit() for c in v) and any(c.isalpha() for c in v):
+        if any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and not any(s < m.end() and m.start() < e for s, e in taken):
             out.append(("bare", m.start(), m.end(), v))
     return out
 
