@@ -61,9 +61,8 @@ def test_components_of_the_sample(spark):
     check_components(spark.read.parquet(f"{SF}/documents.parquet").limit(200))
 
 
-def test_families_chains_and_common_lines(spark, monkeypatch):
-    """A family larger than a hot list, a chain of edits, and a line that unrelated texts share."""
-    monkeypatch.setattr(neardup, "HOT_LIST", 8)
+def test_families_chains_and_common_lines(spark):
+    """A family of copies, a chain of edits, and a line that unrelated texts share."""
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
     origin = [word() for _ in range(60)]
     texts = []

@@ -1,17 +1,20 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
 Texts become sets of hashed 5-word shingles. Equal sets collapse to one class. Each class keeps its
-``SKETCH`` least hash values; inverted lists of the retained values generate candidate pairs, the
-sketch of the union estimates their Jaccard similarity and filters them, and the full sets verify it.
+``SKETCH`` least hash values; inverted lists of the retained values generate candidates, the sketch of
+the union estimates their Jaccard similarity and filters them, and the full sets verify it.
 
-Lists that many classes share are not expanded into pairs. Their values are hot and come last in the
-order in which values are probed, so a class is found by its rarer values, unless most of its sketch
-is hot. In every list the most central class is compared with all others first; a pair within a list
-is compared later only if its classes are not yet connected. So a family of thousands of copies costs
-one comparison a member, and no link between different components is left out.
+Lists are never expanded into pairs. A class can only have a link if other classes hold most of its
+retained values, so all others leave at once. In every list the most central class is compared with the
+rest; connected classes need no further comparison, so a family of thousands of copies costs one
+comparison a member. What is left are lists with several components. Their classes are joined on
+prefixes of their full sets, rarest shingles first: two sets with the required similarity share a
+shingle among the first quarter of each, and rare shingles make short lists. This last join is exact
+for every pair of classes that share a probed value.
 
-Probability of missing a pair: a pair at the threshold misses all of its ``PROBES`` values with
-0.25 ** PROBES; its estimate from ``SKETCH`` values falls below ``LEAST_ESTIMATE`` with less than 1e-5.
+Probability of missing a pair at the threshold: all of its ``PROBES`` values differ with
+0.25 ** PROBES; its estimate, its bitmap or its share of common values lies 4.5 deviations off with
+less than 1e-5.
 
 Null and blank texts are empty: they have no shingles and are linked with nothing. Texts with fewer than
 five words are one shingle. Rows that share a doc_id are linked, a null doc_id has no component of
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._io import map_arrow, materialize
@@ -30,10 +33,8 @@ from ._text import BASE, Powers, binary_column, blocks, lower_table, mix, prefix
 
 SHINGLE, THRESHOLD = 5, 75  # words; percent
 SKETCH, PROBES, LEAST_ESTIMATE = 64, 24, 0.5
-#: Classes in a list from which on its value is hot; share of hot values from which on a class is probed by them too.
-HOT_LIST, HOT_SHARE = 128, 0.5
-#: Least values of a sketch that may be probed, words of the bitmap that stands for a sketch, share of its bits in common.
-WINDOW, WORDS, COMMON = 40, 8, 0.45
+#: Least values of a sketch whose lists are counted, and words of the bitmap that stands for a sketch.
+WINDOW, WORDS = 40, 8
 ROUNDS = 2
 BLOCK = 2 << 20
 BIT_COLUMNS = tuple(f"b{i}" for i in range(WORDS))
@@ -133,17 +134,19 @@ def components(links: DataFrame, tag: str = "components") -> DataFrame:
             return labels
 
 
-def verified(pairs: DataFrame, docs: DataFrame, threshold: int, size: int) -> DataFrame:
+def bits_agree(threshold: int) -> Column:
+    """Whether the bitmaps of two sketches have as many bits in common as sets at the threshold have, less 4.5 deviations and collisions."""
+    n, m = F.greatest("n", "n_"), F.col("n") + F.col("n_")
+    k = F.least(F.lit(SKETCH), n)
+    least = k * (threshold / (100 + threshold)) * m / n - k * F.when(n > SKETCH, 0.3).otherwise(0.1)
+    return F.expr(" + ".join(f"bit_count({b} & {b}_)" for b in BIT_COLUMNS)) >= least
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Of the candidate ``pairs`` (a, a1, b, b1: doc_id and s1 of two classes) those linked by their full sets."""
-    pairs = materialize(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), size).dropDuplicates(["doc_id", "s1"])
-    sets = materialize(sets, "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("s1").alias("a1"), F.col("full").alias("fa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("s1").alias("b1"), F.col("full").alias("fb"))
-    x = pairs.join(left, ["a", "a1"]).join(right, ["b", "b1"])
-    both = F.size(F.array_intersect("fa", "fb")).cast("long")
-    x = x.select("a", "b", both.alias("both"), F.size("fa").alias("na"), F.size("fb").alias("nb"))
+    side = lambda k: sets.select(F.col("rep").alias(k), F.col("s1").alias(f"{k}1"), F.col("full").alias(f"f{k}"))
+    x = pairs.join(side("a"), ["a", "a1"]).join(side("b"), ["b", "b1"])
+    x = x.select("a", "b", F.size(F.array_intersect("fa", "fb")).cast("long").alias("both"), F.size("fa").alias("na"), F.size("fb").alias("nb"))
     return materialize(x.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * threshold).select("a", "b"), "links")
 
 
@@ -152,60 +155,74 @@ def classes_of(sk: DataFrame) -> DataFrame:
     return sk.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")).where("rep is not null")
 
 
+def pairs_of(m: DataFrame, o: DataFrame, key: str, ask: Column, threshold: int) -> DataFrame:
+    """Distinct (a, a1, b, b1) of rows with an equal key that satisfy ``ask`` and whose sizes and bitmaps allow the threshold."""
+    ask &= (F.col("n") * 100 >= F.col("n_") * threshold) & (F.col("n_") * 100 >= F.col("n") * threshold) & bits_agree(threshold)
+    x = m.alias("m").join(o.alias("o"), (F.col(f"m.{key}") == F.col(f"o.{key}")) & ask)
+    return x.select(F.col("rep").alias("a"), F.col("s1").alias("a1"), F.col("rep_").alias("b"), F.col("s1_").alias("b1")).distinct()
+
+
+CLASS = ("rep", "s1", "n", "c", *BIT_COLUMNS)
+
+
+def renamed(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, *[F.col(k).alias(f"{k}_") for k in CLASS])
+
+
 def links_between(sk: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """Links (a, b) between class representatives that connect all that are connected.
 
-    Rows of inverted lists are narrow: ids, sizes and bitmaps; sketches are fetched only for pairs whose bitmaps agree.
+    Rows of lists are narrow: ids, sizes and bitmaps; sketches and sets are fetched for pairs whose bitmaps agree.
     """
     low = sk.where("n > 0").select("doc_id", "n", "s1", "s2", "sketch", *BIT_COLUMNS)
     reps = low.join(classes_of(sk).select(F.col("rep").alias("doc_id"), "s1", "s2"), ["doc_id", "s1", "s2"]).dropDuplicates(["doc_id", "s1", "s2"])
     reps = materialize(reps.withColumnRenamed("doc_id", "rep").drop("s2"), "classes")
-    # list sizes of the values that may be probed; only values in two classes or more matter
     values = reps.select("rep", "s1", F.posexplode(F.slice("sketch", 1, WINDOW)).alias("p", "v"))
     lists = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "lists")
-    rows = values.join(lists, "v")
-    hot = F.col("m") > HOT_LIST
-    # a class is central by the sizes of its lists
-    near = rows.groupBy("rep", "s1").agg(
-        F.sum(F.log2("m")).alias("central"), F.array_sort(F.collect_list(F.when(~hot, F.struct("p", "v")))).alias("cold"), F.array_sort(F.collect_list(F.when(hot, F.struct("p", "v")))).alias("hots"),
-    )
-    # the order of probing is that of the hash; positions count values that no other class has, too
-    cold = F.expr(f"transform(filter(cold, x -> x.p - size(filter(hots, y -> y.p < x.p)) < {PROBES}), x -> x.v)")
+    near = values.join(lists, "v").groupBy("rep", "s1").agg(F.count(F.lit(1)).alias("common"), F.sum(F.log2("m")).alias("central"), F.collect_list(F.when(F.col("p") < PROBES, F.col("v"))).alias("probes"))
     near = near.join(reps.select("rep", "s1", "n", *BIT_COLUMNS), ["rep", "s1"])
-    dominated = F.size("hots") >= HOT_SHARE * F.least(F.col("n"), F.lit(WINDOW))
-    probes = F.concat(cold, F.when(dominated, F.expr(f"transform(slice(hots, 1, {PROBES}), x -> x.v)")).otherwise(F.array().cast("array<bigint>")))
-    near = near.select("rep", "s1", "n", "central", *BIT_COLUMNS, probes.alias("probes")).where(F.size("probes") > 0)
+    # a set with a link shares at least the threshold's part of its values with others; a window of them, less 4.5 deviations
+    share = threshold / 100
+    window = F.least(F.col("n"), F.lit(WINDOW))
+    near = near.where(F.col("common") >= window * share - F.when(F.col("n") > WINDOW, 4.5 * (WINDOW * share * (1 - share)) ** 0.5).otherwise(0))
     near = materialize(near, "near")
+    sets = full_sets(docs.select("doc_id", "text").join(near.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
+    sets = materialize(sets.withColumnRenamed("doc_id", "rep").join(near.select("rep", "s1"), ["rep", "s1"], "left_semi").dropDuplicates(["rep", "s1"]), "sets")
 
     links, comps = None, None
-    for turn in range(ROUNDS + 1):
-        now = near if comps is None else near.join(comps, near.rep == comps.id, "left").drop("id")
-        now = now.withColumn("c", F.col("rep") if comps is None else F.coalesce("component", "rep"))
-        member = now.select(F.explode("probes").alias("v"), "rep", "s1", "n", "c", "central", *BIT_COLUMNS)
-        # lists that lie in one component are done
-        member = member.join(member.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
-        cols = ("rep", "s1", "n", "c", *BIT_COLUMNS)
-        if turn < ROUNDS:
-            # the most central class of each list; in later turns among the members outside of the first one's component
-            top = lambda x: x.groupBy("v").agg(F.max(F.struct(F.col("central").alias("central"), (-F.col("rep")).alias("order"), *cols)).alias("x"))
-            best = top(member)
-            if turn:
-                best = top(member.join(best.select("v", F.col("x.c").alias("done")), "v").where("c <> done"))
-            other = best.select("v", *[F.col(f"x.{k}").alias(f"{k}_") for k in cols])
-        else:
-            other = member.select("v", *[F.col(k).alias(f"{k}_") for k in cols])
-        ask = F.col("c") < F.col("c_") if turn == ROUNDS else F.col("c") != F.col("c_")
-        ask &= (F.col("n") * 100 >= F.col("n_") * threshold) & (F.col("n_") * 100 >= F.col("n") * threshold)
-        ask &= F.expr(" + ".join(f"bit_count({b} & {b}_)" for b in BIT_COLUMNS)) >= COMMON * F.least(F.col("n"), F.col("n_"), F.lit(SKETCH))
-        pairs = member.alias("m").join(other.alias("o"), (F.col("m.v") == F.col("o.v")) & ask)
-        pairs = pairs.select(F.col("rep").alias("a"), F.col("s1").alias("a1"), F.col("rep_").alias("b"), F.col("s1_").alias("b1")).distinct()
+    for turn in range(ROUNDS):
+        member = members(near, comps)
+        # the most central class of each list; in later turns among the members outside of the first one's component
+        top = lambda x: x.groupBy("v").agg(F.max(F.struct(F.col("central").alias("central"), (-F.col("rep")).alias("order"), *CLASS)).alias("x"))
+        best = top(member)
+        if turn:
+            best = top(member.join(best.select("v", F.col("x.c").alias("done")), "v").where("c <> done"))
+        pairs = pairs_of(member, renamed(best.select("v", "x.*"), "v"), "v", F.col("c") != F.col("c_"), threshold)
         side = lambda k: reps.select(F.col("rep").alias(k), F.col("s1").alias(f"{k}1"), F.col("sketch").alias(f"s{k}"))
         pairs = pairs.join(side("a"), ["a", "a1"]).join(side("b"), ["b", "b1"]).where(F.expr(estimate("sa", "sb")) >= LEAST_ESTIMATE).drop("sa", "sb")
-        found = verified(pairs, docs, threshold, size)
+        found = verified(pairs, sets, threshold)
         links = found if links is None else links.union(found)
-        if turn < ROUNDS:
-            comps = components(links)
-    return links
+        comps = components(links)
+
+    # what is left: classes in lists of several components, joined on prefixes of their sets, the rarest shingles first
+    rest = materialize(members(near, comps).select(*CLASS).distinct(), "rest")
+    each = rest.join(sets, ["rep", "s1"]).select("rep", "s1", F.explode("full").alias("x"))
+    ranks = materialize(each.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "ranks")
+    shared = each.join(ranks, "x").groupBy("rep", "s1").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
+    # the first n - ceil(share * n) + 1 in rank hold n - size(xs) that no other class has
+    prefix = F.col("n") - F.ceil(F.col("n") * share) + 1 - (F.col("n") - F.size("xs"))
+    heads = rest.join(shared, ["rep", "s1"]).withColumn("take", prefix.cast("int")).where("take > 0").select(*CLASS, F.explode(F.expr("transform(slice(xs, 1, take), e -> e.x)")).alias("x"))
+    heads = materialize(heads, "heads")
+    pairs = pairs_of(heads, renamed(heads, "x"), "x", F.col("c") < F.col("c_"), threshold)
+    return links.union(verified(pairs, sets, threshold))
+
+
+def members(near: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Rows (v, class, its component c) of all lists that hold more than one component."""
+    now = near if comps is None else near.join(comps, near.rep == comps.id, "left").drop("id")
+    now = now.withColumn("c", F.col("rep") if comps is None else F.coalesce("component", "rep"))
+    member = now.select(F.explode("probes").alias("v"), *CLASS, "central")
+    return member.join(member.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
