@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 NULL = "\\N"
 UNITS = ("B", "K", "M", "G", "T")
@@ -37,7 +38,7 @@ def base64_url(raw) -> Column:
     return F.regexp_replace(F.translate(F.base64(c(raw)), "+/", "-_"), "=", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def base32(raw: pd.Series) -> pd.Series:
     import base64
 
@@ -197,6 +198,6 @@ def shape_of(text: str | None) -> str | None:
     return json.dumps({"shape": shape, "fields": sorted(fields)}, separators=(",", ":"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def query_shape(text: pd.Series) -> pd.Series:
     return text.map(shape_of)
