@@ -9,16 +9,17 @@ retained values, so all others leave at once. In every list the most central cla
 rest; connected classes need no further comparison, so a family of thousands of copies costs one
 comparison a member. What is left are lists with several components. Their classes are joined on
 prefixes of their full sets, rarest shingles first: two sets with the required similarity share a
-shingle among the first quarter of each, and rare shingles make short lists. This last join is exact
-for every pair of classes that share a probed value.
+shingle among the first quarter of each, early enough that what follows can still suffice, and rare
+shingles make short lists. This last join is exact for every pair of classes that share a probed value.
 
 Probability of missing a pair at the threshold: all of its ``PROBES`` values differ with
 0.25 ** PROBES; its estimate, its bitmap or its share of common values lies 4.5 deviations off with
 less than 1e-5.
 
 Null and blank texts are empty: they have no shingles and are linked with nothing. Texts with fewer than
-five words are one shingle. Rows that share a doc_id are linked, a null doc_id has no component of
-its own, an empty table gives an empty result, other columns are ignored.
+five words are one shingle. Of several texts under one doc_id one is compared and all have its component;
+a null doc_id has no component of its own unless a copy has an id; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -134,18 +135,27 @@ def components(links: DataFrame, tag: str = "components") -> DataFrame:
             return labels
 
 
-def bits_agree(threshold: int) -> Column:
-    """Whether the bitmaps of two sketches have as many bits in common as sets at the threshold have, less 4.5 deviations and collisions."""
-    n, m = F.greatest("n", "n_"), F.col("n") + F.col("n_")
+def bits_in_common(a: str, b: str) -> str:
+    return " + ".join(f"bit_count({a}.{x} & {b}.{x})" for x in BIT_COLUMNS)
+
+
+def least_bits(threshold: int) -> Column:
+    """Bits in common that sketches of sets at the threshold have (sizes in ca.n, cb.n), less 4.5 deviations and collisions."""
+    n, m = F.greatest("ca.n", "cb.n"), F.col("ca.n") + F.col("cb.n")
     k = F.least(F.lit(SKETCH), n)
-    least = k * (threshold / (100 + threshold)) * m / n - k * F.when(n > SKETCH, 0.3).otherwise(0.1)
-    return F.expr(" + ".join(f"bit_count({b} & {b}_)" for b in BIT_COLUMNS)) >= least
+    return k * (threshold / (100 + threshold)) * m / n - k * F.when(n > SKETCH, 0.3).otherwise(0.1)
+
+
+def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose sketches estimate at least ``LEAST_ESTIMATE``."""
+    side = lambda k: reps.select(F.col("rep").alias(k), F.col("sketch").alias(f"s{k}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(F.expr(estimate("sa", "sb")) >= LEAST_ESTIMATE).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Of the candidate ``pairs`` (a, a1, b, b1: doc_id and s1 of two classes) those linked by their full sets."""
-    side = lambda k: sets.select(F.col("rep").alias(k), F.col("s1").alias(f"{k}1"), F.col("full").alias(f"f{k}"))
-    x = pairs.join(side("a"), ["a", "a1"]).join(side("b"), ["b", "b1"])
+    """Of the candidate ``pairs`` (a, b) those linked by their full sets."""
+    side = lambda k: sets.select(F.col("rep").alias(k), F.col("full").alias(f"f{k}"))
+    x = pairs.join(side("a"), "a").join(side("b"), "b")
     x = x.select("a", "b", F.size(F.array_intersect("fa", "fb")).cast("long").alias("both"), F.size("fa").alias("na"), F.size("fb").alias("nb"))
     return materialize(x.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * threshold).select("a", "b"), "links")
 
@@ -155,74 +165,70 @@ def classes_of(sk: DataFrame) -> DataFrame:
     return sk.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")).where("rep is not null")
 
 
-def pairs_of(m: DataFrame, o: DataFrame, key: str, ask: Column, threshold: int) -> DataFrame:
-    """Distinct (a, a1, b, b1) of rows with an equal key that satisfy ``ask`` and whose sizes and bitmaps allow the threshold."""
-    ask &= (F.col("n") * 100 >= F.col("n_") * threshold) & (F.col("n_") * 100 >= F.col("n") * threshold) & bits_agree(threshold)
-    x = m.alias("m").join(o.alias("o"), (F.col(f"m.{key}") == F.col(f"o.{key}")) & ask)
-    return x.select(F.col("rep").alias("a"), F.col("s1").alias("a1"), F.col("rep_").alias("b"), F.col("s1_").alias("b1")).distinct()
-
-
-CLASS = ("rep", "s1", "n", "c", *BIT_COLUMNS)
-
-
-def renamed(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, *[F.col(k).alias(f"{k}_") for k in CLASS])
-
-
 def links_between(sk: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """Links (a, b) between class representatives that connect all that are connected.
 
-    Rows of lists are narrow: ids, sizes and bitmaps; sketches and sets are fetched for pairs whose bitmaps agree.
+    Rows of lists hold ids only; bitmaps, sketches and sets are fetched for ever fewer pairs.
     """
-    low = sk.where("n > 0").select("doc_id", "n", "s1", "s2", "sketch", *BIT_COLUMNS)
-    reps = low.join(classes_of(sk).select(F.col("rep").alias("doc_id"), "s1", "s2"), ["doc_id", "s1", "s2"]).dropDuplicates(["doc_id", "s1", "s2"])
-    reps = materialize(reps.withColumnRenamed("doc_id", "rep").drop("s2"), "classes")
-    values = reps.select("rep", "s1", F.posexplode(F.slice("sketch", 1, WINDOW)).alias("p", "v"))
+    share = threshold / 100
+    low = sk.where("n > 0").select(F.col("doc_id").alias("rep"), "n", "s1", "s2", "sketch", *BIT_COLUMNS)
+    reps = materialize(low.join(classes_of(sk), ["rep", "n", "s1", "s2"], "left_semi").dropDuplicates(["rep"]), "classes")
+    values = reps.select("rep", F.posexplode(F.slice("sketch", 1, WINDOW)).alias("p", "v"))
     lists = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "lists")
-    near = values.join(lists, "v").groupBy("rep", "s1").agg(F.count(F.lit(1)).alias("common"), F.sum(F.log2("m")).alias("central"), F.collect_list(F.when(F.col("p") < PROBES, F.col("v"))).alias("probes"))
-    near = near.join(reps.select("rep", "s1", "n", *BIT_COLUMNS), ["rep", "s1"])
+    near = values.join(lists, "v").groupBy("rep").agg(F.count(F.lit(1)).alias("common"), F.sum(F.log2("m")).alias("central"), F.collect_list(F.when(F.col("p") < PROBES, F.col("v"))).alias("probes"))
+    near = near.join(reps.select("rep", "n", "s1", *BIT_COLUMNS), "rep")
     # a set with a link shares at least the threshold's part of its values with others; a window of them, less 4.5 deviations
-    share = threshold / 100
     window = F.least(F.col("n"), F.lit(WINDOW))
     near = near.where(F.col("common") >= window * share - F.when(F.col("n") > WINDOW, 4.5 * (WINDOW * share * (1 - share)) ** 0.5).otherwise(0))
     near = materialize(near, "near")
-    sets = full_sets(docs.select("doc_id", "text").join(near.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
-    sets = materialize(sets.withColumnRenamed("doc_id", "rep").join(near.select("rep", "s1"), ["rep", "s1"], "left_semi").dropDuplicates(["rep", "s1"]), "sets")
+    sets = full_sets(docs.select("doc_id", "text").join(near.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), size)
+    sets = materialize(sets.withColumnRenamed("doc_id", "rep").join(near.select("rep", "s1"), ["rep", "s1"], "left_semi").dropDuplicates(["rep"]), "sets")
+    info = near.select("rep", "n", *BIT_COLUMNS)
 
     links, comps = None, None
     for turn in range(ROUNDS):
         member = members(near, comps)
-        # the most central class of each list; in later turns among the members outside of the first one's component
-        top = lambda x: x.groupBy("v").agg(F.max(F.struct(F.col("central").alias("central"), (-F.col("rep")).alias("order"), *CLASS)).alias("x"))
-        best = top(member)
+        # the most central class of each list of several components; in later turns of those outside its component
+        top = F.max(F.struct("central", (-F.col("rep")).alias("order"), "rep", "c"))
+        best = member.groupBy("v").agg(top.alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
         if turn:
-            best = top(member.join(best.select("v", F.col("x.c").alias("done")), "v").where("c <> done"))
-        pairs = pairs_of(member, renamed(best.select("v", "x.*"), "v"), "v", F.col("c") != F.col("c_"), threshold)
-        side = lambda k: reps.select(F.col("rep").alias(k), F.col("s1").alias(f"{k}1"), F.col("sketch").alias(f"s{k}"))
-        pairs = pairs.join(side("a"), ["a", "a1"]).join(side("b"), ["b", "b1"]).where(F.expr(estimate("sa", "sb")) >= LEAST_ESTIMATE).drop("sa", "sb")
-        found = verified(pairs, sets, threshold)
+            best = member.join(best.select("v", F.col("x.c").alias("done")), "v").where("c <> done").groupBy("v").agg(top.alias("x"))
+        pairs = member.join(best.select("v", F.col("x.rep").alias("b"), F.col("x.c").alias("d")), "v").where("c <> d").select(F.col("rep").alias("a"), "b").distinct()
+        # sizes and bitmaps; of each class's central ones that with the most bits in common
+        ask = (F.col("ca.n") * 100 >= F.col("cb.n") * threshold) & (F.col("cb.n") * 100 >= F.col("ca.n") * threshold)
+        pairs = pairs.join(info.alias("ca"), F.col("a") == F.col("ca.rep")).join(info.alias("cb"), F.col("b") == F.col("cb.rep")).where(ask).withColumn("bits", F.expr(bits_in_common("ca", "cb"))).where(F.col("bits") >= least_bits(threshold))
+        pairs = pairs.groupBy("a").agg(F.max(F.struct("bits", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+        found = verified(estimated(pairs, reps), sets, threshold)
         links = found if links is None else links.union(found)
         comps = components(links)
 
     # what is left: classes in lists of several components, joined on prefixes of their sets, the rarest shingles first
-    rest = materialize(members(near, comps).select(*CLASS).distinct(), "rest")
-    each = rest.join(sets, ["rep", "s1"]).select("rep", "s1", F.explode("full").alias("x"))
+    member = members(near, comps)
+    mixed = member.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v")
+    rest = materialize(member.join(mixed, "v", "left_semi").select("rep", "c").distinct(), "rest")
+    each = rest.join(sets, "rep").select("rep", F.explode("full").alias("x"))
     ranks = materialize(each.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "ranks")
-    shared = each.join(ranks, "x").groupBy("rep", "s1").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
-    # the first n - ceil(share * n) + 1 in rank hold n - size(xs) that no other class has
-    prefix = F.col("n") - F.ceil(F.col("n") * share) + 1 - (F.col("n") - F.size("xs"))
-    heads = rest.join(shared, ["rep", "s1"]).withColumn("take", prefix.cast("int")).where("take > 0").select(*CLASS, F.explode(F.expr("transform(slice(xs, 1, take), e -> e.x)")).alias("x"))
-    heads = materialize(heads, "heads")
-    pairs = pairs_of(heads, renamed(heads, "x"), "x", F.col("c") < F.col("c_"), threshold)
-    return links.union(verified(pairs, sets, threshold))
+    shared = each.join(ranks, "x").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
+    heads = rest.join(info.select("rep", "n"), "rep").join(shared, "rep")
+    # in rank, n - size(xs) that no other class has come first; a link shares one of the first n - ceil(share * n) + 1
+    alone = (F.col("n") - F.size("xs")).cast("int")
+    heads = heads.withColumn("take", (F.col("n") - F.ceil(F.col("n") * share) + 1 - alone).cast("int")).where("take > 0")
+    heads = heads.select("rep", "n", "c", alone.alias("alone"), F.posexplode(F.expr("transform(slice(xs, 1, take), e -> e.x)")).alias("i", "x"))
+    heads = materialize(heads.select("x", "rep", "n", "c", (F.col("n") - F.col("alone") - F.col("i")).alias("left")), "heads")
+    other = heads.select("x", *[F.col(k).alias(f"{k}_") for k in ("rep", "n", "c", "left")])
+    # from the first shared shingle on, as many are left on either side as the overlap needs
+    need = F.ceil((F.col("n") + F.col("n_")) * threshold / (100 + threshold) - 1e-9)
+    ask = (F.col("c") < F.col("c_")) & (F.col("left") >= need) & (F.col("left_") >= need)
+    pairs = heads.join(other, (heads.x == other.x) & ask).select(F.col("rep").alias("a"), F.col("rep_").alias("b")).distinct()
+    return links.union(verified(estimated(pairs, reps), sets, threshold))
 
 
 def members(near: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Rows (v, class, its component c) of all lists that hold more than one component."""
-    now = near if comps is None else near.join(comps, near.rep == comps.id, "left").drop("id")
-    now = now.withColumn("c", F.col("rep") if comps is None else F.coalesce("component", "rep"))
-    member = now.select(F.explode("probes").alias("v"), *CLASS, "central")
-    return member.join(member.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
+    """Rows (v, rep, c, central) of the inverted lists: c is the component found so far."""
+    if comps is None:
+        return near.select(F.explode("probes").alias("v"), "rep", F.col("rep").alias("c"), "central")
+    now = near.select("rep", "probes", "central").join(comps, near.rep == comps.id, "left")
+    return now.select(F.explode("probes").alias("v"), "rep", F.coalesce("component", "rep").alias("c"), "central")
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
