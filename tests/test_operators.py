@@ -134,3 +134,16 @@ def test_dump_files(spark, tmp_path):
     assert list(bson.documents(doc * 2)) == [{"n": 7, "s": "hi", "b": True, "x": None}] * 2
     (tmp_path / "a.bson").write_bytes(doc * 2)
     assert rows(read_bson(spark, str(tmp_path)), "n") == [0, 1]
+
+
+def test_which_ranges_may_move(spark):
+    x = spark.createDataFrame([(1, 30, None), (2, 90, None), (3, None, None), (4, None, True), (5, 90, False)], "id int, minutes_since_move int, balanced boolean")
+    assert rows(x.where(balance.movable()), "id") == [2, 3, 5]
+    assert balance.move_target(-1000, 300) == 99 and balance.move_target(-100, 300) == -33
+    a = spark.createDataFrame([([(1, 5, None), (2, 6, None)],)], "chunks array<struct<id:int,cnt:int,balanced:boolean>>")
+    assert [c["balanced"] for c in balance.mark_balanced(a, [2]).first()["chunks"]] == [None, True]
+
+
+def test_sizes_of_plans():
+    assert ranges.partition_count(1000, 10**6) == 1 and ranges.partition_count(1 << 30, 50) == 1 and ranges.partition_count(1 << 30, 10**6) == 3
+    assert ranges.sample_size(5000) == 50 and ranges.sample_size(10**9) == 25_000

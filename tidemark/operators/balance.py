@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 THRESHOLD_PCT, ACTIVE_CHUNKS = 3.0, 10
@@ -42,3 +42,20 @@ def move_pairs(targets: DataFrame, most: int = 2) -> DataFrame:
     b = x.select("ns", F.col("c").alias("pair_no"), F.col("shard").alias("to_shard"), F.col("above").alias("_ta"), F.col("total_ops").alias("_to"))
     ok = F.col("_fa") & ~(~F.col("_ta") & (F.col("_to") > 0)) & (F.col("from_shard") != F.col("to_shard")) & (F.col("pair_no") <= F.least(F.lit(most), F.col("n")))
     return a.join(b, ["ns", "pair_no"]).where(ok).select("ns", "pair_no", "from_shard", "to_shard")
+
+
+def move_target(from_delta: int, to_delta: int) -> int:
+    """Operations to move between two shards: a third of the smaller distance from their targets, with its sign."""
+    smaller = min(from_delta, to_delta, key=abs)
+    return round(0.33 * abs(smaller)) * (1 if smaller >= 0 else -1)
+
+
+def movable(last_move: str = "minutes_since_move", balanced: str = "balanced", least: int = 60) -> Column:
+    """Ranges not marked as balanced and not moved within the hour; those never moved or marked are in."""
+    return F.coalesce(F.col(last_move) > least, F.lit(True)) & ~F.coalesce(F.col(balanced), F.lit(False))
+
+
+def mark_balanced(activity: DataFrame, ids: list[int]) -> DataFrame:
+    """Sets ``balanced`` in the matching elements of the array ``chunks``; all others stay."""
+    hit = lambda x: x["id"].isin(ids)
+    return activity.withColumn("chunks", F.transform("chunks", lambda x: x.withField("balanced", F.when(hit(x), True).otherwise(x["balanced"]))))

@@ -47,9 +47,9 @@ def connections_rollup(sessions: DataFrame, key: str) -> DataFrame:
 
 
 def index_usage(rows: DataFrame) -> DataFrame:
-    """Uses of each index summed over nodes by role."""
+    """Uses of each index summed over nodes by role, and since when the counters of all nodes run."""
     ops = lambda r: F.coalesce(F.sum(F.when(F.col("role") == r, F.col("ops"))), F.lit(0))
-    return rows.groupBy("db", "ns", "name").agg(ops("primary").alias("primary_ops"), ops("secondary").alias("secondary_ops"), F.sum("size_bytes").alias("size_bytes"), F.bool_or("shard_key").alias("shard_key"))
+    return rows.groupBy("db", "ns", "name").agg(ops("primary").alias("primary_ops"), ops("secondary").alias("secondary_ops"), F.sum("size_bytes").alias("size_bytes"), F.min("since").alias("since"), F.bool_or("shard_key").alias("shard_key"))
 
 
 def index_health(usage: DataFrame, low: int = 100) -> DataFrame:

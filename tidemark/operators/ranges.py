@@ -51,6 +51,17 @@ def equal_depth_bounds(rows: DataFrame, key: str, n: int) -> DataFrame:
     return y.groupBy(tile.cast("int").alias("tile")).agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n"))
 
 
+def partition_count(size: int, docs: int, part_size: int = 400 << 20, least_docs: int = 101) -> int:
+    """Partitions of ``part_size`` bytes; small tables are one."""
+    n = size // part_size + 1
+    return 1 if n < 2 or docs < least_docs else n
+
+
+def sample_size(docs: int) -> int:
+    """Keys to draw for bounds: one in a hundred of a small table, a fixed number of a large one."""
+    return docs // 100 if docs < 100_000 else 25_000
+
+
 def partition_plan(bounds: DataFrame, docs: int, n: int) -> DataFrame:
     """(part_no, lo, hi, est_docs) from (tile, lo, hi): the last range is open."""
     w = Window.orderBy("tile")

@@ -42,7 +42,7 @@ INPUTS = {
         CASE WHEN c_custkey % 4 = 0 THEN 'java 4.' ELSE 'python 3.' END || (c_custkey % 3) AS driver, CASE WHEN c_custkey % 5 = 0 THEN 'command' ELSE 'query' END AS op,
         c_acctbal > 0 AS active, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(trunc(c_acctbal) AS BIGINT) END AS secs FROM customer""",
     "idx": """SELECT 'db' || (p_partkey % 2) AS db, 'db' || (p_partkey % 2) || '.' || p_brand AS ns, p_type AS name, CAST(sum(CASE WHEN p_partkey % 4 = 0 THEN p_size % 5 ELSE 0 END) AS BIGINT) AS primary_ops,
-        CAST(sum(CASE WHEN p_partkey % 4 = 1 THEN p_size % 3 ELSE 0 END) AS BIGINT) AS secondary_ops, CAST(sum(p_size) * 1024 AS BIGINT) AS size_bytes, p_type = 'SMALL' AS shard_key FROM part GROUP BY ALL""",
+        CAST(sum(CASE WHEN p_partkey % 4 = 1 THEN p_size % 3 ELSE 0 END) AS BIGINT) AS secondary_ops, CAST(sum(p_size) * 1024 AS BIGINT) AS size_bytes, min(TIMESTAMP '2024-01-01' + to_days(p_size)) AS since, p_type = 'SMALL' AS shard_key FROM part GROUP BY ALL""",
     "ispec_a": "SELECT DISTINCT p_brand AS ns, p_type AS name, p_type || '_1' AS key, p_type = 'PROMO' AS uniq, false AS sparse, CASE WHEN p_type = 'ECONOMY' THEN 86400 END AS ttl FROM part",
     "ispec_b": """SELECT ns, name, key, CASE WHEN ns = 'Brand#3' THEN NOT uniq ELSE uniq END AS uniq, ns = 'Brand#4' AS sparse, CASE WHEN ns = 'Brand#5' AND ttl IS NOT NULL THEN 172800 ELSE ttl END AS ttl
         FROM ispec_a WHERE NOT (ns = 'Brand#6' AND name = 'LARGE')""",

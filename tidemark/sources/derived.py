@@ -79,7 +79,7 @@ def index_stats(spark: SparkSession, d: str) -> DataFrame:
     role = F.when(F.col("p_partkey") % 4 == 0, "primary").when(F.col("p_partkey") % 4 == 1, "secondary")
     ops = F.when(role == "primary", F.col("p_size") % 5).when(role == "secondary", F.col("p_size") % 3).otherwise(0)
     db = F.concat(F.lit("db"), F.col("p_partkey") % 2)
-    return p.select(db.alias("db"), F.concat(db, F.lit("."), F.col("p_brand")).alias("ns"), F.col("p_type").alias("name"), role.alias("role"), ops.cast("long").alias("ops"), (F.col("p_size").cast("long") * 1024).alias("size_bytes"), (F.col("p_type") == "SMALL").alias("shard_key"))
+    return p.select(db.alias("db"), F.concat(db, F.lit("."), F.col("p_brand")).alias("ns"), F.col("p_type").alias("name"), role.alias("role"), ops.cast("long").alias("ops"), (F.col("p_size").cast("long") * 1024).alias("size_bytes"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(p_size)").alias("since"), (F.col("p_type") == "SMALL").alias("shard_key"))
 
 
 def index_specs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
