@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows in an Arrow batch; texts may be long, so fewer than Spark's default.
 BATCH_ROWS = 512
+#: Paths of work tables of this driver, see ``discard``.
+WRITTEN: list[str] = []
 
 # Functions travel by value: an executor needs only the public libraries, not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
@@ -39,10 +41,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Delete the work tables written so far; call it once the results that read them are stored."""
+    while WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of few rows, so that long texts stay within a worker's memory."""
+    """``mapInArrow`` with batches of few rows; Spark also bounds a batch's bytes, so long texts stay within a worker's memory."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)

@@ -197,8 +197,7 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    archives.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    return archives.select("content").mapInArrow(read, READ_SCHEMA)
+    return map_arrow(archives.select("content"), read, READ_SCHEMA)
 
 
 def read_files(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
