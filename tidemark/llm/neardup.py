@@ -6,8 +6,8 @@ the union estimates their Jaccard similarity and filters them, and the full sets
 
 Lists are never expanded into pairs. A class can only have a link if other classes hold most of its
 retained values, so all others leave at once. In every list the most central class is compared with the
-rest; connected classes need no further comparison, so a family of thousands of copies costs one
-comparison a member. What is left are lists with several components. Their classes are joined on
+rest; connected classes need no further comparison, so a family of thousands of copies costs a few
+comparisons a member. What is left are lists with several components. Their classes are joined on
 prefixes of their full sets, rarest shingles first: two sets with the required similarity share a
 shingle among the first quarter of each, early enough that what follows can still suffice, and rare
 shingles make short lists. This last join is exact for every pair of classes that share a probed value.
@@ -36,7 +36,10 @@ SHINGLE, THRESHOLD = 5, 75  # words; percent
 SKETCH, PROBES, LEAST_ESTIMATE = 64, 24, 0.5
 #: Least values of a sketch whose lists are counted, and words of the bitmap that stands for a sketch.
 WINDOW, WORDS = 40, 8
-ROUNDS = 2
+#: Values in a row that make a list in each round: longer keys give purer lists with other central classes.
+ROUNDS = (1, 2, 3)
+#: Bits of the filter of wanted ids.
+FILTER_BITS = 1 << 23
 BLOCK = 2 << 20
 BIT_COLUMNS = tuple(f"b{i}" for i in range(WORDS))
 
@@ -97,18 +100,30 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return map_arrow(rows, sketch, "doc_id long, n long, s1 long, s2 long, sketch array<long>, " + ", ".join(f"{b} long" for b in BIT_COLUMNS))
 
 
-def full_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, s1 and the whole set of each row."""
+def full_sets(docs: DataFrame, ids: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id, s1 and the whole set of the rows whose doc_id is in ``ids`` (and of a few others).
+
+    A bitmap of fixed size stands for the ids, so that no text is shuffled to find them.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS))
+    width = 8 * 4096
+    maps = ids.select(slot(ids.columns[0]).alias("s")).groupBy(F.floor(F.col("s") / width).alias("k")).agg(F.bitmap_construct_agg(F.col("s") % width).alias("m")).collect()
+    wanted = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in maps:  # at most FILTER_BITS / width rows
+        wanted[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["m"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def sets(batches):
-        powers = Powers()
+        powers, bits = Powers(), shared.value
         for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
             found = list(each_text(batch, powers, size))
             with np.errstate(over="ignore"):
                 s1 = np.array([s.sum(dtype=np.uint64) for s in found], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s1), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["doc_id", "s1", "full"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("raw"))
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("raw"), slot("doc_id").alias("slot"))
     return map_arrow(rows, sets, "doc_id long, s1 long, full array<long>")
 
 
@@ -175,30 +190,27 @@ def links_between(sk: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, si
     reps = materialize(low.join(classes_of(sk), ["rep", "n", "s1", "s2"], "left_semi").dropDuplicates(["rep"]), "classes")
     values = reps.select("rep", F.posexplode(F.slice("sketch", 1, WINDOW)).alias("p", "v"))
     lists = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "lists")
-    near = values.join(lists, "v").groupBy("rep").agg(F.count(F.lit(1)).alias("common"), F.sum(F.log2("m")).alias("central"), F.collect_list(F.when(F.col("p") < PROBES, F.col("v"))).alias("probes"))
+    near = values.join(lists, "v").groupBy("rep").agg(F.count(F.lit(1)).alias("common"), F.sum(F.log2("m")).alias("central"), F.array_sort(F.collect_list(F.when(F.col("p") < PROBES, F.col("v")))).alias("probes"))
     near = near.join(reps.select("rep", "n", "s1", *BIT_COLUMNS), "rep")
     # a set with a link shares at least the threshold's part of its values with others; a window of them, less 4.5 deviations
     window = F.least(F.col("n"), F.lit(WINDOW))
     near = near.where(F.col("common") >= window * share - F.when(F.col("n") > WINDOW, 4.5 * (WINDOW * share * (1 - share)) ** 0.5).otherwise(0))
     near = materialize(near, "near")
-    sets = full_sets(docs.select("doc_id", "text").join(near.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), size)
+    sets = full_sets(docs, near.select("rep"), size)
     sets = materialize(sets.withColumnRenamed("doc_id", "rep").join(near.select("rep", "s1"), ["rep", "s1"], "left_semi").dropDuplicates(["rep"]), "sets")
     info = near.select("rep", "n", *BIT_COLUMNS)
 
     links, comps = None, None
-    for turn in range(ROUNDS):
-        member = members(near, comps)
-        # the most central class of each list of several components; in later turns of those outside its component
+    for values_a_key in ROUNDS:
+        member = members(near, comps, values_a_key)
+        # the most central class of each list of several components
         top = F.max(F.struct("central", (-F.col("rep")).alias("order"), "rep", "c"))
         best = member.groupBy("v").agg(top.alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-        if turn:
-            best = member.join(best.select("v", F.col("x.c").alias("done")), "v").where("c <> done").groupBy("v").agg(top.alias("x"))
         pairs = member.join(best.select("v", F.col("x.rep").alias("b"), F.col("x.c").alias("d")), "v").where("c <> d").select(F.col("rep").alias("a"), "b").distinct()
         # sizes and bitmaps; of each class's central ones that with the most bits in common
         ask = (F.col("ca.n") * 100 >= F.col("cb.n") * threshold) & (F.col("cb.n") * 100 >= F.col("ca.n") * threshold)
         pairs = pairs.join(info.alias("ca"), F.col("a") == F.col("ca.rep")).join(info.alias("cb"), F.col("b") == F.col("cb.rep")).where(ask).withColumn("bits", F.expr(bits_in_common("ca", "cb"))).where(F.col("bits") >= least_bits(threshold))
-        pairs = pairs.groupBy("a").agg(F.max(F.struct("bits", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-        found = verified(estimated(pairs, reps), sets, threshold)
+        found = verified(estimated(best_of(pairs, "a", "b", "bits"), reps), sets, threshold)
         links = found if links is None else links.union(found)
         comps = components(links)
 
@@ -219,16 +231,32 @@ def links_between(sk: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, si
     # from the first shared shingle on, as many are left on either side as the overlap needs
     need = F.ceil((F.col("n") + F.col("n_")) * threshold / (100 + threshold) - 1e-9)
     ask = (F.col("c") < F.col("c_")) & (F.col("left") >= need) & (F.col("left_") >= need)
-    pairs = heads.join(other, (heads.x == other.x) & ask).select(F.col("rep").alias("a"), F.col("rep_").alias("b")).distinct()
-    return links.union(verified(estimated(pairs, reps), sets, threshold))
-
-
-def members(near: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Rows (v, rep, c, central) of the inverted lists: c is the component found so far."""
+    pairs = heads.join(other, (heads.x == other.x) & ask).groupBy(F.col("rep").alias("a"), F.col("rep_").alias("b")).agg(F.count(F.lit(1)).alias("k"))
+    pairs = materialize(pairs, "pairs")
+    # the likeliest pair of each class first, then all between components that those have not connected
+    first = best_of(pairs, "a", "b", "k").union(best_of(pairs, "b", "a", "k").select("a", "b")).distinct()
+    links = links.union(verified(estimated(first, reps), sets, threshold))
+    comps = components(links)
+    side = lambda k: comps.select(F.col("id").alias(k), F.col("component").alias(f"c{k}"))
+    rest = pairs.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    rest = rest.join(first, ["a", "b"], "left_anti")
+    return links.union(verified(estimated(rest, reps), sets, threshold))
+
+
+def best_of(pairs: DataFrame, key: str, other: str, by: str) -> DataFrame:
+    """Of each key the partner that is best by a measure."""
+    return pairs.groupBy(key).agg(F.max(F.struct(by, other)).alias("x")).select(key, F.col(f"x.{other}").alias(other))
+
+
+def members(near: DataFrame, comps: DataFrame | None, values_a_key: int = 1) -> DataFrame:
+    """Rows (v, rep, c, central) of the inverted lists of retained values, or of runs of them: c is the component found so far."""
+    key = F.col("probes")
+    if values_a_key > 1:
+        key = F.expr(f"transform(sequence(1, greatest(1, size(probes) - {values_a_key - 1})), i -> xxhash64(slice(probes, i, {values_a_key})))")
     if comps is None:
-        return near.select(F.explode("probes").alias("v"), "rep", F.col("rep").alias("c"), "central")
+        return near.select(F.explode(key).alias("v"), "rep", F.col("rep").alias("c"), "central")
     now = near.select("rep", "probes", "central").join(comps, near.rep == comps.id, "left")
-    return now.select(F.explode("probes").alias("v"), "rep", F.coalesce("component", "rep").alias("c"), "central")
+    return now.select(F.explode(key).alias("v"), "rep", F.coalesce("component", "rep").alias("c"), "central")
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
@@ -236,6 +264,6 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHI
     sk = materialize(sketches(docs, size), "sketches")
     comps = components(links_between(sk, docs, threshold, size))
     own = classes_of(sk).join(comps, F.col("rep") == F.col("id"), "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component_id"))
-    x = sk.select("doc_id", "n", "s1", "s2").join(own, ["n", "s1", "s2"], "left")
+    x = sk.select("doc_id", "n", "s1", "s2").join(materialize(own, "own"), ["n", "s1", "s2"], "left")
     x = x.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return x.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
