@@ -22,7 +22,7 @@ from ._text import BASE, binary_column, blocks, lower_table, mix, space_table
 
 #: Labelled rows that are learned from at most; a bound on what the driver fits.
 MAX_LABELLED = 20_000
-ORDERS, BITS = (4, 5, 6), 20
+ORDERS, BITS = (4, 6, 8), 20
 #: n-grams kept by likelihood ratio, the least such ratio, log-count ratio and number of documents of one.
 FEATURES, LEAST_G, LEAST_RATIO, LEAST_DOCS = 1 << 11, 15.0, 1.0, 8
 BLOCK = 2 << 20
@@ -106,25 +106,24 @@ def held(data, offsets, place) -> list[np.ndarray]:
     return np.split(f.astype(np.int32), np.searchsorted(row, np.arange(1, len(offsets) - 1))) if len(offsets) > 1 else []
 
 
-def fit(labels: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, l2: float = 3e-4, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on presence times ratio (Nesterov's gradient descent, both labels weighing alike)."""
+def fit(labels: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, l2: float = 3e-4, steps: int = 600, rate: float = 0.05) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression on presence times ratio, both labels weighing alike.
+
+    Gradient descent with momentum and steps scaled per weight, which fall to nothing over ``steps``.
+    """
     col = np.concatenate(features).astype(np.int64) if features else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    value = ratio[col]
-    n = len(labels)
+    value, n = ratio[col], len(labels)
     weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, n - labels.sum()))
-    w, b = np.zeros(len(ratio)), 0.0
-    vw, vb = w.copy(), b
-    norm = np.bincount(row, value * value, n)
-    rate = 4.0 / max(1.0, float(np.percentile(norm, 95)) + 1) if n else 0.0
-    for t in range(steps):
-        z = np.bincount(row, value * vw[col], n) + vb
+    w = np.zeros(len(ratio) + 1)
+    mean, square = w.copy(), w.copy()
+    for t in range(1, steps + 1):
+        z = np.bincount(row, value * w[col], n) + w[-1]
         e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * weight
-        nw = vw - rate * (np.bincount(col, value * e[row], len(ratio)) + l2 * vw)
-        nb = vb - rate * e.sum()
-        vw, vb = nw + t / (t + 3) * (nw - w), nb + t / (t + 3) * (nb - b)
-        w, b = nw, nb
-    return w, b
+        g = np.append(np.bincount(col, value * e[row], len(ratio)) + l2 * w[:-1], e.sum())
+        mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
+        w -= rate * (1 - t / steps) * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
+    return w[:-1], float(w[-1])
 
 
 def likelihood_ratio(sums: np.ndarray, seen: np.ndarray) -> np.ndarray:
