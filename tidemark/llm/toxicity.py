@@ -22,7 +22,7 @@ from ._text import BASE, binary_column, blocks, lower_table, mix, space_table
 
 #: Labelled rows that are learned from at most; a bound on what the driver fits.
 MAX_LABELLED = 20_000
-ORDERS, BITS = (4, 6, 8), 20
+ORDERS, BITS = (4, 6, 8), 21
 #: n-grams kept by likelihood ratio, the least such ratio, log-count ratio and number of documents of one.
 FEATURES, LEAST_G, LEAST_RATIO, LEAST_DOCS = 1 << 11, 15.0, 1.0, 8
 BLOCK = 2 << 20
