@@ -205,3 +205,22 @@ def test_language_model_edge_cases(spark, docs, empty):
     for r in rows:
         by[r["doc_id"]].add(round(r["score"], 3))
     assert all(len(v) == 1 for v in by.values()) and by[2] == by[3]
+
+
+def test_frequent_units_keep_their_odds(spark):
+    """A unit counted 10 million times in one task against units with its prefix in other tasks."""
+    units = {"the ": 10_000_000, "then ": 30_000, "them ": 50_000, "they ": 60_000, "these ": 40_000}
+    histogram = np.zeros(256, np.int64)
+    for u, c in units.items():
+        np.add.at(histogram, np.frombuffer(u.encode(), np.uint8), c)
+    tree = contextmix.huffman(histogram)
+    rows = spark.sparkContext.parallelize([(bytearray(u.encode()), 4, c) for u, c in units.items()], len(units))
+    model = contextmix.fitted(contextmix.learn_rows(spark.createDataFrame(rows, "b binary, k int, c long"), tree), tree)
+    turns = [0, 0]
+    for u, c in units.items():
+        turns[tree[1][0][ord(u[3])]] += c
+    text, offsets, root = np.frombuffer(b"the ", np.uint8), np.array([0, 4]), np.uint32(tree[0][0][ord(" ")])
+    with np.errstate(over="ignore"):
+        whole = contextmix.contexts(text, offsets, np.arange(4), np.array([4], np.uint8), contextmix.Powers())[3][3]
+        slot = ((whole ^ (root + np.uint32(1)) * np.uint32(0x9E3779B1)) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - contextmix.BITS[3])
+    assert model.odds[3][slot] == pytest.approx(math.log((turns[1] + contextmix.PRIOR) / (turns[0] + contextmix.PRIOR)), abs=0.01)

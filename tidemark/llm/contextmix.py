@@ -11,7 +11,7 @@ is bits per byte.
 Units are counted over the whole corpus, so each different one is learned from and predicted once, with
 its count as weight. Learning is online: a task walks its share of the units in small steps, predicts a
 step with what it has seen before, corrects the weights by the error, then adds the step to its counts.
-The tasks' counts are summed, their weights averaged. Word counts for the base score are exact sums over
+The tasks' counts are whole and summed exactly, their weights averaged. Word counts for the base score are exact sums over
 all learnable texts. The ``TOP`` most frequent units are broadcast (a fixed bound), all others are joined.
 
 Null texts are empty and score the end symbol alone; a null doc_id is learned from; without learnable
@@ -167,7 +167,7 @@ class Model:
 
     def __init__(self, tree: tuple[np.ndarray, np.ndarray]) -> None:
         self.tree = tree
-        self.counts = [np.zeros(2 << b, np.uint32) for b in BITS]
+        self.counts = [np.zeros(2 << b, np.uint64) for b in BITS]
         self.odds = [np.zeros(1 << b, np.float32) for b in BITS]
         self.weights = np.full((GATES, GATES, CONTEXTS + 1), 0.35, np.float32)
         self.weights[..., -1] = 0
@@ -230,18 +230,18 @@ class Model:
         return total
 
     def _learn(self, w, z, odds, slots, gate, place, bit, count):
-        capped = np.minimum(count, 255).astype(np.float32)
-        self.seen += float(capped.sum())
-        rate = RATE / (np.bincount(gate, capped, GATES) + 1e-9)
-        error = (bit - 1 / (1 + np.exp(-np.clip(z, -30, 30)))).astype(np.float32) * capped
+        times = count.astype(np.float64)
+        self.seen += float(times.sum())
+        rate = RATE / (np.bincount(gate, times, GATES) + 1e-9)
+        error = (bit - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) * times
         for i, o in enumerate(odds):
             w[:, i] += (rate * np.bincount(gate, error * o, GATES)).astype(np.float32)
         w[:, CONTEXTS] += (rate * 0.1 * np.bincount(gate, error, GATES)).astype(np.float32)
-        self.fixes += np.bincount(place + bit * np.uint32(256 * BUCKETS), capped, 512 * BUCKETS).reshape(2, -1)
+        self.fixes += np.bincount(place + bit * np.uint32(256 * BUCKETS), times, 512 * BUCKETS).reshape(2, -1)
         for c, o, s in zip(self.counts, self.odds, slots, strict=True):
             np.add.at(c, s * np.uint32(2) + bit, count)
             n = c.reshape(-1, 2)[s]
-            o[s] = np.log((n[:, 1] + np.float32(PRIOR)) / (n[:, 0] + np.float32(PRIOR)))
+            o[s] = np.log((n[:, 1] + PRIOR) / (n[:, 0] + PRIOR))
 
 
 UNIT_SCHEMA = "u long, t long, k int, b binary, c long"
@@ -305,6 +305,16 @@ def batch_of(u, t, k, b, c) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(t, pa.int64()), pa.array(k, pa.int32()), b, pa.array(c, pa.int64())], names=["u", "t", "k", "b", "c"])
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Whole counts in the least width that holds all of them; the length tells which."""
+    most = int(counts.max())
+    return counts.astype("<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
+
+
+def widened(raw) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // (2 * CHUNK)}").astype(np.uint64)
+
+
 LEARN_SCHEMA = "kind int, t long, c long, bytes binary"
 
 
@@ -321,16 +331,13 @@ def learn_rows(units: DataFrame, tree) -> DataFrame:
             text, offsets = binary_column(batch, "b")
             rows += len(offsets) - 1
             with np.errstate(over="ignore"):
-                model.units(text, offsets, batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8), powers, batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint32))
+                model.units(text, offsets, batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8), powers, batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64))
         if not rows:
             return
         for i, c in enumerate(model.counts):
-            c = c.reshape(-1, 2)
-            most = c.max(axis=1).astype(np.float64)
-            shrink = np.where(most > 65535, 65535 / np.maximum(most, 1), 1.0)
-            c = np.minimum(np.ceil(c * shrink[:, None]), 65535).astype("<u2").reshape(-1, CHUNK * 2)
+            c = c.reshape(-1, CHUNK * 2)
             used = np.flatnonzero(c.any(axis=1))
-            yield emit(i, used, np.zeros(len(used), np.int64), [c[j].tobytes() for j in used])
+            yield emit(i, used, np.zeros(len(used), np.int64), [narrow(c[j]) for j in used])
         state = np.concatenate([model.weights.ravel().astype(np.float64), model.fixes.ravel()])
         yield emit(-2, [0], [int(model.seen)], [state.tobytes()])
 
@@ -345,7 +352,7 @@ def summed(chunks: DataFrame) -> DataFrame:
         sums: dict = {}
         for batch in batches:
             for kind, t, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                c = np.frombuffer(raw.as_buffer(), "<u2").astype(np.uint64)
+                c = widened(raw.as_py())
                 sums[kind, t] = sums[kind, t] + c if (kind, t) in sums else c
         out = []
         for c in sums.values():
