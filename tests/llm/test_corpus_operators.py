@@ -88,6 +88,17 @@ def test_near_duplicates_edge_cases(spark, docs, empty):
     assert [(r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] in (2, 3, 4)] == [(0, r["doc_id"]) for r in got if r["doc_id"] in (2, 3, 4)]
 
 
+def test_contained_sets_of_window_size(spark):
+    """Texts that are contained in texts with more shingles than the window."""
+    draw = random.Random(17)
+    texts = []
+    for n in range(30, 65):
+        for _ in range(6):
+            text = [f"w{draw.getrandbits(40):x}" for _ in range(4 * n // 3 + 4)]
+            texts += [" ".join(text[: n + 4]), " ".join(text)]
+    check_components(frame(spark, texts))
+
+
 # --- repeats ---
 
 

@@ -192,9 +192,9 @@ def links_between(sk: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, si
     lists = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "lists")
     near = values.join(lists, "v").groupBy("rep").agg(F.count(F.lit(1)).alias("common"), F.sum(F.log2("m")).alias("central"), F.array_sort(F.collect_list(F.when(F.col("p") < PROBES, F.col("v")))).alias("probes"))
     near = near.join(reps.select("rep", "n", "s1", *BIT_COLUMNS), "rep")
-    # a set with a link shares at least the threshold's part of its values with others; a window of them, less 4.5 deviations
+    # a set with a link shares at least the threshold's part of its values with others; less 4.5 deviations where it or its partner may exceed the window
     window = F.least(F.col("n"), F.lit(WINDOW))
-    near = near.where(F.col("common") >= window * share - F.when(F.col("n") > WINDOW, 4.5 * (WINDOW * share * (1 - share)) ** 0.5).otherwise(0))
+    near = near.where(F.col("common") >= window * share - F.when(F.col("n") * 100 >= (WINDOW + 1) * threshold, 4.5 * (WINDOW * share * (1 - share)) ** 0.5).otherwise(0))
     near = materialize(near, "near")
     sets = full_sets(docs, near.select("rep"), size)
     sets = materialize(sets.withColumnRenamed("doc_id", "rep").join(near.select("rep", "s1"), ["rep", "s1"], "left_semi").dropDuplicates(["rep"]), "sets")
