@@ -156,6 +156,14 @@ def test_repeats_edge_cases(spark, docs, empty):
     check_repeats(docs)
 
 
+def test_repeats_of_rows_without_ids(spark):
+    """A passage of a row with a null id and of another row, in different contexts."""
+    draw = random.Random(19)
+    text = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = text(260)
+    check_repeats(spark.createDataFrame([(None, text(400) + passage + text(300)), (7, text(150) + passage + text(500))], "doc_id long, text string"))
+
+
 # --- packing ---
 
 

@@ -189,12 +189,12 @@ def removable(docs: DataFrame) -> DataFrame:
     anchors = segs.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("n > 1").select("a", (F.col("lo") == F.col("hi")).alias("same"))
     # aggregates are written before they are joined: both sides of the join are then dealt by its own exchanges, which Spark splits where a key is hot
     shared = materialize(segs.join(materialize(anchors, "anchors"), "a"), "shared")
-    kinds = shared.where("not same").groupBy("a", "h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "key", "p", "w")).alias("at"))
+    kinds = shared.where("not same").groupBy("a", "h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "p", "w")).alias("at"))
     kinds = materialize(kinds, "kinds")
     per = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT_SEGMENTS)
     wanted = kinds.join(per, "a", "left").select("at.*", "a", "h", F.col("m").isNotNull().alias("hot"))
-    wanted = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("p", "w", "a", "h", "hot")).alias("wanted"))
-    found = materialize(contents(docs.join(wanted, ["doc_id", "key"])), "contents")
+    wanted = wanted.groupBy("_id", "_key").agg(F.collect_list(F.struct("p", "w", "a", "h", "hot")).alias("wanted"))
+    found = materialize(contents(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))), "contents")
     found = found.dropDuplicates(["a", "h", "w"])
     cold = found.where("x is null")
     tasks = max(1, -(-kinds.count() // TASK_SEGMENTS))
