@@ -99,6 +99,46 @@ def test_contained_sets_of_window_size(spark):
     check_components(frame(spark, texts))
 
 
+def test_classes_are_sets_not_ids(spark):
+    """Several texts under one id, null ids, and a group of near copies whose members share a line with strangers."""
+    draw = random.Random(23)
+    word = lambda: f"w{draw.getrandbits(30):x}"
+    a, b, line = [word() for _ in range(60)], [word() for _ in range(60)], [word() for _ in range(12)]
+    near = [*b[:30], word(), *b[31:]]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(near)), (None, " ".join([*a[:5], word(), *a[6:]])), (None, " ".join(word() for _ in range(40)))]
+    origin = [word() for _ in range(100)]
+    for i in range(300):
+        w = list(origin)
+        for _ in range(draw.randrange(5)):
+            at = draw.randrange(100)
+            w[at : at + draw.randrange(2)] = [word() for _ in range(draw.randrange(2))]
+        rows.append((10 + i, " ".join((line if i % 3 == 0 else []) + w)))
+    rows += [(1000 + i, " ".join(line + [word() for _ in range(60)])) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.grouped(df).collect()
+    keyed = {(r["doc_id"], r["key"]): r["component_id"] for r in got}
+    want = brute_components(list(enumerate(t for _, t in rows)))
+    keys = [(r["doc_id"], r["key"]) for r in df.select("doc_id", F.xxhash64(F.col("text").cast("binary")).alias("key")).collect()]
+    parts = collections.defaultdict(set)
+    for i, (_, component) in want.items():
+        parts[component].add(i)
+    for members in parts.values():
+        ids = [rows[i][0] for i in members if rows[i][0] is not None]
+        assert {keyed[keys[i]] for i in members} == {min(ids, default=None)}
+    kept = neardup.deduplicated(df).collect()
+    assert len(kept) == len(parts) and {r["text"] for r in kept} <= {t for _, t in rows}
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = " ".join(f"Word{i * 7919 % 1013}" for i in range(3000)).encode() + b" " + b"x" * 9000 + b" end"
+    data, offsets = np.frombuffer(text + b"a b c d e f", np.uint8), np.array([0, len(text), len(text) + 11])
+    with np.errstate(over="ignore"):
+        whole = neardup.shingles(data, offsets, neardup.Powers())
+        monkeypatch.setattr(neardup, "BLOCK", 1000)
+        cut = neardup.shingles(data, offsets, neardup.Powers())
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(whole, cut, strict=True))
+
+
 # --- repeats ---
 
 

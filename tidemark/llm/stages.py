@@ -21,9 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    got = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    return got.withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).select(docs.columns)
+    return neardup.deduplicated(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
