@@ -294,6 +294,14 @@ def test_archive_round_trip(spark):
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_archive_edge_cases(spark):
+    """Null ids and urls, repeated rows, a payload that most pages share, a very long page."""
+    rows = [(5, None, "same"), (None, "http://x", "same"), (None, None, "alone"), (None, None, "alone"), (9, "u", None), (9, "u", None), (3, "u", "é" * 300_000), *[(100 + i, "u", "same") for i in range(200)]]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = collections.Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.round_trip(pages).collect())
+    assert got == {(5, 4, "response", None): 1, (None, 4, "revisit", 5): 1, (None, 5, "response", None): 2, (9, 0, "response", None): 2, (3, 600_000, "response", None): 1, **{(100 + i, 4, "revisit", 5): 1 for i in range(200)}}
+
+
 def test_archive_files_and_faults(spark, tmp_path):
     records = [warc.record(i, f"http://x/{i}", b"payload %d " % i * 20, None) for i in range(30)]
     raw = warc.pack_archive(records)

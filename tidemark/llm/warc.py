@@ -2,8 +2,10 @@
 
 Writer and reader work on archives of bounded size, held as rows ``(archive_id, content)`` of a
 table in the shared folder (or as files read by Spark's ``binaryFile`` source, see ``read_files``).
-A null payload is empty; an empty table gives no archive and no record; repeated rows give repeated
-records; other columns of the input are ignored. A broken archive raises ``ValueError``.
+A null payload is empty; a page without an id that repeats another's payload revisits it, one without a url
+gets about:blank; an empty table gives no archive and no record; repeated rows give repeated records; other
+columns of the input are ignored. A record is held whole in memory, an archive closes after the record that
+fills it, so a very long page has an archive of its own. A broken archive raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -207,13 +209,18 @@ def read_files(spark: SparkSession, path: str, payloads: bool = True) -> DataFra
 
 
 def with_revisits(pages: DataFrame, key: str, payload: str) -> DataFrame:
-    """Adds ``revisit_of``: the smallest key with an equal payload, null for that page itself.
+    """Adds ``revisit_of``: the smallest key with an equal payload, null for that page itself and where no equal page has a key.
 
-    Only digests and keys are grouped; groups of one are dropped before the join.
+    Digests and keys are resolved first, in tables of their own, so that Spark can split the join on a digest that
+    very many pages share; payloads travel once, by key and digest.
     """
-    sums = pages.withColumn("_sum", F.sha2(payload, 256))
-    first = sums.groupBy("_sum").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_sum", "_first")
-    return sums.join(first, "_sum", "left").withColumn("revisit_of", F.when(F.col("_first").isNotNull() & (F.col("_first") != F.coalesce(F.col(key), F.col("_first") - 1)), F.col("_first"))).drop("_sum", "_first")
+    total = F.sha2(F.col(payload), 256)
+    sums = materialize(pages.select(F.col(key).alias("k"), total.alias("s")), "sums")
+    first = materialize(sums.groupBy("s").agg(F.min("k").alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1 and f is not null").select("s", "f"), "first")
+    later = materialize(sums.join(first, "s").where("k is null or k <> f").select("k", "s", "f").distinct(), "later").alias("l")
+    doc = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"), F.col(key).alias("k"), total.alias("s")).alias("d")
+    got = doc.join(later, F.col("d.k").eqNullSafe(F.col("l.k")) & (F.col("d.s") == F.col("l.s")), "left")
+    return got.select("d.page.*", F.col("l.f").alias("revisit_of"))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
