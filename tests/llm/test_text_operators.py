@@ -56,6 +56,50 @@ def test_ownership_separates_examples_from_live(spark):
     assert texts[0][0] == f"password = {shared}" and texts[10] == ("[REDACTED]", 10) and texts[11][0] == "see [REDACTED] here"
 
 
+def brute_secrets(rows):
+    """All spans of (doc_id, source, text) rows, candidate by candidate, without any table."""
+    found, holders = [], collections.defaultdict(set)
+    for doc, source, text in rows:
+        text, mine = text or "", []
+        for span in base_spans(text):
+            kind, lo, hi = span.split(":")
+            value = re.search(r"""[A-Za-z0-9+/_.=-]+$""", text[int(lo) : int(hi)]).group() if kind != "assign" else re.match(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(.*)$""", text[int(lo) : int(hi)], re.IGNORECASE | re.DOTALL).group(1)
+            mine.append((int(lo), ("assign", "access", "hex").index(kind), int(hi), value.rstrip(".=")))
+        for m in re.finditer(r"[A-Za-z0-9+/_.-]{8,}", text):
+            value = m.group().rstrip(".=")
+            free = all(m.start() + len(value) <= lo or hi <= m.start() for lo, kind, hi, _ in mine if kind < 3)
+            if len(value) >= 8 and re.search("[0-9]", value) and re.search("[A-Za-z]", value) and free:
+                mine.append((m.start(), 3, m.start() + len(value), value))
+        for _, kind, _, value in mine:
+            holders[value].add((doc, source, kind < 3))
+        found.append((doc, mine))
+    least = min(3, max(2, len({source for _, source, _ in rows})))
+
+    def live(v):
+        own = holders[v]
+        return any(base for *_, base in own) and len({s for _, s, _ in own}) < least and len({(d, s) for d, s, _ in own}) < 25 and secrets.looks_live(v)
+
+    names = ("assign", "access", "hex", "bare")
+    return sorted((doc, ",".join(f"{names[k]}:{lo}:{hi}" for lo, k, hi, v in sorted(mine) if k < 3 or live(v))) for doc, mine in found)
+
+
+def test_all_spans(spark):
+    """Against brute force: repository and owner counts, bare repeats, marks at a value's end, values of eight characters."""
+    own, wide, many, short = "Pk7dQw2Xn5Bv8Rt1", "Zq81mXk2Lw93TbVn", "Hn4kLp9sWd3vRx7c", "a9Kd3xQ7"
+    rows = [(i, f"s{i % 4}", f"password = {wide}") for i in range(8)] + [(100 + i, "s1", f"see token: {many}, {many}") for i in range(30)]
+    rows += [(50, "s1", f"token: {own}="), (51, "s1", f"so {own}. And {own}"), (52, "s2", f"x={own}"), (53, "s3", f"secret={short} {short}."), (54, None, None), (55, "s1", f"{wide} {many}"), (56, "s1", f"{short} or {'ab12' * 12}")]
+    rows += [(1000 + r["doc_id"], r["source"], r["text"]) for r in sample(spark).collect()]
+    got = secrets.digest(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert sorted((r["doc_id"], r["spans"]) for r in got) == brute_secrets(rows)
+    by = {r["doc_id"]: r for r in got}
+    assert by[100]["n_live"] == 0 and by[50]["n_live"] == 1 and by[51]["n_added"] == 2 and by[53]["n_added"] == 1 and by[55]["n_added"] == 0
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "token: Pk7dQw2Xn5Bv8Rt1", "s", "mine", "cut", 3)], "doc_id long, text string, source string, _key string, key string, n_chars int")
+    assert [tuple(r) for r in secrets.redact(df).collect()] == [(1, "[REDACTED]", "s", "mine", "cut", 10)]
+
+
 def test_secrets_edge_cases(spark, docs, empty):
     assert secrets.digest(empty).count() == 0 and secrets.digest(docs).count() == docs.count()
     back = secrets.redact(docs)

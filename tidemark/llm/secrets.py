@@ -2,10 +2,15 @@
 
 Candidates are found in whole texts; each value is hashed at once and never leaves the scan in the
 clear. Over the corpus a hash is counted by distinct repositories (documents) and owners (sources).
-A value that is held by many owners is a widely copied example; one that only a few owners hold and
-that looks random is live. The verdict adds spans: a bare token that equals a live assigned value is
-a finding too. Null texts and owners are allowed (a null owner counts as one owner), repeated rows
-give repeated results, texts without candidates give zeros, other columns are ignored.
+A value that several owners hold, or that is spread over many repositories of whatever owner, is a widely
+copied example; one that is specific to its owner, in few repositories, and that looks random is live. The
+verdict adds spans: a bare token that equals a live assigned value is a finding too, whatever marks of
+punctuation or padding end it. Copies of one document count as repositories of their own, so near copies
+are best removed before.
+
+Null texts have no findings, a null owner counts as one owner, a null doc_id as one repository. Very long texts
+are scanned whole, one at a time; ties in place are ordered by kind; repeated rows give repeated results,
+texts without candidates give zeros, an empty table gives an empty result, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +31,12 @@ BASE_PATTERNS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]+", 0, 32),
 )
-#: Bare tokens that may repeat a value assigned elsewhere.
-BARE = r"[A-Za-z0-9+/_.=-]{12,}"
+#: Bare tokens that may repeat a value assigned elsewhere, and what may end a value without being part of it.
+BARE, LEAST_BARE, TAIL = r"[A-Za-z0-9+/_.-]{8,}", 8, ".="
 KINDS = ("assign", "access", "hex", "bare")
-#: Owners from which on a value is a copied example; bits of entropy a character that a live one has at least.
-EXAMPLE_OWNERS, LIVE_BITS = 3, 2.5
+#: Owners (all, where the corpus has fewer) and repositories from which on a value is a copied example; bits of
+#: entropy a character that a live one has at least.
+EXAMPLE_OWNERS, EXAMPLE_REPOS, LIVE_BITS = 3, 25, 2.5
 
 
 def scan(text: str, rules, bare) -> list[tuple[str, int, int, str]]:
@@ -40,11 +46,16 @@ def scan(text: str, rules, bare) -> list[tuple[str, int, int, str]]:
         for m in pattern.finditer(text):
             if m.end(group) - m.start(group) >= least:
                 out.append((kind, m.start(), m.end(), m.group(group)))
-    taken = [(s, e) for _, s, e, _ in out]
+    taken = sorted((s, e) for _, s, e, _ in out)
+    at = far = 0  # findings that start before a token, and the furthest end of those
     for m in bare.finditer(text):
-        v = m.group()
-        if any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and not any(s < m.end() and m.start() < e for s, e in taken):
-            out.append(("bare", m.start(), m.end(), v))
+        v = m.group().rstrip(TAIL)
+        start, end = m.start(), m.start() + len(v)
+        while at < len(taken) and taken[at][0] < end:
+            far = max(far, taken[at][1])
+            at += 1
+        if len(v) >= LEAST_BARE and far <= start and any(c.isdigit() for c in v) and any(c.isalpha() for c in v):
+            out.append(("bare", start, end, v))
     return out
 
 
@@ -69,7 +80,7 @@ def candidates(docs: DataFrame, *keys: str) -> DataFrame:
         for batch in batches:
             cands = []
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                cands.append([{"kind": k, "start": s, "end": e, "h": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()[:32], "live": looks_live(v)} for k, s, e, v in (scan(text, rules, bare) if text else [])])
+                cands.append([{"kind": k, "start": s, "end": e, "h": hashlib.sha256(v.rstrip(TAIL).encode("utf-8", "surrogatepass")).hexdigest()[:32], "live": looks_live(v)} for k, s, e, v in (scan(text, rules, bare) if text else [])])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(cands, kind)], names=[*batch.schema.names[:-1], "cands"])
 
     rows = docs.select(*keys, "text")
@@ -82,10 +93,13 @@ def ownership(found: DataFrame, repo: str, owner: str) -> DataFrame:
 
     Counts are partial sums over (hash, owner) first, so a value that a third of all rows hold is no hot key.
     """
+    owners = max(2, found.select(owner).distinct().limit(EXAMPLE_OWNERS).count())
     each = found.select(F.col(repo).alias("_r"), F.col(owner).alias("_o"), F.explode("cands").alias("c"))
     each = each.groupBy(F.col("c.h").alias("h"), "_o", "_r").agg(F.max((F.col("c.kind") != "bare").cast("int")).alias("base"), F.max(F.col("c.live").cast("int")).alias("live"))
     by_owner = each.groupBy("h", "_o").agg(F.count(F.lit(1)).alias("repos"), F.max("base").alias("base"), F.max("live").alias("live"))
-    return by_owner.groupBy("h").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.max("base").alias("base"), F.max("live").alias("live")).where("base = 1").select("h", "n_repos", "n_owners", ((F.col("n_owners") < EXAMPLE_OWNERS) & (F.col("live") == 1)).alias("is_live"))
+    per = by_owner.groupBy("h").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.max("base").alias("base"), F.max("live").alias("live"))
+    copied = (F.col("n_owners") >= min(EXAMPLE_OWNERS, owners)) | (F.col("n_repos") >= EXAMPLE_REPOS)
+    return per.where("base = 1").select("h", "n_repos", "n_owners", (~copied & (F.col("live") == 1)).alias("is_live"))
 
 
 def joined(spans: Column) -> Column:
@@ -116,14 +130,16 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
     """``docs`` with live findings masked in ``text`` (and ``n_chars`` counted anew where it exists); copied examples stay."""
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    found = findings(keyed, "doc_id", "source", "_key")
-    live = found.select("doc_id", "_key", F.transform(F.array_sort(F.filter("found", lambda s: s["is_live"])), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("_cut")).where(F.size("_cut") > 0).dropDuplicates(["doc_id", "_key"])
-    got = keyed.join(live, keyed.doc_id.eqNullSafe(live.doc_id) & (keyed._key == live._key), "left").drop(live.doc_id).drop("_key")
-    text = F.expr(f"""aggregate(_cut, named_struct('out', '', 'at', 0L),
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "source", "text", F.xxhash64("text").alias("key")).alias("d")
+    found = findings(keyed.select("doc_id", "source", "text", "key"), "doc_id", "source", "key")
+    spans = F.transform(F.array_sort(F.filter("found", lambda s: s["is_live"])), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    live = found.select("doc_id", "key", spans.alias("cut")).where(F.size("cut") > 0).dropDuplicates(["doc_id", "key"]).alias("l")
+    got = keyed.join(live, F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d.key") == F.col("l.key")), "left").select("d.doc", "d.text", "l.cut")
+    text = F.expr(f"""aggregate(cut, named_struct('out', '', 'at', 0L),
         (acc, s) -> if(s.end <= acc.at, acc, named_struct('out', if(s.start < acc.at, acc.out, concat(acc.out, substring(text, cast(acc.at as int) + 1, cast(s.start - acc.at as int)), '{mask}')), 'at', s.end)),
         acc -> concat(acc.out, substring(text, cast(acc.at as int) + 1)))""")
-    got = got.withColumn("text", F.when(F.col("_cut").isNotNull(), text).otherwise(F.col("text"))).drop("_cut")
-    if "n_chars" in docs.columns:
-        got = got.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return got.select(docs.columns)
+    got = got.withColumn("text", F.when(F.col("cut").isNotNull(), text).otherwise(F.col("text")))
+    out = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in out:
+        out["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return got.select(*[x.alias(c) for c, x in out.items()])
