@@ -339,6 +339,43 @@ def test_tiff_round_trip(compression, predictor, tile):
     assert [(p["width"], p["height"], p["data"]) for p in pages] == [(70, 300, page.tobytes()), (70, 3, page[:3].tobytes())]
 
 
+def test_codecs_read_fixed_strings():
+    """Bytes that other programs write: the published PackBits example, LZW codes by hand, a deflate stream."""
+    packed = bytes.fromhex("FEAA0280002AFDAA0380002A22F7AA")
+    assert media.packbits_decode(packed, 24) == bytes.fromhex("AAAAAA80002AAAAAAAAA80002A22AAAAAAAAAAAAAAAAAAAA")
+    codes = [256, 7, 258, 8, 8, 258, 6, 6, 257]  # clear, 7, 7 7, 8, 8, 7 7, 6, 6, end
+    bits = "".join(f"{c:09b}" for c in codes)
+    raw = int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(-(-len(bits) // 8))
+    assert media.lzw_decode(raw, 9) == bytes((7, 7, 7, 8, 8, 7, 7, 6, 6))
+    assert media.lzw_encode(bytes((7, 7, 7, 8, 8, 7, 7, 6, 6))) == raw
+    head = b"MM\0*" + (8).to_bytes(4) + (8).to_bytes(2)
+    strip = zlib.compress(bytes(range(12)))
+    tags = [(256, 3, 4 << 16), (257, 3, 3 << 16), (258, 3, 8 << 16), (259, 3, 8 << 16), (262, 3, 1 << 16), (273, 4, 110), (278, 3, 3 << 16), (279, 4, len(strip))]
+    file = head + b"".join(t.to_bytes(2) + k.to_bytes(2) + (1).to_bytes(4) + v.to_bytes(4) for t, k, v in tags) + bytes(4)
+    file = file + bytes(110 - len(file)) + strip
+    assert [(p["width"], p["height"], p["data"]) for p in media.read_tiff(file)] == [(4, 3, bytes(range(12)))]
+
+
+def test_every_codec_and_layout_is_stored(spark):
+    """Texts of one size go through all codecs, in strips and tiles, over several pages."""
+    texts = [f"{i} " + "lorem ipsum dolor " * 2500 for i in range(24)]
+    files = media.stored(frame(spark, texts))
+    pages = media.read_tiff_pages(files, "file", "media").groupBy("file.doc_id").agg(F.count("*").alias("n"), F.max("compression").alias("c")).collect()
+    assert {r["c"] for r in pages} == {media.PACKBITS, media.LZW, media.DEFLATE} and all(r["n"] == 3 for r in pages)
+    layouts = {324 in {int.from_bytes(m[i : i + 2], "little") for i in range(len(m) - 200, len(m), 2)} for m in (r["media"] for r in files.collect())}
+    assert layouts == {True, False}
+    got = {r["doc_id"]: r for r in media.media_digest(frame(spark, texts)).collect()}
+    assert all(got[i]["payload_sha256"] == hashlib.sha256(t.encode().ljust(-(-len(t) // 64) * 64, b"\0")).hexdigest() for i, t in enumerate(texts))
+
+
+def test_hostile_sizes_are_errors():
+    tiff = bytearray(media.write_tiff([np.zeros((4, 64), np.uint8)]))
+    at = tiff.index((257).to_bytes(2, "little") + (4).to_bytes(2, "little")) + 8
+    tiff[at : at + 4] = (0xFFFFFFF0).to_bytes(4, "little")
+    with pytest.raises(ValueError, match="page size"):
+        media.read_tiff(bytes(tiff))
+
+
 def test_pages_as_rows(spark):
     tiff = media.write_tiff([np.zeros((4, 8), np.uint8), np.ones((2, 8), np.uint8)])
     df = spark.createDataFrame([(1, bytearray(tiff), "x"), (2, None, "x"), (3, bytearray(b"II*\0"), "x"), (4, bytearray(tiff[:40]), "x")], "id long, content binary, width string")

@@ -2,10 +2,12 @@
 
 ``read_tiff_pages`` walks the image directories of each file in a binary column, decodes
 uncompressed, PackBits, LZW and deflate strips or tiles, undoes horizontal prediction and emits
-one row per page. A null file gives no row; a file that is broken gives one row with ``error``
-set. ``media_digest`` stores whole texts as TIFF and reads the stored bytes back: a null text is
-empty, an empty text is one block of 64 zero bytes, repeated rows give repeated results and other
-columns of the input are ignored.
+one row per page. A null file gives no row; a file that is broken, or that claims pages larger than its
+bytes can hold, gives one row with ``error`` set. ``media_digest`` stores whole texts as TIFF files, reads the
+stored bytes back as rows of pages and digests those: codec and layout of a file follow from its payload's
+checksum, so texts of every length go through every codec, in strips and in tiles. A null text is empty, an empty
+text is one block of 64 zero bytes, a very long text takes many pages and one file, repeated rows give
+repeated results, an empty table gives an empty result, other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from ._io import map_arrow
 
 NONE, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773  # TIFF compression codes
 WIDTH = 64
-#: Rows of a strip and of a page; longer payloads take more pages.
-STRIP_ROWS, PAGE_ROWS = 256, 65536
+#: Rows of a strip, of a tile and of a page; longer payloads take more pages.
+STRIP_ROWS, TILE, PAGE_ROWS = 48, (64, 32), 256
+#: Decoded bytes that a stored byte can stand for at most, in any of the codecs.
+MOST_RATIO = 4096
 TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8}
 
 
@@ -206,9 +210,13 @@ def read_tiff(data: bytes) -> list[dict]:
         comp, pred = tags.get(259, [NONE])[0], tags.get(317, [1])[0]
         if any(b != 8 for b in tags.get(258, [8])) or pred not in (1, 2) or tags.get(284, [1])[0] != 1:
             raise ValueError("unsupported sample layout")
+        if min(w, h, spp) < 1 or h * w * spp > MOST_RATIO * len(data):
+            raise ValueError("page size does not fit its file")
         image = np.empty((h, w * spp), np.uint8)
         if 324 in tags:
             tw, th = tags[322][0], tags[323][0]
+            if min(tw, th) < 1 or th * tw * spp > MOST_RATIO * len(data):
+                raise ValueError("tile size does not fit its file")
             places = [(y, x * spp, th, tw * spp) for y in range(0, h, th) for x in range(0, w, tw)]
             offsets, counts = tags[324], tags[325]
         else:
@@ -226,7 +234,7 @@ def read_tiff(data: bytes) -> list[dict]:
             elif comp == LZW:
                 part = lzw_decode(raw, size)
             elif comp in (DEFLATE, 32946):
-                part = zlib.decompress(raw)
+                part = zlib.decompressobj().decompress(raw, size)
             else:
                 raise ValueError(f"unsupported compression {comp}")
             if len(part) < size:
@@ -244,61 +252,116 @@ PAGE_SCHEMA = "page_no int, width int, height int, samples int, compression int,
 
 
 def read_tiff_pages(df: DataFrame, key: str, content: str) -> DataFrame:
-    """One row per page of each file in ``content``: key, page_no, width, height, samples, compression, predictor, data, error."""
-    kind = df.select(key).schema[0].dataType.simpleString()
+    """One row per page of each file in ``content``: key, page_no, width, height, samples, compression, predictor, data, error.
+
+    The pages of a file are consecutive rows of one partition.
+    """
+    names = [f.split()[0] for f in PAGE_SCHEMA.split(", ")]
+    arrow = {"int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+    kinds = [arrow[f.split()[1]] for f in PAGE_SCHEMA.split(", ")]
 
     def pages(batches):
         for batch in batches:
-            rows = []
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows, at = [], []
+
+            def flush(batch=batch):
+                columns = [pa.array([r.get(n) for r in rows], t) for n, t in zip(names, kinds, strict=True)]
+                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names=[key, *names])
+
+            for i, raw in enumerate(batch.column(1)):
+                raw = raw.as_py()
                 if raw is None:
                     continue
                 try:
-                    rows += [{key: k, "page_no": i, "error": None, **p} for i, p in enumerate(read_tiff(raw))]
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
-                    rows.append({key: k, "error": str(e) or type(e).__name__})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    found = [{"page_no": n, **p} for n, p in enumerate(read_tiff(raw))]
+                except (ValueError, KeyError, IndexError, OverflowError, MemoryError, struct.error, zlib.error) as e:
+                    found = [{"error": str(e) or type(e).__name__}]
+                for r in found:
+                    rows.append(r)
+                    at.append(i)
+                    if len(rows) >= 512:
+                        yield flush()
+                        rows, at = [], []
+            yield flush()
 
-    arrow = {"int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
-    fields = [f.split() for f in PAGE_SCHEMA.split(", ")]
-    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    schema = pa.schema([(key, key_type), *((n, arrow[t]) for n, t in fields)])
+    kind = df.select(key).schema[0].dataType.simpleString()
     return map_arrow(df.select(key, content), pages, f"`{key}` {kind}, {PAGE_SCHEMA}")
 
 
 def store(payload: bytes) -> bytes:
-    """The stored form of a payload of whole 64-byte rows; small ones exercise the simpler codecs."""
+    """The stored form of a payload of whole 64-byte rows: its checksum picks the codec and whether pages are cut into strips or tiles."""
     rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
-    comp = PACKBITS if len(payload) <= 128 else LZW if len(payload) <= 512 else DEFLATE
-    return write_tiff([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], comp, 2 if comp == DEFLATE else 1)
+    pick = zlib.crc32(payload)
+    comp = (PACKBITS, LZW, DEFLATE)[pick % 3]
+    return write_tiff([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], comp, 1 + pick // 3 % 2, TILE if pick // 6 % 2 else None)
 
 
-def feature(pages: list[dict]) -> str:
+def feature(pages: int, rows: int, columns: np.ndarray) -> str:
     """Pages, rows, mean in thousandths and a 64-bit hash: which columns are brighter than the mean."""
-    rows = np.concatenate([np.frombuffer(p["data"], np.uint8).reshape(-1, WIDTH) for p in pages])
-    columns = rows.sum(axis=0, dtype=np.int64)
     total = int(columns.sum())
     bits = int("".join("1" if int(c) * WIDTH > total else "0" for c in columns), 2)
-    return f"{len(pages)}x{len(rows)}:{total * 1000 // rows.size}:{bits:016x}"
+    return f"{pages}x{rows}:{total * 1000 // (rows * WIDTH)}:{bits:016x}"
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """(file, media): each text as a TIFF file; file holds doc_id, n_bytes, and size and digest of what is stored."""
+
+    def write(batches):
+        for batch in batches:
+            media, sizes = [], []
+            for raw in batch.column(1):
+                raw = raw.as_py() or b""
+                sizes.append(len(raw))
+                media.append(store(raw + b"\0" * ((-len(raw)) % 64 or (0 if raw else 64))))
+            file = pa.StructArray.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(map(len, media), pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in media], pa.string())], ["doc_id", "n_bytes", "media_bytes", "media_sha256"])
+            yield pa.RecordBatch.from_arrays([file, pa.array(media, pa.binary())], names=["file", "media"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("raw"))
+    return map_arrow(rows, write, "file struct<doc_id:long,n_bytes:long,media_bytes:long,media_sha256:string>, media binary")
 
 
 DIGEST_SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def media_digest(docs: DataFrame) -> DataFrame:
-    """Store every whole text as TIFF, read it back, and return sizes, digests and a feature of what was read."""
+def digested(pages: DataFrame) -> DataFrame:
+    """The digest columns of each file from its rows of pages, which follow one another; a page is held at a time."""
+    fields = [f.split() for f in DIGEST_SCHEMA.split(", ")]
+    types = [pa.int64() if t == "long" else pa.string() for _, t in fields]
 
     def digest(batches):
+        now, state, done = None, None, []
+
+        def close():
+            size, sha, tail, n, columns = state
+            done.append((now["doc_id"], now["n_bytes"], size, sha.hexdigest(), zlib.crc32(tail), now["media_bytes"], now["media_sha256"], feature(n, size // WIDTH, columns)))
+
+        def flush():
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True) if done else [[]] * len(types), types, strict=True)], names=[n for n, _ in fields])
+            done.clear()
+            return out
+
         for batch in batches:
-            rows = []
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = raw or b""
-                media = store(raw + b"\0" * ((-len(raw)) % 64 or (0 if raw else 64)))
-                pages = read_tiff(media)
-                back = b"".join(p["data"] for p in pages)
-                rows.append((doc, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(pages)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 8, types, strict=True)], names=names)
+            for file, n, data, error in zip(*(batch.column(i) for i in range(4)), strict=True):
+                if error.as_py():
+                    raise ValueError(error.as_py())
+                if n.as_py() == 0:
+                    if state:
+                        close()
+                    now, state = file.as_py(), [0, hashlib.sha256(), b"", 0, np.zeros(WIDTH, np.int64)]
+                data = data.as_py()
+                state[0] += len(data)
+                state[1].update(data)
+                state[2] = data[-64:]
+                state[3] += 1
+                state[4] += np.frombuffer(data, np.uint8).reshape(-1, WIDTH).sum(axis=0, dtype=np.int64)
+            yield flush()
+        if state:
+            close()
+        yield flush()
+
+    return map_arrow(pages.select("file", "page_no", "data", "error"), digest, DIGEST_SCHEMA)
 
-    fields = [f.split() for f in DIGEST_SCHEMA.split(", ")]
-    names, types = [n for n, _ in fields], [pa.int64() if t == "long" else pa.string() for _, t in fields]
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("raw")), digest, DIGEST_SCHEMA)
+
+def media_digest(docs: DataFrame) -> DataFrame:
+    """Store every whole text as TIFF, read it back page by page, and return sizes, digests and a feature of what was read."""
+    return digested(read_tiff_pages(stored(docs), "file", "media"))
