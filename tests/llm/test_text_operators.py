@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.oracle import SF, assert_same
 from tidemark.llm import contextmix, mixing, quality, queries, secrets, toxicity
@@ -160,6 +161,32 @@ def test_water_level(spark):
     assert got["a"] == 30 and got["b"] == pytest.approx(left * 2 / 3) and got[None] == pytest.approx(left / 3)
 
 
+def test_inclusion_probabilities_fill_what_is_left(spark):
+    """Expected size is what is left of each target, smaller classes are likelier, and none exceeds one."""
+    draw = np.random.default_rng(7)
+    rows = [(i, "ab"[i % 2], int(x)) for i, x in enumerate(np.exp(draw.normal(4, 2, 4000)) + 1)] + [(9000 + i, None, 1) for i in range(40)] + [(9990, None, 100_000)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    total = collections.Counter()
+    for _, source, size in rows:
+        total[source] += size
+    left = {"a": 0.05 * total["a"], "b": 0.97 * total["b"], None: 60.0}
+    goal = spark.createDataFrame(list(left.items()), "source string, left double")
+    p = {(r["source"], r["class"]): r["p"] for r in mixing.inclusion(sized, goal).collect()}
+    classes = sized.select("source", "size", mixing.size_class(F.col("size")).alias("c")).collect()
+    for source, want in left.items():
+        assert sum(p[source, r["c"]] * r["size"] for r in classes if r["source"] == source) == pytest.approx(want)
+    assert all(0 <= x <= 1 for x in p.values()) and any(x == 1 for x in p.values())
+    for (source, c), x in p.items():
+        assert all(x >= y for (s, d), y in p.items() if s == source and d > c)
+
+
+def test_mixing_hits_its_targets(spark):
+    """The words taken of each source come within a document of its target, rows without ids are apart."""
+    rows = [(None if i % 3 == 0 else i, "ab"[i % 5 == 0], f"w{i} " * (1 + i * 7 % 60)) for i in range(3000)]
+    got = mixing.digest(spark.createDataFrame(rows, "doc_id long, source string, text string")).groupBy("target").agg(F.sum("taken").alias("taken")).collect()
+    assert len(got) == 2 and all(abs(r["taken"] - r["target"]) <= 60 for r in got)
+
+
 def test_mixing_edge_cases(spark, docs, empty):
     assert mixing.digest(empty).count() == 0
     rows = mixing.digest(docs).collect()

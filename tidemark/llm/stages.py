@@ -31,11 +31,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. Only ids and sizes are ranked; texts are joined once."""
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    narrow = keyed.select("doc_id", "source", "_key", mixing.size_of(F.col("text")).alias("_words"))
-    copies = mixing.sample(narrow, F.col("_words")).where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k")).agg(F.max("copies").cast("int").alias("_copies"))
-    got = keyed.join(copies, keyed.doc_id.eqNullSafe(copies._id) & (keyed._key == copies._k))
-    return got.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(doc.alias("doc"), "doc_id", "source", "text", F.xxhash64("text").alias("key"))
+    narrow = keyed.select("doc_id", "source", "key", mixing.size_of(F.col("text")).alias("words"), mixing.mark_of(F.col("doc_id"), F.col("text")).alias("mark"))
+    copies = mixing.sample(narrow, F.col("words"), mark=F.col("mark")).where("copies > 0").groupBy(F.col("doc_id").alias("i"), F.col("key").alias("k")).agg(F.max("copies").cast("int").alias("copies"))
+    got = keyed.join(copies, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")))
+    return got.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
