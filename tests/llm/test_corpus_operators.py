@@ -240,6 +240,21 @@ def test_packing_of_the_sample(spark):
     assert check_packing(spark.read.parquet(f"{SF}/documents.parquet")) < 0.02
 
 
+def test_encoder_gives_the_ids_of_the_library(spark):
+    """Whole documents at sf0.01 and texts with every kind of white space, marks and letters next to it."""
+    from tokenizers import Tokenizer
+
+    path = packing.default_vocabulary()
+    t, encode = Tokenizer.from_file(path), packing.encoder(path)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("text").collect()]
+    draw = random.Random(29)
+    alphabet = list("ab1.'") + [" "] * 5 + ["\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "é", "漢", "ß", "\u0301", "👍", "'s", "<|endoftext|>", "½", "٣"]
+    texts += ["".join(draw.choices(alphabet, k=draw.randrange(1, 40))) for _ in range(4000)]
+    texts += [" a", "a ", "  ", " ", "", "x" * 5000 + " " + "y" * 200]
+    want = t.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(encode(x), "<u4").tolist() for x in texts] == [e.ids for e in want]
+
+
 def test_special_token_strings(spark):
     assert check_packing(frame(spark, ["a <|endoftext|> b", "<|endoftext|>", "", None, "é" * 3000])) < 1
 

@@ -1,18 +1,22 @@
 """Packing documents into token sequences by cutting-stock column generation.
 
-Each document is tokenized once; its full stretches of ``SEQUENCE`` tokens are sequences of their own
-and what is left over is one piece. A linear program over the histogram of piece lengths chooses how
+Each document is tokenized once, by the tokenizers library; its full stretches of ``SEQUENCE`` tokens are
+sequences of their own and what is left over is one piece. A linear program over the histogram of piece lengths chooses how
 often each pattern of lengths is used; its columns are priced by a knapsack over exact totals, as a
 sequence whose total is a power of two needs no padding. Patterns are rounded down, the few pieces
-left are placed by best fit, and ranked pieces are dealt to the slots of the patterns.
+left are placed by best fit, and ranked pieces are dealt to the slots of the patterns. A piece's rank among
+those of its length is its place in the task that cut it, after the counts of the tasks before: nothing is
+sorted, however frequent a length.
 
 Only the histogram (at most ``SEQUENCE`` counts) and the patterns (at most twice as many) are on the
-driver. A null text is empty and yields one piece with the end token; an empty table gives no piece;
-repeated rows are packed once each; other columns are ignored.
+driver. A null text is empty and yields one piece with the end token; a null doc_id is packed like any other;
+a very long text is cut at spaces while it is encoded; an empty table gives no piece; repeated rows are packed
+once each; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -23,12 +27,12 @@ from pyspark.sql import functions as F
 from ._io import map_arrow, materialize
 
 SEQUENCE, END = 1024, 0
-#: Shares of the pieces of one length that are ranked apart, so that a frequent length is no hot group.
-RANK_PARTS = 64
+#: Chunks of text whose ids are held, and their greatest length; what is beyond is encoded each time.
+HELD_CHUNKS, CHUNK_CHARS = 1 << 18, 48
 #: Rounds of pricing, patterns that enter in each, and the share of padding at which it may stop early.
 MAX_ROUNDS, PATTERNS_A_ROUND, TOLERANCE = 120, 48, 0.002
 
-PIECE_SCHEMA = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, _key long"
+PIECE_SCHEMA = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, task int, place long"
 
 
 def default_vocabulary() -> str:
@@ -38,54 +42,75 @@ def default_vocabulary() -> str:
 
 
 def encoder(path: str):
-    """A function from text to its ids as the tokenizers library gives them for the vocabulary at ``path``.
+    """A function from text to the bytes of its ids (little-endian, 32 bits), as the tokenizers library gives them.
 
-    Where a rank file of the same name lies beside it and agrees on a probe, its faster encoder is
-    used; texts with the vocabulary's special token always go to the tokenizers library.
+    With a byte-level vocabulary that splits by its usual pattern, no token spans a single space between two
+    characters that are not white space but begins there. Such texts are cut at those spaces and each different
+    chunk is encoded once; all others are encoded whole.
     """
-    import base64
-    import os
+    import json
 
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
-    plain = lambda text: slow.encode(text, add_special_tokens=False).ids
-    special = [t.content for t in slow.get_added_tokens_decoder().values()]
-    beside = path.removesuffix(".json") + ".tiktoken"
-    try:
-        import tiktoken
-        from public_tokenizers import PATTERN
-    except ImportError:
-        return plain
-    if not os.path.exists(beside):
-        return plain
-    with open(beside, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
-    probe = "Été l'an 2024:\n\tthey've  paid $12.50!  ß漢字    é don't  "
-    if fast(probe) != plain(probe):
-        return plain
-    return lambda text: plain(text) if any(s in text for s in special) else fast(text)
+    tokenizer = Tokenizer.from_file(path)
+    whole = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    first = spec.get("pre_tokenizer") or {}
+    plain = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not spec.get("normalizer")
+    plain = plain and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec.get("added_tokens", []))
+    if not plain:
+        return whole
+    odd, cuts, held = re.compile(r"\s\s|^\s|\s$"), re.compile(r"(?<=\S)(?= \S)"), {}
+
+    def encode(text: str) -> bytes:
+        if odd.search(text):
+            chunks = cuts.split(text)
+        else:
+            head, *rest = text.split(" ")
+            chunks = [head, *[" " + x for x in rest]]
+        if len(held) > HELD_CHUNKS:
+            held.clear()
+        new = [c for c in dict.fromkeys(chunks) if c not in held]
+        extra = {}
+        for c, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            (held if len(c) <= CHUNK_CHARS else extra)[c] = np.array(e.ids, "<u4").tobytes()
+        if extra:
+            return b"".join([extra[c] if c in extra else held[c] for c in chunks])
+        return b"".join(map(held.__getitem__, chunks))
+
+    return encode
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENCE, end: int = END) -> DataFrame:
-    """Every document's pieces: at most ``sequence`` ids each, with their CRC-32."""
+    """Every document's pieces: at most ``sequence`` ids each, with their CRC-32; ``place`` counts the pieces of a length in a task."""
 
     def cut(batches):
+        import os
+
+        from pyspark import TaskContext
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = encoder(vocabulary or default_vocabulary())
+        task, seen = TaskContext.get().partitionId(), np.zeros(sequence + 1, np.int64)
+        last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            docs_, starts, lengths, sums, totals = [], [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode(text.as_py() or ""), end], "<u4")
-                for at in range(0, len(ids), sequence):
-                    part = ids[at : at + sequence]
-                    docs_.append(doc)
+            at_row, starts, lengths, sums, totals, places = [], [], [], [], [], []
+            for row, text in enumerate(batch.column(1)):
+                ids = encode(text.as_py() or "") + last
+                n = len(ids) // 4
+                for at in range(0, n, sequence):
+                    part = ids[4 * at : 4 * (at + sequence)]
+                    size = len(part) // 4
+                    at_row.append(row)
                     starts.append(at)
-                    lengths.append(len(part))
-                    sums.append(zlib.crc32(part.tobytes()))
-                    totals.append(len(ids))
-            keys = (np.array(sums, np.int64) << 12) ^ np.array(starts, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), pa.array(sums, pa.int64()), pa.array(totals, pa.int64()), pa.array(keys)], names=[f.split()[0] for f in PIECE_SCHEMA.split(", ")])
+                    lengths.append(size)
+                    sums.append(zlib.crc32(part))
+                    totals.append(n)
+                    places.append(seen[size])
+                    seen[size] += 1
+            long = lambda x: pa.array(x, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(long(at_row)), long(starts), pa.array(lengths, pa.int32()), long(sums), long(totals), pa.array(np.full(len(starts), task, np.int32)), long(places)], names=[f.split()[0] for f in PIECE_SCHEMA.split(", ")])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), cut, PIECE_SCHEMA)
 
@@ -212,16 +237,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
     """Every piece with its sequence and place there: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     cut = materialize(pieces(docs, vocabulary, sequence), "packing")
-    # ranks: pieces of one length are ranked within shares, whose counts give each share's first rank
-    part = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(RANK_PARTS)).cast("int")
-    cut = cut.withColumn("_part", part)
-    shares = cut.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    counted = shares.collect()  # at most sequence * RANK_PARTS rows
-    counts: dict[int, int] = {}
-    firsts = []
-    for r in sorted(counted, key=lambda r: (r["length"], r["_part"])):
-        firsts.append((r["length"], r["_part"], counts.get(r["length"], 0)))
-        counts[r["length"]] = counts.get(r["length"], 0) + r["_n"]
+    per = materialize(cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    counts = {r["length"]: r["n"] for r in per.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most sequence rows
     slots, base = [], 0
     given: dict[int, int] = {}
     for pattern, times in solve(counts, sequence):
@@ -232,12 +249,11 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
             given[v] = given.get(v, 0) + k * times
             at += v * k
         base += times
-    first = spark.createDataFrame(firsts, "length int, _part int, _first long")
-    slot = spark.createDataFrame(slots, "length int, _lo long, _hi long, _base long, _k long, _at long")
-    slot = slot.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("_lo", "_hi", "_base", "_k", "_at"))).alias("_slots"))
-    rank = F.row_number().over(Window.partitionBy("length", "_part").orderBy("doc_id", "start", "ids_crc32")) - 1
-    x = cut.withColumn("_rank", rank.cast("long")).join(F.broadcast(first), ["length", "_part"]).withColumn("_rank", F.col("_rank") + F.col("_first"))
-    x = x.join(F.broadcast(slot), "length")
-    x = x.withColumn("_s", F.expr("element_at(filter(_slots, s -> s._lo <= _rank and _rank < s._hi), 1)"))
-    place = F.col("_rank") - F.col("_s._lo")
-    return x.select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", (F.col("_s._base") + F.floor(place / F.col("_s._k"))).cast("long").alias("sequence_id"), (F.col("_s._at") + place % F.col("_s._k") * F.col("length")).cast("long").alias("offset"))
+    slot = spark.createDataFrame(slots, "length int, lo long, hi long, base long, k long, at long")
+    slot = slot.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "base", "k", "at"))).alias("slots"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    x = cut.join(materialize(per.select("length", "task", before.alias("first")), "ranks"), ["length", "task"]).withColumn("rank", F.col("first") + F.col("place"))
+    x = x.join(F.broadcast(slot), "length")  # at most one row a length, one slot a pattern that holds it
+    x = x.withColumn("s", F.expr("element_at(filter(slots, s -> s.lo <= rank and rank < s.hi), 1)"))
+    place = F.col("rank") - F.col("s.lo")
+    return x.select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", (F.col("s.base") + F.floor(place / F.col("s.k"))).cast("long").alias("sequence_id"), (F.col("s.at") + place % F.col("s.k") * F.col("length")).cast("long").alias("offset"))
