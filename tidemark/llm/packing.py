@@ -28,7 +28,7 @@ from ._io import map_arrow, materialize
 
 SEQUENCE, END = 1024, 0
 #: Chunks of text whose ids are held, and their greatest length; what is beyond is encoded each time.
-HELD_CHUNKS, CHUNK_CHARS = 1 << 18, 48
+HELD_CHUNKS, CHUNK_CHARS = 500_000, 48
 #: Rounds of pricing, patterns that enter in each, and the share of padding at which it may stop early.
 MAX_ROUNDS, PATTERNS_A_ROUND, TOLERANCE = 120, 48, 0.002
 
@@ -69,14 +69,12 @@ def encoder(path: str):
         else:
             head, *rest = text.split(" ")
             chunks = [head, *[" " + x for x in rest]]
-        if len(held) > HELD_CHUNKS:
-            held.clear()
         new = [c for c in dict.fromkeys(chunks) if c not in held]
         extra = {}
-        for c, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            (held if len(c) <= CHUNK_CHARS else extra)[c] = np.array(e.ids, "<u4").tobytes()
+        for c, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            (held if len(c) <= CHUNK_CHARS and len(held) < HELD_CHUNKS else extra)[c] = np.array(e.ids, "<u4").tobytes()
         if extra:
-            return b"".join([extra[c] if c in extra else held[c] for c in chunks])
+            return b"".join([held.get(c) or extra.get(c, b"") for c in chunks])
         return b"".join(map(held.__getitem__, chunks))
 
     return encode
