@@ -7,7 +7,8 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch; texts may be long, so fewer than Spark's default.
 BATCH_ROWS = 512
@@ -36,15 +37,27 @@ def work_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def materialize(df: DataFrame, tag: str, few: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    ``few``: a narrow table, written by two tasks a core at most, so that the many empty or tiny partitions of a
+    shuffle do not each become a file.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(2 * spark.sparkContext.defaultParallelism) if few else df).write.parquet(path)
     WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_exchange(column: str) -> Column:
+    """The long column under its name, as an expression that hides how an aggregate has dealt it out.
+
+    A join on it then gets an exchange of its own on this side, without which Spark cannot split a hot key on the other.
+    """
+    return F.col(column).bitwiseXOR(F.lit(0)).alias(column)
+
+
 def discard(spark: SparkSession) -> None:
     """Delete the work tables written so far; call it once the results that read them are stored."""
     while WRITTEN:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._io import map_arrow, materialize
+from ._io import map_arrow, materialize, own_exchange
 from ._text import BASE, Powers, binary_column, blocks, lower_table, mix, prefix_hash, space_table, span_hash, words
 
 SHINGLE, THRESHOLD = 5, 75  # words; percent
@@ -169,16 +169,18 @@ def estimate(a: str, b: str) -> str:
     return f"size(array_intersect(array_intersect({a}, {b}), {union})) / double(size({union}))"
 
 
-def components(links: DataFrame, tag: str = "components") -> DataFrame:
-    """(id, component) of every end of ``links`` (a, b): the least id that can be reached. Each round, a written table,
-    takes the least label of the neighbours, then that label's own label, until none changes."""
-    ends = materialize(links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(links.select("b", "a")).distinct(), tag)
-    labels = materialize(ends.groupBy("id").agg(F.least("id", F.min("to")).alias("component")), tag)
+def components(links: DataFrame, tag: str = "components") -> DataFrame | None:
+    """(id, component) of every end of ``links`` (a, b): the least id that can be reached; None without links. Each round, a
+    written table, takes the least label of the neighbours, then that label's own label, until none changes."""
+    ends = materialize(links.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("to")), F.struct(F.col("b").alias("id"), F.col("a").alias("to")))).alias("e")).select("e.*").distinct(), tag, few=True)
+    labels = ends.groupBy("id").agg(F.least("id", F.min("to")).alias("component"))
+    if ends.isEmpty():
+        return None
     while True:
         near = ends.join(labels.select(F.col("id").alias("to"), F.col("component").alias("c")), "to").groupBy("id").agg(F.min("c").alias("c"))
         sunk = labels.join(near, "id").select("id", F.least("component", "c").alias("c"), F.col("component").alias("old"))
         jump = labels.select(F.col("id").alias("c"), F.col("component").alias("further"))
-        new = materialize(sunk.join(jump, "c", "left").select("id", F.least("c", "further").alias("component"), "old"), tag)
+        new = materialize(sunk.join(jump, "c", "left").select("id", F.least("c", "further").alias("component"), "old"), tag, few=True)
         labels = new.select("id", "component")
         if new.where("component <> old").isEmpty():
             return labels
@@ -201,7 +203,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     side = lambda k: sets.select(F.col("cid").alias(k), sketch(F.col("full")).alias(f"s{k}"), F.col("full").alias(f"f{k}"))
     x = pairs.join(side("a"), "a").join(side("b"), "b").where(F.expr(estimate("sa", "sb")) >= LEAST_ESTIMATE)
     x = x.select("a", "b", F.size(F.array_intersect("fa", "fb")).cast("long").alias("both"), F.size("fa").alias("na"), F.size("fb").alias("nb"))
-    return materialize(x.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * threshold).select("a", "b"), "links")
+    return materialize(x.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * threshold).select("a", "b"), "links", few=True)
 
 
 def classes_of(sk: DataFrame) -> DataFrame:
@@ -231,34 +233,34 @@ def central_links(near: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
     """Links (a, b) of each class with the likeliest of the central classes of its lists."""
     lists = near.select("cid", F.explode("probes").alias("p")).select("cid", F.col("p.v").alias("v"), F.col("p.like").alias("like"))
     best = lists.groupBy("v").agg(F.max(F.struct("like", (-F.col("cid")).alias("order"))).alias("x"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    best = materialize(best.select("v", (-F.col("x.order")).alias("b")), "central")
-    pairs = materialize(lists.select("v", F.col("cid").alias("a")).join(best, "v").where("a <> b").select("a", "b").distinct(), "candidates")
+    best = best.select(own_exchange("v"), (-F.col("x.order")).alias("b"))
+    pairs = lists.select("v", F.col("cid").alias("a")).join(best, "v").where("a <> b").select("a", "b").distinct()
     info = near.select("cid", "n", *BIT_COLUMNS)
     ask = (F.col("ca.n") * 100 >= F.col("cb.n") * threshold) & (F.col("cb.n") * 100 >= F.col("ca.n") * threshold)
     pairs = pairs.join(info.alias("ca"), F.col("a") == F.col("ca.cid")).join(info.alias("cb"), F.col("b") == F.col("cb.cid")).where(ask).withColumn("bits", F.expr(bits_in_common("ca", "cb"))).where(F.col("bits") >= least_bits(threshold))
-    return verified(materialize(best_of(pairs, "a", "b", "bits"), "likeliest"), sets, threshold)
+    return verified(best_of(pairs, "a", "b", "bits"), sets, threshold)
 
 
 def prefix_pairs(rest: DataFrame, threshold: int) -> DataFrame:
     """(a, b, k): pairs of classes of different components that share k shingles early enough in both sets; rest: cid, c, n, full."""
     share = threshold / 100
     each = rest.select("cid", F.explode("full").alias("x"))
-    ranks = materialize(each.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "ranks")
+    ranks = each.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(own_exchange("x"), "df")
     shared = each.join(ranks, "x").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
-    heads = rest.select("cid", "c", "n").join(materialize(shared, "shared"), "cid")
+    heads = rest.select("cid", "c", "n").join(shared, "cid")
     # in rank, the n - size(xs) that no other class has come first; a link shares one of the first n - ceil(share * n) + 1
     alone = (F.col("n") - F.size("xs")).cast("int")
     heads = heads.withColumn("take", (F.col("n") - F.ceil(F.col("n") * share) + 1 - alone).cast("int")).where("take > 0")
     heads = heads.select("cid", "n", "c", alone.alias("alone"), F.posexplode(F.expr("transform(slice(xs, 1, take), e -> e.x)")).alias("i", "x"))
     heads = materialize(heads.select("x", "cid", "n", "c", (F.col("n") - F.col("alone") - F.col("i")).alias("left")), "heads")
-    mixed = materialize(heads.groupBy("x").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("x"), "mixed")
+    mixed = heads.groupBy("x").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select(own_exchange("x"))
     heads = materialize(heads.join(mixed, "x", "left_semi"), "heads")
     other = heads.select("x", *[F.col(k).alias(f"{k}_") for k in ("cid", "n", "c", "left")])
     # from the first shared shingle on, as many are left on either side as the overlap needs
     need = F.ceil((F.col("n") + F.col("n_")) * threshold / (100 + threshold) - 1e-9)
     ask = (F.col("c") < F.col("c_")) & (F.col("left") >= need) & (F.col("left_") >= need)
     pairs = heads.join(other, (heads.x == other.x) & ask).groupBy(F.col("cid").alias("a"), F.col("cid_").alias("b")).agg(F.count(F.lit(1)).alias("k"))
-    return materialize(pairs, "pairs")
+    return materialize(pairs, "pairs", few=True)
 
 
 def best_of(pairs: DataFrame, key: str, other: str, by: str) -> DataFrame:
@@ -268,7 +270,7 @@ def best_of(pairs: DataFrame, key: str, other: str, by: str) -> DataFrame:
 
 def class_components(classes: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """(id, component) of every class that has a link."""
-    lists = materialize(shared_values(classes, "cid"), "lists")
+    lists = shared_values(classes, "cid").select(own_exchange("v"), "m")
     values = classes.select("cid", F.posexplode(F.slice("sketch", 1, WINDOW)).alias("p", "v"))
     near = values.join(lists, "v").groupBy("cid").agg(F.collect_list(F.struct("p", "v", "m")).alias("vs"))
     # a value's centrality in a class: how many of the class's values are about as frequent
@@ -278,17 +280,19 @@ def class_components(classes: DataFrame, docs: DataFrame, threshold: int = THRES
     found = full_sets(docs, near.select("at.*"), size).dropDuplicates(["n", "s1", "s2"])
     sets = materialize(found.join(near.select("cid", "n", "s1", "s2"), ["n", "s1", "s2"]).select("cid", "n", "full"), "sets")
     comps = components(central_links(near, sets, threshold))
+    if comps is None:
+        comps = near.sparkSession.createDataFrame([], "id long, component long")
 
     # what is left: classes that share enough values with classes of other components
     now = materialize(near.select("cid", "n", "sketch").join(comps.withColumnRenamed("id", "cid"), "cid", "left").withColumn("c", F.coalesce("component", "cid")), "now")
-    mixed = materialize(shared_values(now, "c"), "mixed")
+    mixed = shared_values(now, "c").select(own_exchange("v"))
     values = now.select("cid", F.explode(F.slice("sketch", 1, WINDOW)).alias("v"))
     counts = values.join(mixed, "v").groupBy("cid").agg(F.count(F.lit(1)).alias("common"))
     rest = now.join(counts, "cid").where(F.col("common") >= enough(threshold)).select("cid", "c", "n")
     pairs = prefix_pairs(materialize(rest.join(sets.select("cid", "full"), "cid"), "rest"), threshold)
     # the likeliest pair of each class first, then all between components that those have not connected
-    first = materialize(best_of(pairs, "a", "b", "k").union(best_of(pairs, "b", "a", "k").select("a", "b")).distinct(), "first")
-    if first.isEmpty():
+    first = best_of(pairs, "a", "b", "k").union(best_of(pairs, "b", "a", "k").select("a", "b")).distinct()
+    if pairs.isEmpty():
         return comps
     comps = merged(comps, verified(first, sets, threshold))
     later = across(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), comps).select("a", "b")
@@ -304,13 +308,13 @@ def across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     """Components once ``links`` are added: only the components that they touch are looked at again."""
-    bridges = materialize(across(links, comps).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "bridges")
-    if bridges.isEmpty():
+    over = components(across(links, comps).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    if over is None:
         return comps
-    over = components(bridges).select(F.col("id").alias("component"), F.col("component").alias("new"))
+    over = over.select(F.col("id").alias("component"), F.col("component").alias("new"))
     old = comps.join(over, "component", "left").select("id", F.coalesce("new", "component").alias("component"))
     single = over.select(F.col("component").alias("id"), F.col("new").alias("component")).join(comps, "id", "left_anti")
-    return materialize(old.unionByName(single), "components")
+    return materialize(old.unionByName(single), "components", few=True)
 
 
 def grouped(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
@@ -319,9 +323,8 @@ def grouped(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) ->
     classes = classes_of(sk)
     comps = class_components(classes, docs, threshold, size)
     own = classes.select("n", "s1", "s2", "cid", "rep").join(comps, F.col("cid") == F.col("id"), "left").withColumn("part", F.coalesce("component", "cid")).drop("id", "component")
-    own = materialize(own, "own")
-    least = own.groupBy("part").agg(F.min("rep").alias("component_id"))
-    own = materialize(own.join(materialize(least, "least"), "part").select("n", "s1", "s2", "part", "component_id"), "own")
+    least = own.groupBy("part").agg(F.min("rep").alias("component_id")).select(own_exchange("part"), "component_id")
+    own = own.join(least, "part").select("n", "s1", "s2", "part", "component_id")
     x = sk.select("doc_id", "key", "n", "s1", "s2").join(own, ["n", "s1", "s2"], "left")
     return x.select("doc_id", "key", "n", F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "part")
 
