@@ -138,6 +138,62 @@ def test_rules_find_the_planted_threshold(spark):
     assert got.where("low <> (rule > 0)").count() < 0.05 * 3000
 
 
+def brute_rules(rows, names, bins=32, least=20, precision=0.9):
+    """Sequential covering in plain Python over (held, low, values) rows with ready-made thresholds."""
+    cuts = {n: sorted({v[i] for _, _, v in rows}) for i, n in enumerate(names)}
+    rules, free = [], rows
+    fires = lambda rule, v: all((v[names.index(f)] > t) == (op == ">") for f, op, t in rule)
+    while len(rules) < 8:
+        rule, grow = [], [r for r in free if not r[0]]
+        while len(rule) < 4:
+            here = [r for r in grow if fires(rule, r[2])]
+            bad0, n0 = sum(r[1] for r in here), len(here)
+            if bad0 < least or bad0 == n0:
+                break
+            best, gain = None, 0.0
+            for f in sorted(cuts):
+                for t in cuts[f][:-1]:
+                    for op in ("<=", ">"):
+                        got = [r[1] for r in here if fires([(f, op, t)], r[2])]
+                        p, m = sum(got), len(got)
+                        if p >= least and (g := p * (math.log2(p / m) - math.log2(bad0 / n0))) > gain * (1 + 1e-9):
+                            best, gain = (f, op, t), g
+            if best is None:
+                break
+            rule.append(best)
+        if not rule:
+            break
+        score = []
+        for k in range(len(rule)):
+            got = [r[1] for r in free if r[0] and fires(rule[: k + 1], r[2])]
+            score.append(((2 * sum(got) - len(got)) / max(1, len(got)), sum(got), len(got)))
+        k = max(range(len(rule)), key=lambda k: (round(score[k][0], 3), -k))
+        if score[k][2] == 0 or score[k][1] < precision * score[k][2]:
+            break
+        rules.append(rule[: k + 1])
+        free = [r for r in free if not fires(rule[: k + 1], r[2])]
+    return rules
+
+
+def test_rules_match_brute_force(spark):
+    """The same list and verdicts as a plain-Python covering, on three small-valued features and noisy labels."""
+    draw = np.random.default_rng(3)
+    rows = [(i, *map(float, draw.integers(0, 8, 3))) for i in range(900)]
+    rows = [(i, a, b, c, bool((a > 5 and b <= 3) or c == 7 or draw.random() < 0.03)) for i, a, b, c in rows]
+    df = spark.createDataFrame(rows, "doc_id long, a double, b double, c double, low boolean")
+    features = {"a": "a", "b": "b", "c": "c"}
+    held = {r["doc_id"]: r["h"] for r in df.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit("prune")), F.lit(3)) == 0).alias("h")).collect()}
+    rules = quality.learn(df, features)
+    assert len(rules) >= 2
+    pair = [{(f, op) for f, op, _ in r} for r in rules]
+    want = brute_rules([(held[i], low, (a, b, c)) for i, a, b, c, low in rows], ["a", "b", "c"])
+    assert [{(f, op) for f, op, _ in r} for r in want] == pair and [[t for *_, t in r] for r in want] == [[t for *_, t in r] for r in rules]
+    fired = {r["doc_id"]: r["rule"] for r in df.withColumn("rule", quality.verdict(rules, features)).collect()}
+    for i, *v, _ in rows:
+        n = next((k + 1 for k, rule in enumerate(rules) if all((v["abc".index(f)] > t) == (op == ">") for f, op, t in rule)), 0)
+        assert fired[i] == n
+
+
 def test_quality_edge_cases(spark, docs, empty, labels):
     none = labels.where("false")
     assert quality.digest(empty, labels).count() == 0

@@ -5,9 +5,11 @@ information gain on one part of the labelled rows and pruned on the other, then
 are taken out and the next is grown. The list becomes one Spark CASE expression. All statistics are
 computed inside one row, so scoring a corpus has no shuffle at all.
 
-A null text has no words, an empty label table or one without low-quality rows learns no rules (all
-documents pass the method), repeated rows give repeated results, other columns are carried along.
-Repeated 8-word windows are compared by 64-bit hashes within one text.
+A null text has no words, a very long one is one row like any other (its words and windows are arrays in that
+row), an empty label table or one without low-quality rows learns no rules (all documents pass the method), an
+empty table gives an empty result, a null doc_id has no label. Of thresholds with equal gain the first by feature
+and value is taken, of rules that cover a document the first in the list speaks. Repeated rows give repeated
+results, other columns are carried along. Repeated 8-word windows are compared by 64-bit hashes within one text.
 """
 
 from __future__ import annotations
@@ -139,19 +141,19 @@ def verdict(rules, features: dict[str, str] = FEATURES) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
-def learned(docs: DataFrame, labels: DataFrame) -> tuple[list, DataFrame]:
-    """Rules from ``labels.quality`` and the statistics of all documents (doc_id and numbers, no text)."""
-    stats = materialize(with_stats(docs.select("doc_id", "text")).drop("text"), "quality")
+def learned(docs: DataFrame, labels: DataFrame, *carried: str) -> tuple[list, DataFrame]:
+    """Rules from ``labels.quality`` and the statistics of all documents (doc_id, numbers and the columns ``carried``), computed and written once."""
+    stats = materialize(with_stats(docs.select("doc_id", "text", *carried)).drop("text"), "quality")
     marks = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
-    rows = stats.where(~F.col("base_failed")).join(marks, F.col("doc_id") == F.col("_id"))
+    rows = stats.drop(*carried).where(~F.col("base_failed")).join(marks, F.col("doc_id") == F.col("_id"))
     return learn(rows.withColumn("low", F.col("_quality") == 0)), stats
 
 
 def passing(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those that the base rule or a learned rule rejects."""
-    rules, _ = learned(docs, labels)
-    kept = ~F.col("base_failed") & (verdict(rules) == 0)
-    return with_stats(docs.withColumn("_doc", F.struct(*docs.columns)).select("text", "_doc")).where(kept).select("_doc.*")
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rules, stats = learned(docs.select("doc_id", "text", doc.alias("doc")), labels, "doc")
+    return stats.where(~F.col("base_failed") & (verdict(rules) == 0)).select("doc.*")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
