@@ -9,9 +9,11 @@ retained values, so all others leave at once. In every list one class is central
 values that are about as frequent as the list is long, so that a family's purest member stands for it.
 Each class is compared with the likeliest of the central classes of its lists, which connects a family of
 thousands of copies by one comparison a member. Then only classes go on that share most of their
-values with classes of other components. They are joined exactly on prefixes of their full sets,
-rarest shingles first: two sets with the required similarity share a shingle among the first quarter of
-each, early enough that what follows can still suffice, and rare shingles make short lists.
+values with classes of other components. They are listed by prefixes of their full sets, rarest shingles
+first: two sets with the required similarity share a shingle among the first quarter of each, early
+enough that what follows can still suffice, and rare shingles make short lists. Here too each class is first
+compared with the most central one, now by exact counts; then all pairs of a list that are still in
+different components are.
 
 Probability of missing a pair at the threshold: its estimate, its bitmap or its share of common values
 lies 4.5 deviations off with less than 1e-5.
@@ -241,26 +243,45 @@ def central_links(near: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
     return verified(best_of(pairs, "a", "b", "bits"), sets, threshold)
 
 
-def prefix_pairs(rest: DataFrame, threshold: int) -> DataFrame:
-    """(a, b, k): pairs of classes of different components that share k shingles early enough in both sets; rest: cid, c, n, full."""
-    share = threshold / 100
-    each = rest.select("cid", F.explode("full").alias("x"))
+def prefixes(rest: DataFrame, threshold: int) -> DataFrame:
+    """Rows (x, cid, n, c, left, score) of ``rest`` (cid, n, c, full): the rare shingles of which a link must share one, how many
+    follow them in the set, and how central the set is among those with shingles about as frequent."""
+    each = rest.select("cid", "n", "c", F.explode("full").alias("x"))
     ranks = each.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(own_exchange("x"), "df")
-    shared = each.join(ranks, "x").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
-    heads = rest.select("cid", "c", "n").join(shared, "cid")
-    # in rank, the n - size(xs) that no other class has come first; a link shares one of the first n - ceil(share * n) + 1
-    alone = (F.col("n") - F.size("xs")).cast("int")
-    heads = heads.withColumn("take", (F.col("n") - F.ceil(F.col("n") * share) + 1 - alone).cast("int")).where("take > 0")
-    heads = heads.select("cid", "n", "c", alone.alias("alone"), F.posexplode(F.expr("transform(slice(xs, 1, take), e -> e.x)")).alias("i", "x"))
-    heads = materialize(heads.select("x", "cid", "n", "c", (F.col("n") - F.col("alone") - F.col("i")).alias("left")), "heads")
+    shared = each.join(ranks, "x").groupBy("cid", "n", "c").agg(F.collect_list("x").alias("xs"), F.collect_list("df").alias("dfs"))
+
+    def cut(batches):
+        for batch in batches:
+            xs, dfs = batch.column(3), batch.column(4)
+            at, x, df = xs.offsets.to_numpy(), xs.values.to_numpy(), dfs.values.to_numpy()
+            rows, out = [], {k: [] for k in ("x", "left", "score")}
+            for i, n in enumerate(batch.column(1).to_pylist()):
+                held = slice(at[i], at[i + 1])
+                order = np.lexsort((x[held], df[held]))
+                # in rank, the shingles that no other class has come first; a link shares one of the first n - ceil(share * n) + 1
+                take = max(0, n - -(-n * threshold // 100) + 1 - (n - len(order)))
+                d = df[held][order]
+                like = np.searchsorted(d, 2 * d[:take], "right") - np.searchsorted(d, (d[:take] + 1) // 2)
+                rows.append(np.full(len(like), i))
+                out["x"].append(x[held][order[:take]])
+                out["left"].append(len(order) - np.arange(len(like)))
+                out["score"].append(like.astype(float) ** 2 / n)
+            take = pa.array(np.concatenate(rows) if rows else [], pa.int64())
+            cols = [pa.array(np.concatenate(v) if v else [], t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.float64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([cols[0], *(batch.column(k).take(take) for k in range(3)), *cols[1:]], names=["x", "cid", "n", "c", "left", "score"])
+
+    return materialize(map_arrow(shared, cut, "x long, cid long, n long, c long, left long, score double"), "prefixes")
+
+
+def prefix_pairs(heads: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): pairs of classes of different components that share a rare shingle early enough in both sets."""
     mixed = heads.groupBy("x").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select(own_exchange("x"))
-    heads = materialize(heads.join(mixed, "x", "left_semi"), "heads")
+    heads = materialize(heads.join(mixed, "x", "left_semi").select("x", "cid", "n", "c", "left"), "heads")
     other = heads.select("x", *[F.col(k).alias(f"{k}_") for k in ("cid", "n", "c", "left")])
     # from the first shared shingle on, as many are left on either side as the overlap needs
     need = F.ceil((F.col("n") + F.col("n_")) * threshold / (100 + threshold) - 1e-9)
     ask = (F.col("c") < F.col("c_")) & (F.col("left") >= need) & (F.col("left_") >= need)
-    pairs = heads.join(other, (heads.x == other.x) & ask).groupBy(F.col("cid").alias("a"), F.col("cid_").alias("b")).agg(F.count(F.lit(1)).alias("k"))
-    return materialize(pairs, "pairs", few=True)
+    return heads.join(other, (heads.x == other.x) & ask).select(F.col("cid").alias("a"), F.col("cid_").alias("b")).distinct()
 
 
 def best_of(pairs: DataFrame, key: str, other: str, by: str) -> DataFrame:
@@ -289,14 +310,14 @@ def class_components(classes: DataFrame, docs: DataFrame, threshold: int = THRES
     values = now.select("cid", F.explode(F.slice("sketch", 1, WINDOW)).alias("v"))
     counts = values.join(mixed, "v").groupBy("cid").agg(F.count(F.lit(1)).alias("common"))
     rest = now.join(counts, "cid").where(F.col("common") >= enough(threshold)).select("cid", "c", "n")
-    pairs = prefix_pairs(materialize(rest.join(sets.select("cid", "full"), "cid"), "rest"), threshold)
-    # the likeliest pair of each class first, then all between components that those have not connected
-    first = best_of(pairs, "a", "b", "k").union(best_of(pairs, "b", "a", "k").select("a", "b")).distinct()
-    if pairs.isEmpty():
-        return comps
-    comps = merged(comps, verified(first, sets, threshold))
-    later = across(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), comps).select("a", "b")
-    return merged(comps, verified(later, sets, threshold))
+    heads = prefixes(materialize(rest.join(sets.select("cid", "full"), "cid"), "rest"), threshold)
+    # each class with the most central one of the lists of its rare shingles, then all pairs between components that those have not connected
+    top = heads.groupBy("x").agg(F.max(F.struct("score", (-F.col("cid")).alias("order"), "c")).alias("t"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    top = top.select(own_exchange("x"), (-F.col("t.order")).alias("b"), F.col("t.c").alias("d"))
+    best = best_of(heads.select("x", F.col("cid").alias("a"), "c").join(top, "x").where("c <> d").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")), "a", "b", "k")
+    comps = merged(comps, verified(best, sets, threshold))
+    now = heads.drop("c").join(comps.select(F.col("id").alias("cid"), F.col("component").alias("c")), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
+    return merged(comps, verified(prefix_pairs(now, threshold), sets, threshold))
 
 
 def across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
