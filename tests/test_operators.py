@@ -35,6 +35,31 @@ def test_null_is_told_apart_from_empty(spark):
     assert len(set(rows(df, "h"))) == 2
 
 
+def test_hash_tells_separators_and_nulls_apart(spark):
+    """Values with separators, marks of null and lengths in them, in both hashes."""
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "x"), ("\\N", "x"), ("-", "x"), ("1:a", "b"), ("a", "1:b"), ("", "1:a"), ("1:a", "")], "a string, b string")
+    got = df.select(s.row_hash("a", "b").alias("h"), s.row_hash_unordered("a", "b").alias("u"))
+    assert len({r["h"] for r in got.collect()}) == len({r["u"] for r in got.collect()}) == 9
+    pair = spark.createDataFrame([(1, "a|b", "c"), (2, None, "x")], "k long, a string, b string"), spark.createDataFrame([(1, "a", "b|c"), (2, "\\N", "x")], "k long, a string, b string")
+    left, right = (diff.hashed(x, "k", "a", "b") for x in pair)
+    assert rows(diff.full_diff(left, right), "k", "status") == [(1, "mismatch"), (2, "mismatch")]
+
+
+def test_null_keys_stay_on_their_side(spark):
+    a, b = kv(spark, (None, "a"), (1, "a")), kv(spark, (1, "a"))
+    key = lambda df: sorted((str(r["k"]), r["status"]) for r in df.collect())
+    assert key(diff.full_diff(a, b)) == [("1", "match"), ("None", "source_only")]
+    assert key(diff.full_diff(b, a)) == [("1", "match"), ("None", "dest_only")]
+    assert key(diff.full_diff(a, a)) == [("1", "match"), ("None", "match")]
+    assert key(diff.lookup_diff(a, b)) == [("1", "match"), ("None", "missing")]
+
+
+def test_passed_keys_leave_the_list_of_failed_ones(spark):
+    r = spark.createDataFrame([("a", [1, 2, 3]), ("b", [4])], "ns string, failed array<bigint>")
+    again = spark.createDataFrame([("a", 2, "pass"), ("a", 3, "stay")], "ns string, k long, outcome string")
+    assert rows(diff.pull_passed(r, again, "ns"), "ns", "failed") == [("a", [1, 3]), ("b", [4])]
+
+
 def test_misordered_fields(spark):
     df = spark.createDataFrame([(1, "x", "y"), (2, "x", "y")], "k long, a string, b string")
     t = diff.three_way(diff.with_both_hashes(df, "a", "b"), diff.with_both_hashes(df, "a", "b", reverse=F.col("k") == 2))

@@ -7,7 +7,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-NULL = "\\N"
 UNITS = ("B", "K", "M", "G", "T")
 
 
@@ -18,15 +17,25 @@ def c(x: Column | str) -> Column:
 # --- hashes and codecs ---
 
 
+def encoded(x: str) -> Column:
+    """A value as text with its length before it, so that values put together can be told apart; null is a dash."""
+    text = F.col(x).cast("string")
+    return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))
+
+
 def row_hash(*cols: str) -> Column:
-    """md5 over the columns in this order; null is told apart from the empty string."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(x).cast("string"), F.lit(NULL)) for x in cols]))
+    """md5 over the columns in this order."""
+    return F.md5(F.concat(F.lit(""), *[encoded(x) for x in cols]))
 
 
 def row_hash_unordered(*cols: str) -> Column:
-    """The same for any order of the columns: name=value pairs are sorted first."""
-    pairs = F.array(*[F.concat(F.lit(f"{x}="), F.coalesce(F.col(x).cast("string"), F.lit(NULL))) for x in cols])
-    return F.md5(F.array_join(F.array_sort(pairs), "|"))
+    """The same for any order of the columns: names and values are sorted first."""
+    return F.md5(F.array_join(F.array_sort(F.array(*[F.concat(F.lit(f"{len(x)}:{x}="), encoded(x)) for x in cols])), ""))
+
+
+def row_bytes(*cols: str) -> Column:
+    """Bytes of the row as text: what a copy of it has to carry."""
+    return sum((F.coalesce(F.octet_length(F.col(x).cast("string")), F.lit(0)) for x in cols), F.lit(0)).cast("long")
 
 
 def hash64(text) -> Column:

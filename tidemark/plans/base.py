@@ -11,10 +11,12 @@ INPUTS = {
         strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority AS prio FROM orders""",
     "dst": """SELECT k, cust, status, cents + CASE WHEN k % 89 = 0 THEN 100 ELSE 0 END AS cents, day, prio FROM src WHERE k % 97 <> 0
         UNION ALL SELECT k + 100000000, cust, status, cents, day, prio FROM src WHERE k % 101 = 0""",
-    "hsrc": """SELECT k, md5(concat_ws('|', coalesce(CAST(k AS VARCHAR), '\\N'), coalesce(CAST(cust AS VARCHAR), '\\N'), coalesce(status, '\\N'), coalesce(CAST(cents AS VARCHAR), '\\N'), coalesce(day, '\\N'), coalesce(prio, '\\N'))) AS h FROM src""",
-    "hdst": """SELECT k, md5(concat_ws('|', coalesce(CAST(k AS VARCHAR), '\\N'), coalesce(CAST(cust AS VARCHAR), '\\N'), coalesce(status, '\\N'), coalesce(CAST(cents AS VARCHAR), '\\N'), coalesce(day, '\\N'), coalesce(prio, '\\N'))) AS h FROM dst""",
-    "diffed": """SELECT coalesce(s.k, d.k) AS k, CASE WHEN s.k IS NULL THEN 'dest_only' WHEN d.k IS NULL THEN 'source_only' WHEN s.h = d.h THEN 'match' ELSE 'mismatch' END AS status,
-        s.h AS src_hash, d.h AS dst_hash FROM hsrc s FULL OUTER JOIN hdst d ON s.k = d.k""",
+    "hsrc": """SELECT k, md5(coalesce(length(CAST(k AS VARCHAR)) || ':' || CAST(k AS VARCHAR), '-') || coalesce(length(CAST(cust AS VARCHAR)) || ':' || CAST(cust AS VARCHAR), '-') || coalesce(length(CAST(status AS VARCHAR)) || ':' || CAST(status AS VARCHAR), '-') || coalesce(length(CAST(cents AS VARCHAR)) || ':' || CAST(cents AS VARCHAR), '-') || coalesce(length(CAST(day AS VARCHAR)) || ':' || CAST(day AS VARCHAR), '-') || coalesce(length(CAST(prio AS VARCHAR)) || ':' || CAST(prio AS VARCHAR), '-')) AS h FROM src""",
+    "hdst": """SELECT k, md5(coalesce(length(CAST(k AS VARCHAR)) || ':' || CAST(k AS VARCHAR), '-') || coalesce(length(CAST(cust AS VARCHAR)) || ':' || CAST(cust AS VARCHAR), '-') || coalesce(length(CAST(status AS VARCHAR)) || ':' || CAST(status AS VARCHAR), '-') || coalesce(length(CAST(cents AS VARCHAR)) || ':' || CAST(cents AS VARCHAR), '-') || coalesce(length(CAST(day AS VARCHAR)) || ':' || CAST(day AS VARCHAR), '-') || coalesce(length(CAST(prio AS VARCHAR)) || ':' || CAST(prio AS VARCHAR), '-')) AS h FROM dst""",
+    # states by comparison of fields, not of hashes
+    "diffed": """SELECT coalesce(s.k, d.k) AS k, CASE WHEN s.here IS NULL THEN 'dest_only' WHEN d.here IS NULL THEN 'source_only'
+        WHEN s.cust IS NOT DISTINCT FROM d.cust AND s.status IS NOT DISTINCT FROM d.status AND s.cents IS NOT DISTINCT FROM d.cents AND s.day IS NOT DISTINCT FROM d.day AND s.prio IS NOT DISTINCT FROM d.prio
+        THEN 'match' ELSE 'mismatch' END AS status FROM (SELECT *, true AS here FROM src) s FULL OUTER JOIN (SELECT *, true AS here FROM dst) d ON s.k = d.k""",
     "log": """SELECT event_id AS seq, ts, user_id AS id,
         CASE event_type WHEN 'signup' THEN 'i' WHEN 'click' THEN 'u' WHEN 'view' THEN 'u' WHEN 'purchase' THEN 'd' ELSE CASE WHEN event_id % 2 = 0 THEN 'n' ELSE 'c' END END AS op,
         CASE WHEN user_id % 29 = 0 THEN 'config.chunks' WHEN user_id % 31 = 0 THEN 'admin.users' ELSE 'db' || (user_id % 3) || '.c' || (user_id % 5) END AS ns,

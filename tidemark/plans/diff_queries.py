@@ -15,20 +15,19 @@ def pair(spark, sf):
     return diff.hashed(d.source(spark, sf), "k", *PAIR), diff.hashed(d.dest(spark, sf), "k", *PAIR)
 
 
-@query("SELECT * FROM diffed")
+@query("SELECT d.k, d.status, s.h AS src_hash, x.h AS dst_hash FROM diffed d LEFT JOIN hsrc s ON d.k = s.k LEFT JOIN hdst x ON d.k = x.k")
 def diff_full(spark, sf):
     return diff.full_diff(*pair(spark, sf))
 
 
-@query("""SELECT coalesce(s.k, x.k) AS k, CASE WHEN s.k IS NULL THEN 'dest_only' WHEN x.k IS NULL THEN 'source_only' WHEN s.h = x.h THEN 'match' ELSE 'mismatch' END AS status
-    FROM hsrc s FULL JOIN hdst x ON s.k = x.k""")
+@query("SELECT k, status FROM diffed")
 def diff_merge(spark, sf):
     """As a merge of two sorted sides, which is what the planner does with the join."""
     s, t = pair(spark, sf)
     return diff.full_diff(s.hint("merge"), t).select("k", "status")
 
 
-@query("SELECT s.k, CASE WHEN x.k IS NULL THEN 'missing' WHEN s.h = x.h THEN 'match' ELSE 'mismatch' END AS status FROM hsrc s LEFT JOIN hdst x ON s.k = x.k")
+@query("SELECT k, CASE status WHEN 'source_only' THEN 'missing' ELSE status END AS status FROM diffed WHERE status <> 'dest_only'")
 def diff_query(spark, sf):
     return diff.lookup_diff(*pair(spark, sf))
 
@@ -38,8 +37,8 @@ def diff_ids(spark, sf):
     return diff.id_diff(*pair(spark, sf))
 
 
-@query("""SELECT t.ns AS dst_ns, s.k, CASE WHEN x.k IS NULL THEN 'missing' WHEN s.h = x.h THEN 'match' ELSE 'mismatch' END AS status
-    FROM (SELECT *, 'db' || (k % 3) || '.orders' AS ns FROM hsrc) s LEFT JOIN hdst x ON s.k = x.k
+@query("""SELECT t.ns AS dst_ns, s.k, CASE s.status WHEN 'source_only' THEN 'missing' ELSE s.status END AS status
+    FROM (SELECT *, 'db' || (k % 3) || '.orders' AS ns FROM diffed WHERE status <> 'dest_only') s
     JOIN (VALUES ('db0.orders', 'new0.orders'), ('db1.orders', 'new1.orders'), ('db2.orders', 'db2.orders')) t(src, ns) ON s.ns = t.src""")
 def mapped_diff(spark, sf):
     """Namespaces are renamed by a map of ``source|dest`` entries first; others keep their name."""
@@ -77,6 +76,30 @@ def diff_summary(spark, sf):
     return per.unionByName(total)
 
 
+@query("""SELECT 'r' || g AS ns, CAST(count(k) AS BIGINT) AS docs, CAST(count(k) FILTER (status <> 'match') AS BIGINT) AS failed_docs, CAST(coalesce(sum(greatest(coalesce(sb, 0), coalesce(db, 0))), 0) AS BIGINT) AS bytes,
+    CAST(2 AS BIGINT) AS ranges, CAST(CASE WHEN g = 3 THEN 1 ELSE 0 END AS BIGINT) AS failed_ranges, CAST(1 AS BIGINT) AS retried_ranges
+    FROM (SELECT unnest(range(8)) AS g) LEFT JOIN (SELECT *, k // 1000 % 8 AS g FROM diffed LEFT JOIN (SELECT k, strlen(concat(k, cust, status, cents, day, prio)) AS sb FROM src) USING (k)
+      LEFT JOIN (SELECT k, strlen(concat(k, cust, status, cents, day, prio)) AS db FROM dst) USING (k)) USING (g) GROUP BY g""")
+def diff_totals(spark, sf):
+    """Documents and bytes by group of ranges, with the tries that its two ranges took; those of group 3 have failed once."""
+    x = diff.sized_diff(*pair(spark, sf)).withColumn("ns", F.concat(F.lit("r"), F.floor(F.col("k") / 1000) % 8))
+    g, second = F.floor(F.col("id") / 2), F.col("id") % 2
+    runs = spark.range(16).select(F.concat(F.lit("r"), g).alias("ns"), F.when((g == 3) & (second == 1), "failed").otherwise("done").alias("status"), (1 + second).cast("int").alias("retry_num"))
+    return diff.totals(x, runs, "ns")
+
+
+@query("""SELECT k // 1000 AS part, CAST(count(*) AS BIGINT) AS failed_before, array_to_string(list(k ORDER BY k) FILTER (NOT (status = 'dest_only' OR k % 2 = 0)), ',') AS failed FROM diffed WHERE status <> 'match' GROUP BY 1""")
+def recheck_pull(spark, sf):
+    """Failed keys of each range as an array, without those that pass when compared again."""
+    s, t = pair(spark, sf)
+    failed = diff.full_diff(s, t).where("status <> 'match'").withColumn("ns", F.lit("db.orders")).withColumn("part", F.floor(F.col("k") / 1000))
+    repaired = s.where("k % 2 = 0").unionByName(t.where("k % 2 <> 0").join(s.select("k"), "k", "left_semi"))
+    again = diff.recheck(failed, s, repaired).withColumn("part", F.floor(F.col("k") / 1000))
+    ranges = failed.groupBy("part").agg(F.array_sort(F.collect_list("k")).alias("failed"))
+    left = diff.pull_passed(ranges, again, "part").select("part", F.nullif(F.array_join(F.col("failed").cast("array<string>"), ","), F.lit("")).alias("failed"))
+    return ranges.select("part", F.size("failed").cast("long").alias("failed_before")).join(left, "part")
+
+
 @query("""SELECT 'db.orders' AS ns, k, CASE WHEN status = 'dest_only' OR k % 2 = 0 THEN 'pass' ELSE 'stay' END AS outcome FROM diffed WHERE status <> 'match'""")
 def recheck(spark, sf):
     """Half of the failed keys have been repaired since, and rows that only the destination had are gone."""
@@ -112,7 +135,7 @@ def count_compare(spark, sf):
     return n(s, "src_count").join(n(t, "dst_count"), "prio", "full_outer").fillna(0, ["src_count", "dst_count"]).withColumn("delta", F.col("dst_count") - F.col("src_count"))
 
 
-@query("""SELECT p AS grp, sh AS src_hash, dh AS dst_hash, sh IS NOT DISTINCT FROM dh AS equal FROM
+@query("""SELECT p AS grp, sh AS src_hash, dh AS dst_hash, p NOT IN (SELECT k // 2500 FROM ((SELECT * FROM src EXCEPT ALL SELECT * FROM dst) UNION ALL (SELECT * FROM dst EXCEPT ALL SELECT * FROM src))) AS equal FROM
     (SELECT k // 2500 AS p, CAST(count(*) AS BIGINT) || ':' || CAST(sum(CAST(('0x' || substr(h, 1, 8)) AS BIGINT)) AS VARCHAR) || ':' || CAST(sum(CAST(('0x' || substr(h, 9, 8)) AS BIGINT)) AS VARCHAR) AS sh FROM hsrc GROUP BY 1)
     FULL JOIN (SELECT k // 2500 AS p, CAST(count(*) AS BIGINT) || ':' || CAST(sum(CAST(('0x' || substr(h, 1, 8)) AS BIGINT)) AS VARCHAR) || ':' || CAST(sum(CAST(('0x' || substr(h, 9, 8)) AS BIGINT)) AS VARCHAR) AS dh FROM hdst GROUP BY 1) USING (p)""")
 def table_hash(spark, sf):
