@@ -304,17 +304,218 @@ def test_base_scores(spark):
         assert g["score"] < 0
 
 
-def test_bit_probabilities_sum_to_one():
-    """Over all bytes in one context the model's probabilities are a distribution."""
-    m = contextmix.Model(contextmix.huffman(np.arange(256)[::-1] ** 2))
+def test_bit_probabilities_sum_to_one(monkeypatch):
+    """Over all bytes in one context the probabilities are a distribution, and so are ending and going on after white space."""
+    m = contextmix.Model(contextmix.huffman(np.arange(256)[::-1] ** 2), [contextmix.FIRST_BITS, 15, 15])
     rng = np.random.default_rng(5)
     for t in m.odds:
         t[:] = rng.normal(0, 2, len(t))
-    text = np.arange(256, dtype=np.uint8)
-    hashes = [np.full(256, h << 8 if i == 0 else h, np.uint32) for i, h in enumerate((3, 77, 99, 1234))]
-    with np.errstate(over="ignore"):
-        logs = m._step(text, hashes, np.zeros(256, np.int64), None)
-    assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-3)
+    m.weights[:] = rng.normal(0.3, 0.2, m.weights.shape)
+    powers = contextmix.Powers()
+
+    def units(*texts):
+        offsets = np.cumsum([0, *map(len, texts)])
+        with np.errstate(over="ignore"):
+            return np.exp(m.units(np.frombuffer(b"".join(texts), np.uint8), offsets, np.full(len(texts), 4, np.uint8), powers))
+
+    spaces = (b" ", b"\n", b"\t")
+    stop, go_on = units(*spaces), units(*[x + b"A" for x in spaces])
+    monkeypatch.setattr(contextmix, "space_table", lambda: np.zeros(256, bool))
+    assert units(*[bytes((b,)) for b in range(256)]).sum() == pytest.approx(1, abs=1e-3)
+    assert stop / units(*spaces) + go_on / units(*[x + b"A" for x in spaces]) == pytest.approx(1, abs=1e-5)
+
+
+def mix64(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % (1 << 64)
+    return x ^ (x >> 31)
+
+
+class PlainModel:
+    """The mixing of contexts one bit at a time, in plain Python over dictionaries of slots."""
+
+    def __init__(self, nodes, turns, bits, lead):
+        self.nodes, self.turns, self.bits, self.lead = nodes, turns, bits, lead
+        self.counts = [collections.defaultdict(lambda: [0, 0]) for _ in range(4)]
+        self.odds = [{} for _ in range(4)]
+        self.weights = {(d, g): [0.35] * 4 + [0.0] for d in range(9) for g in range(8)}
+        self.fixes = collections.defaultdict(lambda: [0.0, 0.0])
+        self.seen = 0
+
+    def map(self, fixes, place):
+        p = 1 / (1 + math.exp(-(place % 24 - 11.5) / 2))
+        zero, one = fixes.get(place, (0.0, 0.0))
+        return math.log((one + 8 * p) / (zero + 8 * (1 - p)))
+
+    def bits_of(self, unit, kind):
+        """(depth, node, bit, gate, slots, far) of every bit of a unit, in rounds by depth."""
+        for i, b in enumerate(unit):
+            back = [unit[i - d] + 1 if i >= d else 0 for d in (1, 2, 3)]
+            so_far = sum((c + 1) * pow(contextmix.BASE, j, 1 << 64) for j, c in enumerate(unit[:i])) % (1 << 64)
+            one = back[0] or 257 + kind
+            two, three = back[0] | back[1] << 16 | kind << 32, back[0] | back[1] << 16 | back[2] << 32 | kind << 48
+            hashes = [(one & 511) << 8, *(mix64((x + n) % (1 << 64)) >> 32 for n, x in enumerate((two, three, so_far), 1))]
+            path = [(min(k, 7), int(self.nodes[k][b]), int(self.turns[k][b])) for k in range(len(self.nodes)) if self.nodes[k][b] >= 0]
+            if b in (32, 9, 10, 11, 12, 13):
+                path.append((8, 255, int(i == len(unit) - 1)))
+            for depth, node, bit in path:
+                salt = (node + 1) * 0x9E3779B1 % (1 << 32)
+                slots = [hashes[0] | node, *(((h ^ salt) * 0x85EBCA6B % (1 << 32)) >> (32 - n) for h, n in zip(hashes[1:], self.bits[1:], strict=True))]
+                yield (len(self.nodes) if depth == 8 else self.depth_of(b, node)), depth, node, bit, min(i, 7), slots, i >= self.lead
+
+    def depth_of(self, b, node):
+        return next(k for k in range(len(self.nodes)) if self.nodes[k][b] == node)
+
+    def predict(self, weights, fixes, depth, node, bit, gate, slots, far):
+        odds = [o.get(s, 0.0) for o, s in zip(self.odds, slots, strict=True)]
+        odds[3] *= far
+        w = weights[depth, gate]
+        z = w[4] + sum(a * o for a, o in zip(w, odds, strict=False))
+        place = node * 24 + int(min(max(z * 2 + 12, 0), 23))
+        return odds, z, place, math.log1p(math.exp(-(2 * bit - 1) * (z + self.map(fixes, place)) * 0.5))
+
+    def step(self, units):
+        """Learn from a step of (unit, kind, count): all its bits of a depth, then the next depth."""
+        rounds = collections.defaultdict(list)
+        for unit, kind, count in units:
+            for at, *rest in self.bits_of(unit, kind):
+                rounds[at].append((count, *rest))
+        fixes = {k: tuple(v) for k, v in self.fixes.items()}
+        for at in sorted(rounds):
+            got = [(count, depth, gate, bit, slots, *self.predict(self.weights, fixes, depth, node, bit, gate, slots, far)) for count, depth, node, bit, gate, slots, far in rounds[at]]
+            total, change = collections.Counter(), collections.defaultdict(lambda: [0.0] * 5)
+            for count, depth, gate, bit, _, odds, z, _, _ in got:
+                total[depth, gate] += count
+                error = (bit - 1 / (1 + math.exp(-min(max(z, -30), 30)))) * count
+                for i, o in enumerate([*odds, 0.1]):
+                    change[depth, gate][i] += error * o
+            for key, d in change.items():
+                self.weights[key] = [w + 0.3 / (total[key] + 1e-9) * x for w, x in zip(self.weights[key], d, strict=True)]
+            for count, _, _, bit, slots, _, _, place, _ in got:
+                self.seen += count
+                self.fixes[place][bit] += count
+                for c, s in zip(self.counts, slots, strict=True):
+                    c[s][bit] += count
+            for row in got:
+                for c, o, s in zip(self.counts, self.odds, row[4], strict=True):
+                    o[s] = math.log((c[s][1] + 0.4) / (c[s][0] + 0.4))
+
+
+def steps_of(units, limit):
+    step, size = [], 0
+    for u in units:
+        if step and size + len(u[0]) > limit:
+            yield step
+            step, size = [], 0
+        step.append(u)
+        size += len(u[0])
+    if step:
+        yield step
+
+
+def test_scores_match_plain_python(spark, monkeypatch):
+    """Whole scores of 60 documents against a model that works bit by bit, in several shares."""
+    monkeypatch.setattr(contextmix, "SHARE", 1200)
+    monkeypatch.setattr(contextmix, "STEP", 2000)
+    docs = sample(spark).orderBy("doc_id").limit(57).select("doc_id", "text").union(spark.createDataFrame([(9001, "  two  spaces\n\nend \t"), (9002, ""), (9003, None)], "doc_id long, text string")).cache()
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    marks = {**dict.fromkeys(b".!?", 1), **dict.fromkeys(b",;:", 2)}
+
+    def units_of(text):
+        raw, out, before = (text or "").encode(), [], 0
+        for m in re.finditer(rb"^[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", raw):
+            kind = 0 if m.start() == 0 else 5 if raw[m.start() - 1] == 10 else before
+            last = re.search(rb"[^\x20\x09-\x0D](?=[\x20\x09-\x0D]*$)", m.group())
+            if last:
+                c = last.group()[0]
+                before = marks.get(c, 4 if chr(c).isalnum() and c < 128 or c >= 128 else 3)
+            else:
+                before = 4
+            out.append([m.group(), kind])
+        if out:
+            out[-1] = [out[-1][0] + b"\xff", out[-1][1], 8]
+        return [(u[0], u[1] + (8 if len(u) > 2 else 0)) for u in out] or [(b"\xff", 8)]
+
+    counts = collections.Counter()
+    rows = docs.collect()
+    for r in rows:
+        for u in units_of(r["text"]):
+            counts[u] += not held(r["doc_id"])
+    x = docs.select("doc_id", F.col("text").cast("binary").alias("raw"), (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 1).alias("learnable"))
+    table = contextmix.unit_rows(x).where("k >= 0").groupBy("u", "t", "k", "b").agg(F.sum("c").alias("c"))
+    n = table.count()
+    dealt = contextmix.dealt(table, n).collect()
+    assert {(bytes(r["b"]), r["k"]): r["c"] for r in dealt} == dict(counts) and len({r["share"] for r in dealt}) > 1
+    histogram = np.zeros(256, np.int64)
+    for (unit, _), c in counts.items():
+        np.add.at(histogram, np.frombuffer(unit, np.uint8), c)
+    nodes, turns = contextmix.huffman(histogram)
+    bits = contextmix.table_bits(n)
+    parts = collections.defaultdict(list)
+    for r in sorted(dealt, key=lambda r: (r["share"], r["u"], r["k"])):
+        parts[r["share"]].append((bytes(r["b"]), r["k"], r["c"]))
+    room = lambda units: max(contextmix.LEAST_BITS, (3 * sum(len(u) for u, *_ in units)).bit_length())
+    short = [collections.defaultdict(lambda: [0, 0]) for _ in range(3)]
+    weights, fixes, seen = collections.defaultdict(lambda: [0.0] * 5), collections.defaultdict(lambda: [0.0, 0.0]), 0
+    for units in parts.values():
+        units = [(u, k & 7, c) for u, k, c in units if c]
+        m = PlainModel(nodes, turns, [*bits, room(units)], 3)
+        for step in steps_of(units, 2000):
+            m.step(step)
+        seen += m.seen
+        for a, b in zip(short, m.counts, strict=False):
+            for s, (zero, one) in b.items():
+                a[s][0] += zero
+                a[s][1] += one
+        for key, w in m.weights.items():
+            weights[key] = [a + b * m.seen for a, b in zip(weights[key], w, strict=True)]
+        for place, (zero, one) in m.fixes.items():
+            fixes[place][0] += zero
+            fixes[place][1] += one
+    weights = {k: [a / seen for a in w] for k, w in weights.items()}
+    lp = {}
+    for units in parts.values():
+        m = PlainModel(nodes, turns, [*bits, room([u for u in units])], 3)
+        local = collections.defaultdict(lambda: [0, 0])
+        for u, k, c in units:
+            for _, _, _, bit, _, slots, _ in m.bits_of(u, k & 7):
+                local[slots[3]][bit] += c
+        m.odds = [{s: math.log((one + 0.4) / (zero + 0.4)) for s, (zero, one) in t.items()} for t in (*short, local)]
+        for u, k, _ in units:
+            lp[u, k] = -sum(m.predict(weights, fixes, *x[1:])[3] for x in m.bits_of(u, k & 7)) / math.log(10)
+    got = {r["doc_id"]: r["score"] for r in contextmix.digest(docs).collect()}
+    for r in rows:
+        assert got[r["doc_id"]] == pytest.approx(sum(lp[u] for u in units_of(r["text"])), rel=3e-3, abs=1e-2)
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    """The same scores from one, three and sixteen partitions, with several shares."""
+    monkeypatch.setattr(contextmix, "SHARE", 2000)
+    docs = sample(spark).limit(150).cache()
+    seen = [{r["doc_id"]: r["score"] for r in contextmix.digest(docs.repartition(n)).collect()} for n in (1, 3, 16)]
+    for other in seen[1:]:
+        assert all(other[i] == pytest.approx(v, rel=1e-9) for i, v in seen[0].items())
+
+
+def test_long_texts_are_cut_at_words(monkeypatch):
+    text = b" start. " + b" ".join(b"w%d,  x\n" % (i * 7919 % 97) for i in range(900)) + b"z" * 4000 + b" end"
+    other = b"short text"
+    data, offsets = np.frombuffer(text + other, np.uint8), np.array([0, len(text), len(text), len(text) + len(other)])
+
+    def all_units():
+        u = contextmix.Units()
+        with np.errstate(over="ignore"):
+            u.add(data, offsets)
+        row, inverse, codes, _, _, word, kind = u.distinct()
+        return sorted(zip(row.tolist(), codes[inverse].tolist(), word[inverse].tolist(), kind[inverse].tolist(), strict=True))
+
+    whole = all_units()
+    monkeypatch.setattr(contextmix, "HASH_BLOCK", 300)
+    assert all_units() == whole
+
+
+def test_tables_grow_with_the_units():
+    assert contextmix.table_bits(1000) == [17, 14, 14] and contextmix.table_bits(1 << 20) == [17, 20, 20] and contextmix.table_bits(1 << 40) == [17, 21, 23]
 
 
 def test_model_learns(spark):
@@ -335,19 +536,14 @@ def test_language_model_edge_cases(spark, docs, empty):
 
 
 def test_frequent_units_keep_their_odds(spark):
-    """A unit counted 10 million times in one task against units with its prefix in other tasks."""
+    """A unit counted 10 million times against units with its prefix."""
     units = {"the ": 10_000_000, "then ": 30_000, "them ": 50_000, "they ": 60_000, "these ": 40_000}
     histogram = np.zeros(256, np.int64)
     for u, c in units.items():
         np.add.at(histogram, np.frombuffer(u.encode(), np.uint8), c)
     tree = contextmix.huffman(histogram)
-    rows = spark.sparkContext.parallelize([(bytearray(u.encode()), 4, c) for u, c in units.items()], len(units))
-    model = contextmix.fitted(contextmix.learn_rows(spark.createDataFrame(rows, "b binary, k int, c long"), tree), tree)
-    turns = [0, 0]
-    for u, c in units.items():
-        turns[tree[1][0][ord(u[3])]] += c
-    text, offsets, root = np.frombuffer(b"the ", np.uint8), np.array([0, 4]), np.uint32(tree[0][0][ord(" ")])
-    with np.errstate(over="ignore"):
-        whole = contextmix.contexts(text, offsets, np.arange(4), np.array([4], np.uint8), contextmix.Powers())[3][3]
-        slot = ((whole ^ (root + np.uint32(1)) * np.uint32(0x9E3779B1)) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - contextmix.BITS[3])
-    assert model.odds[3][slot] == pytest.approx(math.log((turns[1] + contextmix.PRIOR) / (turns[0] + contextmix.PRIOR)), abs=0.01)
+    rows = spark.createDataFrame([(i, 0, 4, bytearray(u.encode()), c) for i, (u, c) in enumerate(units.items())], "u long, t long, k int, b binary, c long")
+    got = contextmix.unit_scores(rows, 5, contextmix.fitted(contextmix.learn_rows(rows, 5, tree), 5, tree)).collect()
+    lp = {r["u"]: 10 ** r["lp"] for r in got}
+    total = sum(units.values())
+    assert lp[0] == pytest.approx(units["the "] / total, rel=0.1) and all(lp[i] < 0.05 for i in range(1, 5))

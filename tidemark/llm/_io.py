@@ -40,12 +40,12 @@ def work_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, tag: str, few: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    ``few``: a narrow table, written by two tasks a core at most, so that the many empty or tiny partitions of a
-    shuffle do not each become a file.
+    ``few``: a narrow table; its rows are dealt to two tasks a core to be written, so that the many empty or tiny
+    partitions of a shuffle do not each become a file.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    (df.coalesce(2 * spark.sparkContext.defaultParallelism) if few else df).write.parquet(path)
+    (df.repartition(2 * spark.sparkContext.defaultParallelism) if few else df).write.parquet(path)
     WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -65,7 +65,13 @@ def discard(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of few rows; Spark also bounds a batch's bytes, so long texts stay within a worker's memory."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+def map_arrow(df: DataFrame, fn, schema: str, size: int = BATCH_ROWS) -> DataFrame:
+    """``mapInArrow`` whose function gets batches of at most ``size`` rows; Spark also bounds a batch's bytes, so long texts
+    stay within a worker's memory. No setting of the session is touched."""
+
+    def sliced(batches):
+        for batch in batches:
+            for at in range(0, max(1, batch.num_rows), size):
+                yield batch.slice(at, size)
+
+    return df.mapInArrow(lambda batches: fn(sliced(batches)), schema)

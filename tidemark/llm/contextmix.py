@@ -2,21 +2,30 @@
 
 A text is its UTF-8 bytes and an end symbol (byte 255, which UTF-8 never uses), cut into units: a word
 with the white space after it. Every byte is a path in a Huffman tree of the corpus's bytes, and every
-step on the path a bit that is predicted from hashed contexts inside the unit: the last one, two and four
-bytes and the whole unit so far, each with the kind of unit end before it. The predictors' log-odds are
-combined by weights that the bit's place gates, and the result is refined by an adaptive map of the node
-and the mixed log-odds. The sum over all bits is the probability of the text; divided by its length it
+step on the path a bit that is predicted from hashed contexts inside the unit: the last one, two and three
+bytes with the kind of unit end before the unit, and the whole unit so far. After white space one more bit
+tells whether the unit ends there, so that the bits of a text add up to its probability. The predictors'
+log-odds are combined by weights that the bit's place gates, and the result is refined by an adaptive map of
+the node and the mixed log-odds. The sum over all bits is the probability of the text; divided by its length it
 is bits per byte.
 
 Units are counted over the whole corpus, so each different one is learned from and predicted once, with
-its count as weight. Learning is online: a task walks its share of the units in small steps, predicts a
-step with what it has seen before, corrects the weights by the error, then adds the step to its counts.
-The tasks' counts are whole and summed exactly, their weights averaged. Word counts for the base score are exact sums over
-all learnable texts. The ``TOP`` most frequent units are broadcast (a fixed bound), all others are joined.
+its count as weight. They are dealt by their first bytes into shares of some ``SHARE`` units, as many as
+there are units for. All units that agree in more than those bytes are in one share, so the counts of the
+whole-unit context are exact and grow with the corpus, however large; they never leave their share. The
+tables of the short contexts grow with the number of units up to ``MOST_BITS`` and are broadcast.
+
+Learning is online: a share is walked in order of its units in small steps; a step is predicted with what the
+share has seen before, the weights are corrected by the error, then the step is added to the counts. Shares,
+their order and all sums are whole numbers that depend on the corpus alone: counts are summed exactly and
+weights averaged in fixed point, so scores do not depend on partitions or cluster. Word counts for the
+base score are exact sums over all learnable texts. The ``TOP`` most frequent units are broadcast (a fixed
+bound), all others are joined.
 
 Null texts are empty and score the end symbol alone; a null doc_id is learned from; without learnable
-texts all counts are zero; repeated rows count and score twice; an empty table gives an empty result;
-other columns are ignored. Words and units are told apart by 64-bit hashes.
+texts all counts are zero; very long texts are cut at words while they are read; repeated rows count and score
+twice; an empty table gives an empty result; other columns are ignored. Words and units are told apart by 64-bit
+hashes.
 """
 
 from __future__ import annotations
@@ -27,16 +36,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._io import map_arrow, materialize
-from ._text import BASE, Powers, binary_column, blocks, lower_table, mix, prefix_hash, span_hash, words
+from ._text import BASE, Powers, binary_column, blocks, lower_table, mix, prefix_hash, space_table, span_hash, words
 
-#: log2 of the slots of each context's table; the first is exact, the others are hashed.
-BITS = (17, 20, 21, 21)
-CONTEXTS, GATES, BUCKETS = len(BITS), 8, 24
+#: log2 of the slots of the first context's table, which is exact, and of the least and largest tables of the next two.
+FIRST_BITS, LEAST_BITS, MOST_BITS = 17, 14, (21, 23)
+CONTEXTS, GATES, BUCKETS, NODES = 4, 8, 24, 256
+#: Units of a share, and first bytes that deal them out; more of those from 2**27 and 2**35 units on.
+SHARE, LEAD = 1 << 16, 3
 #: Slots of a table in a row that is shuffled, units that are broadcast, bytes of a block and of the distinct units held, bytes of a step.
-CHUNK, TOP, BLOCK, HELD, STEP = 8192, 1 << 18, 6 << 20, 24 << 20, 1 << 15
+CHUNK, TOP, BLOCK, HELD, STEP = 8192, 1 << 18, 6 << 20, 24 << 20, 1 << 13
 HASH_BLOCK = 2 << 20
 PRIOR, RATE = 0.4, 0.3
-END = 255
+#: Log-odds are kept in steps of 1/512 and weights summed in steps of 2**-16.
+FIXED = 1 << 16
+END, STOP = 255, 255  # the symbol at a text's end; the node of the bit after white space
 
 
 class Units:
@@ -49,11 +62,40 @@ class Units:
         self.powers = powers or Powers()
 
     def add(self, data: np.ndarray, offsets: np.ndarray) -> None:
-        for lo, hi in blocks(offsets, HASH_BLOCK):
-            self._add(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-
-    def _add(self, data: np.ndarray, offsets: np.ndarray) -> None:
-        n = len(offsets) - 1
+        """Texts one after the other; those longer than a block are cut before words, each piece with the word before it."""
+        space = space_table()
+        cuts, rows, head, tail = [0], [], [], []
+        starts = [0]
+        for row, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            at, first = lo, True
+            while hi - at > 2 * HASH_BLOCK:
+                inner = space[data[at + HASH_BLOCK : hi]]
+                words_at = np.flatnonzero(inner[:-1] & ~inner[1:]) + 1
+                if len(words_at) < 2:
+                    break
+                before, cut = at + HASH_BLOCK + int(words_at[0]), at + HASH_BLOCK + int(words_at[1])
+                starts.append(before)
+                cuts.append(cut)
+                rows.append(row)
+                head.append(first)
+                tail.append(False)
+                at, first = before, False
+            starts.append(hi)
+            cuts.append(hi)
+            rows.append(row)
+            head.append(first)
+            tail.append(True)
+        begin, end = np.array(starts[:-1], np.int64), np.array(cuts[1:], np.int64)
+        rows, head, tail = np.array(rows, np.int64), np.array(head, bool), np.array(tail, bool)
+        size = np.concatenate([[0], np.cumsum(end - begin)])
+        for lo, hi in blocks(size, HASH_BLOCK):
+            whole = bool(head[lo:hi].all() and tail[lo:hi].all())
+            piece = data[begin[lo] : end[hi - 1]] if whole else np.concatenate([data[b:e] for b, e in zip(begin[lo:hi].tolist(), end[lo:hi].tolist(), strict=True)])
+            self._add(piece, size[lo : hi + 1] - size[lo], rows[lo:hi], head[lo:hi], tail[lo:hi])
+        self.rows += len(offsets) - 1
+
+    def _add(self, data: np.ndarray, offsets: np.ndarray, rows: np.ndarray, head: np.ndarray, tail: np.ndarray) -> None:
+        """Pieces of texts: the first unit of one without ``head`` and the text's end in one without ``tail`` belong to its neighbours."""
         starts, ends, first = words(data, offsets)
         filled = offsets[:-1][np.diff(offsets) > 0]
         at = np.union1d(starts, filled)
@@ -78,17 +120,19 @@ class Units:
         kind[prev] = kinds[data[ends[word[prev] - 1] - 1]]
         kind[inner & (data[at - 1] == 10)] = 5
         kind[~inner] = 0
+        last &= tail[row]
         prefix = prefix_hash(data, self.powers)
         code = span_hash(prefix, at, stop, self.powers)
         bare = np.flatnonzero(np.diff(offsets) == 0)  # empty texts: the end alone
         zero = np.zeros(len(bare), np.int64)
-        row = np.concatenate([row, bare])
-        last = np.concatenate([last, zero == 0])
-        kind = np.concatenate([kind, zero.astype(np.uint8)])
-        code = mix(np.concatenate([code, zero.view(np.uint64)]) + kind * np.uint64(2 * BASE % (1 << 64)) + last * np.uint64(BASE))
-        self.parts.append((row + self.rows, np.concatenate([at, zero]) + self.size, np.concatenate([stop - at, zero]), np.concatenate([size, zero]), kind, last, code))
+        own = inner | head[row]
+        pick = lambda x: x[own]
+        row = np.concatenate([pick(row), bare])
+        last = np.concatenate([pick(last), zero == 0])
+        kind = np.concatenate([pick(kind), zero.astype(np.uint8)])
+        code = mix(np.concatenate([pick(code), zero.view(np.uint64)]) + kind * np.uint64(2 * BASE % (1 << 64)) + last * np.uint64(BASE))
+        self.parts.append((rows[row] + self.rows, np.concatenate([pick(at), zero]) + self.size, np.concatenate([pick(stop - at), zero]), np.concatenate([pick(size), zero]), kind, last, code))
         self.data.append(data)
-        self.rows += n
         self.size += len(data)
 
     def distinct(self):
@@ -140,12 +184,12 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(text: np.ndarray, offsets: np.ndarray, inside: np.ndarray, kind: np.ndarray, powers: Powers) -> list[np.ndarray]:
-    """32-bit context hashes of every byte."""
+    """32-bit context hashes of every byte; the first is an index of its own, with 8 bits left for the node."""
     size = np.diff(offsets)
     k = np.repeat(kind, size).astype(np.uint64)
     b = text.astype(np.uint64) + np.uint64(1)
     back = []
-    for d in range(1, 5):
+    for d in range(1, 4):
         x = np.zeros(len(text), np.uint64)
         x[d:] = b[:-d]
         x[inside < d] = 0
@@ -153,95 +197,147 @@ def contexts(text: np.ndarray, offsets: np.ndarray, inside: np.ndarray, kind: np
     prefix = prefix_hash(text, powers)
     start = np.repeat(offsets[:-1], size)
     at = np.arange(len(text))
-    so_far = (prefix[at] - prefix[start]) * powers.down[start] + k * np.uint64(BASE)
+    so_far = (prefix[at] - prefix[start]) * powers.down[start]
     s = [np.uint64(8 * i) for i in range(8)]
     one = np.where(back[0] > 0, back[0], np.uint64(257) + k)
     two = back[0] | back[1] << s[2] | k << s[4]
-    four = back[0] | back[1] << s[2] | back[2] << s[4] | back[3] << s[6]
-    # the first is an index of its own: 9 bits of context above 8 bits of the node, 17 in all
-    return [(one & np.uint64(511)).astype(np.uint32) << np.uint32(8), *((mix(x + np.uint64(i)) >> np.uint64(32)).astype(np.uint32) for i, x in enumerate((two, four, so_far), 1))]
+    three = back[0] | back[1] << s[2] | back[2] << s[4] | k << s[6]
+    return [(one & np.uint64(511)).astype(np.uint32) << np.uint32(8), *((mix(x + np.uint64(i)) >> np.uint64(32)).astype(np.uint32) for i, x in enumerate((two, three, so_far), 1))]
+
+
+def slots_of(hashes: list[np.ndarray], node: np.ndarray, bits: list[int]) -> list[np.ndarray]:
+    """The slot of a node in each context's table."""
+    node = node.astype(np.uint32)
+    salt = (node + np.uint32(1)) * np.uint32(0x9E3779B1)
+    return [hashes[0] | node, *(((h ^ salt) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - b) for h, b in zip(hashes[1:], bits[1:], strict=True))]
+
+
+def odds_of(counts: np.ndarray) -> np.ndarray:
+    """Log-odds of (zeros, ones) in steps of 1/512, so that sums in another form give the same."""
+    c = counts.reshape(-1, 2)
+    return (np.round(np.log((c[:, 1] + PRIOR) / (c[:, 0] + PRIOR)) * 512) / 512).astype(np.float32)
+
+
+def table_bits(units: int) -> list[int]:
+    """log2 of the slots of the tables of short contexts, from the number of distinct units."""
+    grown = max(LEAST_BITS, int(units).bit_length() - 1)
+    return [FIRST_BITS, *(min(grown, m) for m in MOST_BITS)]
 
 
 class Model:
-    """Counts and log-odds of each table, gated weights, the refining map and the tree of bytes."""
+    """Counts and log-odds of each table, gated weights, the refining map and the tree of bytes.
 
-    def __init__(self, tree: tuple[np.ndarray, np.ndarray]) -> None:
-        self.tree = tree
-        self.counts = [np.zeros(2 << b, np.uint64) for b in BITS]
-        self.odds = [np.zeros(1 << b, np.float32) for b in BITS]
-        self.weights = np.full((GATES, GATES, CONTEXTS + 1), 0.35, np.float32)
+    ``shared`` are the bits of the tables of the short contexts; that of whole units is made anew for each share.
+    """
+
+    def __init__(self, tree: tuple[np.ndarray, np.ndarray], shared: list[int], lead: int = LEAD) -> None:
+        self.tree, self.lead = tree, lead
+        self.bits = [*shared, LEAST_BITS]
+        self.counts = [np.zeros(2 << b, np.uint64) for b in self.bits]
+        self.odds = [np.zeros(1 << b, np.float32) for b in self.bits]
+        self.fresh()
+
+    def fresh(self) -> None:
+        """Weights and map before any learning."""
+        self.weights = np.full((GATES + 1, GATES, CONTEXTS + 1), 0.35, np.float32)
         self.weights[..., -1] = 0
-        self.fixes = np.zeros((2, 256 * BUCKETS))
+        self.fixes = np.zeros((2, NODES * BUCKETS))
         self.map = self.refined()
-        self.seen = 0.0
+        self.seen = 0
+
+    def room(self, size: int) -> None:
+        """An empty table of whole units for a share of that many bytes."""
+        bits = max(LEAST_BITS, int(3 * size).bit_length())
+        if self.bits[-1] != bits:
+            self.bits[-1] = bits
+            self.counts[-1], self.odds[-1] = np.zeros(2 << bits, np.uint64), np.zeros(1 << bits, np.float32)
+        else:
+            self.counts[-1][:] = 0
+            self.odds[-1][:] = 0
 
     def refined(self) -> np.ndarray:
         """Log-odds for each node and bucket of mixed log-odds; the bucket's middle counts as a few observations."""
-        middle = np.tile((np.arange(BUCKETS) - BUCKETS / 2 + 0.5) / 2, 256)
+        middle = np.tile((np.arange(BUCKETS) - BUCKETS / 2 + 0.5) / 2, NODES)
         p = 1 / (1 + np.exp(-middle))
         return np.log((self.fixes[1] + 8 * p) / (self.fixes[0] + 8 * (1 - p))).astype(np.float32)
 
-    def units(self, text: np.ndarray, offsets: np.ndarray, kind: np.ndarray, powers: Powers, count: np.ndarray | None = None) -> np.ndarray:
-        """Natural log-probability of each unit; where ``count`` is given, learn from it that often."""
-        out = np.zeros(len(kind))
+    def steps(self, text: np.ndarray, offsets: np.ndarray, kind: np.ndarray, powers: Powers):
+        """Units of about ``STEP`` bytes at a time: their range, cuts, and the bits of each byte as ``walk`` gives them."""
         for lo, hi in blocks(offsets, STEP):
             part, cuts = text[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            if not len(part):
+                continue
             size = np.diff(cuts)
             inside = np.arange(len(part)) - np.repeat(cuts[:-1], size)
+            final = inside == np.repeat(size, size) - 1
             hashes = contexts(part, cuts, inside, kind[lo:hi] & 7, powers)
-            logs = self._step(part, hashes, np.minimum(inside, GATES - 1), None if count is None else np.repeat(count[lo:hi], size))
-            out[lo:hi] = np.add.reduceat(logs.astype(np.float64), cuts[:-1]) if len(part) else 0
-        return out
+            yield lo, hi, cuts, size, self.walk(part, hashes, inside, final)
 
-    def _step(self, text, hashes, gate, count):
+    def walk(self, text, hashes, inside, final):
+        """(depth, which bytes, node, bit, gate, slots, whether in reach of the whole-unit table) along the tree, then the bit after white space."""
         nodes, turns = self.tree
-        total = np.zeros(len(text), np.float32)
-        at = None  # the bytes whose path goes on; None: all
+        gate, far = np.minimum(inside, GATES - 1), (inside >= self.lead).astype(np.float32)
+        alive = np.arange(len(text))
         for k in range(len(nodes)):
-            node = nodes[k][text]
-            alive = np.flatnonzero(node >= 0)
+            node = nodes[k][text[alive]]
+            alive = alive[node >= 0]
             if not len(alive):
                 break
-            if len(alive) < len(text):
-                text, node, gate, hashes = text[alive], node[alive], gate[alive], [h[alive] for h in hashes]
-                at = alive if at is None else at[alive]
-                count = None if count is None else count[alive]
-            node = node.astype(np.uint32)
-            bit = turns[k][text]
-            salt = (node + np.uint32(1)) * np.uint32(0x9E3779B1)
-            slots = [hashes[0] | node]
-            slots += [((h ^ salt) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits) for h, bits in zip(hashes[1:], BITS[1:], strict=True)]
-            odds = [t[s] for t, s in zip(self.odds, slots, strict=True)]
-            w = self.weights[min(k, GATES - 1)]
-            z = w[gate, CONTEXTS]
-            for i, o in enumerate(odds):
-                z = z + w[gate, i] * o
-            place = node * np.uint32(BUCKETS) + np.clip(z * 2 + BUCKETS / 2, 0, BUCKETS - 1).astype(np.uint32)
-            sign = bit.astype(np.float32) * 2 - 1
-            logs = np.log1p(np.exp(np.clip(-sign * (z + self.map[place]) * np.float32(0.5), -60, 60)))
-            if at is None:
-                total -= logs
-            else:
-                total[at] -= logs
-            if count is not None:
-                self._learn(w, z, odds, slots, gate, place, bit, count)
-        if count is not None:
-            self.map = self.refined()
-        return total
+            node = node[node >= 0]
+            yield min(k, GATES - 1), alive, node, turns[k][text[alive]], gate[alive], slots_of([h[alive] for h in hashes], node, self.bits), far[alive]
+        space = np.flatnonzero(space_table()[text])
+        node = np.full(len(space), STOP)
+        yield GATES, space, node, final[space].astype(np.uint8), gate[space], slots_of([h[space] for h in hashes], node, self.bits), far[space]
+
+    def mixed(self, depth, node, gate, slots, far):
+        """Log-odds of each predictor, mixed, and the bucket of the map."""
+        odds = [t[x] for t, x in zip(self.odds, slots, strict=True)]
+        odds[-1] = odds[-1] * far
+        w = self.weights[depth]
+        z = w[gate, CONTEXTS]
+        for i, o in enumerate(odds):
+            z = z + w[gate, i] * o
+        place = node.astype(np.int64) * BUCKETS + np.clip(z * 2 + BUCKETS / 2, 0, BUCKETS - 1).astype(np.int64)
+        return odds, z, place
+
+    def gather(self, text, offsets, kind, powers, count) -> None:
+        """Add units, each ``count`` times, to the table of whole units."""
+        for lo, hi, _, size, walk in self.steps(text, offsets, kind, powers):
+            times = np.repeat(count[lo:hi], size)
+            for _, which, _, bit, _, slots, _ in walk:
+                np.add.at(self.counts[-1], slots[-1] * np.uint32(2) + bit, times[which])
+        self.odds[-1] = odds_of(self.counts[-1])
+
+    def units(self, text, offsets, kind, powers, count=None) -> np.ndarray:
+        """Natural log-probability of each unit; where ``count`` is given, learn from it that often."""
+        out = np.zeros(len(kind))
+        for lo, hi, cuts, size, walk in self.steps(text, offsets, kind, powers):
+            total = np.zeros(cuts[-1], np.float64)
+            times = None if count is None else np.repeat(count[lo:hi], size)
+            for depth, which, node, bit, gate, slots, far in walk:
+                odds, z, place = self.mixed(depth, node, gate, slots, far)
+                sign = bit.astype(np.float32) * 2 - 1
+                total[which] -= np.log1p(np.exp(np.clip(-sign * (z + self.map[place]) * np.float32(0.5), -60, 60)))
+                if times is not None:
+                    self._learn(self.weights[depth], z, odds, slots, gate, place, bit, times[which])
+            if times is not None:
+                self.map = self.refined()
+            out[lo:hi] = np.add.reduceat(total, cuts[:-1])
+        return out
 
     def _learn(self, w, z, odds, slots, gate, place, bit, count):
         times = count.astype(np.float64)
-        self.seen += float(times.sum())
+        self.seen += int(count.sum())
         rate = RATE / (np.bincount(gate, times, GATES) + 1e-9)
         error = (bit - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) * times
         for i, o in enumerate(odds):
             w[:, i] += (rate * np.bincount(gate, error * o, GATES)).astype(np.float32)
         w[:, CONTEXTS] += (rate * 0.1 * np.bincount(gate, error, GATES)).astype(np.float32)
-        self.fixes += np.bincount(place + bit * np.uint32(256 * BUCKETS), times, 512 * BUCKETS).reshape(2, -1)
-        for c, o, s in zip(self.counts, self.odds, slots, strict=True):
-            np.add.at(c, s * np.uint32(2) + bit, count)
-            n = c.reshape(-1, 2)[s]
-            o[s] = np.log((n[:, 1] + PRIOR) / (n[:, 0] + PRIOR))
+        self.fixes += np.bincount(place + bit * np.int64(NODES * BUCKETS), times, 2 * NODES * BUCKETS).reshape(2, -1)
+        for c, o, x in zip(self.counts, self.odds, slots, strict=True):
+            np.add.at(c, x * np.uint32(2) + bit, count)
+            n = c.reshape(-1, 2)[x]
+            o[x] = np.log((n[:, 1] + PRIOR) / (n[:, 0] + PRIOR))
 
 
 UNIT_SCHEMA = "u long, t long, k int, b binary, c long"
@@ -306,98 +402,155 @@ def batch_of(u, t, k, b, c) -> pa.RecordBatch:
 
 
 def narrow(counts: np.ndarray) -> bytes:
-    """Whole counts in the least width that holds all of them; the length tells which."""
+    """Whole counts in the least width that holds all of them, which the first byte tells."""
     most = int(counts.max())
-    return counts.astype("<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return bytes((width,)) + counts.astype(f"<u{width}").tobytes()
 
 
 def widened(raw) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // (2 * CHUNK)}").astype(np.uint64)
+    return np.frombuffer(raw[1:], f"<u{raw[0]}").astype(np.uint64)
 
 
-LEARN_SCHEMA = "kind int, t long, c long, bytes binary"
+def lead_of(units: int) -> int:
+    return LEAD + (units >= 1 << 27) + (units >= 1 << 35)
 
 
-def learn_rows(units: DataFrame, tree) -> DataFrame:
-    """What each task learns from its units: chunks of table i (kind i) and weights (kind -2)."""
+def dealt(units: DataFrame, n: int) -> DataFrame:
+    """Units in shares that their first bytes decide, whole shares to a partition and in a fixed order."""
+    share = F.pmod(F.xxhash64(F.substring("b", 1, lead_of(n))), F.lit(max(1, -(-n // SHARE))))
+    return units.withColumn("share", share).repartition("share").sortWithinPartitions("share", "u", "k")
 
-    def learn(batches):
-        model, powers, rows = Model(tree), Powers(), 0
 
-        def emit(kind, t, c, b):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(t), kind, np.int32)), pa.array(t, pa.int64()), pa.array(c, pa.int64()), pa.array(b, pa.binary())], names=["kind", "t", "c", "bytes"])
+def shares(batches, *names: str):
+    """The rows of one share after the other, as one batch each."""
+    held, now = [], None
+    for batch in batches:
+        ids = batch.column(batch.schema.get_field_index("share")).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)] if len(ids) else []
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if held and ids[lo] != now:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            now = ids[lo]
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-        for batch in batches:
-            text, offsets = binary_column(batch, "b")
-            rows += len(offsets) - 1
+
+def share_columns(batch):
+    """Bytes, offsets, kinds and counts of a share's units, and its learnable ones apart."""
+    text, offsets = binary_column(batch, "b")
+    column = lambda name, kind: batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False).astype(kind)
+    kind, count = column("k", np.uint8), column("c", np.uint64)
+    return text, offsets, kind, count
+
+
+def learnable_of(text, offsets, kind, count):
+    use = np.flatnonzero(count)
+    if len(use) == len(count):
+        return text, offsets, kind, count
+    size = np.diff(offsets)[use]
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(offsets[use] - cuts[:-1], size) + np.arange(cuts[-1])
+    return text[at], cuts, kind[use], count[use]
+
+
+STATE = 99
+LEARN_SCHEMA = "kind int, t long, bytes binary"
+
+
+def learn_rows(units: DataFrame, n: int, tree) -> DataFrame:
+    """What each task learns from its shares: chunks of the counts of table i (kind i) and the sum of weights and maps (kind ``STATE``)."""
+    bits, lead = table_bits(n), lead_of(n)
+
+    def learn(batches):
+        model, powers, total = Model(tree, bits, lead), Powers(), None
+        sums = [np.zeros(2 << b, np.uint64) for b in bits]
+
+        def emit(kind, t, b):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(t), kind, np.int32)), pa.array(t, pa.int64()), pa.array(b, pa.binary())], names=["kind", "t", "bytes"])
+
+        for batch in shares(batches):
+            text, offsets, kind, count = learnable_of(*share_columns(batch))
+            if not len(kind):
+                continue
+            for c, o in zip(model.counts[:-1], model.odds[:-1], strict=True):
+                c[:] = 0
+                o[:] = 0
+            model.fresh()
+            model.room(len(text))
             with np.errstate(over="ignore"):
-                model.units(text, offsets, batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8), powers, batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64))
-        if not rows:
+                model.units(text, offsets, kind, powers, count)
+            for c, x in zip(sums, model.counts, strict=False):
+                c += x
+            weights = np.round(model.weights.ravel().astype(np.float64) * FIXED).astype(np.int64) * model.seen
+            state = np.concatenate([[model.seen], weights, model.fixes.ravel().astype(np.int64)])
+            total = state if total is None else total + state
+        if total is None:
             return
-        for i, c in enumerate(model.counts):
-            c = c.reshape(-1, CHUNK * 2)
+        for i, c in enumerate(sums):
+            c = c.reshape(-1, min(CHUNK, 1 << bits[i]) * 2)
             used = np.flatnonzero(c.any(axis=1))
-            yield emit(i, used, np.zeros(len(used), np.int64), [narrow(c[j]) for j in used])
-        state = np.concatenate([model.weights.ravel().astype(np.float64), model.fixes.ravel()])
-        yield emit(-2, [0], [int(model.seen)], [state.tobytes()])
+            yield emit(i, used, [narrow(c[j]) for j in used])
+        yield emit(STATE, [0], [total.astype("<i8").tobytes()])
 
-    units.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    return units.select("b", "k", "c").mapInArrow(learn, LEARN_SCHEMA)
+    return map_arrow(dealt(units.select("u", "b", "k", "c"), n), learn, LEARN_SCHEMA, SHARE)
 
 
 def summed(chunks: DataFrame) -> DataFrame:
-    """Log-odds of each chunk of each table, from the sum of all tasks' counts; each task adds as rows stream in."""
+    """Log-odds of each chunk of each table from the sum of all tasks' counts, and the sum of their states; tasks add as rows stream in."""
 
     def add(batches):
         sums: dict = {}
         for batch in batches:
             for kind, t, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                c = widened(raw.as_py())
+                c = np.frombuffer(raw.as_py(), "<i8").copy() if kind == STATE else widened(raw.as_py())
                 sums[kind, t] = sums[kind, t] + c if (kind, t) in sums else c
-        out = []
-        for c in sums.values():
-            c = c.reshape(-1, 2)
-            out.append(np.log((c[:, 1] + PRIOR) / (c[:, 0] + PRIOR)).astype("<f2").tobytes())
+        out = [c.astype("<i8").tobytes() if k == STATE else odds_of(c).astype("<f2").tobytes() for (k, _), c in sums.items()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sums], pa.int32()), pa.array([t for _, t in sums], pa.int64()), pa.array(out, pa.binary())], names=["kind", "t", "bytes"])
 
-    n = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return map_arrow(chunks.select("kind", "t", "bytes").repartition(n, "kind", "t"), add, "kind int, t long, bytes binary")
+    return map_arrow(chunks.repartition("kind", "t"), add, LEARN_SCHEMA)
 
 
-def fitted(learned: DataFrame, tree) -> Model:
-    """The model of all tasks together."""
-    model = Model(tree)
+def fitted(learned: DataFrame, n: int, tree) -> Model:
+    """The model of all shares together; the table of whole units stays with the shares."""
+    model = Model(tree, table_bits(n), lead_of(n))
     model.counts = []
-    for r in summed(learned.where("kind >= 0")).toLocalIterator():
-        model.odds[r["kind"]][r["t"] * CHUNK : (r["t"] + 1) * CHUNK] = np.frombuffer(r["bytes"], "<f2")
-    total, state = 0.0, 0.0
-    for r in learned.where("kind = -2").select("c", "bytes").toLocalIterator():
-        x = np.frombuffer(r["bytes"], np.float64).copy()
-        x[: model.weights.size] *= r["c"]
-        state, total = state + x, total + r["c"]
-    if total:
-        model.weights = (state[: model.weights.size] / total).astype(np.float32).reshape(model.weights.shape)
-        model.fixes = state[model.weights.size :].reshape(2, -1)
-        model.map = model.refined()
+    for r in materialize(summed(learned), "fitted").toLocalIterator():
+        if r["kind"] == STATE:
+            x = np.frombuffer(r["bytes"], "<i8")
+            size = model.weights.size
+            model.weights = (x[1 : 1 + size] / max(1, int(x[0])) / FIXED).astype(np.float32).reshape(model.weights.shape)
+            model.fixes = x[1 + size :].reshape(2, -1).astype(float)
+            model.map = model.refined()
+        else:
+            odds = np.frombuffer(r["bytes"], "<f2")
+            model.odds[r["kind"]][r["t"] * len(odds) : (r["t"] + 1) * len(odds)] = odds
     return model
 
 
-def unit_scores(units: DataFrame, model: Model) -> DataFrame:
-    """(u, t, lp): log10 probability of each distinct unit."""
-    shared = units.sparkSession.sparkContext.broadcast(([o.astype(np.float16) for o in model.odds], model.weights, model.map, model.tree))
+def unit_scores(units: DataFrame, n: int, model: Model) -> DataFrame:
+    """(u, t, c, lp): log10 probability of each distinct unit, share by share."""
+    state = ([o.astype(np.float16) for o in model.odds[:-1]], model.weights, model.map, model.tree, model.bits[:-1], model.lead)
+    shared = units.sparkSession.sparkContext.broadcast(state)
 
     def rate(batches):
-        odds, weights, refine, tree = shared.value
-        m, powers = Model.__new__(Model), Powers()
-        m.odds, m.weights, m.map, m.tree = [o.astype(np.float32) for o in odds], weights, refine, tree
-        for batch in batches:
-            text, offsets = binary_column(batch, "b")
+        m, powers = None, Powers()
+        for batch in shares(batches):
+            if m is None:
+                odds, weights, refine, tree, bits, lead = shared.value
+                m = Model(tree, [1] * len(bits), lead)
+                m.bits[:-1], m.odds[:-1], m.weights, m.map = bits, [o.astype(np.float32) for o in odds], weights, refine
+            text, offsets, kind, count = share_columns(batch)
             with np.errstate(over="ignore"):
-                lp = m.units(text, offsets, batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8), powers) / np.log(10)
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), batch.column(4), pa.array(lp)], names=["u", "t", "c", "lp"])
+                m.room(len(text))
+                m.gather(*learnable_of(text, offsets, kind, count)[:3], powers, count[count > 0])
+                lp = m.units(text, offsets, kind, powers) / np.log(10)
+            names = ("u", "t", "c")
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(x)) for x in names), pa.array(lp)], names=[*names, "lp"])
 
-    units.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    return units.select("b", "k", "u", "t", "c").mapInArrow(rate, "u long, t long, c long, lp double")
+    return map_arrow(dealt(units, n), rate, "u long, t long, c long, lp double", SHARE)
 
 
 def frequent(units: DataFrame) -> DataFrame:
@@ -459,7 +612,6 @@ def sums(docs: DataFrame, top: dict[str, np.ndarray], *keys: str) -> DataFrame:
 
 def scored(docs: DataFrame, learnable: Column) -> DataFrame:
     """doc_id, learnable, bytes, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    spark = docs.sparkSession
     x = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("raw"), F.coalesce(learnable, F.lit(True)).alias("learnable"))
     found = materialize(unit_rows(x).groupBy("u", "t", "k", "b").agg(F.sum("c").alias("c")), "units")
     units = found.where("k >= 0")
@@ -467,14 +619,15 @@ def scored(docs: DataFrame, learnable: Column) -> DataFrame:
     for r in found.where("k = -1").select("t", "c").collect():
         histogram[r["t"]] = r["c"]
     tree = huffman(histogram)
-    learned = materialize(learn_rows(units.where("c > 0").coalesce(2 * spark.sparkContext.defaultParallelism), tree), "contexts")
+    size = units.count()
+    learned = materialize(learn_rows(units, size, tree), "contexts")
     counts = materialize(units.where("t <> 0").groupBy("t").agg(F.sum("c").alias("n")).where("n > 0"), "counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = units.agg(F.coalesce(F.sum(F.when(F.col("k") >= 8, F.col("c"))), F.lit(0)).alias("ends")).first()["ends"]
     n, v = total["n"] + ends, total["v"] + (ends > 0)
     whole = float(np.log10(n + 0.5 * (v + 1)))
     # of each unit: its log-probability, and its word's share of the base score (0 without a word)
-    valued = unit_scores(units, fitted(learned, tree)).join(counts, "t", "left")
+    valued = unit_scores(units, size, fitted(learned, size, tree)).join(counts, "t", "left")
     base = F.when(F.col("t") == 0, 0.0).otherwise(F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(whole))
     valued = materialize(valued.select("u", "c", "lp", base.alias("base"), F.col("n").isNotNull().cast("int").alias("known")), "valued")
     best = frequent(valued).toArrow()
