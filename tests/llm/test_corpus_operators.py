@@ -438,9 +438,45 @@ def test_pipeline(spark):
 
 
 def test_stages_with_awkward_documents(spark, docs, empty):
+    """Every stage but the last keeps columns of any name and their values; the counts follow from the input's rows."""
     import corpus_pipeline
 
-    for df in (docs, empty):
-        for _, stage in corpus_pipeline.STAGES:
-            out = stage(spark, df, SF)
-            assert out.count() >= 0
+    named = docs.withColumn("_key", F.lit("mine")).withColumn("_copy", F.lit(7)).withColumn("task", F.lit(None).cast("string"))
+    want = {"quality rules": {1, 5}, "near duplicates": {1, 2, 3, 4, 5, None, 6, 7}, "secret scan": {1, 2, 3, 4, 5, None, 6, 7}, "mixing": None}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, named, SF)
+        rows = out.collect()
+        assert out.columns == named.columns and all((r["_key"], r["_copy"], r["task"]) == ("mine", 7, None) for r in rows), name
+        if want[name] is not None:
+            assert {r["doc_id"] for r in rows} <= want[name], name
+        if name == "near duplicates":
+            assert sorted(str(r["doc_id"]) for r in rows) == sorted(map(str, want[name]))
+        if name == "secret scan":
+            assert len(rows) == docs.count()
+        assert stage(spark, empty, SF).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, named, SF).count() >= docs.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, SF).count() == 0
+
+
+def test_copies_without_ids_leave(spark):
+    """An exact copy and a near copy with null ids go with the document they copy; null-id copies of each other leave one."""
+    draw = random.Random(31)
+    text = lambda n: " ".join(f"w{draw.getrandbits(30):x}" for _ in range(n))
+    a, b = text(60), text(60)
+    rows = [(3, a), (None, a), (None, a + " more"), (None, b), (None, b), (None, b + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"][:20]) for r in neardup.deduplicated(df).collect()]
+    assert sorted(kept, key=str) == sorted([(3, a[:20]), (None, b[:20])], key=str)
+
+
+def test_pipeline_discards_work_tables(spark):
+    import os
+
+    import corpus_pipeline
+    from tidemark.llm import _io
+
+    before = len(_io.WRITTEN)
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 0
+    left = _io.WRITTEN[before:]
+    assert all(os.path.exists(x.removeprefix("file:")) for x in left) and sum("/stage-" in x for x in left) == 1

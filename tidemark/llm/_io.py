@@ -58,11 +58,19 @@ def own_exchange(column: str) -> Column:
     return F.col(column).bitwiseXOR(F.lit(0)).alias(column)
 
 
-def discard(spark: SparkSession) -> None:
-    """Delete the work tables written so far; call it once the results that read them are stored."""
-    while WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+def discard(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete the work tables written after the first ``since``, but for the one that ``keep`` reads; call it once the
+    results that read them are stored."""
+    stays = [f.split("/")[-2] for f in keep.inputFiles()[:1]] if keep is not None else []
+    held = []
+    while len(WRITTEN) > since:
+        name = WRITTEN.pop()
+        if name.rsplit("/", 1)[-1] in stays:
+            held.append(name)
+            continue
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    WRITTEN.extend(reversed(held))
 
 
 def map_arrow(df: DataFrame, fn, schema: str, size: int = BATCH_ROWS) -> DataFrame:
