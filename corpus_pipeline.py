@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import stages
-from tidemark.llm._io import materialize, table
+from tidemark.llm._io import WRITTEN, discard, materialize, table
 
 STAGES = [
     ("quality rules", stages.quality_rules),
@@ -24,8 +24,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    since = len(WRITTEN)
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = materialize(docs, "stage")
+            discard(spark, since, keep=docs)  # work tables of this stage and the documents before it
     return docs
