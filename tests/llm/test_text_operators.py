@@ -454,12 +454,12 @@ def test_scores_match_plain_python(spark, monkeypatch):
     parts = collections.defaultdict(list)
     for r in sorted(dealt, key=lambda r: (r["share"], r["u"], r["k"])):
         parts[r["share"]].append((bytes(r["b"]), r["k"], r["c"]))
-    room = lambda units: max(contextmix.LEAST_BITS, (3 * sum(len(u) for u, *_ in units)).bit_length())
+    room = lambda units: max(contextmix.LEAST_BITS, (2 * sum(len(u) for u, *_ in units)).bit_length())
     short = [collections.defaultdict(lambda: [0, 0]) for _ in range(3)]
     weights, fixes, seen = collections.defaultdict(lambda: [0.0] * 5), collections.defaultdict(lambda: [0.0, 0.0]), 0
     for units in parts.values():
         units = [(u, k & 7, c) for u, k, c in units if c]
-        m = PlainModel(nodes, turns, [*bits, room(units)], 3)
+        m = PlainModel(nodes, turns, [*bits, room(units)], contextmix.LEAD)
         for step in steps_of(units, 2000):
             m.step(step)
         seen += m.seen
@@ -475,7 +475,7 @@ def test_scores_match_plain_python(spark, monkeypatch):
     weights = {k: [a / seen for a in w] for k, w in weights.items()}
     lp = {}
     for units in parts.values():
-        m = PlainModel(nodes, turns, [*bits, room([u for u in units])], 3)
+        m = PlainModel(nodes, turns, [*bits, room(units)], contextmix.LEAD)
         local = collections.defaultdict(lambda: [0, 0])
         for u, k, c in units:
             for _, _, _, bit, _, slots, _ in m.bits_of(u, k & 7):
@@ -515,7 +515,7 @@ def test_long_texts_are_cut_at_words(monkeypatch):
 
 
 def test_tables_grow_with_the_units():
-    assert contextmix.table_bits(1000) == [17, 14, 14] and contextmix.table_bits(1 << 20) == [17, 20, 20] and contextmix.table_bits(1 << 40) == [17, 21, 23]
+    assert contextmix.table_bits(1000) == [17, 14, 14] and contextmix.table_bits(1 << 20) == [17, 19, 19] and contextmix.table_bits(1 << 40) == [17, 20, 23]
 
 
 def test_model_learns(spark):

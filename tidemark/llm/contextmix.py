@@ -39,12 +39,13 @@ from ._io import map_arrow, materialize
 from ._text import BASE, Powers, binary_column, blocks, lower_table, mix, prefix_hash, space_table, span_hash, words
 
 #: log2 of the slots of the first context's table, which is exact, and of the least and largest tables of the next two.
-FIRST_BITS, LEAST_BITS, MOST_BITS = 17, 14, (21, 23)
+FIRST_BITS, LEAST_BITS, MOST_BITS = 17, 14, (20, 23)
 CONTEXTS, GATES, BUCKETS, NODES = 4, 8, 24, 256
 #: Units of a share, and first bytes that deal them out; more of those from 2**27 and 2**35 units on.
-SHARE, LEAD = 1 << 16, 3
-#: Slots of a table in a row that is shuffled, units that are broadcast, bytes of a block and of the distinct units held, bytes of a step.
-CHUNK, TOP, BLOCK, HELD, STEP = 8192, 1 << 18, 6 << 20, 24 << 20, 1 << 13
+SHARE, LEAD = 1 << 16, 4
+#: Slots of a table in a row that is shuffled, units that are broadcast, bytes of a block and of the distinct units held,
+#: bytes of a step of learning and of the stretches that are counted or predicted at once.
+CHUNK, TOP, BLOCK, HELD, STEP, STRETCH = 8192, 1 << 18, 6 << 20, 24 << 20, 1 << 13, 1 << 15
 HASH_BLOCK = 2 << 20
 PRIOR, RATE = 0.4, 0.3
 #: Log-odds are kept in steps of 1/512 and weights summed in steps of 2**-16.
@@ -183,10 +184,16 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, bits
 
 
+def so_far(text: np.ndarray, offsets: np.ndarray, powers: Powers) -> np.ndarray:
+    """32-bit hash of what each byte's unit holds before it."""
+    prefix = prefix_hash(text, powers)
+    start = np.repeat(offsets[:-1], np.diff(offsets))
+    return (mix((prefix[:-1] - prefix[start]) * powers.down[start] + np.uint64(3)) >> np.uint64(32)).astype(np.uint32)
+
+
 def contexts(text: np.ndarray, offsets: np.ndarray, inside: np.ndarray, kind: np.ndarray, powers: Powers) -> list[np.ndarray]:
     """32-bit context hashes of every byte; the first is an index of its own, with 8 bits left for the node."""
-    size = np.diff(offsets)
-    k = np.repeat(kind, size).astype(np.uint64)
+    k = np.repeat(kind, np.diff(offsets)).astype(np.uint64)
     b = text.astype(np.uint64) + np.uint64(1)
     back = []
     for d in range(1, 4):
@@ -194,22 +201,19 @@ def contexts(text: np.ndarray, offsets: np.ndarray, inside: np.ndarray, kind: np
         x[d:] = b[:-d]
         x[inside < d] = 0
         back.append(x)
-    prefix = prefix_hash(text, powers)
-    start = np.repeat(offsets[:-1], size)
-    at = np.arange(len(text))
-    so_far = (prefix[at] - prefix[start]) * powers.down[start]
     s = [np.uint64(8 * i) for i in range(8)]
     one = np.where(back[0] > 0, back[0], np.uint64(257) + k)
     two = back[0] | back[1] << s[2] | k << s[4]
     three = back[0] | back[1] << s[2] | back[2] << s[4] | k << s[6]
-    return [(one & np.uint64(511)).astype(np.uint32) << np.uint32(8), *((mix(x + np.uint64(i)) >> np.uint64(32)).astype(np.uint32) for i, x in enumerate((two, three, so_far), 1))]
+    return [(one & np.uint64(511)).astype(np.uint32) << np.uint32(8), *((mix(x + np.uint64(i)) >> np.uint64(32)).astype(np.uint32) for i, x in enumerate((two, three), 1)), so_far(text, offsets, powers)]
 
 
 def slots_of(hashes: list[np.ndarray], node: np.ndarray, bits: list[int]) -> list[np.ndarray]:
-    """The slot of a node in each context's table."""
+    """The slot of a node in the table of each context; one hash alone is that of whole units."""
     node = node.astype(np.uint32)
     salt = (node + np.uint32(1)) * np.uint32(0x9E3779B1)
-    return [hashes[0] | node, *(((h ^ salt) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - b) for h, b in zip(hashes[1:], bits[1:], strict=True))]
+    out = [hashes[0] | node] if len(hashes) > 1 else []
+    return out + [((h ^ salt) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - b) for h, b in zip(hashes[len(out) :], bits[len(bits) - len(hashes) + len(out) :], strict=True)]
 
 
 def odds_of(counts: np.ndarray) -> np.ndarray:
@@ -220,7 +224,7 @@ def odds_of(counts: np.ndarray) -> np.ndarray:
 
 def table_bits(units: int) -> list[int]:
     """log2 of the slots of the tables of short contexts, from the number of distinct units."""
-    grown = max(LEAST_BITS, int(units).bit_length() - 1)
+    grown = max(LEAST_BITS, int(units).bit_length() - 2)
     return [FIRST_BITS, *(min(grown, m) for m in MOST_BITS)]
 
 
@@ -247,7 +251,7 @@ class Model:
 
     def room(self, size: int) -> None:
         """An empty table of whole units for a share of that many bytes."""
-        bits = max(LEAST_BITS, int(3 * size).bit_length())
+        bits = max(LEAST_BITS, int(2 * size).bit_length())
         if self.bits[-1] != bits:
             self.bits[-1] = bits
             self.counts[-1], self.odds[-1] = np.zeros(2 << bits, np.uint64), np.zeros(1 << bits, np.float32)
@@ -261,16 +265,16 @@ class Model:
         p = 1 / (1 + np.exp(-middle))
         return np.log((self.fixes[1] + 8 * p) / (self.fixes[0] + 8 * (1 - p))).astype(np.float32)
 
-    def steps(self, text: np.ndarray, offsets: np.ndarray, kind: np.ndarray, powers: Powers):
-        """Units of about ``STEP`` bytes at a time: their range, cuts, and the bits of each byte as ``walk`` gives them."""
-        for lo, hi in blocks(offsets, STEP):
+    def steps(self, text: np.ndarray, offsets: np.ndarray, kind: np.ndarray, powers: Powers, limit: int, whole: bool = False):
+        """Units of about ``limit`` bytes at a time: their range, cuts, and the bits of each byte as ``walk`` gives them, with all slots or those of ``whole`` units alone."""
+        for lo, hi in blocks(offsets, limit):
             part, cuts = text[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             if not len(part):
                 continue
             size = np.diff(cuts)
             inside = np.arange(len(part)) - np.repeat(cuts[:-1], size)
             final = inside == np.repeat(size, size) - 1
-            hashes = contexts(part, cuts, inside, kind[lo:hi] & 7, powers)
+            hashes = [so_far(part, cuts, powers)] if whole else contexts(part, cuts, inside, kind[lo:hi] & 7, powers)
             yield lo, hi, cuts, size, self.walk(part, hashes, inside, final)
 
     def walk(self, text, hashes, inside, final):
@@ -302,7 +306,7 @@ class Model:
 
     def gather(self, text, offsets, kind, powers, count) -> None:
         """Add units, each ``count`` times, to the table of whole units."""
-        for lo, hi, _, size, walk in self.steps(text, offsets, kind, powers):
+        for lo, hi, _, size, walk in self.steps(text, offsets, kind, powers, STRETCH, whole=True):
             times = np.repeat(count[lo:hi], size)
             for _, which, _, bit, _, slots, _ in walk:
                 np.add.at(self.counts[-1], slots[-1] * np.uint32(2) + bit, times[which])
@@ -311,7 +315,7 @@ class Model:
     def units(self, text, offsets, kind, powers, count=None) -> np.ndarray:
         """Natural log-probability of each unit; where ``count`` is given, learn from it that often."""
         out = np.zeros(len(kind))
-        for lo, hi, cuts, size, walk in self.steps(text, offsets, kind, powers):
+        for lo, hi, cuts, size, walk in self.steps(text, offsets, kind, powers, STRETCH if count is None else STEP):
             total = np.zeros(cuts[-1], np.float64)
             times = None if count is None else np.repeat(count[lo:hi], size)
             for depth, which, node, bit, gate, slots, far in walk:
