@@ -178,17 +178,54 @@ def test_passages_runs_and_copies(spark, monkeypatch, hot):
     check_repeats(frame(spark, texts))
 
 
-def test_family_levels():
-    f = repeats.Family()
-    data = np.random.default_rng(3).integers(97, 99, 3000).astype(np.uint8)
+def test_family_levels(monkeypatch):
+    """Segments of a two-letter text in many batches: every window that occurs twice is marked, levels fall in size."""
+    monkeypatch.setattr(repeats, "SCAN", 64)
+    draw = np.random.default_rng(3)
+    data = draw.integers(97, 99, 3000).astype(np.uint8)
     data[2000:2500] = data[100:600]
-    windows = np.lib.stride_tricks.sliding_window_view(data, repeats.LENGTH)
-    for at in range(0, len(windows), 170):
-        f.add(windows[at : at + 170])
-    count = collections.Counter(w.tobytes() for w in windows)
-    assert f.twice[: f.size].tolist() == [count[w.tobytes()] > 1 for w in windows]
-    sizes = [len(k) for k, _ in f.levels]
-    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
+    cuts = sorted({0, 2801, *draw.integers(1, 2800, 60).tolist()})
+    f, held = repeats.Family(), []
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        held.append((lo, hi))
+        f.add(repeats.Level(data[lo : hi + 199], [np.array([lo]), np.array([0]), np.array([0]), np.array([hi - lo])]))
+    count = collections.Counter(data[i : i + 200].tobytes() for i in range(2801))
+    marked = {a + i for level in f.levels for a, _, _, ranges in level.matches() for r in ranges for i in range(r["lo"], r["hi"])}
+    assert marked == {i for i in range(2801) if count[data[i : i + 200].tobytes()] > 1}
+    sizes = [len(x.order) for x in f.levels]
+    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False)) and sum(sizes) == 2801
+    for level in f.levels:
+        keys = [level.data[i : i + 200].tobytes() for i in level.order]
+        assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize("hot", (2, 1000))
+def test_batches_extend_the_family(spark, monkeypatch, hot):
+    """Three batches, one after the other, give what all documents at once give; levels are read back, merged and kept."""
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+    draw = random.Random(37)
+    text = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz é\n", k=n))
+    passages = [text(draw.randrange(220, 500)) for _ in range(6)]
+    texts = [text(draw.randrange(30, 300)) + draw.choice(passages) + text(draw.randrange(30, 300)) for _ in range(60)] + ["z" * 700, text(300), "", None]
+    texts += [texts[0], texts[1], passages[0]]
+    df = frame(spark, texts).cache()
+    family = repeats.Passages()
+    for i in range(3):
+        family.add(repeats.keyed(df.where(F.col("doc_id") % 3 == i)))
+    got = repeats.stripped(repeats.keyed(df), family.cuts()).collect()
+    want = brute_repeats([(t or "").encode() for t in texts])
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == dict(enumerate(want))
+    index = family.union(family.index)
+    if hot > 2:
+        assert index.where("what = 'gone'").count() > 0 and family.levels().count() < index.where("what = 'level'").count()
+
+
+def test_long_texts_in_overlapping_pieces(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK", 500)
+    draw = random.Random(41)
+    text = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    p = text(900)
+    check_repeats(frame(spark, [text(1500) + p + text(700), text(333) + p[100:800] + text(2000), text(500), text(699), p[:400], "ab" * 1200]))
 
 
 def test_repeats_edge_cases(spark, docs, empty):

@@ -5,9 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-#: Odd multiplier of the polynomial hash and its inverse modulo 2**64.
+#: Odd multiplier of the polynomial hash.
 BASE = 0x9E3779B97F4A7C15
-BASE_INV = pow(BASE, -1, 1 << 64)
 
 
 def binary_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -61,17 +60,18 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Powers:
-    """Powers of BASE and its inverse modulo 2**64, grown on demand."""
+    """Powers of an odd base and its inverse modulo 2**64, grown on demand."""
 
-    def __init__(self) -> None:
+    def __init__(self, base: int = BASE) -> None:
+        self.base = base
         self.up = np.ones(1, np.uint64)
         self.down = np.ones(1, np.uint64)
 
     def to(self, n: int) -> None:
         if len(self.up) <= n:
             m = max(n + 1, 1 << 16)
-            up = np.full(m, BASE, np.uint64)
-            down = np.full(m, BASE_INV, np.uint64)
+            up = np.full(m, self.base, np.uint64)
+            down = np.full(m, pow(self.base, -1, 1 << 64), np.uint64)
             up[0] = down[0] = 1
             with np.errstate(over="ignore"):
                 self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)

@@ -3,16 +3,19 @@
 Every byte that is covered by a string of ``LENGTH`` bytes that also starts anywhere else is removed.
 Windows of that length are dealt out by content: each belongs to the least hashed ``GRAM``-byte gram that it
 holds, its anchor, so equal windows meet wherever they stand. Consecutive windows with one anchor
-form a segment. Equal segments are counted by digest before anything is shuffled as bytes; only anchors
-with several different segments need the index. There each task keeps a family of arrays of sorted
-suffixes (cut at ``LENGTH`` bytes): a new batch gets its array, is merge-scanned against the levels for
-long matches, and levels of equal size merge geometrically. Segments of an anchor with very many different
-ones (a passage with as many contexts as copies) are split into single windows, which are counted like
-equal segments.
-
-Null texts are empty; texts shorter than ``LENGTH`` bytes lose nothing; equal rows are two
-occurrences, so both lose what they share; rows that share a doc_id are told apart by their text; an
-empty table gives an empty result, other columns are ignored.
+form a segment. Equal segments (one anchor, 96 bits of digest) are one kind; anchors that one segment alone
+has leave at once. Kinds that share an anchor go to the index: buckets of anchors, each a family of suffix
+arrays, sorted starts of windows over the text of the level. A new batch gets its array, is merge-scanned against
+the levels for long matches, byte by byte, and levels of equal size merge geometrically. Levels are rows
+of a table in the shared folder: ``Passages.add`` takes further documents at any time, reads the levels of the
+buckets that they touch and writes those that are new.
+
+Kinds of an anchor with very many different ones (a passage with as many contexts as copies) are cut into
+single windows, so that no bucket holds them all; equal windows (one anchor, 128 bits of digest) are counted.
+
+Null texts are empty; texts shorter than ``LENGTH`` bytes lose nothing; very long texts are cut into overlapping
+pieces while they are read; equal rows are two occurrences, so both lose what they share; rows that share a
+doc_id, null included, are told apart by their text; an empty table gives an empty result, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._io import map_arrow, materialize
+from ._io import map_arrow, materialize, own_exchange
 from ._text import Powers, binary_column, blocks, mix, prefix_hash, span_hash
 
 LENGTH, GRAM = 200, 100
-#: Different segments of an anchor from which on they are split into windows, and segments in a task of the index.
-HOT_SEGMENTS, TASK_SEGMENTS = 1000, 4000
+#: Kinds of an anchor from which on they are cut into windows, kinds of a bucket in the first batch, and windows that are compared at once.
+HOT_SEGMENTS, BUCKET_SEGMENTS, SCAN = 1000, 1000, 1 << 15
 BLOCK = 2 << 20
+#: Base of the second digest.
+BASE2 = 0xD6E8FEB86659FD93
 
 
 def least_in_window(key: np.ndarray, width: int) -> np.ndarray:
@@ -44,11 +49,11 @@ def least_in_window(key: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, powers: Powers):
-    """Row, first window, number of windows, anchor and digest of every segment of a block of texts."""
+def segments(data: np.ndarray, offsets: np.ndarray, powers: Powers, powers2: Powers):
+    """Row, first window, number of windows, anchor and two digests of every segment of a block of texts."""
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none, none, none
     prefix = prefix_hash(data, powers)
     grams = mix((prefix[GRAM:] - prefix[:-GRAM]) * powers.down[: len(data) - GRAM + 1])
     bits = np.uint64(max(21, int(len(data)).bit_length()))
@@ -57,98 +62,166 @@ def segments(data: np.ndarray, offsets: np.ndarray, powers: Powers):
     ends = np.repeat(offsets[1:], np.diff(offsets))[: len(least)]
     at = np.flatnonzero(ends - np.arange(len(least)) >= LENGTH)
     if not len(at):
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none, none, none
     anchor = (least[at] & mask).astype(np.int64)
     new = np.ones(len(at), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.flatnonzero(new)
     p0, count = at[first], np.diff(np.append(first, len(at)))
-    digest = span_hash(prefix, p0, p0 + count - 1 + LENGTH, powers)
+    h = span_hash(prefix, p0, p0 + count - 1 + LENGTH, powers)
+    a = grams[anchor[first]]
+    del grams, least, ends
+    g = span_hash(prefix_hash(data, powers2), p0, p0 + count - 1 + LENGTH, powers2)
     row = np.searchsorted(offsets, p0, "right") - 1
-    return row, p0 - offsets[row], count, grams[anchor[first]], digest
+    return row, p0 - offsets[row], count, a.view(np.int64), h.view(np.int64), (g >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+SEGMENT_SCHEMA = "doc_id long, key long, p int, w int, a long, h long, g int"
+
+
+def pieces(offsets: np.ndarray):
+    """(first row, end row, start in it, bytes) of stretches of whole rows, and of overlapping parts of rows that are longer than a block."""
+    for lo, hi in blocks(offsets, BLOCK):
+        size = int(offsets[hi] - offsets[lo])
+        if size <= BLOCK + LENGTH:
+            yield lo, hi, 0, size
+        else:
+            for at in range(0, size - LENGTH + 1, BLOCK):
+                yield lo, lo + 1, at, min(size - at, BLOCK + LENGTH - 1)
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """One row per segment: doc_id, key (of the text), p (first window), w (windows), a (anchor), h (digest)."""
+    """One row per segment: doc_id, key (of the text), p (first window), w (windows), a (anchor), h and g (digests)."""
 
     def find(batches):
-        powers = Powers()
+        powers, powers2 = Powers(), Powers(BASE2)
         for batch in batches:
             data, offsets = binary_column(batch, "raw")
-            doc = batch.column(0).to_numpy(zero_copy_only=False) if batch.column(0).null_count == 0 else None
-            for lo, hi in blocks(offsets, BLOCK):
+            for lo, hi, at, size in pieces(offsets):
+                cuts = offsets[lo : hi + 1] - offsets[lo] if at == 0 and size == offsets[hi] - offsets[lo] else np.array([0, size])
                 with np.errstate(over="ignore"):
-                    row, p, w, a, h = segments(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], powers)
+                    row, p, w, a, h, g = segments(data[offsets[lo] + at : offsets[lo] + at + size], cuts, powers, powers2)
                 take = pa.array(row + lo)
-                ids = pa.array(doc[row + lo]) if doc is not None else batch.column(0).take(take)
-                yield pa.RecordBatch.from_arrays([ids, batch.column(1).take(take), pa.array(p, pa.int32()), pa.array(w, pa.int32()), pa.array(a.view(np.int64)), pa.array(h.view(np.int64))], names=["doc_id", "key", "p", "w", "a", "h"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(p + at, pa.int32()), pa.array(w, pa.int32()), pa.array(a), pa.array(h), pa.array(g, pa.int32())], names=[f.split()[0] for f in SEGMENT_SCHEMA.split(", ")])
+
+    return map_arrow(docs.select("doc_id", "key", "raw"), find, SEGMENT_SCHEMA)
 
-    return map_arrow(docs.select("doc_id", "key", "raw"), find, "doc_id long, key long, p int, w int, a long, h long")
+
+CONTENT_SCHEMA = "a long, h long, g int, w int, x long, y long, bytes binary"
 
 
 def contents(docs: DataFrame) -> DataFrame:
-    """For ``wanted`` segments (p, w, a, h, hot) of each text: their bytes or, where hot, the digest of each window."""
+    """For ``wanted`` segments (p, w, a, h, g, hot) of each text: their bytes or, where hot, the number and digests of each window."""
 
     def cut(batches):
-        powers = Powers()
+        powers, powers2 = Powers(), Powers(BASE2)
+        fields = [f.split() for f in CONTENT_SCHEMA.split(", ")]
+        types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
         for batch in batches:
-            rows = {k: [] for k in ("a", "h", "w", "x", "bytes")}
+            rows = []
             for raw, wanted in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 raw = raw.as_py()
-                prefix = None
                 for s in wanted:
+                    part = raw[s["p"] : s["p"] + s["w"] - 1 + LENGTH]
                     if not s["hot"]:
-                        found = [(s["w"], None, raw[s["p"] : s["p"] + s["w"] - 1 + LENGTH])]
-                    else:
-                        with np.errstate(over="ignore"):
-                            if prefix is None:
-                                prefix = prefix_hash(np.frombuffer(raw, np.uint8), powers)
-                            at = np.arange(s["p"], s["p"] + s["w"])
-                            found = [(k, x, None) for k, x in enumerate(span_hash(prefix, at, at + LENGTH, powers).view(np.int64).tolist())]
-                    for w, x, b in found:
-                        rows["a"].append(s["a"])
-                        rows["h"].append(s["h"])
-                        rows["w"].append(w)
-                        rows["x"].append(x)
-                        rows["bytes"].append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(rows["a"], pa.int64()), pa.array(rows["h"], pa.int64()), pa.array(rows["w"], pa.int32()), pa.array(rows["x"], pa.int64()), pa.array(rows["bytes"], pa.binary())], names=list(rows))
-
-    return map_arrow(docs.select("raw", "wanted"), cut, "a long, h long, w int, x long, bytes binary")
+                        rows.append((s["a"], s["h"], s["g"], s["w"], None, None, part))
+                        continue
+                    at = np.arange(s["w"])
+                    with np.errstate(over="ignore"):
+                        x, y = (span_hash(prefix_hash(np.frombuffer(part, np.uint8), q), at, at + LENGTH, q).view(np.int64).tolist() for q in (powers, powers2))
+                    rows += [(s["a"], s["h"], s["g"], k, i, j, None) for k, (i, j) in enumerate(zip(x, y, strict=True))]
+            columns = zip(*rows, strict=True) if rows else [()] * len(fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+    return map_arrow(docs.select("raw", "wanted"), cut, CONTENT_SCHEMA)
+
+
+class Level:
+    """Segments one after the other in ``data`` and ``order``, the starts of their windows sorted by what follows them."""
+
+    def __init__(self, data: np.ndarray, keys: list[np.ndarray], order: np.ndarray | None = None, uid: str | None = None) -> None:
+        self.data, self.keys, self.uid = data, keys, uid  # keys: a, h, g and w of each segment
+        w = keys[3].astype(np.int64)
+        self.at = np.concatenate([[0], np.cumsum(w + LENGTH - 1)])
+        if order is None:
+            starts = np.concatenate([np.arange(lo, lo + n) for lo, n in zip(self.at[:-1].tolist(), w.tolist(), strict=True)])
+            order = starts[np.argsort(self.windows(starts), kind="stable")]
+        self.order = order.astype(np.int32)
+        self.hit = np.zeros(len(data), bool)
+
+    def windows(self, starts: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(self.data, LENGTH)[starts]).view(f"S{LENGTH}").ravel()
+
+    def find_own(self) -> None:
+        """Mark windows that occur twice in this level."""
+        keys = self.windows(self.order)
+        same = np.flatnonzero(keys[1:] == keys[:-1])
+        self.hit[self.order[same]] = self.hit[self.order[same + 1]] = True
+
+    def scan(self, old: Level) -> None:
+        """Mark what this level, a new batch, and an old one have in common, reading both in their order."""
+        keys = self.windows(self.order)
+        edges = np.zeros(len(keys) + 1, np.int64)
+        for at in range(0, len(old.order), SCAN):
+            part = old.order[at : at + SCAN]
+            theirs = old.windows(part)
+            left, right = np.searchsorted(keys, theirs), np.searchsorted(keys, theirs, "right")
+            both = right > left
+            old.hit[part[both]] = True
+            np.add.at(edges, left[both], 1)
+            np.add.at(edges, right[both], -1)
+        self.hit[self.order[np.cumsum(edges[:-1]) > 0]] = True
+
+    def place(self, key: bytes) -> int:
+        """How many windows come before ``key``."""
+        lo, hi = 0, len(self.order)
+        while lo < hi:
+            mid = (lo + hi) // 2
+            if self.data[self.order[mid] : self.order[mid] + LENGTH].tobytes() < key:
+                lo = mid + 1
+            else:
+                hi = mid
+        return lo
+
+    def merged(self, other: Level) -> Level:
+        """One level of both, stretch by stretch."""
+        shift, out, done = len(self.data), [], 0
+        for at in range(0, len(self.order), SCAN):
+            mine = self.order[at : at + SCAN]
+            end = at + SCAN
+            upto = other.place(self.data[self.order[end] : self.order[end] + LENGTH].tobytes()) if end < len(self.order) else len(other.order)
+            theirs = other.order[done:upto]
+            done = max(done, upto)
+            starts = np.concatenate([mine, theirs + shift])
+            out.append(starts[np.argsort(np.concatenate([self.windows(mine), other.windows(theirs)]), kind="stable")])
+        new = Level(np.concatenate([self.data, other.data]), [np.concatenate(k) for k in zip(self.keys, other.keys, strict=True)], np.concatenate(out))
+        new.hit = np.concatenate([self.hit, other.hit])
+        return new
+
+    def matches(self):
+        """(a, h, g, ranges of windows) of the segments with marked windows."""
+        for i in np.flatnonzero(np.add.reduceat(self.hit, self.at[:-1])) if len(self.hit) else ():
+            a, h, g, w = (k[i] for k in self.keys)
+            yield int(a), int(h), int(g), runs(self.hit[self.at[i] : self.at[i] + w])
 
 
 class Family:
-    """Arrays of sorted suffixes at levels of falling size; ``twice[i]`` is set for window i once an equal one is seen."""
+    """Levels of falling size."""
 
-    def __init__(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        self.twice = np.zeros(1024, bool)
-        self.size = 0
-
-    def add(self, windows: np.ndarray) -> None:
-        """A batch of windows, one a row."""
-        n = len(windows)
-        if self.size + n > len(self.twice):
-            self.twice = np.concatenate([self.twice, np.zeros(self.size + n, bool)])
-        keys = np.ascontiguousarray(windows).view(f"S{LENGTH}").ravel()
-        order = np.argsort(keys, kind="stable")
-        keys, ids = keys[order], order + self.size
-        self.size += n
-        same = keys[1:] == keys[:-1]
-        self.twice[ids[1:][same]] = self.twice[ids[:-1][same]] = True
-        for old, old_ids in self.levels:
-            left, right = np.searchsorted(old, keys), np.searchsorted(old, keys, "right")
-            hit = right > left
-            self.twice[ids[hit]] = True
-            edges = np.zeros(len(old) + 1, np.int64)
-            np.add.at(edges, left[hit], 1)
-            np.add.at(edges, right[hit], -1)
-            self.twice[old_ids[np.cumsum(edges[:-1]) > 0]] = True
-        self.levels.append((keys, ids))
-        while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
-            (k1, i1), (k2, i2) = self.levels.pop(), self.levels.pop()
-            keys, ids = np.concatenate([k2, k1]), np.concatenate([i2, i1])
-            order = np.argsort(keys, kind="stable")  # two sorted runs: one merge
-            self.levels.append((keys[order], ids[order]))
+    def __init__(self, levels: list[Level] | None = None) -> None:
+        self.levels = sorted(levels or [], key=lambda x: -len(x.order))
+        self.gone: list[str] = []
+
+    def add(self, new: Level) -> None:
+        """A batch: scanned against itself and every level, then merged while the level before is no more than twice as large."""
+        new.find_own()
+        for old in self.levels:
+            new.scan(old)
+        self.levels.append(new)
+        while len(self.levels) > 1 and len(self.levels[-2].order) <= 2 * len(self.levels[-1].order):
+            b, a = self.levels.pop(), self.levels.pop()
+            self.gone += [x.uid for x in (a, b) if x.uid]
+            self.levels.append(a.merged(b))
 
 
 def runs(mask: np.ndarray) -> list[dict]:
@@ -160,55 +233,143 @@ RANGES = "array<struct<lo:int,hi:int>>"
 RANGE_TYPE = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
 
-def matched(segs: DataFrame) -> DataFrame:
-    """(a, h, ranges): the windows of each segment that an equal one in the same task has been found for."""
+INDEX_SCHEMA = f"what string, uid string, bucket long, a long, h long, g int, ranges {RANGES}, data binary, starts binary, keys binary"
+
+
+def indexed(rows: DataFrame) -> DataFrame:
+    """What a batch changes in the index: rows are the live levels of its buckets (uid, data, starts, keys) and its segments (a, h, g, w, data), by bucket.
+
+    Rows come out as new levels, levels that have merged into them (``gone``) and matches of segments, old and new.
+    """
+    names = [f.split()[0] for f in INDEX_SCHEMA.replace(RANGES, "x").split(", ")]
+
+    def change(batches):
+        import uuid
+
+        def close(bucket, family):
+            base = dict.fromkeys(names)
+            out = [base | {"what": "gone", "uid": u, "bucket": bucket} for u in family.gone]
+            for level in family.levels:
+                out += [base | {"what": "match", "bucket": bucket, "a": a, "h": h, "g": g, "ranges": r} for a, h, g, r in level.matches()]
+                if level.uid is None:
+                    keys = b"".join(k.astype(t).tobytes() for k, t in zip(level.keys, ("<i8", "<i8", "<i4", "<i4"), strict=True))
+                    out.append(base | {"what": "level", "uid": uuid.uuid4().hex, "bucket": bucket, "data": level.data.tobytes(), "starts": level.order.astype("<i4").tobytes(), "keys": keys})
+            columns = [pa.array([r[n] for r in out], t) for n, t in zip(names, types, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), RANGE_TYPE, pa.binary(), pa.binary(), pa.binary()]
+        now, family, waiting, fresh = None, None, [], []
+
+        def flush():
+            """Restored levels first, then what has come of the batch so far."""
+            nonlocal family, waiting, fresh
+            if family is None:
+                family, waiting = Family(waiting), []
+            if fresh:
+                a, h, g, w, data = zip(*fresh, strict=True)
+                family.add(Level(np.frombuffer(b"".join(data), np.uint8), [np.array(a, np.int64), np.array(h, np.int64), np.array(g, np.int32), np.array(w, np.int32)]))
+                fresh = []
 
-    def index(batches):
-        family, held = Family(), []
         for batch in batches:
-            views = []
-            for a, h, w, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                views.append(np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), LENGTH)[:w])
-                held.append((a, h, w))
-            if views:
-                family.add(np.concatenate(views))
-        at, out = 0, []
-        for a, h, w in held:
-            if family.twice[at : at + w].any():
-                out.append((a, h, runs(family.twice[at : at + w])))
-            at += w
-        a, h, r = zip(*out, strict=True) if out else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(h, pa.int64()), pa.array(r, RANGE_TYPE)], names=["a", "h", "ranges"])
-
-    return map_arrow(segs.select("a", "h", "w", "bytes"), index, f"a long, h long, ranges {RANGES}")
-
-
-def removable(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, cuts): byte intervals of each text (raw, key) that repeat anywhere."""
-    segs = materialize(located(docs), "segments")
-    anchors = segs.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("n > 1").select("a", (F.col("lo") == F.col("hi")).alias("same"))
-    # aggregates are written before they are joined: both sides of the join are then dealt by its own exchanges, which Spark splits where a key is hot
-    shared = materialize(segs.join(materialize(anchors, "anchors"), "a"), "shared")
-    kinds = shared.where("not same").groupBy("a", "h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "p", "w")).alias("at"))
-    kinds = materialize(kinds, "kinds")
-    per = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT_SEGMENTS)
-    wanted = kinds.join(per, "a", "left").select("at.*", "a", "h", F.col("m").isNotNull().alias("hot"))
-    wanted = wanted.groupBy("_id", "_key").agg(F.collect_list(F.struct("p", "w", "a", "h", "hot")).alias("wanted"))
-    found = materialize(contents(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))), "contents")
-    found = found.dropDuplicates(["a", "h", "w"])
-    cold = found.where("x is null")
-    tasks = max(1, -(-kinds.count() // TASK_SEGMENTS))
-    parts = matched(cold.repartition(max(tasks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "a"))
-    # single windows of hot anchors: equal ones are counted
-    hot = found.where("x is not null")
-    twice = hot.groupBy("a", "x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "x")
-    single = hot.join(twice, ["a", "x"]).groupBy("a", "h").agg(F.array_sort(F.collect_list(F.struct(F.col("w").alias("lo"), (F.col("w") + 1).alias("hi")))).alias("ranges"))
-    ranges = materialize(parts.union(single), "ranges")
-    whole = F.array(F.struct(F.lit(0).alias("lo"), F.col("w").alias("hi")))
-    counted = kinds.select("a", "h", "n").join(ranges, ["a", "h"], "left").where("n > 1 or ranges is not null").select("a", "h", (F.col("n") > 1).alias("again"), "ranges")
-    got = shared.join(materialize(counted, "counted"), ["a", "h"], "left").withColumn("r", F.when(F.col("same") | F.col("again"), whole).otherwise(F.col("ranges")))
-    cuts = F.transform("r", lambda r: F.struct((F.col("p") + r["lo"]).alias("lo"), (F.col("p") + r["hi"] - 1 + LENGTH).alias("hi")))
-    return got.where("r is not null").groupBy("doc_id", "key").agg(F.flatten(F.collect_list(cuts)).alias("cuts"))
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                bucket, uid, a, h, g, w, data, starts, keys = r
+                if bucket != now:
+                    if now is not None:
+                        flush()
+                        yield close(now, family)
+                    now, family = bucket, None
+                if uid is not None:
+                    n = len(keys) // 24
+                    parts = [np.frombuffer(keys, t, n, at * n) for t, at in (("<i8", 0), ("<i8", 8), ("<i4", 16), ("<i4", 20))]
+                    waiting.append(Level(np.frombuffer(data, np.uint8), parts, np.frombuffer(starts, "<i4"), uid))
+                else:
+                    fresh.append((a, h, g, w, data))
+            if now is not None and fresh:
+                flush()
+        if now is not None:
+            flush()
+            yield close(now, family)
+
+    return map_arrow(rows.select("bucket", "uid", "a", "h", "g", "w", "data", "starts", "keys"), change, INDEX_SCHEMA)
+
+
+class Passages:
+    """Repeated passages of a growing set of documents.
+
+    ``add`` takes a DataFrame (doc_id, key, raw) that can be read again; ``cuts`` gives the byte intervals of all
+    documents so far that repeat anywhere among them. Segments, kinds that have been looked at and the index are tables in the
+    shared folder, one more for each batch. The number of buckets is set by the first batch.
+    """
+
+    def __init__(self) -> None:
+        self.docs: list[DataFrame] = []
+        self.segs: list[DataFrame] = []
+        self.seen: list[DataFrame] = []
+        self.index: list[DataFrame] = []
+        self.buckets = 0
+
+    @staticmethod
+    def union(frames: list[DataFrame]) -> DataFrame:
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def kinds(self) -> DataFrame:
+        """(a, h, g, n, at): different segments of anchors that occur twice; ``at`` is one place, m the kinds of the anchor."""
+        segs = self.union(self.segs)
+        per = segs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(own_exchange("a"))
+        self.shared = materialize(segs.join(per, "a"), "shared")
+        place = F.struct(F.col("doc_id").alias("i"), F.col("key").alias("k"), "p", "w")
+        return materialize(self.shared.groupBy("a", "h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at")), "kinds")
+
+    def add(self, docs: DataFrame) -> None:
+        self.docs.append(docs)
+        self.segs.append(materialize(located(docs), "segments"))
+        self.every = kinds = self.kinds()
+        per = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(own_exchange("a"), (F.col("m") > HOT_SEGMENTS).alias("hot"))
+        wanted = kinds.join(per, "a").select("a", "h", "g", "at", "hot")
+        if self.seen:
+            done = self.union(self.seen).select("a", "h", "g", F.col("x").isNotNull().alias("hot")).distinct()
+            wanted = wanted.join(done, ["a", "h", "g", "hot"], "left_anti")
+        wanted = wanted.groupBy(F.col("at.i").alias("i"), F.col("at.k").alias("k")).agg(F.collect_list(F.struct("at.p", "at.w", "a", "h", "g", "hot")).alias("wanted"))
+        texts = self.union(self.docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")))
+        found = materialize(contents(texts).dropDuplicates(["a", "h", "g", "w"]), "contents")
+        self.seen.append(found)
+        cold = found.where("x is null")
+        if not self.buckets:
+            self.buckets = 1 << max(6, (cold.count() // BUCKET_SEGMENTS).bit_length())
+        none = lambda kind: F.lit(None).cast(kind)
+        fresh = cold.select(F.pmod("a", F.lit(self.buckets)).alias("bucket"), none("string").alias("uid"), "a", "h", "g", "w", F.col("bytes").alias("data"), none("binary").alias("starts"), none("binary").alias("keys"))
+        rows = fresh
+        if self.index:
+            touched = fresh.select("bucket").distinct()
+            live = self.levels().join(touched, "bucket", "left_semi")
+            rows = fresh.unionByName(live.select("bucket", "uid", none("long").alias("a"), none("long").alias("h"), none("int").alias("g"), none("int").alias("w"), "data", "starts", "keys"))
+        rows = rows.repartition("bucket").sortWithinPartitions("bucket", F.col("uid").isNull(), "a", "h", "g")
+        self.index.append(materialize(indexed(rows), "index"))
+
+    def levels(self) -> DataFrame:
+        """Live levels: those that no later batch has merged into another."""
+        index = self.union(self.index)
+        gone = index.where("what = 'gone'").select("bucket", "uid")
+        return index.where("what = 'level'").join(gone, ["bucket", "uid"], "left_anti")
+
+    def cuts(self) -> DataFrame:
+        """(doc_id, key, cuts): byte intervals of each text."""
+        found = self.union(self.seen)
+        parts = self.union(self.index).where("what = 'match'").select("a", "h", "g", "ranges")
+        # single windows of hot anchors: equal ones of different kinds are counted
+        hot = found.where("x is not null").select("a", "h", "g", "w", "x", "y")
+        twice = hot.groupBy("a", "x", "y").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(own_exchange("a"), "x", "y")
+        single = hot.join(twice, ["a", "x", "y"]).groupBy("a", "h", "g").agg(F.array_sort(F.collect_list(F.struct(F.col("w").alias("lo"), (F.col("w") + 1).alias("hi")))).alias("ranges"))
+        ranges = parts.unionByName(single).groupBy("a", "h", "g").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+        counted = self.every.select("a", "h", "g", "n").join(ranges, ["a", "h", "g"], "left").where("n > 1 or ranges is not null")
+        counted = counted.select(own_exchange("a"), "h", "g", (F.col("n") > 1).alias("again"), "ranges")
+        whole = F.array(F.struct(F.lit(0).alias("lo"), F.col("w").alias("hi")))
+        got = self.shared.join(counted, ["a", "h", "g"]).withColumn("r", F.when(F.col("again"), whole).otherwise(F.col("ranges")))
+        spans = F.transform("r", lambda r: F.struct((F.col("p") + r["lo"]).alias("lo"), (F.col("p") + r["hi"] - 1 + LENGTH).alias("hi")))
+        return got.groupBy("doc_id", "key").agg(F.flatten(F.collect_list(spans)).alias("cuts"))
 
 
 def joined_cuts(cuts: list[dict]) -> list[tuple[int, int]]:
@@ -224,8 +385,20 @@ def joined_cuts(cuts: list[dict]) -> list[tuple[int, int]]:
 
 def without_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; ``texts`` adds the bytes that stay (``kept``)."""
-    x = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("raw")).withColumn("key", F.xxhash64("raw"))
-    cut = removable(x)
+    x = keyed(docs)
+    family = Passages()
+    family.add(x)
+    return stripped(x, family.cuts(), texts)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, key (of the text) and raw, the text's bytes."""
+    raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    return docs.select(F.col("doc_id").cast("long"), raw.alias("raw"), F.xxhash64(raw).alias("key"))
+
+
+def stripped(x: DataFrame, cut: DataFrame, texts: bool = False) -> DataFrame:
+    """The result columns of rows (doc_id, key, raw) and their ``cut``."""
     got = x.join(cut.withColumnRenamed("doc_id", "_id").withColumnRenamed("key", "_key"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left").select("doc_id", "raw", "cuts")
 
     def strip(batches):
