@@ -164,11 +164,14 @@ def test_dump_files(spark, tmp_path):
 def test_which_ranges_may_move(spark):
     x = spark.createDataFrame([(1, 30, None), (2, 90, None), (3, None, None), (4, None, True), (5, 90, False)], "id int, minutes_since_move int, balanced boolean")
     assert rows(x.where(balance.movable()), "id") == [2, 3, 5]
-    assert balance.move_target(-1000, 300) == 99 and balance.move_target(-100, 300) == -33
+    x = spark.createDataFrame([(-1000, 300), (-100, 300), (50, -50)], "f long, t long").select(balance.move_target("f", "t").alias("m"))
+    assert [r["m"] for r in x.collect()] == [99, -33, -16]
     a = spark.createDataFrame([([(1, 5, None), (2, 6, None)],)], "chunks array<struct<id:int,cnt:int,balanced:boolean>>")
     assert [c["balanced"] for c in balance.mark_balanced(a, [2]).first()["chunks"]] == [None, True]
 
 
-def test_sizes_of_plans():
-    assert ranges.partition_count(1000, 10**6) == 1 and ranges.partition_count(1 << 30, 50) == 1 and ranges.partition_count(1 << 30, 10**6) == 3
-    assert ranges.sample_size(5000) == 50 and ranges.sample_size(10**9) == 25_000
+def test_sizes_of_plans(spark):
+    x = spark.range(1).select(ranges.partition_count(1000, 10**6), ranges.partition_count(1 << 30, 50), ranges.partition_count(1 << 30, 10**6), ranges.sample_size(5000), ranges.sample_size(10**9))
+    assert tuple(x.first()) == (1, 1, 3, 50, 25_000)
+    x = spark.range(1).select(ranges.split_size(10**9, 2), ranges.split_size(10**6, 2), ranges.split_size(10**8, 2))
+    assert tuple(x.first()) == (16793599, 2 << 20, 5_000_000)

@@ -139,7 +139,56 @@ def ratio(a, b) -> Column:
 
 
 def midpoint(lo, hi) -> Column:
-    return c(lo) + F.floor((c(hi) - c(lo)) / 2).cast("long")
+    """The middle of two long keys; a null end is open and counts as the type's least or greatest value."""
+    low, high = F.coalesce(c(lo), F.lit(-(1 << 63))), F.coalesce(c(hi), F.lit((1 << 63) - 1))
+    # halves first: the difference of open ends does not fit
+    return F.shiftright(low, 1) + F.shiftright(high, 1) + F.shiftright((low.bitwiseAND(F.lit(1)) + high.bitwiseAND(F.lit(1))).cast("long"), 1)
+
+
+def per_hour(amount, seconds) -> Column:
+    """Gigabytes an hour from bytes and seconds of running; 0 where either is missing or no time has passed."""
+    return F.when(F.coalesce(c(seconds), F.lit(0)) > 0, F.coalesce(gigabytes(amount), F.lit(0.0)) / (c(seconds) / 3600.0)).otherwise(0.0)
+
+
+def stored_size(json) -> Column:
+    """Estimated bytes of a stored document: the binary form takes about 0.65 of its JSON."""
+    return F.floor(F.octet_length(c(json)) * 0.65).cast("long")
+
+
+def minutes_between(since, now) -> Column:
+    """Whole minutes; null where it never happened."""
+    return F.floor((F.unix_micros(c(now).cast("timestamp")) - F.unix_micros(c(since).cast("timestamp"))) / 60_000_000).cast("long")
+
+
+def key_pattern(names, kinds) -> Column:
+    """An index key as JSON, in order; numbers bare, kinds such as hashed or text quoted."""
+    bare = lambda x: F.when(x.rlike(r"^-?\d+(\.\d+)?$"), x).otherwise(F.concat(F.lit('"'), x, F.lit('"')))
+    pair = F.zip_with(c(names), c(kinds), lambda n, k: F.concat(F.lit('"'), n, F.lit('": '), bare(k)))
+    return F.concat(F.lit("{"), F.array_join(pair, ", "), F.lit("}"))
+
+
+def normal_key(pattern) -> Column:
+    """A key pattern with whole numbers in one form: 1, 1.0 and 1.00 are the same direction."""
+    return F.regexp_replace(F.regexp_replace(c(pattern), r"\s+", ""), r"(:-?\d+)\.0+(?=[,}])", "$1")
+
+
+def driver_text(meta) -> Column:
+    """Name and version of the driver in a session's JSON metadata; null without a name."""
+    name, version = F.get_json_object(c(meta), "$.driver.name"), F.get_json_object(c(meta), "$.driver.version")
+    return F.when(name.isNotNull(), F.concat_ws(" ", name, version))
+
+
+def first_user(session) -> Column:
+    """The user of a session: the first effective one, else the one named directly."""
+    return F.coalesce(F.get_json_object(c(session), "$.effectiveUsers[0].user"), F.get_json_object(c(session), "$.user"))
+
+
+#: Fixed ranks of value kinds where kinds differ; numbers of all kinds compare by value, at the rank of 64-bit ones.
+KIND_RANK = {"null": -2, "min": -1, "string": 2, "object": 3, "array": 4, "binary": 5, "id": 7, "bool": 8, "date": 9, "number": 18, "max": 99}
+
+
+def kind_rank(kind) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in KIND_RANK.items() for x in kv]), c(kind))
 
 
 def log_seconds(ts64) -> Column:

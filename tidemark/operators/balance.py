@@ -44,10 +44,10 @@ def move_pairs(targets: DataFrame, most: int = 2) -> DataFrame:
     return a.join(b, ["ns", "pair_no"]).where(ok).select("ns", "pair_no", "from_shard", "to_shard")
 
 
-def move_target(from_delta: int, to_delta: int) -> int:
-    """Operations to move between two shards: a third of the smaller distance from their targets, with its sign."""
-    smaller = min(from_delta, to_delta, key=abs)
-    return round(0.33 * abs(smaller)) * (1 if smaller >= 0 else -1)
+def move_target(from_delta, to_delta) -> Column:
+    """Operations to move between two shards: a third of the distance from its target of the shard that is nearer to it, with its sign."""
+    smaller = F.when(F.abs(F.col(from_delta)) < F.abs(F.col(to_delta)), F.col(from_delta)).otherwise(F.col(to_delta))
+    return F.floor(smaller * 0.33 + 0.5).cast("long")
 
 
 def movable(last_move: str = "minutes_since_move", balanced: str = "balanced", least: int = 60) -> Column:
@@ -55,7 +55,20 @@ def movable(last_move: str = "minutes_since_move", balanced: str = "balanced", l
     return F.coalesce(F.col(last_move) > least, F.lit(True)) & ~F.coalesce(F.col(balanced), F.lit(False))
 
 
-def mark_balanced(activity: DataFrame, ids: list[int]) -> DataFrame:
-    """Sets ``balanced`` in the matching elements of the array ``chunks``; all others stay."""
-    hit = lambda x: x["id"].isin(ids)
+def planned_moves(activity: DataFrame, targets: DataFrame, most: int = 2) -> DataFrame:
+    """Ranges to move for each pair of a hot and a cold shard: the most active movable ones of the hot shard until their
+    sum reaches the pair's target; the crossing one and the first are in."""
+    delta = lambda side: targets.select("ns", F.col("shard").alias(f"{side}_shard"), F.col("delta_ops").alias(f"{side}_delta"))
+    pairs = move_pairs(targets, most).join(delta("from"), ["ns", "from_shard"]).join(delta("to"), ["ns", "to_shard"])
+    pairs = pairs.withColumn("target", move_target("from_delta", "to_delta")).select("ns", "pair_no", F.col("from_shard").alias("shard"), "to_shard", "target")
+    x = activity.where(movable()).join(pairs, ["ns", "shard"])
+    w = Window.partitionBy("ns", "pair_no").orderBy(F.desc("cnt"), "range_id")
+    prev = F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    x = x.withColumn("prev", prev).withColumn("_n", F.row_number().over(w)).where((F.col("prev") < F.col("target")) | (F.col("_n") == 1))
+    return x.select("ns", "pair_no", "range_id", F.col("shard").alias("from_shard"), "to_shard", "cnt", "target")
+
+
+def mark_balanced(activity: DataFrame, ids) -> DataFrame:
+    """Sets ``balanced`` in the elements of the array ``chunks`` whose id is in ``ids`` (a list or an array column); all others stay."""
+    hit = (lambda x: x["id"].isin(ids)) if isinstance(ids, list) else (lambda x: F.array_contains(F.coalesce(F.col(ids), F.array().cast("array<bigint>")), x["id"]))
     return activity.withColumn("chunks", F.transform("chunks", lambda x: x.withField("balanced", F.when(hit(x), True).otherwise(x["balanced"]))))

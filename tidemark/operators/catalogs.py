@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import is_system_db, ns_db
+
 
 def index_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Specs of ``a`` without an equal one in ``b``, and in what the one of the same name and key differs."""
@@ -15,9 +17,9 @@ def index_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.select("ns", "name", kind.alias("diff_kind")).where("diff_kind is not null")
 
 
-def chunk_diff(a: DataFrame, b: DataFrame, shard_map: dict[str, str]) -> DataFrame:
-    mapped = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in shard_map.items() for x in kv]), F.col("shard")), F.col("shard"))
-    x = a.select("chunk_id", mapped.alias("expected_shard")).join(b.select("chunk_id", F.col("shard").alias("actual_shard")), "chunk_id", "left")
+def chunk_diff(a: DataFrame, b: DataFrame, shard_map: DataFrame) -> DataFrame:
+    """Each chunk of ``a`` with the shard that the map expects it on and the one that ``b`` has it on."""
+    x = mapped(a.select("chunk_id", F.col("shard").alias("expected_shard")), "expected_shard", shard_map).join(b.select("chunk_id", F.col("shard").alias("actual_shard")), "chunk_id", "left")
     return x.withColumn("status", F.when(F.col("actual_shard").isNull(), "missing").when(F.col("actual_shard") != F.col("expected_shard"), "mismatched").otherwise("ok"))
 
 
@@ -39,3 +41,44 @@ def uuid_consistency(colls: DataFrame) -> DataFrame:
 
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def shard_map(sources: DataFrame, targets: DataFrame, explicit: list[str] | None = None, spread: bool = False) -> DataFrame:
+    """(source, target) of shards, given as frames of one column ``shard``.
+
+    Explicit entries ``a|b`` decide where they are given. Else shards are matched by position in name order, one to one; with
+    ``spread`` sources are dealt to the targets in turn, however many there are. Shards are few, so one window numbers them.
+    """
+    if explicit is not None:
+        pairs = [tuple(x.split("|", 1)) for x in explicit]
+        return sources.select(F.col("shard").alias("source")).join(F.broadcast(sources.sparkSession.createDataFrame(pairs, "source string, target string")), "source")
+    numbered = lambda df, name: df.select(F.col("shard").alias(name), (F.row_number().over(Window.orderBy("shard")) - 1).alias("_n"))
+    s, t = numbered(sources, "source"), numbered(targets, "target")
+    if not spread:
+        return s.join(t, "_n").select("source", "target")
+    size = targets.agg(F.count(F.lit(1)).alias("_size"))
+    return s.join(F.broadcast(size)).withColumn("_n", F.col("_n") % F.col("_size")).join(t, "_n").select("source", "target")
+
+
+def mapped(df: DataFrame, column: str, shard_map: DataFrame) -> DataFrame:
+    """``df`` with the shards of ``column`` replaced by those that a map of few rows names; others keep theirs."""
+    m = F.broadcast(shard_map.select(F.col("source").alias("_source"), F.col("target").alias("_target")))
+    return df.join(m, F.col(column) == F.col("_source"), "left").withColumn(column, F.coalesce("_target", column)).drop("_source", "_target")
+
+
+def user_collections(entries: DataFrame) -> DataFrame:
+    """Catalog entries (ns, type, ...) without views, system collections and system databases."""
+    return entries.where((F.col("type") == "collection") & ~F.col("ns").rlike(r"^[^.]*\.system\.") & ~is_system_db(ns_db("ns")))
+
+
+def catalog_totals(entries: DataFrame) -> DataFrame:
+    """Collections, documents, bytes and indexes of each database, sharded and not, and in all."""
+    kept = user_collections(entries).withColumn("db", ns_db("ns")).withColumn("sharded", F.when(F.col("sharded"), "sharded").otherwise("unsharded"))
+    g = kept.rollup("db", "sharded").agg(F.count(F.lit(1)).alias("collections"), F.sum("docs").alias("docs"), F.sum("bytes").alias("bytes"), F.sum("indexes").alias("indexes"))
+    return g.select(F.coalesce("db", F.lit("ALL")).alias("db"), F.coalesce("sharded", F.lit("ALL")).alias("sharded"), "collections", "docs", "bytes", "indexes")
+
+
+def hinted_index(indexes: DataFrame, shard_keys: DataFrame) -> DataFrame:
+    """For each namespace the index with the fewest fields of those that hold all fields of the shard key (arrays ``fields`` and ``key_fields``)."""
+    x = indexes.join(shard_keys, "ns").where(F.size(F.array_except("key_fields", "fields")) == 0)
+    return x.groupBy("ns").agg(F.min_by("name", F.struct(F.size("fields"), F.col("name"))).alias("name"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,28 @@ def pivot_score(metric: DataFrame, shard_count: int) -> DataFrame:
     return g.select("ns", F.round(F.when((F.col("s") == 0) | (F.col("m") == 0), 0.0).otherwise(F.col("m") * (F.col("m") / (F.col("s") / shard_count))), 4).alias("score"))
 
 
+def pivot_metrics(rows: DataFrame, names: list[str], shards: list[str]) -> DataFrame:
+    """(ns, metric, one column a shard) from rows (ns, shard, metrics); a shard without a row has 0."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("v")) for n in names]))
+    x = rows.select("ns", "shard", pairs.alias("m")).select("ns", "shard", "m.*")
+    p = x.groupBy("ns", "metric").pivot("shard", shards).agg(F.sum("v"))
+    return p.select("ns", "metric", *[F.round(F.coalesce(s, F.lit(0.0)), 4).alias(s) for s in shards])
+
+
+def eviction_notes(history_mb: int = 512) -> list[Column]:
+    """One expression for each threshold of cache eviction, null where it is not crossed: from pct (dirty share), app, dirty
+    and clean (pages evicted by applications, changed, unchanged), blocked and waits (evictions held up), history (MB)."""
+    n = F.col
+    return [
+        F.when(n("pct") >= 20, "a fifth or more is dirty: applications evict").when(n("pct") >= 5, "a twentieth or more is dirty: eviction runs"),
+        F.when(n("app") > 0, "applications take part in eviction"),
+        F.when((n("dirty") > 0) & (n("clean") == 0), "only changed pages leave"),
+        F.when(n("blocked") > 0, "pages in use hold eviction up"),
+        F.when(n("waits") > 0, "a checkpoint holds eviction up"),
+        F.when(n("history") > history_mb, F.concat(F.lit("old versions take "), n("history").cast("long"), F.lit(" MB"))),
+    ]
+
+
 def connections(sessions: DataFrame, *by: str) -> DataFrame:
     """Totals by group; seconds only of active sessions that have any."""
     secs = F.when(F.col("active"), F.col("secs"))

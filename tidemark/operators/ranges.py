@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges up to which the range side is broadcast and probed as one sorted array.
-FEW = 10_000
+from tidemark.sources.work import stored
 
+#: Ranges up to which each row may be held against all of them.
+FEW = 64
 
-def floor_join(rows: DataFrame, key: str, ranges: DataFrame, few: bool = True, bins: int = 64) -> DataFrame:
+
+def floor_join(rows: DataFrame, key: str, ranges: DataFrame, few: bool | None = None) -> DataFrame:
     """Each row with the range [lo, hi) that holds its key; ranges are disjoint, a null hi is open, keys below all are dropped.
 
-    Few ranges (the caller knows the bound, ``FEW``) are broadcast. Many are spread over bins of equal width that
-    both sides are equi-joined on, a range once for each bin it touches.
+    The ranges are counted: up to ``FEW`` are broadcast and every row is held against them. Many are spread over bins of
+    equal width, two for each range, that both sides are equi-joined on, a range once for each bin it touches; an
+    open range is joined apart by its lower bound alone. ``few`` forces one of the two forms.
     """
     inside = (F.col(key) >= F.col("lo")) & (F.col("hi").isNull() | (F.col(key) < F.col("hi")))
-    if few:
+    n = ranges.limit(FEW + 1).count() if few is None else 0
+    if few or (few is None and n <= FEW):
         return rows.join(F.broadcast(ranges), inside)
-    span = ranges.agg(F.min("lo").alias("least"), F.max(F.coalesce("hi", F.col("lo") + 1)).alias("most")).withColumn("w", F.greatest(F.lit(1), F.ceil((F.col("most") - F.col("least")) / bins)))
-    at = lambda x: F.least(F.lit(bins), F.floor((x - F.col("least")) / F.col("w"))).cast("long")
-    r = ranges.join(F.broadcast(span)).withColumn("_bin", F.explode(F.sequence(at(F.col("lo")), F.coalesce(at(F.col("hi") - 1), F.lit(bins).cast("long"))))).drop("least", "most", "w")
+    bins = 2 * ranges.count()
+    closed, open_ = ranges.where("hi is not null"), ranges.where("hi is null")
+    span = closed.agg(F.min("lo").alias("least"), F.max("hi").alias("most")).withColumn("w", F.greatest(F.lit(1), F.ceil((F.col("most") - F.col("least")) / bins)))
+    at = lambda x: F.floor((x - F.col("least")) / F.col("w")).cast("long")
+    r = closed.join(F.broadcast(span)).withColumn("_bin", F.explode(F.sequence(at(F.col("lo")), at(F.col("hi") - 1)))).drop("least", "most", "w")
     x = rows.join(F.broadcast(span)).withColumn("_bin", at(F.col(key))).drop("least", "most", "w")
-    return x.join(r, (x["_bin"] == r["_bin"]) & inside).drop("_bin")
+    found = x.join(r, (x["_bin"] == r["_bin"]) & inside).drop("_bin")
+    return found.unionByName(rows.join(F.broadcast(open_), F.col(key) >= F.col("lo")))  # disjoint ranges: one is open at most
 
 
 def merge_runs(ranges: DataFrame) -> DataFrame:
@@ -33,39 +40,59 @@ def merge_runs(ranges: DataFrame) -> DataFrame:
     return g.select("ns", "grp", "shard", "lo", "hi", F.expr("slice(_los, 2, greatest(size(_los) - 1, 0))").alias("mids"), "n")
 
 
-def equal_depth_bounds(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """Exact upper bounds of n shares of nearly equal size.
+def ranked(rows: DataFrame, key: str, *group: str) -> DataFrame:
+    """Adds r, the rank of ``key`` within its group from 1, and total, the group's rows.
 
-    Ranks come from counts of key ranges, so no task sorts all rows: keys are range-partitioned, each
-    partition ranks its own and adds the counts of those before it.
+    Rows are dealt out by ranges of (group, key) and stored; each part ranks its own and adds the counts of the parts
+    before it, so no task sorts a whole group. Equal keys stay in one part: a key that a large share of all rows has
+    should be counted before.
     """
     parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    x = rows.select(F.col(key).alias("key")).repartitionByRange(parts, "key").withColumn("_part", F.spark_partition_id())
-    counts = x.groupBy("_part").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("first"))
-    before = counts.withColumn("before", F.coalesce(F.sum("c").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("total", F.sum("c").over(Window.partitionBy()))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy("key")) + F.col("before")
-    y = x.join(F.broadcast(before.select("_part", "before", "total")), "_part").withColumn("r", rank)
+    x = stored(rows.repartitionByRange(parts, *group, key).withColumn("_part", F.spark_partition_id()), "ranked")
+    counts = x.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("c"))
+    whole = Window.partitionBy(*group)
+    before = counts.withColumn("_before", F.coalesce(F.sum("c").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("total", F.sum("c").over(whole)).drop("c")
+    y = x.join(before, [*group, "_part"])
+    return y.withColumn("r", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(key)) + F.col("_before")).drop("_part", "_before")
+
+
+def equal_depth_bounds(rows: DataFrame, key: str, n: int | Column) -> DataFrame:
+    """Exact bounds of n shares of nearly equal size; n may be an expression over ``total``, the number of rows."""
+    y = ranked(rows.select(F.col(key).alias("key")), "key").withColumn("_n", F.lit(n) if isinstance(n, int) else n)
     # the first total % n shares hold one row more, as ntile does
-    size, more = F.floor(F.col("total") / n), F.col("total") % n
+    size, more = F.floor(F.col("total") / F.col("_n")), F.col("total") % F.col("_n")
     tile = F.when(F.col("r") <= more * (size + 1), F.ceil(F.col("r") / (size + 1))).otherwise(more + F.ceil((F.col("r") - more * (size + 1)) / F.greatest(size, F.lit(1))))
     return y.groupBy(tile.cast("int").alias("tile")).agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n"))
 
 
-def partition_count(size: int, docs: int, part_size: int = 400 << 20, least_docs: int = 101) -> int:
-    """Partitions of ``part_size`` bytes; small tables are one."""
-    n = size // part_size + 1
-    return 1 if n < 2 or docs < least_docs else n
+def partition_count(size, docs, part_size: int = 400 << 20, least_docs: int = 101) -> Column:
+    """Partitions of ``part_size`` bytes, the last one begun; small tables are one. Expressions or numbers."""
+    size, docs = (F.lit(x) if isinstance(x, int) else x for x in (size, docs))
+    return F.when(docs < least_docs, 1).otherwise(F.floor(size / part_size) + 1).cast("long")
 
 
-def sample_size(docs: int) -> int:
+def sample_size(docs) -> Column:
     """Keys to draw for bounds: one in a hundred of a small table, a fixed number of a large one."""
-    return docs // 100 if docs < 100_000 else 25_000
+    docs = F.lit(docs) if isinstance(docs, int) else docs
+    return F.when(docs < 100_000, F.floor(docs * 0.01 + 0.5)).otherwise(25_000).cast("long")
+
+
+def sampled(rows: DataFrame, key: str, n: int, seed: str = "sample") -> DataFrame:
+    """n rows at random, the same on every run: those with the least digests of key and seed."""
+    return rows.orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))), key).limit(n)
+
+
+def split_size(size, shards: int, most: int = 16793599, mega: int = 1 << 20) -> Column:
+    """Bytes between two split points: a tenth of a shard's share, at most ``most``; below a megabyte, two."""
+    size = F.lit(size) if isinstance(size, int) else size
+    share = F.floor(F.floor(size / shards) / 10)
+    return F.when(share >= most, most).when(share < mega, 2 * mega).otherwise(share).cast("long")
 
 
-def partition_plan(bounds: DataFrame, docs: int, n: int) -> DataFrame:
-    """(part_no, lo, hi, est_docs) from (tile, lo, hi): the last range is open."""
-    w = Window.orderBy("tile")
-    return bounds.select((F.col("tile") - 1).cast("int").alias("part_no"), "lo", F.lead("lo").over(w).alias("hi"), F.lit(docs // n).cast("long").alias("est_docs"))
+def partition_plan(bounds: DataFrame) -> DataFrame:
+    """(part_no, lo, hi, est_docs) from (tile, lo, hi, n): the last range is open. One row a partition, so one window."""
+    w, whole = Window.orderBy("tile"), Window.partitionBy()
+    return bounds.select((F.col("tile") - 1).cast("int").alias("part_no"), "lo", F.lead("lo").over(w).alias("hi"), F.floor(F.sum("n").over(whole) / F.count(F.lit(1)).over(whole)).cast("long").alias("est_docs"))
 
 
 def neighbours(keys: DataFrame, key: str) -> DataFrame:

@@ -34,6 +34,10 @@ INPUTS = {
         FROM (SELECT n.ns, s.shard, coalesce(l.total_ops, 0) AS total_ops, coalesce(l.active_chunks, 0) AS active_chunks, l.ns IS NOT NULL AS seen,
           CAST(sum(coalesce(l.total_ops, 0)) OVER (PARTITION BY n.ns) AS BIGINT) // count(*) OVER (PARTITION BY n.ns) AS target
           FROM (SELECT DISTINCT ns FROM load) n CROSS JOIN (SELECT DISTINCT shard FROM uranges) s LEFT JOIN load l ON l.ns = n.ns AND l.shard = s.shard)""",
+    "pairs": """SELECT a.ns, a.rn AS pair_no, a.shard AS from_shard, b.shard AS to_shard FROM
+        (SELECT *, CAST(row_number() OVER (PARTITION BY ns ORDER BY total_ops DESC, shard) AS INTEGER) AS rn, sum(above::INT) OVER (PARTITION BY ns) AS n FROM targets) a
+        JOIN (SELECT *, CAST(row_number() OVER (PARTITION BY ns ORDER BY total_ops, shard DESC) AS INTEGER) AS rn FROM targets) b ON a.ns = b.ns AND a.rn = b.rn
+        WHERE a.above AND NOT (NOT b.above AND b.total_ops > 0) AND a.shard <> b.shard AND a.rn <= least(2, a.n)""",
     "dup": "SELECT k, cust, status, cents, 1 AS part FROM src UNION ALL SELECT k, cust, status, cents + 1, 2 FROM src WHERE k % 50 = 0 UNION ALL SELECT k, cust, status, cents + 2, 3 FROM src WHERE k % 200 = 0",
     "dup_ids": "SELECT k, CAST(count(*) AS BIGINT) AS copies FROM dup GROUP BY k HAVING count(*) > 1",
     "archive": """SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY cents, part) AS INTEGER) AS copy_no, cust, status, cents FROM dup WHERE k IN (SELECT k FROM dup_ids)""",

@@ -65,20 +65,19 @@ def topn_per_group(spark, sf):
     return metric(spark, sf).withColumn("rn", F.row_number().over(w)).where("rn <= 2")
 
 
-@query("""SELECT entity, concat_ws(', ', CASE WHEN pct >= 20 THEN 'DIRTY>=20% app threads evicting' WHEN pct >= 5 THEN 'DIRTY>=5% background eviction active' END,
-    CASE WHEN app > 0 THEN 'app threads helping evict' END, CASE WHEN dirty > 0 AND clean = 0 THEN 'eviction is all dirty pages' END, CASE WHEN blocked > 0 THEN 'hazard-ptr blocked eviction' END) AS notes FROM
+@query("""SELECT entity, concat_ws(', ', CASE WHEN pct >= 20 THEN 'a fifth or more is dirty: applications evict' WHEN pct >= 5 THEN 'a twentieth or more is dirty: eviction runs' END,
+    CASE WHEN app > 0 THEN 'applications take part in eviction' END, CASE WHEN dirty > 0 AND clean = 0 THEN 'only changed pages leave' END, CASE WHEN blocked > 0 THEN 'pages in use hold eviction up' END,
+    CASE WHEN waits > 0 THEN 'a checkpoint holds eviction up' END, CASE WHEN history > 512 THEN 'old versions take ' || CAST(history AS BIGINT) || ' MB' END) AS notes FROM
     (SELECT user_id AS entity, 100.0 * count(*) FILTER (event_type = 'error') / count(*) AS pct, count(*) FILTER (event_type = 'signup' AND value > 100) AS app, count(*) FILTER (event_type = 'click') AS dirty,
-      count(*) FILTER (event_type = 'view' AND value > 60) AS clean, count(*) FILTER (value > 250) AS blocked FROM events GROUP BY user_id)""")
+      count(*) FILTER (event_type = 'view' AND value > 60) AS clean, count(*) FILTER (value > 250) AS blocked, count(*) FILTER (event_id % 97 = 0) AS waits, sum(event_id % 64) AS history FROM events GROUP BY user_id)""")
 def diagnose(spark, sf):
-    """Which of the eviction thresholds an entity crosses."""
-    t, v = F.col("event_type"), F.col("value")
+    """Which of the six thresholds of cache eviction an entity crosses."""
+    t, v, i = F.col("event_type"), F.col("value"), F.col("event_id")
     g = load(spark, sf, "events").groupBy(F.col("user_id").alias("entity")).agg(
         (100.0 * F.count_if(t == "error") / F.count(F.lit(1))).alias("pct"), F.count_if((t == "signup") & (v > 100)).alias("app"), F.count_if(t == "click").alias("dirty"),
-        F.count_if((t == "view") & (v > 60)).alias("clean"), F.count_if(v > 250).alias("blocked"),
+        F.count_if((t == "view") & (v > 60)).alias("clean"), F.count_if(v > 250).alias("blocked"), F.count_if(i % 97 == 0).alias("waits"), F.sum(i % 64).alias("history"),
     )
-    pct = F.when(F.col("pct") >= 20, "DIRTY>=20% app threads evicting").when(F.col("pct") >= 5, "DIRTY>=5% background eviction active")
-    notes = [pct, F.when(F.col("app") > 0, "app threads helping evict"), F.when((F.col("dirty") > 0) & (F.col("clean") == 0), "eviction is all dirty pages"), F.when(F.col("blocked") > 0, "hazard-ptr blocked eviction")]
-    return g.select("entity", F.concat_ws(", ", *notes).alias("notes"))
+    return g.select("entity", F.concat_ws(", ", *metrics.eviction_notes()).alias("notes"))
 
 
 @query("""SELECT event_type AS series, round(quantile_cont(value, 0.95), 4) AS p95, round(avg(value), 4) AS mean, max(value) AS most FROM events GROUP BY event_type""")
@@ -100,7 +99,7 @@ CONN = """SELECT {k} CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (ac
 
 def conn(name: str, *by: str) -> None:
     def f(spark, sf):
-        return metrics.connections(d.sessions(spark, sf), *by)
+        return metrics.connections(d.sessions(spark, sf), *by).orderBy(F.desc("total"), *by)
 
     f.__name__ = name
     query(CONN.format(k=", ".join(by) + ",", g=", ".join(by)))(f)
@@ -158,10 +157,22 @@ def index_diff(spark, sf):
     return catalogs.index_diff(*d.index_specs(spark, sf))
 
 
-@query("""SELECT a.chunk_id, CASE a.shard WHEN 'shard0' THEN 'shard0' ELSE a.shard END AS expected_shard, b.shard AS actual_shard, CASE WHEN b.shard IS NULL THEN 'missing' WHEN b.shard <> a.shard THEN 'mismatched' ELSE 'ok' END AS status
-    FROM chunks_a a LEFT JOIN chunks_b b USING (chunk_id)""")
+MAPPED = "CASE {x} WHEN 'shard0' THEN 'new1' WHEN 'shard1' THEN 'new0' WHEN 'shard2' THEN 'new2' ELSE {x} END"
+
+
+def new_shards(spark):
+    """The map of an explicit list of entries; two shards have changed places."""
+    old = spark.createDataFrame([(f"shard{i}",) for i in range(3)], "shard string")
+    return catalogs.shard_map(old, old, explicit=["shard0|new1", "shard1|new0", "shard2|new2"])
+
+
+@query(f"""SELECT a.chunk_id, {MAPPED.format(x="a.shard")} AS expected_shard, b.shard AS actual_shard, CASE WHEN b.shard IS NULL THEN 'missing' WHEN b.shard <> {MAPPED.format(x="a.shard")} THEN 'mismatched' ELSE 'ok' END AS status
+    FROM chunks_a a LEFT JOIN (SELECT chunk_id, CASE WHEN shard = 'shard1' THEN 'new0' WHEN shard = 'shard0' AND chunk_id NOT LIKE '%00%' THEN 'new1' ELSE 'new2' END AS shard FROM chunks_b) b USING (chunk_id)""")
 def chunk_diff(spark, sf):
-    return catalogs.chunk_diff(*d.chunk_catalogs(spark, sf), {"shard0": "shard0"})
+    """Chunks against a cluster whose shards have other names; one of them holds what it should not."""
+    a, b = d.chunk_catalogs(spark, sf)
+    moved = F.when(F.col("shard") == "shard1", "new0").when((F.col("shard") == "shard0") & ~F.col("chunk_id").contains("00"), "new1").otherwise("new2")
+    return catalogs.chunk_diff(a, b.withColumn("shard", moved), new_shards(spark))
 
 
 @query("SELECT coalesce(a.shard, b.shard) AS shard, coalesce(a.n, 0) AS src, coalesce(b.n, 0) AS dst FROM (SELECT shard, count(*) AS n FROM chunks_a GROUP BY shard) a FULL JOIN (SELECT shard, count(*) AS n FROM chunks_b GROUP BY shard) b ON a.shard = b.shard")
@@ -187,13 +198,19 @@ def uuid_consistency(spark, sf):
     return catalogs.uuid_consistency(d.collections(spark, sf))
 
 
-@query("SELECT n.n_name AS db, 'shard' || (n.n_regionkey % 3) AS src_primary, 'shard' || ((n.n_regionkey + CASE WHEN n.n_nationkey % 6 = 0 THEN 1 ELSE 0 END) % 3) AS dst_primary, n.n_nationkey % 6 <> 0 AS ok FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
+@query(f"""SELECT db, src_primary, mapped, dst_primary, dst_primary IS NOT NULL AND mapped = dst_primary AS ok, CASE WHEN dst_primary IS NULL THEN 'missing' WHEN mapped = dst_primary THEN 'ok' ELSE 'mismatched' END AS status FROM (
+    SELECT n_name AS db, 'shard' || (n_regionkey % 3) AS src_primary, {MAPPED.format(x="('shard' || (n_regionkey % 3))")} AS mapped,
+      CASE WHEN n_nationkey % 11 = 0 THEN NULL WHEN n_nationkey % 6 = 0 THEN 'new2' ELSE {MAPPED.format(x="('shard' || (n_regionkey % 3))")} END AS dst_primary FROM nation)""")
 def mapped_primary(spark, sf):
-    """Primary shards of databases against those that the shard map expects."""
-    n = load(spark, sf, "nation").join(F.broadcast(load(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
-    src, dst = F.col("n_regionkey") % 3, (F.col("n_regionkey") + F.when(F.col("n_nationkey") % 6 == 0, 1).otherwise(0)) % 3
-    x = n.select(F.col("n_name").alias("db"), F.concat(F.lit("shard"), src).alias("src_primary"), F.concat(F.lit("shard"), dst).alias("dst_primary"))
-    return x.withColumn("ok", F.col("src_primary") == F.col("dst_primary"))
+    """Primary shards of databases against those that the shard map expects; some databases are missing."""
+    n, m = load(spark, sf, "nation"), new_shards(spark)
+    home = F.concat(F.lit("shard"), F.col("n_regionkey") % 3)
+    src = n.select(F.col("n_name").alias("db"), home.alias("src_primary"), home.alias("mapped"))
+    dst = catalogs.mapped(n.select(F.col("n_name").alias("db"), "n_nationkey", home.alias("dst_primary")), "dst_primary", m)
+    dst = dst.where("n_nationkey % 11 <> 0").select("db", F.when(F.col("n_nationkey") % 6 == 0, "new2").otherwise(F.col("dst_primary")).alias("dst_primary"))
+    x = catalogs.mapped(src, "mapped", m).join(dst, "db", "left")
+    status = F.when(F.col("dst_primary").isNull(), "missing").when(F.col("mapped") == F.col("dst_primary"), "ok").otherwise("mismatched")
+    return x.withColumn("status", status).withColumn("ok", F.col("status") == "ok")
 
 
 @query("SELECT 'db.n' || n_nationkey AS ns, '{\"k\":1}' AS src_key, CASE WHEN n_nationkey % 4 = 0 THEN '{\"k\":-1}' ELSE '{\"k\":1}' END AS dst_key FROM nation WHERE n_nationkey % 4 = 0")
@@ -214,15 +231,128 @@ def chunk_catalog_join(spark, sf):
     return d.ranges(spark, sf).where("shard <> 'shard9'").join(F.broadcast(colls), "ns").select("ns", "id", "uuid", "lo", "shard").orderBy("ns", "lo")
 
 
-@query("SELECT 'documents' AS name, CAST(count(*) AS BIGINT) AS count FROM documents UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM documents) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM events) + (SELECT count(*) FROM nation)")
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS name, CAST(count(*) AS BIGINT) AS count FROM {t}" for t in TABLES)
+
+
+@query(f"SELECT * FROM ({COUNTS}) UNION ALL SELECT 'TOTAL', CAST(sum(count) AS BIGINT) FROM ({COUNTS})")
 def catalog_stats(spark, sf):
     """Rows of each table and in all; counts come from file footers."""
     from functools import reduce
 
-    per = reduce(lambda a, b: a.unionByName(b), [load(spark, sf, t).agg(F.count(F.lit(1)).alias("count")).select(F.lit(t).alias("name"), "count") for t in ("documents", "orders", "events", "nation")])
+    per = reduce(lambda a, b: a.unionByName(b), [load(spark, sf, t).agg(F.count(F.lit(1)).alias("count")).select(F.lit(t).alias("name"), "count") for t in TABLES])
     return per.unionByName(per.agg(F.sum("count").alias("count")).select(F.lit("TOTAL").alias("name"), "count"))
 
 
+ENTRIES = """SELECT db || '.' || CASE WHEN p_size % 17 = 0 THEN 'system.' ELSE '' END || p_brand AS ns, CASE WHEN p_brand = 'Brand#2' THEN 'view' ELSE 'collection' END AS type, CAST(count(*) AS BIGINT) AS docs,
+    CAST(sum(p_size) * 1024 AS BIGINT) AS bytes, CAST(count(DISTINCT p_type) AS BIGINT) AS indexes, bool_or(p_type = 'SMALL') AS sharded FROM (SELECT *, CASE WHEN p_partkey % 9 = 0 THEN 'config' ELSE 'db' || (p_partkey % 2) END AS db FROM part) GROUP BY 1, 2"""
+
+
+@query(f"""SELECT coalesce(db, 'ALL') AS db, coalesce(sharded, 'ALL') AS sharded, CAST(count(*) AS BIGINT) AS collections, CAST(sum(docs) AS BIGINT) AS docs, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(indexes) AS BIGINT) AS indexes
+    FROM (SELECT docs, bytes, indexes, split_part(ns, '.', 1) AS db, CASE WHEN sharded THEN 'sharded' ELSE 'unsharded' END AS sharded FROM ({ENTRIES}) WHERE type = 'collection' AND ns NOT LIKE '%.system.%' AND ns NOT LIKE 'config.%') GROUP BY ROLLUP (db, sharded)""")
+def catalog_totals(spark, sf):
+    """A catalog with views, system collections and databases, reduced to users' collections and summed with sizes and indexes."""
+    p = load(spark, sf, "part").withColumn("db", F.when(F.col("p_partkey") % 9 == 0, "config").otherwise(F.concat(F.lit("db"), F.col("p_partkey") % 2)))
+    ns = F.concat("db", F.lit("."), F.when(F.col("p_size") % 17 == 0, "system.").otherwise(""), "p_brand")
+    entries = p.groupBy(ns.alias("ns"), F.when(F.col("p_brand") == "Brand#2", "view").otherwise("collection").alias("type")).agg(
+        F.count(F.lit(1)).alias("docs"), (F.sum("p_size") * 1024).alias("bytes"), F.count_distinct("p_type").alias("indexes"), F.bool_or(F.col("p_type") == "SMALL").alias("sharded")
+    )
+    return catalogs.catalog_totals(entries)
+
+
+@query("""SELECT 'position' AS mode, 'a' || i AS source, 'b' || i AS target FROM (SELECT unnest(range(3)) AS i) UNION ALL SELECT 'explicit', 'a' || i, CASE WHEN i < 2 THEN 'b0' ELSE 'b2' END FROM (SELECT unnest(range(3)) AS i)
+    UNION ALL SELECT 'spread', 'c' || i, 'b' || (i % 3) FROM (SELECT unnest(range(7)) AS i)""")
+def shard_maps(spark, sf):
+    """The three ways to map shards: by position, by a list of entries, dealt in turn."""
+    names = lambda prefix, n: spark.range(n).select(F.concat(F.lit(prefix), "id").alias("shard"))
+    tag = lambda df, mode: df.select(F.lit(mode).alias("mode"), "source", "target")
+    a, b, c = names("a", 3), names("b", 3), names("c", 7)
+    return tag(catalogs.shard_map(a, b), "position").unionByName(tag(catalogs.shard_map(a, b, explicit=["a0|b0", "a1|b0", "a2|b2"]), "explicit")).unionByName(tag(catalogs.shard_map(c, b, spread=True), "spread"))
+
+
+@query("""SELECT a.ns, a.name, CASE WHEN b.ns IS NULL THEN 'missing' WHEN a.ttl <> b.ttl AND a.uniq = b.uniq AND a.sparse = b.sparse THEN 'ttl' WHEN a.ttl = b.ttl AND a.uniq <> b.uniq AND a.sparse = b.sparse THEN 'unique'
+    WHEN a.ttl = b.ttl AND a.uniq = b.uniq THEN 'sparse' ELSE 'other' END AS diff_kind FROM (SELECT * FROM ispec_a WHERE ttl IS NOT NULL) a LEFT JOIN (SELECT * FROM ispec_b WHERE ttl IS NOT NULL) b USING (ns, name, key)
+    WHERE b.ns IS NULL OR a.ttl <> b.ttl OR a.uniq <> b.uniq OR a.sparse <> b.sparse""")
+def ttl_diff(spark, sf):
+    """Only indexes that expire documents are compared."""
+    a, b = (x.where("ttl is not null") for x in d.index_specs(spark, sf))
+    return catalogs.index_diff(a, b)
+
+
+@query("""SELECT p_partkey AS id, '{"a":' || (CASE WHEN p_size % 2 = 0 THEN '1' ELSE '-1' END) || ',"b":"hashed"}' AS key, true AS same FROM part""")
+def key_patterns(spark, sf):
+    """Key patterns written with whole numbers, decimals and spaces have one form."""
+    from tidemark.functions.scalars import key_pattern, normal_key
+
+    k = F.col("p_partkey")
+    sign = F.when(F.col("p_size") % 2 == 0, "1").otherwise("-1")
+    written = F.concat(F.lit('{ "a" : '), sign, F.when(k % 3 == 0, ".0").when(k % 3 == 1, ".00").otherwise(""), F.lit(' , "b":"hashed" }'))
+    rendered = key_pattern(F.array(F.lit("a"), F.lit("b")), F.array(sign, F.lit("hashed")))
+    return load(spark, sf, "part").select(k.alias("id"), normal_key(written).alias("key"), (normal_key(written) == normal_key(rendered)).alias("same"))
+
+
+@query("""SELECT 'Brand#' || i AS ns, CASE WHEN i % 3 = 0 THEN 'ab_1' WHEN i % 3 = 1 THEN 'a_1' ELSE 'abc_1' END AS name FROM (SELECT unnest(range(1, 7)) AS i)""")
+def hint_index(spark, sf):
+    """The index to read chunks by: the one with the fewest fields that holds the shard key."""
+    ns = spark.range(1, 7).select(F.concat(F.lit("Brand#"), "id").alias("ns"), "id")
+    have = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, f)).alias("fields")) for n, f in (("a_1", "a"), ("ab_1", "ab"), ("abc_1", "abc"), ("zabc_1", "zabc"))]))
+    want = F.when(F.col("id") % 3 == 0, F.array(F.lit("b"))).when(F.col("id") % 3 == 1, F.array(F.lit("a"))).otherwise(F.array(F.lit("c"), F.lit("a")))
+    return catalogs.hinted_index(ns.select("ns", have.alias("x")).select("ns", "x.*"), ns.select("ns", want.alias("key_fields")))
+
+
+@query("SELECT 'shard' || i AS shard, i = 2 AS draining, true AS zones FROM (SELECT unnest(range(4)) AS i) WHERE i < 3 UNION ALL SELECT 'shard3', false, true")
+def draining_shards(spark, sf):
+    """Shards of an unfinished removal (unmarked ones are not), and whether any zone is set."""
+    shards = spark.range(4).select(F.concat(F.lit("shard"), "id").alias("shard"), F.when(F.col("id") == 2, True).when(F.col("id") < 2, False).alias("draining"))
+    zones = spark.createDataFrame([("eu", "shard1")], "zone string, shard string").agg((F.count(F.lit(1)) > 0).alias("zones"))
+    return shards.withColumn("draining", F.coalesce("draining", F.lit(False))).join(F.broadcast(zones))
+
+
+@query("SELECT event_id AS seq, CAST(2000 + event_id % 8 AS BIGINT) AS opcode FROM events WHERE 2000 + event_id % 8 = 2004")
+def opcode_filter(spark, sf):
+    """Recorded messages of queries alone."""
+    return load(spark, sf, "events").select(F.col("event_id").alias("seq"), (2000 + F.col("event_id") % 8).alias("opcode")).where("opcode = 2004")
+
+
+@query("""SELECT db, shard, size, round(avg(size) OVER (PARTITION BY db), 4) AS avg_size, round(100.0 * size / sum(size) OVER (), 4)::DOUBLE AS pct FROM
+    (SELECT 'db' || (l_orderkey % 3) AS db, 'shard' || (l_suppkey % 4) AS shard, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS size FROM lineitem GROUP BY 1, 2)""")
+def size_by_db(spark, sf):
+    """Bytes of each database on each shard, the database's mean and the share of all."""
+    g = load(spark, sf, "lineitem").groupBy(F.concat(F.lit("db"), F.col("l_orderkey") % 3).alias("db"), F.concat(F.lit("shard"), F.col("l_suppkey") % 4).alias("shard")).agg(F.sum(F.col("l_quantity").cast("long")).alias("size"))
+    return g.withColumn("avg_size", F.round(F.avg("size").over(Window.partitionBy("db")), 4)).withColumn("pct", F.round(100.0 * F.col("size") / F.sum("size").over(Window.partitionBy()), 4))
+
+
+@query("""SELECT ns, metric, round(coalesce(sum(v) FILTER (shard = 'shard0'), 0), 4) AS shard0, round(coalesce(sum(v) FILTER (shard = 'shard1'), 0), 4) AS shard1, round(coalesce(sum(v) FILTER (shard = 'shard2'), 0), 4) AS shard2, round(coalesce(sum(v) FILTER (shard = 'shard3'), 0), 4) AS shard3 FROM (
+    UNPIVOT (SELECT ns, shard, CAST(count(*) AS DOUBLE) AS ops, sum(value) AS amount, sum(size) / 1048576.0::DOUBLE AS mb, CASE WHEN max(epoch_us(ts)) > min(epoch_us(ts)) THEN sum(size * 1048576) / 1073741824.0::DOUBLE / ((max(epoch_us(ts)) - min(epoch_us(ts))) // 1000000 / 3600.0::DOUBLE) ELSE 0 END AS gb_hour FROM log GROUP BY ns, shard)
+    ON ops, amount, mb, gb_hour INTO NAME metric VALUE v) GROUP BY ns, metric""")
+def metric_pivot(spark, sf):
+    """Every metric of each namespace by shard: operations, amounts, megabytes and gigabytes an hour."""
+    from tidemark.functions.scalars import per_hour
+
+    us = lambda f: f(F.unix_micros(F.col("ts").cast("timestamp")))
+    g = d.change_log(spark, sf).groupBy("ns", "shard").agg(F.count(F.lit(1)).cast("double").alias("ops"), F.sum("value").alias("amount"), F.sum("size").alias("bytes"), F.floor((us(F.max) - us(F.min)) / 1_000_000).alias("seconds"))
+    g = g.withColumn("mb", F.col("bytes") / 1048576.0).withColumn("gb_hour", per_hour(F.col("bytes") * 1048576, "seconds"))
+    return metrics.pivot_metrics(g, ["ops", "amount", "mb", "gb_hour"], SHARDS)
+
+
+@query("""SELECT s.prio AS ns, CAST(s.n AS BIGINT) AS total, CAST(coalesce(x.n, 0) AS BIGINT) AS copied, round(100.0 * coalesce(x.n, 0) / s.n, 4)::DOUBLE AS pct, CAST(s.days - coalesce(x.days, 0) AS BIGINT) AS lag_days
+    FROM (SELECT prio, count(*) AS n, max(CAST(day AS DATE) - DATE '1970-01-01') AS days FROM src GROUP BY prio) s LEFT JOIN (SELECT prio, count(*) AS n, max(CAST(day AS DATE) - DATE '1970-01-01') AS days FROM dst WHERE k < 100000000 AND cust % 7 <> 0 GROUP BY prio) x USING (prio)""")
+def copy_progress(spark, sf):
+    """How far each parallel copy has come, and how far its newest row lies behind."""
+    of = lambda df: df.groupBy(F.col("prio").alias("ns")).agg(F.count(F.lit(1)).alias("n"), F.max(F.unix_date(F.col("day").cast("date"))).alias("days"))
+    s, x = of(d.source(spark, sf)).alias("s"), of(d.dest(spark, sf).where("k < 100000000 and cust % 7 <> 0")).alias("x")
+    n = F.coalesce("x.n", F.lit(0))
+    return s.join(x, "ns", "left").select("ns", F.col("s.n").alias("total"), n.alias("copied"), F.round(100.0 * n / F.col("s.n"), 4).alias("pct"), (F.col("s.days") - F.coalesce("x.days", F.lit(0))).cast("long").alias("lag_days"))
+
+
+@query("""SELECT seq // 1000 AS batch, CAST(count(*) FILTER (op = 'i') AS BIGINT) AS inserted, CAST(count(*) FILTER (op = 'u') AS BIGINT) AS modified, CAST(count(*) FILTER (op = 'd') AS BIGINT) AS deleted, CAST(count(*) FILTER (op = 'i' AND seq % 50 = 0) AS BIGINT) AS duplicates FROM log WHERE op IN ('i', 'u', 'd') GROUP BY 1""")
+def bulk_totals(spark, sf):
+    """What bulk writes have done, summed by batch; inserts that met a key count as duplicates too."""
+    n = lambda c, name: F.count_if(c).alias(name)
+    op = F.col("op")
+    return d.change_log(spark, sf).where(op.isin("i", "u", "d")).groupBy(F.floor(F.col("seq") / 1000).alias("batch")).agg(n(op == "i", "inserted"), n(op == "u", "modified"), n(op == "d", "deleted"), n((op == "i") & (F.col("seq") % 50 == 0), "duplicates"))
+
+
 @query("SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem")
 def count_exact(spark, sf):
     return load(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"))

@@ -117,6 +117,40 @@ def move_pairs(spark, sf):
     return balance.move_pairs(targets(spark, sf))
 
 
+def marked_activity(spark, sf):
+    """Load of ranges with the minutes since each was moved (null: never) and whether it is marked as balanced."""
+    i = F.col("range_id")
+    return activity(spark, sf).withColumn("minutes_since_move", F.when(i % 3 != 0, i * 37 % 120)).withColumn("balanced", F.when(i == 1, True).when(i % 2 == 0, False))
+
+
+@query("""WITH x AS (SELECT a.ns, p.pair_no, a.range_id, a.shard AS from_shard, p.to_shard, a.cnt, CAST(floor(0.33::DOUBLE * CASE WHEN abs(f.delta_ops) < abs(t.delta_ops) THEN f.delta_ops ELSE t.delta_ops END + 0.5) AS BIGINT) AS target
+      FROM pairs p JOIN targets f ON f.ns = p.ns AND f.shard = p.from_shard JOIN targets t ON t.ns = p.ns AND t.shard = p.to_shard JOIN activity a ON a.ns = p.ns AND a.shard = p.from_shard
+      WHERE (a.range_id % 3 = 0 OR a.range_id * 37 % 120 > 60) AND a.range_id <> 1)
+    SELECT ns, pair_no, range_id, from_shard, to_shard, cnt, target FROM (SELECT *, coalesce(sum(cnt) OVER w, 0) AS prev, row_number() OVER (PARTITION BY ns, pair_no ORDER BY cnt DESC, range_id) AS rn FROM x
+      WINDOW w AS (PARTITION BY ns, pair_no ORDER BY cnt DESC, range_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE prev < target OR rn = 1""")
+def planned_moves(spark, sf):
+    """What to move between hot and cold shards; ranges just moved or marked as balanced stay."""
+    return balance.planned_moves(marked_activity(spark, sf), targets(spark, sf))
+
+
+@query("""SELECT a.ns, a.shard, array_to_string(list(a.range_id || ':' || (a.range_id = 1 OR m.range_id IS NOT NULL) ORDER BY a.range_id), ',') AS chunks FROM activity a
+    LEFT JOIN (SELECT ns, shard, range_id FROM activity QUALIFY row_number() OVER (PARTITION BY ns, shard ORDER BY cnt DESC, range_id) = 1) m USING (ns, shard, range_id) GROUP BY a.ns, a.shard""")
+def mark_moved(spark, sf):
+    """The hottest range of each shard is marked as balanced inside the checkpoint's array; other marks stay."""
+    x = marked_activity(spark, sf)
+    top = x.groupBy("ns", "shard").agg(F.array(F.max_by("range_id", F.struct("cnt", -F.col("range_id")))).alias("ids"))
+    arrays = x.groupBy("ns", "shard").agg(F.array_sort(F.collect_list(F.struct(F.col("range_id").alias("id"), "cnt", "balanced"))).alias("chunks"))
+    done = balance.mark_balanced(arrays.join(top, ["ns", "shard"]), "ids")
+    return done.select("ns", "shard", F.array_join(F.transform("chunks", lambda c: F.concat_ws(":", c["id"], F.coalesce(c["balanced"], F.lit(False)))), ",").alias("chunks"))
+
+
+@query("""SELECT CAST((epoch_us(ts) // 86400000000) % 3 AS BIGINT) AS round, shard, CAST(count(*) AS BIGINT) AS ops FROM log WHERE op <> 'n' GROUP BY 1, 2""")
+def activity_rounds(spark, sf):
+    """Operations by shard in each of three rounds; counters start at zero in every round."""
+    day = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 86400)
+    return d.change_log(spark, sf).where("op <> 'n'").groupBy((day % 3).alias("round"), "shard").agg(F.count(F.lit(1)).alias("ops"))
+
+
 @query("""SELECT ns, shard, CAST(sum(cnt) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS active_chunks, array_to_string(list(range_id || ':' || cnt ORDER BY range_id), ',') AS chunks FROM activity GROUP BY ns, shard""")
 def chunk_checkpoint(spark, sf):
     g = activity(spark, sf).groupBy("ns", "shard").agg(F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("active_chunks"), F.array_sort(F.collect_list(F.struct("range_id", "cnt"))).alias("c"))
@@ -174,12 +208,9 @@ def restore_insert(spark, sf):
     x = d.duplicated(spark, sf).select("k", "cents", "part")
     gone = dupes.duplicate_ids(x, "k").where("k % 3 <> 0")
     base = dupes.delete(x, gone, "k").select("k", "cents")
-    back = dupes.archive(x, "k", "cents", "part").select("k", "cents", "copy_no")
-    ranked = back.select("k", "cents")
-    _, rejected = dupes.restore(base, ranked, "k")
-    done = back.where("copy_no = 1").join(gone, "k", "left_semi").select("k", "cents")
-    tag = lambda df, o: df.select("k", "cents", F.lit(o).alias("origin"))
-    return tag(base, "kept").unionByName(tag(done, "restored")).unionByName(tag(rejected, "rejected"))
+    back = dupes.archive(x, "k", "cents", "part").select("k", "cents")
+    whole, rejected = dupes.restore(base.withColumn("origin", F.lit("kept")), back.withColumn("origin", F.lit("restored")), "k")
+    return whole.unionByName(rejected.withColumn("origin", F.lit("rejected")))
 
 
 def placed(spark, sf):
@@ -234,10 +265,9 @@ def best_target(spark, sf):
 
 @query("""SELECT ns, k AS split_point FROM (SELECT c.shard AS ns, c.k, row_number() OVER (PARTITION BY c.shard ORDER BY c.k) - 1 AS i, count(*) OVER (PARTITION BY c.shard) AS n FROM conf c) WHERE i > 0 AND n > 1 AND i % greatest(1, n // 3) = 0""")
 def split_points(spark, sf):
-    """Every third of the sorted conflicting keys of a shard."""
-    c = dupes.conflicts(dup_placed(spark, sf), "k")
-    x = c.withColumn("i", F.row_number().over(Window.partitionBy("shard").orderBy("k")) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("shard")))
-    return x.where("i > 0 and n > 1 and i % greatest(1, n div 3) = 0").select(F.col("shard").alias("ns"), F.col("k").alias("split_point"))
+    """Every third of the sorted conflicting keys of a shard; ranks come from counts of parts."""
+    x = ranges.ranked(dupes.conflicts(dup_placed(spark, sf), "k"), "k", "shard").withColumn("i", F.col("r") - 1)
+    return x.where("i > 0 and total > 1 and i % greatest(1, total div 3) = 0").select(F.col("shard").alias("ns"), F.col("k").alias("split_point"))
 
 
 # --- ranges ---
@@ -255,12 +285,22 @@ def equi_depth_bounds(spark, sf):
     return ranges.equal_depth_bounds(load(spark, sf, "orders"), "o_orderkey", 10)
 
 
-@query("""SELECT CAST(tile - 1 AS INTEGER) AS part_no, lo, lead(lo) OVER (ORDER BY tile) AS hi, (SELECT count(*) FROM orders) // 8 AS est_docs FROM
-    (SELECT tile, min(k) AS lo FROM (SELECT o_orderkey AS k, ntile(8) OVER (ORDER BY o_orderkey) AS tile FROM orders) GROUP BY tile)""")
+@query("""WITH total AS (SELECT count(*) AS docs, CASE WHEN count(*) < 101 THEN 1 ELSE CAST(count(*) * 4096 // 1048576 + 1 AS BIGINT) END AS n FROM orders)
+    SELECT CAST(tile - 1 AS INTEGER) AS part_no, lo, lead(lo) OVER (ORDER BY tile) AS hi, CAST((SELECT docs // n FROM total) AS BIGINT) AS est_docs FROM
+    (SELECT tile, min(k) AS lo FROM (SELECT o_orderkey AS k, ntile((SELECT CAST(n AS BIGINT) FROM total)) OVER (ORDER BY o_orderkey) AS tile FROM orders) GROUP BY tile)""")
 def partition_plan(spark, sf):
-    """Eight partitions: the number that a size of 7.x partition sizes gives."""
+    """Partitions of a megabyte at four kilobytes a row: their number follows from the table's size, their bounds from its keys."""
     o = load(spark, sf, "orders")
-    return ranges.partition_plan(ranges.equal_depth_bounds(o, "o_orderkey", 8), o.count(), 8)
+    n = ranges.partition_count(F.col("total") * 4096, F.col("total"), 1 << 20)
+    return ranges.partition_plan(ranges.equal_depth_bounds(o, "o_orderkey", n))
+
+
+@query("""SELECT o_orderkey AS k FROM orders QUALIFY row_number() OVER (ORDER BY md5('sample|' || o_orderkey), o_orderkey) <= (SELECT CASE WHEN count(*) < 100000 THEN CAST(floor(count(*) * 0.01 + 0.5) AS BIGINT) ELSE 25000 END FROM orders)""")
+def sample_n(spark, sf):
+    """As many random keys as a table of this size needs for bounds, the same on every run."""
+    o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    n = o.agg(F.count(F.lit(1)).alias("n")).select(ranges.sample_size(F.col("n")).alias("n")).first()["n"]  # from footers
+    return ranges.sampled(o, "k", n)
 
 
 @query("SELECT lo, hi FROM (SELECT lag(b) OVER (ORDER BY b) AS lo, b AS hi FROM (SELECT lo AS b FROM ranges) UNION ALL SELECT max(lo), NULL FROM ranges)")
@@ -282,22 +322,21 @@ def round_robin_map(spark, sf):
     return d.ranges(spark, sf).select("id", F.concat(F.lit("target"), rn % 5).alias("target"))
 
 
-@query("""SELECT k AS split_key, CAST(upto AS BIGINT) AS bytes_before FROM (SELECT o_orderkey AS k, sum(64) OVER (ORDER BY o_orderkey) - 64 AS upto FROM orders) WHERE upto > 0 AND upto // 65536 <> (upto - 64) // 65536""")
+@query("""WITH size AS (SELECT count(*) * 4096 AS bytes FROM orders), split AS (SELECT CASE WHEN bytes // 3 // 10 >= 16793599 THEN 16793599 WHEN bytes // 3 // 10 < 1048576 THEN 2097152 ELSE bytes // 3 // 10 END AS s FROM size)
+    SELECT k AS split_key, CAST(upto AS BIGINT) AS bytes_before, CAST(s AS BIGINT) AS split_size FROM (SELECT o_orderkey AS k, sum(4096) OVER (ORDER BY o_orderkey) - 4096 AS upto FROM orders), split WHERE upto > 0 AND upto // s <> (upto - 4096) // s""")
 def split_vector(spark, sf):
-    """Keys at which another 64 KB of rows begin; running sizes are offset by counts of range partitions."""
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    x = load(spark, sf, "orders").select(F.col("o_orderkey").alias("k")).repartitionByRange(parts, "k").withColumn("p", F.spark_partition_id())
-    per = x.groupBy("p").agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("first"))
-    per = per.withColumn("before", F.coalesce(F.sum("c").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("p", "before")
-    upto = (F.row_number().over(Window.partitionBy("p").orderBy("k")) - 1 + F.col("before")) * 64
-    y = x.join(F.broadcast(per), "p").withColumn("upto", upto.cast("long"))
-    return y.where("upto > 0 and upto div 65536 <> (upto - 64) div 65536").select(F.col("k").alias("split_key"), F.col("upto").alias("bytes_before"))
+    """Keys at which another split begins: its size is a tenth of a shard's share of the table, within bounds."""
+    y = ranges.ranked(load(spark, sf, "orders").select(F.col("o_orderkey").alias("k")), "k")
+    y = y.withColumn("s", ranges.split_size(F.col("total") * 4096, 3)).withColumn("upto", (F.col("r") - 1) * 4096)
+    return y.where("upto > 0 and upto div s <> (upto - 4096) div s").select(F.col("k").alias("split_key"), F.col("upto").cast("long").alias("bytes_before"), F.col("s").alias("split_size"))
 
 
-@query("SELECT user_id AS id, event_id AS seq, CAST(list_sum(list(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) AS BIGINT) AS last3 FROM events")
+@query("SELECT user_id AS id, event_id AS seq, array_to_string(list(event_type || '@' || event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), ',') AS last3 FROM events")
 def recent_moves(spark, sf):
+    """The last three moves of each entity, oldest first."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-2, 0)
-    return load(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.sum("event_id").over(w).alias("last3"))
+    move = F.concat_ws("@", "event_type", "event_id")
+    return load(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.array_join(F.collect_list(move).over(w), ",").alias("last3"))
 
 
 # --- scans ---

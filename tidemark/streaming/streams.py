@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.work import fresh_path
+from tidemark.sources.work import fresh_path, remove, versions
 
 
 def tail(spark: SparkSession, path: str, schema, files_per_trigger: int = 64) -> DataFrame:
@@ -24,33 +24,82 @@ def windowed_stats(log: DataFrame, late: str = "10 minutes") -> DataFrame:
     return g.select((F.col("window.end") - F.expr("interval 1 minute")).cast("timestamp_ntz").alias("bucket"), "shard", "ns", "op", "count", "min_size", "max_size", "total_size")
 
 
-def run_once(stream: DataFrame, mode: str = "append", tag: str = "stream") -> DataFrame:
-    """Process all that is there now and return what was written; a stateful aggregate is written whole by each batch."""
+def run_once(stream: DataFrame, mode: str = "append", tag: str = "stream", at: str | None = None) -> DataFrame:
+    """Process all that is there now and return what has been written.
+
+    ``at`` names the folder of results and offsets; the next run with the same one resumes after what this one has
+    read. In append mode a window is written once its watermark has passed, and rows that come later are dropped; in
+    complete mode the whole result is written anew.
+    """
     spark = stream.sparkSession
-    out = fresh_path(spark, tag)
+    at = at or fresh_path(spark, tag)
+    out, offsets = f"{at}/rows", f"{at}/offsets"
     if mode == "append":
-        q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").outputMode("append").trigger(availableNow=True).start()
+        q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", offsets).outputMode("append").trigger(availableNow=True).start()
     else:
-        q = stream.writeStream.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", f"{out}-state").outputMode(mode).trigger(availableNow=True).start()
+        q = stream.writeStream.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", offsets).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def merge_batches(log: DataFrame, tag: str = "state") -> DataFrame:
-    """The last operation per id, merged batch by batch into a table that is written anew; deletions stay as marks until read."""
+#: Batches after which the deltas of a state are merged into one.
+COMPACT_EVERY = 8
+
+
+def last_of(rows: DataFrame) -> DataFrame:
+    """The last operation per id; deletions stay as marks."""
+    return rows.groupBy("id").agg(F.max_by(F.struct("op", "value", "ts", "seq"), F.struct("ts", "seq")).alias("x")).select("id", "x.*")
+
+
+def state_rows(spark: SparkSession, at: str, upto: int | None = None) -> DataFrame | None:
+    """The parts of a state: its newest merged table (before batch ``upto``, which may be writing one) and the deltas after it."""
+    base = [n for n in versions(spark, at, "base") if upto is None or n < upto][-1:]
+    deltas = [n for n in versions(spark, at, "delta") if (upto is None or n <= upto) and (not base or n > base[0])]
+    paths = [f"{at}/base-{n}" for n in base] + [f"{at}/delta-{n}" for n in deltas]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def merge_batches(log: DataFrame, tag: str = "state", at: str | None = None) -> DataFrame:
+    """The last operation per id over all batches so far.
+
+    The state lives beside its offsets in the folder ``at``, so a restarted stream goes on with both. A batch writes only
+    its own last operations; every ``COMPACT_EVERY`` batches they are merged with the rest, so that no batch
+    rewrites the state. A batch that is run again overwrites what it wrote before.
+    """
     spark = log.sparkSession
-    last: dict[str, str] = {}
+    at = at or fresh_path(spark, tag)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        rows = batch.where(F.col("op").isin("i", "u", "d")).select("id", "op", "value", "ts", "seq")
-        if "path" in last:
-            rows = rows.unionByName(spark.read.parquet(last["path"]))
-        path = fresh_path(spark, tag)
-        rows.groupBy("id").agg(F.max_by(F.struct("op", "value", "ts", "seq"), F.struct("ts", "seq")).alias("x")).select("id", "x.*").write.parquet(path)
-        last["path"] = path
+    def merge(batch: DataFrame, n: int) -> None:
+        last_of(batch.where(F.col("op").isin("i", "u", "d")).select("id", "op", "value", "ts", "seq")).write.mode("overwrite").parquet(f"{at}/delta-{n}")
+        if (n + 1) % COMPACT_EVERY == 0:
+            last_of(state_rows(spark, at, n)).write.mode("overwrite").parquet(f"{at}/base-{n}")
+            for kind in ("delta", "base"):
+                for old in versions(spark, at, kind):
+                    if old < n - COMPACT_EVERY:  # the newest merged table covers them, and no batch that may run again reads them
+                        remove(spark, f"{at}/{kind}-{old}")
 
-    q = log.writeStream.foreachBatch(merge).option("checkpointLocation", fresh_path(spark, f"{tag}-offsets")).trigger(availableNow=True).start()
+    q = log.writeStream.foreachBatch(merge).option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).start()
     q.awaitTermination()
-    if "path" not in last:
+    rows = state_rows(spark, at)
+    if rows is None:
         return spark.createDataFrame([], "id long, last_op string, value double")
-    return spark.read.parquet(last["path"]).where("op <> 'd'").select("id", F.col("op").alias("last_op"), "value")
+    return last_of(rows).where("op <> 'd'").select("id", F.col("op").alias("last_op"), "value")
+
+
+def round_counts(stream: DataFrame, at: str, *by: str) -> DataFrame:
+    """Counts by round: each call is one, starts its counters at zero, reads what has come since the last and adds its rows to those before."""
+    spark = stream.sparkSession
+    number = len(versions(spark, at, "round"))
+    out = f"{at}/round-{number}"
+
+    def add(batch: DataFrame, n: int) -> None:
+        batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch-{n}")
+
+    spark.createDataFrame([], stream.select(*by).schema.add("n", "long")).write.parquet(f"{out}/batch-none")
+    q = stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rounds = [spark.read.option("recursiveFileLookup", True).parquet(f"{at}/round-{i}").withColumn("round", F.lit(i)) for i in range(number + 1)]
+    rows = rounds[0]
+    for r in rounds[1:]:
+        rows = rows.unionByName(r)
+    return rows.groupBy("round", *by).agg(F.sum("n").alias("n"))
