@@ -277,7 +277,7 @@ def test_packing_of_the_sample(spark):
     assert check_packing(spark.read.parquet(f"{SF}/documents.parquet")) < 0.02
 
 
-def test_encoder_gives_the_ids_of_the_library(spark):
+def test_encoder_gives_the_ids_of_the_library(spark, monkeypatch):
     """Whole documents at sf0.01 and texts with every kind of white space, marks and letters next to it."""
     from tokenizers import Tokenizer
 
@@ -290,6 +290,11 @@ def test_encoder_gives_the_ids_of_the_library(spark):
     texts += [" a", "a ", "  ", " ", "", "x" * 5000 + " " + "y" * 200]
     want = t.encode_batch(texts, add_special_tokens=False)
     assert [np.frombuffer(encode(x), "<u4").tolist() for x in texts] == [e.ids for e in want]
+    monkeypatch.setattr(packing, "HELD_CHUNKS", 50)
+    few = packing.encoder(path)
+    assert [np.frombuffer(few(x), "<u4").tolist() for x in texts[:900]] == [e.ids for e in want[:900]]
+    words = ["".join(draw.choices([chr(i) for i in (*range(0x41, 0x5B), *range(0xC0, 0x250), *range(0x400, 0x530))], k=9)) + draw.choice(["", ",", "...", "?!", ")."]) for _ in range(5000)]
+    assert np.frombuffer(encode(" ".join(words)), "<u4").tolist() == t.encode(" ".join(words), add_special_tokens=False).ids
 
 
 def test_special_token_strings(spark):

@@ -17,6 +17,7 @@ once each; other columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from ._io import map_arrow, materialize
 
 SEQUENCE, END = 1024, 0
-#: Chunks of text whose ids are held, and their greatest length; what is beyond is encoded each time.
+#: Chunks of text whose ids a task holds, and their greatest length once it holds so many; what is beyond is encoded each time.
 HELD_CHUNKS, CHUNK_CHARS = 500_000, 48
 #: Rounds of pricing, patterns that enter in each, and the share of padding at which it may stop early.
 MAX_ROUNDS, PATTERNS_A_ROUND, TOLERANCE = 120, 48, 0.002
@@ -41,12 +42,32 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Chunks(dict):
+    """Ids of chunks as bytes; those that are not held count as empty and are noted in ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__({"": b""})
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> bytes:
+        self.new.append(chunk)
+        return b""
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable bytes stand for themselves, the others for letters from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+
+
 def encoder(path: str):
     """A function from text to the bytes of its ids (little-endian, 32 bits), as the tokenizers library gives them.
 
-    With a byte-level vocabulary that splits by its usual pattern, no token spans a single space between two
-    characters that are not white space but begins there. Such texts are cut at those spaces and each different
-    chunk is encoded once; all others are encoded whole.
+    With a byte-level vocabulary that splits by its usual pattern, a single space or line feed between two characters
+    that are not white space parts two tokens: a space begins the next one, a line feed is one of its own. Such
+    texts are cut there, and each chunk that the task has not met before is encoded by the library. A chunk of letters, with
+    marks after it or not, is one word of the pattern, and a run of marks another: the library's model encodes the word
+    alone. All other texts, and those with strings of special tokens, are encoded whole.
     """
     import json
 
@@ -57,25 +78,58 @@ def encoder(path: str):
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     first = spec.get("pre_tokenizer") or {}
-    plain = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not spec.get("normalizer")
-    plain = plain and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec.get("added_tokens", []))
-    if not plain:
+    plain = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not spec.get("normalizer") and spec["model"]["type"] == "BPE"
+    feed = whole("\n")
+    if not plain or len(feed) != 4:
         return whole
-    odd, cuts, held = re.compile(r"\s\s|^\s|\s$"), re.compile(r"(?<=\S)(?= \S)"), {}
+    special = [t["content"] for t in spec.get("added_tokens", [])]
+    odd, word, letters = re.compile(r"\s\s"), re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u052f]+)([.,;:!?)]*)"), byte_alphabet()
+    tokens, blank = tokenizer.model.tokenize, letters[32]
+    packs = [struct.Struct(f"<{n}I").pack for n in range(4 * CHUNK_CHARS)]
+    heads, others, marks = Chunks(), Chunks(), Chunks()  # chunks at a line's start, after a space (without it), and runs of marks
+
+    def ids(chunk: str, held: Chunks, space: str) -> bytes:
+        if not (chunk.isascii() and chunk.isalpha()):
+            m = word.fullmatch(chunk)
+            if not m or len(chunk) > CHUNK_CHARS:
+                return whole(space + chunk)
+            name, after = m.groups()
+            if after:
+                if name in held:
+                    out = held[name]
+                else:
+                    out = ids(name, held, space)
+                    if len(held) < HELD_CHUNKS:
+                        held[name] = out
+                if after not in marks:
+                    marks[after] = whole(after)
+                return out + marks[after]
+            if not chunk.isascii():
+                chunk = chunk.encode().decode("latin-1").translate(letters)
+        found = tokens(blank + chunk if space else chunk)
+        return packs[len(found)](*[t.id for t in found]) if len(found) < len(packs) else np.array([t.id for t in found], "<u4").tobytes()
+
+    def line_ids(head: str, rest: list[str]) -> bytes:
+        out = heads[head] + b"".join(map(others.__getitem__, rest))
+        if not heads.new and not others.new:
+            return out
+        extra = {}
+        for held, space in ((heads, ""), (others, " ")):
+            for c in held.new:
+                if len(held) < HELD_CHUNKS and len(c) <= CHUNK_CHARS:
+                    held[c] = ids(c, held, space)
+                else:
+                    extra[c, space] = ids(c, held, space)
+            held.new.clear()
+        if not extra:
+            return heads[head] + b"".join(map(others.__getitem__, rest))
+        get = lambda held, c, space: extra[c, space] if (c, space) in extra else held[c]
+        return get(heads, head, "") + b"".join([get(others, c, " ") for c in rest])
 
     def encode(text: str) -> bytes:
-        if odd.search(text):
-            chunks = cuts.split(text)
-        else:
-            head, *rest = text.split(" ")
-            chunks = [head, *[" " + x for x in rest]]
-        new = [c for c in dict.fromkeys(chunks) if c not in held]
-        extra = {}
-        for c, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            (held if len(c) <= CHUNK_CHARS and len(held) < HELD_CHUNKS else extra)[c] = np.array(e.ids, "<u4").tobytes()
-        if extra:
-            return b"".join([held.get(c) or extra.get(c, b"") for c in chunks])
-        return b"".join(map(held.__getitem__, chunks))
+        if odd.search(text) or text[:1].isspace() or text[-1:].isspace() or any(x in text for x in special):
+            return whole(text)
+        return feed.join([line_ids(head, rest) for head, *rest in (line.split(" ") for line in text.split("\n"))])
 
     return encode
 
