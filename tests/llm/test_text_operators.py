@@ -284,6 +284,89 @@ def test_grams_ignore_position_in_block():
     assert both == alone
 
 
+def test_grams_of_long_texts(monkeypatch):
+    data = np.frombuffer(("Word one two\tthree " * 40 + "end é").encode(), np.uint8)
+    offsets = np.array([0, len(data)])
+    with np.errstate(over="ignore"):
+        whole = [set(g.tolist()) for _, g in toxicity.grams(data, offsets)]
+        monkeypatch.setattr(toxicity, "BLOCK", 64)
+        cut = [g.tolist() for _, g in toxicity.grams(data, offsets)]
+    assert whole == list(map(set, cut)) and all(len(g) == len(set(g)) for g in cut)
+
+
+def brute_toxicity(rows, toxic, steps=600):
+    """Scores in plain Python dictionaries: presence of hashed byte n-grams, log-count ratios, likelihood ratios, gradient descent."""
+    mask = (1 << 64) - 1
+
+    def grams(text):
+        b = " " + re.sub(r"[\x09-\x0d]", " ", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")) + " "
+        b, out = b.encode(), set()
+        for k in (4, 6, 8):
+            for i in range(len(b) - k + 1):
+                h = 0
+                for c in b[i : i + k]:
+                    h = (h * toxicity.BASE + c) & mask
+                out.add(mix64((h + k) & mask) >> (64 - toxicity.BITS))
+        return out
+
+    sets = {i: grams(t) for i, t in rows}
+    train = [i for i, _ in rows if i in toxic and zlib.crc32(str(i).encode()) % 5 != 0]
+    count, seen = (collections.Counter(), collections.Counter()), [0, 0]
+    for i in train:
+        seen[toxic[i]] += 1
+        count[toxic[i]].update(sets[i])
+
+    def g_of(f):
+        both, out = count[0][f] + count[1][f], 0.0
+        for y in (0, 1):
+            for o, e in ((count[y][f], both * seen[y] / len(train)), (seen[y] - count[y][f], (len(train) - both) * seen[y] / len(train))):
+                out += 2 * o * math.log(o / e) if o else 0
+        return out
+
+    ratio = {f: math.log((count[1][f] + 0.5) / (seen[1] + 1)) - math.log((count[0][f] + 0.5) / (seen[0] + 1)) for f in set(count[0]) | set(count[1])}
+    kept = [f for f in ratio if count[0][f] + count[1][f] >= toxicity.LEAST_DOCS and abs(ratio[f]) >= toxicity.LEAST_RATIO and g_of(f) >= toxicity.LEAST_G]
+    kept = sorted(kept, key=lambda f: (-g_of(f), f))[: toxicity.FEATURES]
+    w, bias = dict.fromkeys(kept, 0.0), 0.0
+    weight = {1: 0.5 / max(1, seen[1]), 0: 0.5 / max(1, seen[0])}
+    held = {i: [f for f in kept if f in sets[i]] for i in sets}
+    m, v, mb, vb = dict.fromkeys(kept, 0.0), dict.fromkeys(kept, 0.0), 0.0, 0.0
+    for t in range(1, steps + 1):
+        g, gb = {f: 3e-4 * w[f] for f in kept}, 0.0
+        for i in train:
+            e = (1 / (1 + math.exp(-(sum(ratio[f] * w[f] for f in held[i]) + bias))) - toxic[i]) * weight[toxic[i]]
+            gb += e
+            for f in held[i]:
+                g[f] += ratio[f] * e
+        rate, a, b = 0.05 * (1 - t / steps), 1 - 0.9**t, 1 - 0.999**t
+        for f in kept:
+            m[f], v[f] = 0.9 * m[f] + 0.1 * g[f], 0.999 * v[f] + 0.001 * g[f] ** 2
+            w[f] -= rate * m[f] / a / (math.sqrt(v[f] / b) + 1e-8)
+        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb**2
+        bias -= rate * mb / a / (math.sqrt(vb / b) + 1e-8)
+    return {i: 1 / (1 + math.exp(-(sum(ratio[f] * w[f] for f in held[i]) + bias))) for i in sets}
+
+
+def test_scores_match_a_plain_classifier(spark):
+    """120 short documents, two thirds labelled: the scores of every one, learned or held out."""
+    draw = np.random.default_rng(11)
+    mild, rude = "river stone garden morning letter window".split(), "idiot moron scum".split()
+    rows = []
+    for i in range(120):
+        words = list(draw.choice(mild, 8)) + (list(draw.choice(rude, 2, replace=False)) if i % 4 == 0 else [])
+        rows.append((i, " ".join(draw.permutation(words)).title() if i % 7 else None))
+    toxic = {i: int(i % 4 == 0) for i in range(120) if i % 3}
+    df, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    # equal texts are learned from once
+    first = {}
+    for i, t in rows:
+        if i in toxic and zlib.crc32(str(i).encode()) % 5:
+            first.setdefault((t, toxic[i]), i)
+    once = {i: y for i, y in toxic.items() if zlib.crc32(str(i).encode()) % 5 == 0 or first[dict(rows)[i], y] == i}
+    want = brute_toxicity(rows, once)
+    got = {r["doc_id"]: r["score"] for r in toxicity.digest(df, labels).collect()}
+    assert all(got[i] == pytest.approx(want[i], abs=1e-6) for i in want) and max(got.values()) > 0.7 > 0.3 > min(got.values())
+
+
 # --- language model ---
 
 

@@ -292,8 +292,8 @@ def store(payload: bytes) -> bytes:
     """The stored form of a payload of whole 64-byte rows: its checksum picks the codec and whether pages are cut into strips or tiles."""
     rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
     pick = zlib.crc32(payload)
-    comp = (PACKBITS, LZW, DEFLATE)[pick % 3]
-    return write_tiff([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], comp, 1 + pick // 3 % 2, TILE if pick // 6 % 2 else None)
+    comp = (DEFLATE, PACKBITS, DEFLATE, LZW, DEFLATE, PACKBITS)[pick % 6]
+    return write_tiff([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], comp, 1 + pick // 6 % 2, TILE if pick // 12 % 2 else None)
 
 
 def feature(pages: int, rows: int, columns: np.ndarray) -> str:
