@@ -86,6 +86,29 @@ def test_floor_join_both_forms(spark):
         assert rows(ranges.floor_join(x, "v", r, few=few), "v", "id") == [(0, 0), (9, 0), (10, 1), (1000, 2)]
 
 
+def test_floor_join_of_many_ranges(spark):
+    """Uneven ranges beyond the bound of the broadcast form, with gaps and an open end."""
+    bounds = sorted({(i * i * 37) % 5000 for i in range(200)} | {5000})
+    r = spark.createDataFrame([(i, lo, hi if i % 5 else hi - 1) for i, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False))] + [(999, 5000, None)], "id int, lo long, hi long")
+    assert r.count() > ranges.FEW
+    x = spark.range(-3, 6000).withColumnRenamed("id", "v")
+    got = dict(rows(ranges.floor_join(x, "v", r), "v", "id"))
+    assert got == dict(rows(ranges.floor_join(x, "v", r, few=True), "v", "id")) and got[5999] == 999 and -1 not in got
+
+
+def test_ranks_within_groups(spark):
+    df = spark.range(500).selectExpr("id % 3 as g", "id * 7919 % 500 as k")
+    got = ranges.ranked(df, "k", "g").collect()
+    for g in range(3):
+        keys = sorted(r["k"] for r in got if r["g"] == g)
+        assert {r["k"]: r["r"] for r in got if r["g"] == g} == {k: i + 1 for i, k in enumerate(keys)} and {r["total"] for r in got if r["g"] == g} == {len(keys)}
+
+
+def test_open_ends_have_middles(spark):
+    x = spark.createDataFrame([(0, 10), (3, 8), (None, -10), (10, None), (None, None)], "lo long, hi long").select(s.midpoint("lo", "hi").alias("m"))
+    assert [r["m"] for r in x.collect()] == [5, 5, -(1 << 62) - 5, (1 << 62) + 4, -1]
+
+
 def test_merge_runs(spark):
     r = spark.createDataFrame([("n", 0, 1, "a"), ("n", 1, 2, "a"), ("n", 2, 3, "b"), ("n", 3, None, "a")], "ns string, lo long, hi long, shard string")
     got = [(x["shard"], x["lo"], x["hi"], x["mids"]) for x in ranges.merge_runs(r).orderBy("lo").collect()]

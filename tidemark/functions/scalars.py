@@ -172,6 +172,14 @@ def normal_key(pattern) -> Column:
     return F.regexp_replace(F.regexp_replace(c(pattern), r"\s+", ""), r"(:-?\d+)\.0+(?=[,}])", "$1")
 
 
+#: Fixed phrase of a log that a coordinator waits for.
+TRIGGER = "READY_FOR_PAUSE"
+
+
+def is_trigger(line) -> Column:
+    return c(line).contains(TRIGGER)
+
+
 def driver_text(meta) -> Column:
     """Name and version of the driver in a session's JSON metadata; null without a name."""
     name, version = F.get_json_object(c(meta), "$.driver.name"), F.get_json_object(c(meta), "$.driver.version")

@@ -45,3 +45,20 @@ def restore(df: DataFrame, rows: DataFrame, key: str) -> tuple[DataFrame, DataFr
     x = first.join(taken, key, "left")
     free = F.col("_t").isNull() & (F.col("_n") == 1)
     return df.unionByName(x.where(free).select(*df.columns)), x.where(~free).select(*rows.columns)
+
+
+def rejected_inserts(log: DataFrame) -> DataFrame:
+    """Inserts of an ordered log (id, op, ts, seq) whose id is there already: the last insert or deletion before was an insert."""
+    w = Window.partitionBy("id").orderBy("ts", "seq")
+    return log.where(F.col("op").isin("i", "d")).withColumn("_before", F.lag("op").over(w)).where("op = 'i' and _before = 'i'").drop("_before")
+
+
+def applied(log: DataFrame) -> DataFrame:
+    """(id, a, b) after a log (id, ts, seq, value, form): ``whole`` writes a and b, ``set`` writes a of a document that is there,
+    ``delete`` removes it. All aggregates combine before the shuffle but the last value since the last whole write."""
+    at = F.struct("ts", "seq")
+    of = lambda f: F.max(F.when(F.col("form") == f, at))
+    marks = log.groupBy("id").agg(of("whole").alias("whole"), of("delete").alias("gone"))
+    live = marks.where("whole is not null and (gone is null or whole > gone)").select("id", "whole")
+    x = log.join(live, "id").where(at >= F.col("whole"))
+    return x.groupBy("id").agg(F.max_by("value", at).alias("a"), F.max_by(F.when(F.col("form") == "whole", F.col("value")), F.when(F.col("form") == "whole", at)).alias("b"))

@@ -64,10 +64,27 @@ def log_classify(spark, sf):
     return x.withColumn("is_alert", alert)
 
 
-@query("SELECT event_id AS seq, CAST(props::JSON->>'k' AS BIGINT) AS k, CAST(props::JSON->>'k' AS BIGINT) > 50 AS lagging FROM events")
+@query("SELECT min(event_id) AS first, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'signup' AND event_id % 3 = 0")
+def log_trigger(spark, sf):
+    """The first line that has the phrase a coordinator waits for, and how many do."""
+    line = F.when((F.col("event_type") == "signup") & (F.col("event_id") % 3 == 0), F.concat(F.lit("state is READY_FOR_PAUSE at "), "event_id")).otherwise(F.concat(F.lit("state is ready_for_pause at "), "event_id"))
+    x = load(spark, sf, "events").select("event_id", line.alias("line")).where(s.is_trigger("line"))
+    return x.agg(F.min("event_id").alias("first"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT event_id AS seq, CASE WHEN event_id % 4 = 0 THEN 'COMMITTED' ELSE 'RUNNING' END AS state, event_id % 5 <> 0 AS can_commit, CAST(event_id % 90 AS BIGINT) AS lag, CAST(event_id * 2 AS BIGINT) AS copied, CAST(event_id * 4 AS BIGINT) AS total,
+    CASE WHEN event_id = 0 THEN 0.0 ELSE 50.0 END::DOUBLE AS pct, CASE WHEN event_id % 5 = 0 THEN 'not yet' END AS info FROM events""")
 def json_status(spark, sf):
-    p = F.from_json("props", "k long")
-    return load(spark, sf, "events").select(F.col("event_id").alias("seq"), p["k"].alias("k")).withColumn("lagging", F.col("k") > 50)
+    """Polled status documents: state, whether it can commit, lag, bytes copied and what stands against it."""
+    k = F.col("event_id")
+    text = F.to_json(F.struct(F.struct(
+        F.when(k % 4 == 0, "COMMITTED").otherwise("RUNNING").alias("state"), (k % 5 != 0).alias("canCommit"), (k % 90).alias("lagTimeSeconds"),
+        F.struct((k * 4).alias("estimatedTotalBytes"), (k * 2).alias("estimatedCopiedBytes")).alias("collectionCopy"), F.when(k % 5 == 0, "not yet").alias("info"),
+    ).alias("progress"), F.lit(True).alias("success")))
+    p = F.from_json("text", "progress struct<state:string,canCommit:boolean,lagTimeSeconds:long,info:string,collectionCopy:struct<estimatedTotalBytes:long,estimatedCopiedBytes:long>>")["progress"]
+    x = load(spark, sf, "events").select(k.alias("seq"), text.alias("text")).select("seq", p.alias("p"))
+    copied, total = F.col("p.collectionCopy.estimatedCopiedBytes"), F.col("p.collectionCopy.estimatedTotalBytes")
+    return x.select("seq", "p.state", F.col("p.canCommit").alias("can_commit"), F.col("p.lagTimeSeconds").alias("lag"), copied.alias("copied"), total.alias("total"), (100 * s.ratio(copied, total)).alias("pct"), "p.info")
 
 
 @query("SELECT event_id AS seq, CASE WHEN event_id % 10 = 3 THEN NULL ELSE CAST(props::JSON->>'k' AS BIGINT) END AS k, CASE WHEN event_id % 10 = 3 THEN substr(props, 1, length(props) - 1) END AS corrupt FROM events")
@@ -89,12 +106,61 @@ def map_explode(spark, sf):
 # --- sinks, written and read back ---
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def csv_roundtrip(spark, sf):
+    """Appended in two checkpoints with a header each, read back as one table."""
     path = fresh_path(spark, "csv")
-    n = load(spark, sf, "nation")
-    n.write.option("header", True).csv(path)
-    return spark.read.schema(n.schema).option("header", True).csv(path)
+    x = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    for part in (x.where("c_custkey % 2 = 0"), x.where("c_custkey % 2 <> 0")):
+        part.write.mode("append").option("header", True).csv(path)
+    return spark.read.schema(x.schema).option("header", True).csv(path)
+
+
+@query("SELECT * FROM supplier")
+def raw_dump(spark, sf):
+    """A table dumped whole and restored."""
+    path = fresh_path(spark, "dump")
+    x = load(spark, sf, "supplier")
+    x.write.parquet(path)
+    return spark.read.schema(x.schema).parquet(path)
+
+
+@query("SELECT 'host' || (s_suppkey % 4) AS host, s_suppkey AS id, CAST(r AS INTEGER) AS run, s_suppkey * 100 + r AS size FROM supplier, (SELECT unnest(range(3)) AS r)")
+def host_stats_append(spark, sf):
+    """Statistics of each host, appended run by run and read back by host."""
+    path = fresh_path(spark, "hosts")
+    k = F.col("s_suppkey")
+    for run in range(3):
+        x = load(spark, sf, "supplier").select(F.concat(F.lit("host"), k % 4).alias("host"), k.alias("id"), F.lit(run).alias("run"), (k * 100 + run).alias("size"))
+        x.write.mode("append").partitionBy("host").parquet(path)
+    return spark.read.schema("id long, run int, size long, host string").parquet(path).select("host", "id", "run", "size")
+
+
+@query("SELECT event_id AS seq, substr(props, 1, length(props) - 1) AS text FROM events WHERE event_id % 10 = 3")
+def corrupt_sink(spark, sf):
+    """Only the rows that do not parse, written apart as compressed text and read back."""
+    path = fresh_path(spark, "corrupt")
+    line = F.when(F.col("event_id") % 10 == 3, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    bad = split_corrupt(load(spark, sf, "events").select(F.col("event_id").alias("seq"), line.alias("value")), "k long").where("corrupt is not null")
+    bad.select("seq", F.col("corrupt").alias("text")).write.option("compression", "gzip").json(path)
+    return spark.read.schema("seq long, text string").json(path)
+
+
+@query("""SELECT i AS line, CASE i WHEN -1 THEN '<table><tr><th>db</th><th>ns</th><th>index</th><th>uses</th></tr>' ELSE '<tr><td>' || db || '</td><td>' || ns || '</td><td>' || replace(name, '&', '&amp;') || '</td><td>' || uses || '</td></tr>' END AS html FROM
+    (SELECT row_number() OVER (ORDER BY ns, name) - 1 AS i, db, ns, name, primary_ops + secondary_ops AS uses FROM idx UNION ALL SELECT -1, NULL, NULL, NULL, NULL)""")
+def report_html(spark, sf):
+    """A health report as lines of HTML: index usage in order, text escaped. Reports are small, so one window numbers the lines."""
+    from pyspark.sql import Window
+
+    from tidemark.operators import metrics
+
+    u = metrics.index_usage(d.index_stats(spark, sf))
+    safe = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    cells = [safe("db"), safe("ns"), safe("name"), (F.col("primary_ops") + F.col("secondary_ops")).cast("string")]
+    line = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
+    body = u.select((F.row_number().over(Window.orderBy("ns", "name")) - 1).cast("long").alias("line"), line.alias("html"))
+    head = spark.range(1).select(F.lit(-1).cast("long").alias("line"), F.lit("<table><tr>" + "".join(f"<th>{h}</th>" for h in ("db", "ns", "index", "uses")) + "</tr>").alias("html"))
+    return head.unionByName(body)
 
 
 @query("""SELECT o_orderkey AS k, '{"k":' || o_orderkey || ',"day":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%gZ') || '","cents":"' || CAST(round(o_totalprice * 100) AS BIGINT) || '"}' AS json FROM orders""")
@@ -107,19 +173,35 @@ def export_json(spark, sf):
 # --- generators ---
 
 
-@query()
+def gen_sql() -> str:
+    """The generated rows in SQL: field i is of type i mod 6, everything follows from digests of row and field."""
+    word = lambda i, at: f"CAST(('0x' || substr(md5('{i}-' || id), {at}, 4)) AS INTEGER)"
+    h = lambda i: f"md5('{i}-' || id)"
+    kinds = (
+        lambda i: f"substr({h(i)}, 1, 24)",
+        lambda i: "concat_ws('-', " + ", ".join(f"substr({h(i)}, {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")",
+        lambda i: f"TIMESTAMP '2023-11-14 22:13:20' + to_seconds(id * 60 + {i})",
+        lambda i: f"substr(repeat({h(i)}, 4), 1, 20 + {word(i, 1)} % 80)",
+        lambda i: f"upper(substr(sha256('{i}-' || id), 1, 2 * (16 + {word(i, 1)} % 16)))",
+        lambda i: f"{word(i, 5)} % 2 = 0",
+    )
+    return "SELECT CAST(id AS BIGINT) AS doc_id, " + ", ".join(f"{kinds[i % 6](i)} AS field_{i}" for i in range(12)) + " FROM (SELECT unnest(range(1000)) AS id)"
+
+
+@query(gen_sql())
 def gen_rows(spark, sf):
-    """Synthetic rows: the type of field i is i mod 6."""
-    n = spark.range(1000)
+    """Synthetic rows: the type of field i is i mod 6 (id, uuid, time, text, bytes as hex, flag)."""
+    h = lambda i: F.md5(F.concat(F.lit(f"{i}-"), F.col("id").cast("string")))
+    word = lambda i, at: F.conv(F.substring(h(i), at, 4), 16, 10).cast("int")
     kinds = (
-        lambda i: F.substring(F.md5(F.concat_ws("-", F.lit(i), "id")), 1, 24),
-        lambda i: F.uuid(F.lit(17 + i)) if hasattr(F, "uuid") else F.expr("uuid()"),
-        lambda i: F.timestamp_seconds(F.lit(1700000000) + F.col("id") * 60),
-        lambda i: F.expr(f"substring(repeat(md5(concat(id, 's{i}')), 4), 1, 20 + int(pmod(hash(id, {i}), 80)))"),
-        lambda i: F.expr(f"substring(unhex(sha2(concat(id, 'b{i}'), 512)), 1, 16 + int(pmod(hash(id, {i}), 48)))"),
-        lambda i: F.pmod(F.hash("id", F.lit(i)), F.lit(2)) == 0,
+        lambda i: F.substring(h(i), 1, 24),
+        lambda i: F.concat_ws("-", *[F.substring(h(i), at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]),
+        lambda i: F.timestamp_seconds(F.lit(1700000000 + i) + F.col("id") * 60).cast("timestamp_ntz"),
+        lambda i: F.substring(F.repeat(h(i), 4), F.lit(1), 20 + word(i, 1) % 80),
+        lambda i: F.upper(F.substring(F.sha2(F.concat(F.lit(f"{i}-"), F.col("id").cast("string")), 256), F.lit(1), 2 * (16 + word(i, 1) % 16))),
+        lambda i: word(i, 5) % 2 == 0,
     )
-    return n.select(F.col("id").alias("doc_id"), *[kinds[i % 6](i).alias(f"field_{i}") for i in range(12)])
+    return spark.range(1000).select(F.col("id").alias("doc_id"), *[kinds[i % 6](i).alias(f"field_{i}") for i in range(12)])
 
 
 @query("""SELECT CASE WHEN i >= 10000 THEN 'id' || ((i - 10000) * 100) ELSE 'id' || i END AS _id, CAST(CASE WHEN i >= 10000 THEN (i - 10000) * 100 ELSE i END % 97 AS BIGINT) AS x, CASE WHEN i >= 10000 THEN (i - 10000) * 100 ELSE i END * 1.5::DOUBLE AS score,
@@ -134,14 +216,22 @@ def gen_dupes(spark, sf):
 
 # --- schemas and shapes ---
 
-TYPES = {"bigint": "long", "int": "int", "double": "double", "string": "string", "timestamp_ntz": "DateTime", "timestamp": "DateTime", "boolean": "bool", "binary": "byte[]"}
+TYPES = {"bigint": "long", "int": "int", "double": "double", "string": "string", "timestamp_ntz": "DateTime", "timestamp": "DateTime", "boolean": "bool", "binary": "byte[]", "date": "DateTime"}
+
+
+KINDS = "CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'DateTime' WHEN 'DATE' THEN 'DateTime' WHEN 'BOOLEAN' THEN 'bool' WHEN 'BLOB' THEN 'byte[]' ELSE 'string' END"
+EMITTED = ("events", "orders", "documents", "labels")
 
 
-@query("""SELECT * FROM (VALUES ('event_id', 'long'), ('ts', 'DateTime'), ('user_id', 'long'), ('event_type', 'string'), ('value', 'double'), ('props', 'string')) t(field, type)""")
+@query(" UNION ALL ".join(f"SELECT '{t}' AS class, column_name AS field, {KINDS} AS type, '    public ' || {KINDS} || ' ' || upper(column_name[1]) || column_name[2:] || ' {{ get; set; }}' AS line FROM (DESCRIBE {t})" for t in EMITTED))
 def schema_emit(spark, sf):
-    """Class fields for the columns of a table; unknown types are strings."""
-    fields = [(f.name, TYPES.get(f.dataType.simpleString(), "string")) for f in load(spark, sf, "events").schema]
-    return spark.createDataFrame(fields, "field string, type string")
+    """Class fields for the columns of tables, and the line of source that declares each; unknown types are strings."""
+    rows = []
+    for t in EMITTED:
+        for f in load(spark, sf, t).schema:
+            kind = TYPES.get(f.dataType.simpleString(), "string")
+            rows.append((t, f.name, kind, f"    public {kind} {f.name[0].upper()}{f.name[1:]} {{ get; set; }}"))
+    return spark.createDataFrame(rows, "class string, field string, type string, line string")
 
 
 @query("""SELECT 'k' AS key, 'integer' AS type, CAST(count(*) AS BIGINT) AS n, max(event_id) AS last FROM events UNION ALL SELECT 'tag', CASE WHEN (SELECT max(event_id) FROM events WHERE event_id % 3 = 0) % 2 = 0 THEN 'string' ELSE 'boolean' END, CAST(count(*) AS BIGINT), max(event_id) FROM events WHERE event_id % 3 = 0""")
@@ -199,6 +289,81 @@ def scalar_numbers(spark, sf):
     )
 
 
+@query("""SELECT c_custkey AS id, md5(c_name) AS md5, lower(hex(crc)) AS crc, substr(replace(replace(replace(base64(c_name::BLOB), '+', '-'), '/', '_'), '=', ''), 1) AS url64, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'pydriver' ELSE 'pydriver 4.' || (c_custkey % 7) END AS driver,
+    CASE WHEN c_custkey % 3 = 0 THEN 'first' || c_custkey WHEN c_custkey % 3 = 1 THEN 'direct' || c_custkey END AS usr FROM (SELECT *, c_custkey AS crc FROM customer)""")
+def scalar_sessions(spark, sf):
+    """Codes of names, the driver of a session from nested metadata, and its user: the first effective one or the one named."""
+    k, n = F.col("c_custkey"), F.col("c_name")
+    driver = F.struct(F.struct(F.when(k % 5 != 0, "pydriver").alias("name"), F.when(k % 5 > 1, F.concat(F.lit("4."), k % 7)).alias("version")).alias("driver"))
+    users = F.when(k % 3 == 0, F.array(F.struct(F.concat(F.lit("first"), k).alias("user")), F.struct(F.lit("second").alias("user"))))
+    session = F.struct(users.alias("effectiveUsers"), F.when(k % 3 != 2, F.concat(F.lit("direct"), k)).alias("user"))
+    return load(spark, sf, "customer").select(k.alias("id"), F.md5(n).alias("md5"), F.lower(F.hex(k)).alias("crc"), s.base64_url(n.cast("binary")).alias("url64"), s.driver_text(F.to_json(driver)).alias("driver"), s.first_user(F.to_json(session)).alias("usr"))
+
+
+@query("""SELECT r.id, CASE WHEN id = 0 THEN -4611686018427387904 + (hi >> 1) WHEN hi IS NULL THEN (lo >> 1) + 4611686018427387903 + ((lo & 1) + 1 >> 1) ELSE lo + (hi - lo) // 2 END AS middle, CASE WHEN id % 3 = 0 THEN NULL ELSE CAST(id * 7 AS BIGINT) END AS minutes,
+    CAST(floor((10 + length(CAST(lo AS VARCHAR))) * 0.65) AS BIGINT) AS stored, lo / 1073741824.0::DOUBLE AS gb FROM ranges r""")
+def scalar_ranges(spark, sf):
+    """Middles of ranges with open ends, minutes since the last move, estimated sizes of documents."""
+    r = d.ranges(spark, sf)
+    now = F.lit("2024-05-01 12:00:00").cast("timestamp_ntz")
+    moved = F.when(F.col("id") % 3 != 0, now - F.make_interval(mins=F.col("id") * 7) - F.expr("interval 20 seconds"))
+    doc = F.concat(F.lit('{"sk": "'), F.col("lo").cast("string"), F.lit('"}'))
+    return r.select("id", s.midpoint(F.when(F.col("id") > 0, F.col("lo")), "hi").alias("middle"), s.minutes_between(moved.cast("timestamp_ntz"), now).alias("minutes"), s.stored_size(doc).alias("stored"), s.gigabytes("lo").alias("gb"))
+
+
+@query("""SELECT id, kind, CAST(row_number() OVER (ORDER BY CASE kind WHEN 'null' THEN -2 WHEN 'min' THEN -1 WHEN 'string' THEN 2 WHEN 'binary' THEN 5 WHEN 'bool' THEN 8 WHEN 'number' THEN 18 ELSE 99 END, num NULLS FIRST, txt NULLS FIRST, id) AS INTEGER) AS place FROM (
+    SELECT s_suppkey AS id, CASE s_suppkey % 7 WHEN 0 THEN 'null' WHEN 1 THEN 'min' WHEN 2 THEN 'string' WHEN 3 THEN 'binary' WHEN 4 THEN 'bool' WHEN 5 THEN 'number' ELSE 'max' END AS kind,
+      CASE WHEN s_suppkey % 7 IN (4, 5) THEN s_acctbal END AS num, CASE WHEN s_suppkey % 7 IN (2, 3) THEN s_name END AS txt FROM supplier)""")
+def typed_order(spark, sf):
+    """Values of mixed kinds in one order: missing, least key, then by rank of kind and by value, greatest key last."""
+    from pyspark.sql import Window
+
+    k = F.col("s_suppkey") % 7
+    kind = F.element_at(F.array(*map(F.lit, ("null", "min", "string", "binary", "bool", "number", "max"))), (k + 1).cast("int"))
+    x = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), kind.alias("kind"), F.when(k.isin(4, 5), F.col("s_acctbal")).alias("num"), F.when(k.isin(2, 3), F.col("s_name")).alias("txt"))
+    w = Window.orderBy(s.kind_rank("kind"), "num", "txt", "id")
+    return x.select("id", "kind", F.row_number().over(w).alias("place"))
+
+
+@query("""SELECT seq, id FROM (SELECT seq, id, op, lag(op) OVER (PARTITION BY id ORDER BY ts, seq) AS before FROM log WHERE op IN ('i', 'd')) WHERE op = 'i' AND before = 'i'""")
+def rejected_ops(spark, sf):
+    """Inserts that an ordered bulk write has to drop, because the id is there already; the rest is retried without them."""
+    from tidemark.operators import dupes
+
+    return dupes.rejected_inserts(d.change_log(spark, sf)).select("seq", "id")
+
+
+@query("""WITH x AS (SELECT id, ts, seq, value, CASE WHEN op = 'i' OR (op = 'u' AND seq % 3 = 0) THEN 'whole' WHEN op = 'u' THEN 'set' ELSE 'delete' END AS form FROM log WHERE op IN ('i', 'u', 'd')),
+    r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, seq) AS rn FROM x), w AS (SELECT id, max(rn) FILTER (form = 'whole') AS whole, max(rn) FILTER (form = 'delete') AS gone FROM r GROUP BY id)
+    SELECT r.id, arg_max(r.value, r.rn) AS a, arg_max(r.value, r.rn) FILTER (form = 'whole') AS b FROM r JOIN w USING (id) WHERE w.whole > coalesce(w.gone, 0) AND r.rn >= w.whole GROUP BY r.id""")
+def apply_updates(spark, sf):
+    """Documents after a log whose updates replace a document whole (fields a and b) or set one field (a)."""
+    from tidemark.operators import dupes
+
+    x = d.change_log(spark, sf).where(F.col("op").isin("i", "u", "d"))
+    form = F.when((F.col("op") == "i") | ((F.col("op") == "u") & (F.col("seq") % 3 == 0)), "whole").when(F.col("op") == "u", "set").otherwise("delete")
+    return dupes.applied(x.withColumn("form", form))
+
+
+@query("""SELECT entity, CAST(ms AS BIGINT) AS ms FROM (SELECT user_id AS entity, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) // 1000 AS ms, event_id FROM events) WHERE ms IS NOT NULL ORDER BY ms DESC, entity, event_id LIMIT 20""")
+def longest_durations(spark, sf):
+    """The twenty longest times between two events of an entity."""
+    from pyspark.sql import Window
+
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    ms = F.floor((us - F.lag(us).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))) / 1000).cast("long")
+    x = load(spark, sf, "events").select(F.col("user_id").alias("entity"), ms.alias("ms"), "event_id").where("ms is not null")
+    return x.orderBy(F.desc("ms"), "entity", "event_id").limit(20).select("entity", "ms")
+
+
+@query("SELECT 'user' || c_nationkey AS usr, 'db' || (c_custkey % 2) AS db, string_agg(DISTINCT 'role' || (c_custkey % 5), ',' ORDER BY 'role' || (c_custkey % 5)) AS roles FROM customer GROUP BY 1, 2 ORDER BY 2, 1")
+def users_scan(spark, sf):
+    """Users with their roles, sorted by their id (database and name)."""
+    k = F.col("c_custkey")
+    g = load(spark, sf, "customer").groupBy(F.concat(F.lit("user"), "c_nationkey").alias("usr"), F.concat(F.lit("db"), k % 2).alias("db")).agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("role"), k % 5))), ",").alias("roles"))
+    return g.orderBy("db", "usr")
+
+
 @query("SELECT CAST(n AS INTEGER) AS attempt, CASE WHEN n + 1 < 5 THEN CAST(sum(2 ** n + 10) OVER (ORDER BY n) AS BIGINT) END AS next_at FROM (SELECT unnest(range(5)) AS n)")
 def retry_schedule(spark, sf):
     """Seconds from the start at which each try follows: two to the power of the try, and ten."""
