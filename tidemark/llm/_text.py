@@ -95,3 +95,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values of ``x``, ascending: by sorting, which is faster here than hashing."""
+    y = np.sort(x)
+    new = np.ones(len(y), bool)
+    np.not_equal(y[1:], y[:-1], out=new[1:])
+    return y[new]

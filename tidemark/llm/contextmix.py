@@ -99,7 +99,9 @@ class Units:
         """Pieces of texts: the first unit of one without ``head`` and the text's end in one without ``tail`` belong to its neighbours."""
         starts, ends, first = words(data, offsets)
         filled = offsets[:-1][np.diff(offsets) > 0]
-        at = np.union1d(starts, filled)
+        mark = np.zeros(len(data), bool)
+        mark[starts] = mark[filled] = True
+        at = np.flatnonzero(mark)
         row = np.searchsorted(offsets, at, "right") - 1
         stop = np.append(at[1:], len(data))
         last = np.append(row[1:] != row[:-1], True) if len(at) else np.zeros(0, bool)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._io import map_arrow, materialize, own_exchange
-from ._text import BASE, Powers, binary_column, blocks, lower_table, mix, prefix_hash, space_table, span_hash, words
+from ._text import BASE, Powers, binary_column, blocks, distinct, lower_table, mix, prefix_hash, space_table, span_hash, words
 
 SHINGLE, THRESHOLD = 5, 75  # words; percent
 SKETCH, PROBES, LEAST_ESTIMATE = 64, 24, 0.5
@@ -82,7 +82,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, powers: Powers, size: int =
         rolled = mix(rolled)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= size:
-            out.append(np.unique(rolled[a : b - size + 1]))
+            out.append(distinct(rolled[a : b - size + 1]))
         elif b > a:
             h = np.uint64(b - a)
             for x in w[a:b]:

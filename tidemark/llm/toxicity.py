@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._io import map_arrow, materialize
-from ._text import BASE, binary_column, blocks, lower_table, mix, space_table
+from ._text import BASE, binary_column, blocks, distinct, lower_table, mix, space_table
 
 #: Labelled rows that are learned from at most; a bound on what the driver fits.
 MAX_LABELLED = 20_000
@@ -84,7 +84,7 @@ def counted(docs: DataFrame) -> DataFrame:
             for lo, hi in blocks(offsets, BLOCK):
                 part = offsets[lo : hi + 1] - offsets[lo]
                 for row, gram in grams(data[offsets[lo] : offsets[hi]], part):
-                    key = np.unique(row.astype(np.int64) << BITS | gram)
+                    key = distinct(row.astype(np.int64) << BITS | gram)
                     marks = label[lo:hi][key >> BITS]
                     for y in (0, 1):
                         sums[y] += np.bincount(key[marks == y] & ((1 << BITS) - 1), minlength=1 << BITS).astype(np.uint32)
@@ -118,7 +118,7 @@ def held_pairs(data: np.ndarray, offsets: np.ndarray, place: np.ndarray) -> tupl
         found.append(f[ok])
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = np.unique(np.concatenate(rows).astype(np.int64) << 32 | np.concatenate(found).astype(np.int64))
+    key = distinct(np.concatenate(rows).astype(np.int64) << 32 | np.concatenate(found).astype(np.int64))
     return key >> 32, key & 0xFFFFFFFF
 
 
