@@ -198,3 +198,17 @@ def test_sizes_of_plans(spark):
     assert tuple(x.first()) == (1, 1, 3, 50, 25_000)
     x = spark.range(1).select(ranges.split_size(10**9, 2), ranges.split_size(10**6, 2), ranges.split_size(10**8, 2))
     assert tuple(x.first()) == (16793599, 2 << 20, 5_000_000)
+
+
+def test_conflicts_are_resolved_by_moves(spark):
+    """Copies of keys in ranges 0 to 5 of two shards: moves end with no key twice on a shard, the input's conflicts never grow."""
+    rows_ = [(k, r, f"s{r % 2}") for k in range(40) for r in ((k % 3) * 2, (k % 3) * 2 + 2 if k % 3 < 2 else 0)]
+    df = spark.createDataFrame(sorted(set(rows_)), "k long, range_id long, shard string")
+    moves, left = dupes.resolved(df, ["s0", "s1", "s2"])
+    after = {}
+    for k, r, s in set(rows_):
+        after.setdefault((k, moves.get(r, s)), []).append(r)
+    assert left == sum(len(x) * (len(x) - 1) // 2 for x in after.values()) == 0 and moves
+    assert dupes.resolved(df.where("false"), ["s0"]) == ({}, 0)
+    one = dupes.resolved(df, ["s0"])
+    assert one[0] == {} and one[1] > 0

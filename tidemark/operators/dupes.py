@@ -62,3 +62,37 @@ def applied(log: DataFrame) -> DataFrame:
     live = marks.where("whole is not null and (gone is null or whole > gone)").select("id", "whole")
     x = log.join(live, "id").where(at >= F.col("whole"))
     return x.groupBy("id").agg(F.max_by("value", at).alias("a"), F.max_by(F.when(F.col("form") == "whole", F.col("value")), F.when(F.col("form") == "whole", at)).alias("b"))
+
+
+def resolved(placed: DataFrame, shards: list[str], most: int = 100) -> tuple[dict, int]:
+    """(moves, conflicts left): shards for ranges of ``placed`` (k, range_id, shard) so that fewer keys have two copies on one shard.
+
+    Each round moves the range with most conflicting copies to the shard where it meets fewest; a placement that was
+    seen before ends the search, as does a round that gains nothing. Only counts by range and shard reach the driver, and
+    ranges are few; the map of moves is a literal in the next round's plan.
+    """
+    moves: dict[int, str] = {}
+    seen, best = set(), None
+    for _ in range(most):
+        target = F.col("shard")
+        if moves:
+            m = F.create_map(*[x for r, to in sorted(moves.items()) for x in (F.lit(r).cast("long"), F.lit(to))])
+            target = F.coalesce(F.try_element_at(m, F.col("range_id").cast("long")), F.col("shard"))
+        now = placed.select("k", "range_id", target.alias("shard"))
+        meet = now.alias("a").join(now.select("k", F.col("range_id").alias("r"), F.col("shard").alias("s")).alias("b"), "k").where("range_id <> r")
+        here = {(x["range_id"], x["s"]): x["n"] for x in meet.groupBy("range_id", "s").agg(F.count(F.lit(1)).alias("n")).collect()}
+        home = {x["range_id"]: x["shard"] for x in now.select("range_id", "shard").distinct().collect()}
+        clash = {r: here.get((r, s), 0) for r, s in home.items()}
+        left = sum(clash.values()) // 2
+        if best is None or left < best[1]:
+            best = (dict(moves), left)
+        worst = max(clash, key=lambda r: (clash[r], -r), default=None)
+        if worst is None or not clash[worst]:
+            break
+        to = min(shards, key=lambda s: (here.get((worst, s), 0), s))
+        state = (*sorted(moves.items()), worst, to)
+        if here.get((worst, to), 0) >= clash[worst] or state in seen:
+            break
+        seen.add(state)
+        moves[worst] = to
+    return best if best is not None else ({}, 0)

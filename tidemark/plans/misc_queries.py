@@ -262,13 +262,13 @@ def query_shape(spark, sf):
 # --- scalar functions ---
 
 
-@query("""SELECT c_custkey AS id, md5(c_name) AS md5, sha256(c_name) AS sha256, upper(hex(c_name)) AS hex, base64(c_name::BLOB) AS b64, lower(regexp_extract('h' || c_custkey || '-Shard-' || (c_custkey % 5) || '.x', '(?i)(shard[-_]?[0-9]+)', 1)) AS shard,
+@query("""SELECT c_custkey AS id, md5(c_name) AS md5, sha1(c_name) AS sha1, sha256(c_name) AS sha256, upper(hex(c_name)) AS hex, base64(c_name::BLOB) AS b64, lower(regexp_extract('h' || c_custkey || '-Shard-' || (c_custkey % 5) || '.x', '(?i)(shard[-_]?[0-9]+)', 1)) AS shard,
     CASE WHEN length(c_name) > 12 THEN substr(c_name, 1, 9) || '...' ELSE c_name END AS short, '10.1.1.' || (c_custkey % 250) AS ip, 'm://*****@h' || c_custkey AS masked, 'coll' AS bare, 'db.metrics' AS view_ns, 'db.system.buckets.m' || c_nationkey AS bucket_ns FROM customer""")
 def scalar_text(spark, sf):
     k = F.col("c_custkey")
     n = F.col("c_name")
     return load(spark, sf, "customer").select(
-        k.alias("id"), F.md5(n).alias("md5"), F.sha2(n, 256).alias("sha256"), F.hex(n).alias("hex"), F.base64(n.cast("binary")).alias("b64"),
+        k.alias("id"), F.md5(n).alias("md5"), F.sha1(n).alias("sha1"), F.sha2(n, 256).alias("sha256"), F.hex(n).alias("hex"), F.base64(n.cast("binary")).alias("b64"),
         s.shard_name(F.concat(F.lit("h"), k, F.lit("-Shard-"), k % 5, F.lit(".x"))).alias("shard"), s.shorten(n, 12).alias("short"),
         s.client_ip(F.concat(F.lit("10.1.1."), k % 250, F.lit(":"), k)).alias("ip"), s.mask_credentials(F.concat(F.lit("m://u:p"), k, F.lit("@h"), k)).alias("masked"),
         s.strip_number(F.concat(F.lit("coll_"), k)).alias("bare"), s.bucket_to_view(F.lit("db.system.buckets.metrics")).alias("view_ns"), s.view_to_bucket(F.concat(F.lit("db.m"), F.col("c_nationkey"))).alias("bucket_ns"),

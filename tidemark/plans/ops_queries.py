@@ -85,10 +85,45 @@ def series_pctl(spark, sf):
     return load(spark, sf, "events").groupBy(F.col("event_type").alias("series")).agg(F.round(F.percentile("value", 0.95), 4).alias("p95"), F.round(F.avg("value"), 4).alias("mean"), F.max("value").alias("most"))
 
 
-@query("""SELECT ns, '{"ns":"' || ns || '","shards":[' || string_agg('{"shard":"' || shard || '","n":' || n || '}', ',' ORDER BY shard) || ']}' AS stat FROM (SELECT ns, shard, count(*) AS n FROM log GROUP BY ns, shard) GROUP BY ns""")
+@query("""SELECT ns, '{"ns":"' || ns || '","total":{"ops":' || CAST(sum(n) AS BIGINT) || ',"bytes":' || CAST(sum(b) AS BIGINT) || '},"shards":[' || string_agg('{"shard":"' || shard || '","ops":{"total":' || n || ',"i":' || i || ',"u":' || u || ',"d":' || dl || '},"bytes":{"sum":' || b || ',"max":' || m || '}}', ',' ORDER BY shard) || ']}' AS stat
+    FROM (SELECT ns, shard, count(*) AS n, count(*) FILTER (op = 'i') AS i, count(*) FILTER (op = 'u') AS u, count(*) FILTER (op = 'd') AS dl, CAST(sum(size) AS BIGINT) AS b, max(size) AS m FROM log GROUP BY ns, shard) GROUP BY ns""")
 def stat_json(spark, sf):
-    x = d.change_log(spark, sf).groupBy("ns", "shard").agg(F.count(F.lit(1)).alias("n")).groupBy("ns").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("shards"))
-    return x.select("ns", F.to_json(F.struct("ns", "shards")).alias("stat"))
+    """A tree of metrics for each namespace: totals, then operations by kind and bytes of each shard."""
+    n = lambda o: F.count_if(F.col("op") == o)
+    ops = F.struct(F.count(F.lit(1)).alias("total"), n("i").alias("i"), n("u").alias("u"), n("d").alias("d"))
+    x = d.change_log(spark, sf).groupBy("ns", "shard").agg(ops.alias("ops"), F.struct(F.sum("size").alias("sum"), F.max("size").alias("max")).alias("bytes"))
+    g = x.groupBy("ns").agg(F.struct(F.sum("ops.total").alias("ops"), F.sum("bytes.sum").alias("bytes")).alias("total"), F.array_sort(F.collect_list(F.struct("shard", "ops", "bytes"))).alias("shards"))
+    return g.select("ns", F.to_json(F.struct("ns", "total", "shards")).alias("stat"))
+
+
+@query("""SELECT c.ns, c.shard, CAST(count(l.ns) AS BIGINT) AS ops, CAST(coalesce(sum(l.size), 0) AS BIGINT) AS bytes FROM (SELECT n.ns, s.shard FROM (SELECT DISTINCT ns FROM log WHERE ns NOT LIKE 'config.%' AND ns NOT LIKE 'admin.%') n, (SELECT DISTINCT shard FROM log) s) c
+    LEFT JOIN log l ON l.ns = c.ns AND l.shard = c.shard GROUP BY c.ns, c.shard""")
+def ns_stats_each(spark, sf):
+    """Statistics of each listed collection on each shard, also where it has none; shards are few."""
+    x = d.change_log(spark, sf)
+    listed = x.where(~is_system_db(ns_db("ns"))).select("ns").distinct().join(F.broadcast(x.select("shard").distinct()))
+    got = x.groupBy("ns", "shard").agg(F.count(F.lit(1)).alias("ops"), F.sum("size").alias("bytes"))
+    return listed.join(got, ["ns", "shard"], "left").fillna(0, ["ops", "bytes"])
+
+
+@query("SELECT entity, shard, max(ts) AS ts, CAST(max(counter) AS BIGINT) AS counter, CAST(count(*) AS BIGINT) AS samples FROM snap GROUP BY entity, shard")
+def server_counters(spark, sf):
+    """Each entity's newest counter, and how often it was read."""
+    return d.snapshots(spark, sf).groupBy("entity", "shard").agg(F.max("ts").alias("ts"), F.max("counter").alias("counter"), F.count(F.lit(1)).alias("samples"))
+
+
+@query("SELECT id, app, usr, op, secs FROM sess WHERE active AND op <> 'command' AND secs >= 100 AND app <> 'MACHINERY'")
+def current_ops(spark, sf):
+    """Operations that run for long, without those of excluded kinds and applications."""
+    return d.sessions(spark, sf).where(F.col("active") & (F.col("op") != "command") & (F.col("secs") >= 100) & ~F.col("app").isin("MACHINERY")).select("id", "app", "usr", "op", "secs")
+
+
+@query("SELECT md5('n' || n_nationkey) || '.' || n_regionkey || '.bson' AS file, c.ns FROM nation JOIN (SELECT DISTINCT ns, uuid FROM colls) c ON c.uuid = md5('n' || n_nationkey)")
+def uuid_files(spark, sf):
+    """Dump files by the collection whose identifier begins their name."""
+    name = F.concat(F.md5(F.concat(F.lit("n"), "n_nationkey")), F.lit("."), "n_regionkey", F.lit(".bson"))
+    files = load(spark, sf, "nation").select(name.alias("file")).withColumn("uuid", F.substring_index("file", ".", 1))
+    return files.join(d.collections(spark, sf).select("ns", "uuid").distinct(), "uuid").select("file", "ns")
 
 
 # --- connections ---
