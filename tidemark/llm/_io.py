@@ -37,15 +37,16 @@ def work_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str, few: bool = False) -> DataFrame:
+def materialize(df: DataFrame, tag: str, few: bool = False, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors.
 
     ``few``: a narrow table; its rows are dealt to two tasks a core to be written, so that the many empty or tiny
-    partitions of a shuffle do not each become a file.
+    partitions of a shuffle do not each become a file. ``codec``: how files are compressed, the session's way by default.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    (df.repartition(2 * spark.sparkContext.defaultParallelism) if few else df).write.parquet(path)
+    out = df.repartition(2 * spark.sparkContext.defaultParallelism) if few else df
+    out.write.parquet(path, compression=codec)
     WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -319,13 +319,13 @@ class Passages:
         """(a, h, g, n, at): different segments of anchors that occur twice; ``at`` is one place, m the kinds of the anchor."""
         segs = self.union(self.segs)
         per = segs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(own_exchange("a"))
-        self.shared = materialize(segs.join(per, "a"), "shared")
+        self.shared = materialize(segs.join(per, "a"), "shared", codec="zstd")
         place = F.struct(F.col("doc_id").alias("i"), F.col("key").alias("k"), "p", "w")
-        return materialize(self.shared.groupBy("a", "h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at")), "kinds")
+        return materialize(self.shared.groupBy("a", "h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at")), "kinds", codec="zstd")
 
     def add(self, docs: DataFrame) -> None:
         self.docs.append(docs)
-        self.segs.append(materialize(located(docs), "segments"))
+        self.segs.append(materialize(located(docs), "segments", codec="zstd"))
         self.every = kinds = self.kinds()
         per = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(own_exchange("a"), (F.col("m") > HOT_SEGMENTS).alias("hot"))
         wanted = kinds.join(per, "a").select("a", "h", "g", "at", "hot")
@@ -334,7 +334,7 @@ class Passages:
             wanted = wanted.join(done, ["a", "h", "g", "hot"], "left_anti")
         wanted = wanted.groupBy(F.col("at.i").alias("i"), F.col("at.k").alias("k")).agg(F.collect_list(F.struct("at.p", "at.w", "a", "h", "g", "hot")).alias("wanted"))
         texts = self.union(self.docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")))
-        found = materialize(contents(texts).dropDuplicates(["a", "h", "g", "w"]), "contents")
+        found = materialize(contents(texts).dropDuplicates(["a", "h", "g", "w"]), "contents", codec="zstd")
         self.seen.append(found)
         cold = found.where("x is null")
         if not self.buckets:
@@ -347,7 +347,7 @@ class Passages:
             live = self.levels().join(touched, "bucket", "left_semi")
             rows = fresh.unionByName(live.select("bucket", "uid", none("long").alias("a"), none("long").alias("h"), none("int").alias("g"), none("int").alias("w"), "data", "starts", "keys"))
         rows = rows.repartition("bucket").sortWithinPartitions("bucket", F.col("uid").isNull(), "a", "h", "g")
-        self.index.append(materialize(indexed(rows), "index"))
+        self.index.append(materialize(indexed(rows), "index", codec="zstd"))
 
     def levels(self) -> DataFrame:
         """Live levels: those that no later batch has merged into another."""
