@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.small import small
+
 THRESHOLD_PCT, ACTIVE_CHUNKS = 3.0, 10
 
 
@@ -18,7 +20,7 @@ def ns_skew(load: DataFrame) -> DataFrame:
 
 def shard_targets(load: DataFrame, shards: DataFrame, threshold: float = THRESHOLD_PCT, active: int = ACTIVE_CHUNKS) -> DataFrame:
     """Each namespace's target per shard over all shards (few), unseen ones with no load and never above."""
-    all_ = load.select("ns").distinct().join(F.broadcast(shards.select("shard").distinct()))
+    all_ = load.select("ns").distinct().join(small(shards.select("shard").distinct()))
     x = all_.join(load.withColumn("_seen", F.lit(True)), ["ns", "shard"], "left").fillna(0, ["total_ops", "active_chunks"])
     w = Window.partitionBy("ns")
     x = x.withColumn("_t", F.expr("sum(total_ops) over (partition by ns) div count(*) over (partition by ns)"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import is_system_db, ns_db
+from tidemark.operators.small import small
 
 
 def index_diff(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def shard_map(sources: DataFrame, targets: DataFrame, explicit: list[str] | None
 
 def mapped(df: DataFrame, column: str, shard_map: DataFrame) -> DataFrame:
     """``df`` with the shards of ``column`` replaced by those that a map of few rows names; others keep theirs."""
-    m = F.broadcast(shard_map.select(F.col("source").alias("_source"), F.col("target").alias("_target")))
+    m = small(shard_map.select(F.col("source").alias("_source"), F.col("target").alias("_target")))
     return df.join(m, F.col(column) == F.col("_source"), "left").withColumn(column, F.coalesce("_target", column)).drop("_source", "_target")
 
 

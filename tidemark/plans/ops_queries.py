@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import is_system_db, ns_db
 from tidemark.operators import catalogs, metrics
+from tidemark.operators.small import small
 from tidemark.plans.base import query
 from tidemark.sources import derived as d
 from tidemark.sources.tables import load
@@ -101,7 +102,7 @@ def stat_json(spark, sf):
 def ns_stats_each(spark, sf):
     """Statistics of each listed collection on each shard, also where it has none; shards are few."""
     x = d.change_log(spark, sf)
-    listed = x.where(~is_system_db(ns_db("ns"))).select("ns").distinct().join(F.broadcast(x.select("shard").distinct()))
+    listed = x.where(~is_system_db(ns_db("ns"))).select("ns").distinct().join(small(x.select("shard").distinct()))
     got = x.groupBy("ns", "shard").agg(F.count(F.lit(1)).alias("ops"), F.sum("size").alias("bytes"))
     return listed.join(got, ["ns", "shard"], "left").fillna(0, ["ops", "bytes"])
 
@@ -263,7 +264,7 @@ def shardkey_diff(spark, sf):
 @query("SELECT r.ns, r.id, c.uuid, r.lo, r.shard FROM ranges r JOIN (SELECT 'db.orders' AS ns, md5('orders') AS uuid) c ON r.ns = c.ns WHERE r.shard <> 'shard9'")
 def chunk_catalog_join(spark, sf):
     colls = spark.createDataFrame([("db.orders",)], "ns string").withColumn("uuid", F.md5(F.lit("orders")))
-    return d.ranges(spark, sf).where("shard <> 'shard9'").join(F.broadcast(colls), "ns").select("ns", "id", "uuid", "lo", "shard").orderBy("ns", "lo")
+    return d.ranges(spark, sf).where("shard <> 'shard9'").join(small(colls), "ns").select("ns", "id", "uuid", "lo", "shard").orderBy("ns", "lo")
 
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import bucket5_ceil
 from tidemark.operators import balance, dupes, ranges
+from tidemark.operators.small import small
 from tidemark.plans.base import query
 from tidemark.sources import derived as d
 from tidemark.sources.tables import in_range, load
@@ -256,7 +257,7 @@ def best_target(spark, sf):
     here = x.join(dupes.conflicts(x, "k").select("k", "shard"), ["k", "shard"]).groupBy("k", "range_id", "shard").agg(F.count(F.lit(1)).alias("in_range"))
     there = x.groupBy("k", F.col("shard").alias("to")).agg(F.count(F.lit(1)).alias("n"))
     shards = d.ranges(spark, sf).select(F.col("shard").alias("to")).distinct()
-    y = here.join(F.broadcast(shards), F.col("to") != F.col("shard")).join(there, ["k", "to"], "left")
+    y = here.join(small(shards), F.col("to") != F.col("shard")).join(there, ["k", "to"], "left")
     score = F.when(F.col("n").isNull(), 100).when(F.col("in_range") > 1, -50).when(F.col("n") > 1, -100).otherwise(-25)
     s = y.groupBy("range_id", "to").agg(F.sum(score).alias("score"))
     best = s.groupBy("range_id").agg(F.min_by(F.struct("to", "score"), F.struct(-F.col("score"), F.col("to"))).alias("b"))
