@@ -40,12 +40,12 @@ def work_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, tag: str, few: bool = False, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    ``few``: a narrow table; its rows are dealt to two tasks a core to be written, so that the many empty or tiny
+    ``few``: a narrow table; its rows are dealt to one task a core to be written, so that the many empty or tiny
     partitions of a shuffle do not each become a file. ``codec``: how files are compressed, the session's way by default.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    out = df.repartition(2 * spark.sparkContext.defaultParallelism) if few else df
+    out = df.repartition(spark.sparkContext.defaultParallelism) if few else df
     out.write.parquet(path, compression=codec)
     WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -59,19 +59,14 @@ def own_exchange(column: str) -> Column:
     return F.col(column).bitwiseXOR(F.lit(0)).alias(column)
 
 
-def discard(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Delete the work tables written after the first ``since``, but for the one that ``keep`` reads; call it once the
+def discard(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
+    """Delete the work tables written after the first ``since``, but for that at the path ``keep``; call it once the
     results that read them are stored."""
-    stays = [f.split("/")[-2] for f in keep.inputFiles()[:1]] if keep is not None else []
-    held = []
-    while len(WRITTEN) > since:
-        name = WRITTEN.pop()
-        if name.rsplit("/", 1)[-1] in stays:
-            held.append(name)
-            continue
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    WRITTEN.extend(reversed(held))
+    for name in WRITTEN[since:]:
+        if name != keep:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    WRITTEN[since:] = [x for x in WRITTEN[since:] if x == keep]
 
 
 def map_arrow(df: DataFrame, fn, schema: str, size: int = BATCH_ROWS) -> DataFrame:
