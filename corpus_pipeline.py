@@ -29,5 +29,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = materialize(docs, "stage")
-            discard(spark, since, keep=docs)  # work tables of this stage and the documents before it
+            discard(spark, since, keep=WRITTEN[-1])  # work tables of this stage and the documents before it
     return docs
