@@ -113,7 +113,8 @@ def sample(docs: DataFrame, size: Column, weights=WEIGHTS, cap: int = MAX_COPIES
     coarse = materialize(edges(ranked, F.col("bucket")).select("e", F.col("edge").alias("coarse"), F.col("before").alias("before_coarse")), "edges")
     at = ranked.join(coarse, F.col("source").eqNullSafe(F.col("e")) & (F.col("bucket") == F.col("coarse"))).withColumn("need", F.col("left") - F.col("before_coarse")).drop("e")
     inner = edges(at, F.col("fine")).withColumnRenamed("before", "before_fine").withColumnRenamed("e", "f")
-    edge = coarse.join(inner, F.col("e").eqNullSafe(F.col("f")), "left").drop("f")
+    # written, so that the planner knows its size: one row a source, which it broadcasts unless sources are very many
+    edge = materialize(coarse.join(inner, F.col("e").eqNullSafe(F.col("f")), "left").drop("f"), "edges")
     x = x.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e")
     # only rows of the fine bucket at the edge are ranked; of all others the buckets tell
     here = F.coalesce((F.col("bucket") == F.col("coarse")) & (F.col("fine") == F.col("edge")), F.lit(False))
