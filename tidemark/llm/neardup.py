@@ -41,7 +41,7 @@ SKETCH, PROBES, LEAST_ESTIMATE = 64, 24, 0.5
 WINDOW, WORDS = 40, 8
 #: Bits of the filter of wanted rows for each of them, and the largest filter in bytes; beyond it rows are joined instead.
 FILTER_BITS, FILTER_BYTES = 16, 16 << 20
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 BIT_COLUMNS = tuple(f"b{i}" for i in range(WORDS))
 
 
