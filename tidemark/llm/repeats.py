@@ -33,7 +33,7 @@ from ._text import Powers, binary_column, blocks, mix, prefix_hash, span_hash
 LENGTH, GRAM = 200, 100
 #: Kinds of an anchor from which on they are cut into windows, kinds of a bucket in the first batch, and windows that are compared at once.
 HOT_SEGMENTS, BUCKET_SEGMENTS, SCAN = 1000, 1000, 1 << 15
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Base of the second digest.
 BASE2 = 0xD6E8FEB86659FD93
 
