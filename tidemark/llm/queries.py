@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contextmix, media, mixing, neardup, packing, quality, repeats, secrets, toxicity, warc
+from . import contextmix, discriminant, filter_audit, hard_negatives, media, mixing, neardup, packing, quality, repeats, secrets, toxicity, warc
 from ._io import table
 
 
@@ -48,5 +48,20 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op5_lm, op6_neardup, op7_packing, op8_warc, op9_media, op10_repeats)}
-ORACLES = {"op4_mixing": mixing.ORACLE}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discriminant.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_toxicity, op2_secrets, op3_quality, op4_mixing, op5_lm, op6_neardup, op7_packing, op8_warc, op9_media, op10_repeats, op11_filter_audit, op12_hard_negatives, op13_discriminant)
+}
+ORACLES = {"op4_mixing": mixing.ORACLE, "op11_filter_audit": filter_audit.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
