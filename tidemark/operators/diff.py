@@ -44,9 +44,10 @@ def lookup_diff(source: DataFrame, dest: DataFrame) -> DataFrame:
 
 
 def id_diff(source: DataFrame, dest: DataFrame) -> DataFrame:
-    """Keys of one side only."""
-    a, b = source.select("k"), dest.select("k")
-    return a.join(b, "k", "left_anti").withColumn("status", F.lit("source_only")).unionByName(b.join(a, "k", "left_anti").withColumn("status", F.lit("dest_only")))
+    """Keys of one side only; a null key is a key like any other."""
+    x = marked(source.select("k"), "s").join(marked(dest.select("k"), "d"), F.col("s.k").eqNullSafe(F.col("d.k")), "full_outer")
+    x = x.where(F.col("s.here").isNull() | F.col("d.here").isNull())
+    return x.select(F.coalesce("s.k", "d.k").alias("k"), F.when(F.col("s.here").isNull(), "dest_only").otherwise("source_only").alias("status"))
 
 
 def three_way(source: DataFrame, dest: DataFrame) -> DataFrame:
@@ -64,9 +65,10 @@ def with_both_hashes(df: DataFrame, *cols: str, reverse: Column | None = None) -
 
 
 def changed_diff(source: DataFrame, dest: DataFrame, ids: DataFrame) -> DataFrame:
-    """Only keys that the log touched: both sides are reduced by semi join first."""
-    ids = ids.select("k").distinct()
-    return full_diff(source.join(ids, "k", "left_semi"), dest.join(ids, "k", "left_semi")).select("k", "status")
+    """Only keys that the log touched, a null one among them: both sides are reduced by semi join first."""
+    ids = ids.select(F.col("k").alias("_id")).distinct()
+    touched = lambda x: x.join(ids, F.col("k").eqNullSafe(F.col("_id")), "left_semi")
+    return full_diff(touched(source), touched(dest)).select("k", "status")
 
 
 def summary(diffed: DataFrame, *by: str) -> DataFrame:
@@ -83,10 +85,11 @@ def totals(diffed: DataFrame, retries: DataFrame, *by: str) -> DataFrame:
 
 
 def recheck(failed: DataFrame, source: DataFrame, dest: DataFrame) -> DataFrame:
-    """Failed keys compared anew: gone on both sides or equal passes, all else stays."""
-    x = failed.select("ns", "k").join(source.alias("s"), "k", "left").join(dest.alias("d"), "k", "left")
-    same = F.col("s.h").eqNullSafe(F.col("d.h"))
-    return x.select("ns", "k", F.when(same, "pass").otherwise("stay").alias("outcome"))
+    """Failed keys, null ones too, compared anew: gone on both sides or equal on both passes, all else stays."""
+    f = failed.select("ns", F.col("k").alias("_k")).alias("f")
+    x = f.join(marked(source, "s"), F.col("_k").eqNullSafe(F.col("s.k")), "left").join(marked(dest, "d"), F.col("_k").eqNullSafe(F.col("d.k")), "left")
+    same = F.col("s.here").eqNullSafe(F.col("d.here")) & F.col("s.h").eqNullSafe(F.col("d.h"))
+    return x.select("ns", F.col("_k").alias("k"), F.when(same, "pass").otherwise("stay").alias("outcome"))
 
 
 def pull_passed(ranges: DataFrame, rechecked: DataFrame, *by: str) -> DataFrame:

@@ -11,25 +11,42 @@ from tidemark.sources.work import stored
 FEW = 64
 
 
+#: Ranges in a bin of a floor join, and bounds of bins that a plan may hold.
+BIN, MOST_BOUNDS = 64, 1 << 16
+
+
+def last_at_most(sorted_values: Column, x: Column, size: int | None = None) -> Column:
+    """How many entries of an ascending array are at most ``x``: a binary search of one comparison a halving.
+
+    ``size``: the most entries that the array may have, ``MOST_BOUNDS`` by default.
+    """
+    halvings = F.array(*[F.lit(1 << i) for i in reversed(range((size or MOST_BOUNDS).bit_length()))])
+    return F.aggregate(halvings, F.lit(0), lambda at, step: F.when((at + step <= F.size(sorted_values)) & (F.get(sorted_values, at + step - 1) <= x), at + step).otherwise(at))
+
+
 def floor_join(rows: DataFrame, key: str, ranges: DataFrame, few: bool | None = None) -> DataFrame:
     """Each row with the range [lo, hi) that holds its key; ranges are disjoint, a null hi is open, keys below all are dropped.
 
-    The ranges are counted: up to ``FEW`` are broadcast and every row is held against them. Many are spread over bins of
-    equal width, two for each range, that both sides are equi-joined on, a range once for each bin it touches; an
-    open range is joined apart by its lower bound alone. ``few`` forces one of the two forms.
+    The ranges are counted while the plan is built: up to ``FEW`` are broadcast and every row is held against them. Many are ranked by their lower
+    bounds and packed into bins of equal depth, ``BIN`` ranges each (more where bounds would exceed ``MOST_BOUNDS``, which
+    the plan holds as one literal). A row finds its bin by binary search among the bounds, both sides are equi-joined on
+    the bin, and a second binary search in the bin's sorted array picks the range: a few comparisons a row, however
+    wide or narrow ranges are, and no row is paired with a range that does not hold it. ``few`` forces one of the two forms.
     """
-    inside = (F.col(key) >= F.col("lo")) & (F.col("hi").isNull() | (F.col(key) < F.col("hi")))
     n = ranges.limit(FEW + 1).count() if few is None else 0
     if few or (few is None and n <= FEW):
-        return rows.join(F.broadcast(ranges), inside)
-    bins = 2 * ranges.count()
-    closed, open_ = ranges.where("hi is not null"), ranges.where("hi is null")
-    span = closed.agg(F.min("lo").alias("least"), F.max("hi").alias("most")).withColumn("w", F.greatest(F.lit(1), F.ceil((F.col("most") - F.col("least")) / bins)))
-    at = lambda x: F.floor((x - F.col("least")) / F.col("w")).cast("long")
-    r = closed.join(F.broadcast(span)).withColumn("_bin", F.explode(F.sequence(at(F.col("lo")), at(F.col("hi") - 1)))).drop("least", "most", "w")
-    x = rows.join(F.broadcast(span)).withColumn("_bin", at(F.col(key))).drop("least", "most", "w")
-    found = x.join(r, (x["_bin"] == r["_bin"]) & inside).drop("_bin")
-    return found.unionByName(rows.join(F.broadcast(open_), F.col(key) >= F.col("lo")))  # disjoint ranges: one is open at most
+        return rows.join(F.broadcast(ranges), (F.col(key) >= F.col("lo")) & (F.col("hi").isNull() | (F.col(key) < F.col("hi"))))
+    depth = max(BIN, -(-ranges.count() // MOST_BOUNDS))
+    binned = ranked(ranges.where("lo is not null"), "lo").withColumn("_bin", F.floor((F.col("r") - 1) / depth).cast("long")).drop("r", "total")
+    bins = stored(binned.groupBy("_bin").agg(F.sort_array(F.collect_list(F.struct("lo", *[c for c in ranges.columns if c != "lo"]))).alias("_ranges")), "bins")
+    kind = dict(ranges.dtypes)["lo"]
+    bounds = bins.agg(F.to_json(F.sort_array(F.collect_list(F.col("_ranges")[0]["lo"]))).alias("b")).first()["b"]
+    bin_ = (last_at_most(F.from_json(F.lit(bounds), f"array<{kind}>"), F.col(key)) - 1).cast("long")
+    # the key of the join is an expression, so each side has an exchange of its own and Spark can split a bin that many rows fall in
+    x = rows.withColumn("_at", bin_).join(bins.select(F.col("_bin").bitwiseXOR(F.lit(0)).alias("_bin"), "_ranges"), F.col("_at") == F.col("_bin"))
+    found = F.get("_ranges", last_at_most(F.transform("_ranges", lambda r: r["lo"]), F.col(key), depth) - 1)
+    x = x.withColumn("_found", found).where(F.col("_found.hi").isNull() | (F.col(key) < F.col("_found.hi")))
+    return x.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in ranges.columns])
 
 
 def merge_runs(ranges: DataFrame) -> DataFrame:
