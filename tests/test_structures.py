@@ -100,3 +100,138 @@ def test_swapped_values_are_seen_and_many_nodes_are_joined(spark, monkeypatch):
     a, b = kv(spark, *[(i, str(i)) for i in range(200)]), kv(spark, *[(i, str(i ^ 1)) for i in range(200)])
     monkeypatch.setattr(merkle, "MOST_NODES", 3)
     assert states(merkle.tree_diff(a, b, 4, 5)[0]) == {i: "mismatch" for i in range(200)}
+
+
+# --- keys of mixed types ---
+
+#: Values in ascending order; those in one list are equal.
+ORDERED = [
+    [{"$minKey": 1}],
+    [""], ["\x00"], ["\x00\x00"], ["\x00a"], ["a"], ["a\x00"], ["a\x00b"], ["ab"], ["b"], ["\U0001f600"], ["\ue000"],
+    [{}], [{"a": 1}, {"a": 1.0}, {"a": {"$numberLong": "1"}}], [{"a": 1, "b": 2}, {"b": 2.0, "a": 1}], [{"a": 1, "b": 3}], [{"a": 1, "c": 0}], [{"a": 2}], [{"b": 0}],
+    [[]], [[1], [1.0]], [[1, "x"], [1.0, "x"]], [[1, 1]], [[2]],
+    [{"$binary": {"base64": "", "subType": "00"}}], [{"$binary": {"base64": "gA==", "subType": "00"}}], [{"$binary": {"base64": "/w==", "subType": "00"}}], [{"$binary": {"base64": "AA==", "subType": "00"}}], [{"$binary": {"base64": "AAA=", "subType": "00"}}], [{"$binary": {"base64": "AQ==", "subType": "03"}}],
+    [{"$oid": "0" * 24}], [{"$oid": "f" * 24}],
+    [False], [True],
+    [{"$date": {"$numberLong": "-5"}}], [{"$date": "1970-01-01T00:00:00Z"}, {"$date": {"$numberLong": "0"}}], [{"$date": "2024-01-01T00:00:00.001Z"}],
+    [None],
+    [{"$timestamp": {"t": 1, "i": 2}}], [{"$timestamp": {"t": 4000000000, "i": 0}}],
+    [float("-inf"), {"$numberDouble": "-Infinity"}], [{"$numberDecimal": "-1e300"}, ], [-(2**63)], [-1.5], [-1, -1.0, {"$numberDecimal": "-1"}], [{"$numberDouble": "-0.0"}], [0, {"$numberDecimal": "0.00"}], [5e-324], [{"$numberDecimal": "0.1"}], [0.1], [0.5], [1], [2**53 - 1], [2**53, float(2**53)], [2**53 + 1], [2**53 + 2], [2**63 - 1], [1e19], [{"$numberDecimal": "12345678901234567890123456789012.33"}], [{"$numberDecimal": "12345678901234567890123456789012.34"}], [1e300], [{"$numberDouble": "Infinity"}], [{"$numberDouble": "NaN"}],
+    [{"$maxKey": 1}],
+]
+
+
+def test_order_of_typed_keys():
+    from tidemark.functions.typed_keys import MISSING, key_of
+
+    keys = [[key_of(v) for v in same] for same in ORDERED]
+    assert all(len(set(k)) == 1 for k in keys)
+    flat = [MISSING] + [k[0] for k in keys]
+    assert flat == sorted(flat) and len(set(flat)) == len(flat)
+
+
+def test_no_key_is_the_start_of_another():
+    """So that keys inside documents and arrays end where they should."""
+    from tidemark.functions.typed_keys import key_of
+
+    keys = sorted(key_of(same[0]) for same in ORDERED)
+    assert not any(b.startswith(a) for a, b in zip(keys, keys[1:]))
+    rng = random.Random(5)
+    values = [rng.choice(ORDERED)[0] for _ in range(400)]
+    pairs = [[a, b] for a, b in zip(values, values[1:])]
+    rank = {key_of(same[0]): i for i, same in enumerate(ORDERED)}
+    assert sorted(pairs, key=key_of) == sorted(pairs, key=lambda p: [rank[key_of(x)] for x in p])
+
+
+def test_typed_diff_and_order(spark):
+    a = spark.createDataFrame([("1", "x"), ('"1"', "x"), ('{"a": 1, "b": 2}', "x"), ("[1, 2]", "x"), (None, "x"), ("7", "x")], "k string, h string")
+    b = spark.createDataFrame([("1.0", "x"), ('"1"', "y"), ('{"b": 2.0, "a": 1}', "x"), ("[1, 2, 3]", "x"), (None, "z"), ("true", None)], "k string, h string")
+    from tidemark.operators import typed
+
+    got = states(typed.merge_diff(a, b))
+    assert got == {"1": "match", '"1"': "mismatch", '{"a": 1, "b": 2}': "match", "[1, 2]": "source_only", None: "mismatch", "7": "source_only", "[1, 2, 3]": "dest_only", "true": "dest_only"}
+    assert [r["k"] for r in typed.in_order(a.unionByName(b.where("h = 'y' or k = 'true'")).dropDuplicates(["k"]), "k").collect()] == [None, '"1"', '{"a": 1, "b": 2}', "[1, 2]", "true", "1", "7"]
+    assert rows(typed.duplicates(a.unionByName(b), "k").where("k is not null"), "copies") == [2, 2, 2]
+
+
+# --- dumps ---
+
+DOCS = [
+    {}, {"a": 1}, {"n": {"$numberLong": "5"}, "big": 1 << 40, "x": 1.5, "minus": -0.0, "t": True, "f": False, "none": None}, {"s": "é漢\x00x", "empty": ""},
+    {"d": {"d": {"d": {}}}, "list": [1, [2, {"x": None}], "y"], "o": {"$oid": "0123456789abcdef01234567"}}, {"at": {"$date": {"$numberLong": "-5"}}, "ts": {"$timestamp": {"t": 4000000000, "i": 7}}},
+    {"b": {"$binary": {"base64": "AAECgA==", "subType": "05"}}, "r": {"$regularExpression": {"pattern": "^a", "options": "i"}}, "c": {"$code": "f()"}, "y": {"$symbol": "z"}},
+    {"k": [{"$minKey": 1}, {"$maxKey": 1}, {"$undefined": True}], "nan": {"$numberDouble": "NaN"}, "inf": {"$numberDouble": "-Infinity"}},
+    {"dec": [{"$numberDecimal": t} for t in ("0", "1.50", "-123456789012345678901234567890.1234", "1E+6000", "NaN", "Infinity", "-Infinity", "0E-6176")]},
+]
+
+
+def test_every_type_survives_a_round_trip():
+    from tidemark.sources import bson
+
+    for doc in DOCS:
+        raw = bson.encode(doc)
+        again = bson.typed(raw)
+        assert bson.encode(again) == raw
+        if "big" in doc:
+            doc = doc | {"n": 5, "big": {"$numberLong": str(1 << 40)}}
+            again = again | {"n": int(again["n"]["$numberLong"])}
+        assert repr(again) == repr(doc)
+        for broken in (raw[:-1], raw + b"\x00", raw[:4] + b"\x99" + raw[5:] if len(raw) > 5 else b"\x05\0\0\0\1"):
+            with pytest.raises((ValueError, IndexError)):
+                bson.typed(broken)
+
+
+def test_ranges_find_the_same_documents(spark, tmp_path, monkeypatch):
+    """Ranges of any size, with documents inside documents, long ones, and zeros and whole documents inside binary values."""
+    import json
+
+    from tidemark.sources import bson, dumps
+
+    rng = random.Random(2)
+    inner = bson.encode({"a": 1}) + bson.encode({"b": {"c": []}})
+    import base64
+
+    some = [*DOCS, {"blob": {"$binary": {"base64": base64.b64encode(bytes(300) + inner).decode(), "subType": "00"}}}, {"long": "x" * 5000}, {"deep": [{"i": i, "e": {}} for i in range(200)]}]
+    docs = [rng.choice(some) | {"i": i} for i in range(400)]
+    file = tmp_path / "x" / "part.bson"
+    file.parent.mkdir()
+    raws = [bson.encode(x) for x in docs]
+    file.write_bytes(b"".join(raws))
+    (tmp_path / "empty.bson").write_bytes(b"")
+    (tmp_path / "note.txt").write_bytes(b"no dump")
+    starts = [0]
+    for raw in raws:
+        starts.append(starts[-1] + len(raw))
+    for split, back in ((97, 50), (1000, 300), (1000, 1 << 16), (64 << 20, 1)):
+        monkeypatch.setattr(dumps, "BACK", back)
+        got = [x for lo in range(0, starts[-1], split) for x in dumps.read_range(str(file), lo, min(lo + split, starts[-1]), starts[-1])]
+        assert [x[0] for x in got] == starts[:-1] and [x[1] for x in got] == raws
+    df = dumps.read_dump(spark, str(tmp_path), split=3000)
+    assert df.rdd.getNumPartitions() > 30
+    assert [json.loads(r["json"])["i"] for r in df.orderBy("at").collect()] == list(range(400)) and dumps.gaps(df).count() == 0
+    assert dumps.gaps(df.where(f"at <> {starts[3]}")).collect()[0]["at"] == starts[4]
+    cut = tmp_path / "cut"
+    cut.mkdir()
+    (cut / "cut.bson").write_bytes(b"".join(raws)[:-3])
+    with pytest.raises(Exception, match="no whole document"):
+        dumps.read_dump(spark, str(cut), split=3000).count()
+
+
+def test_dump_written_appended_and_overwritten(spark, tmp_path):
+    import json
+
+    from tidemark.sources import dumps
+
+    docs = spark.createDataFrame([(json.dumps(d), i) for i, d in enumerate(DOCS)] + [(None, -1)], "json string, i int")
+    path = str(tmp_path / "out")
+    read = lambda: sorted(r["json"] for r in dumps.read_dump(spark, path).collect())
+    dumps.write_dump(docs.repartition(3), path)
+    once = read()
+    assert len(once) == len(DOCS)
+    dumps.write_dump(docs, path)
+    assert read() == sorted(once * 2)
+    dumps.write_dump(docs.where("i = 1"), path, "overwrite")
+    assert read() == ['{"a": 1}']
+    with pytest.raises(Exception, match="zero in it"):
+        dumps.write_dump(spark.createDataFrame([('{"a\\u0000": 1}',)], "json string"), path)
+    assert read() == ['{"a": 1}'] and not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_")]

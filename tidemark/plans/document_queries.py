@@ -1 +1,118 @@
-"""Typed documents."""
+"""Documents of any types: order, diffs, dumps, updates on any field, and profiles of what they hold."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import typed
+from tidemark.plans.base import query
+from tidemark.sources import derived as d
+from tidemark.sources.tables import load
+
+# --- keys of mixed types ---
+
+
+def mixed(spark, sf):
+    """Keys of nine types in extended JSON, from suppliers."""
+    k, bal, name = F.col("s_suppkey"), F.col("s_acctbal").cast("string"), F.concat(F.lit('"'), F.col("s_name"), F.lit('"'))
+    n = F.col("s_nationkey").cast("string")
+    joined = lambda *x: F.concat(*[y if not isinstance(y, str) else F.lit(y) for y in x])
+    forms = (
+        None, F.lit('{"$minKey": 1}'), name, joined('{"b": ', bal, ', "a": ', n, "}"), joined("[", n, ", ", name, "]"), F.when(k % 2 == 0, "true").otherwise("false"),
+        joined('{"$numberLong": "', k.cast("string"), '"}'), bal, F.lit('{"$maxKey": 1}'), F.lit("null"), joined('{"a": ', n, "}"),
+    )
+    at = (k % len(forms)).cast("int")
+    text = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        if form is not None:
+            text = F.when(at == i, form).otherwise(text)
+    return load(spark, sf, "supplier").select(k.alias("id"), text.alias("value"))
+
+
+@query("""SELECT id, CAST(row_number() OVER (ORDER BY rank, n1 NULLS FIRST, b1 NULLS FIRST, t, id) AS BIGINT) AS place FROM (SELECT s_suppkey AS id,
+    CASE s_suppkey % 11 WHEN 0 THEN -2 WHEN 1 THEN -1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 10 THEN 3 WHEN 4 THEN 4 WHEN 5 THEN 8 WHEN 9 THEN 10 WHEN 8 THEN 99 ELSE 18 END AS rank,
+    CASE s_suppkey % 11 WHEN 3 THEN s_nationkey WHEN 10 THEN s_nationkey WHEN 4 THEN s_nationkey WHEN 5 THEN CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 0 END WHEN 6 THEN s_suppkey WHEN 7 THEN s_acctbal END::DOUBLE AS n1,
+    CASE s_suppkey % 11 WHEN 3 THEN s_acctbal END AS b1, CASE WHEN s_suppkey % 11 IN (2, 4) THEN s_name ELSE '' END AS t FROM supplier)""")
+def typed_places(spark, sf):
+    """Places of values of many types in one order; equal values stand in the order of their ids."""
+    from tidemark.operators.ranges import ranked
+
+    x = typed.keyed(mixed(spark, sf), "value").select("id", F.struct("kb", "id").alias("kb"))
+    return ranked(x, "kb").select("id", F.col("r").cast("long").alias("place"))
+
+
+def typed_pair(spark, sf):
+    """The pair of copies under keys that are numbers, texts, documents and arrays by turns; the copies write the same number or document in other ways."""
+    from tidemark.plans.diff_queries import pair
+
+    def named(x, other):
+        k = F.col("k").cast("string")
+        number = F.concat(k, F.lit(".0")) if other else F.concat(F.lit('{"$numberLong": "'), k, F.lit('"}'))
+        doc = F.concat(F.lit('{"x": 1.0, "a": '), k, F.lit("}")) if other else F.concat(F.lit('{"a": '), k, F.lit('.0, "x": 1}'))
+        kind = F.col("k") % 4
+        text = F.when(kind == 0, number).when(kind == 1, F.concat(F.lit('"'), k, F.lit('"'))).when(kind == 2, doc).otherwise(F.concat(F.lit("["), k, F.lit("]")))
+        return x.select(text.alias("k"), "h")
+
+    s, t = pair(spark, sf)
+    return named(s, False), named(t, True)
+
+
+@query("SELECT CAST(k % 4 AS BIGINT) AS kind, status, CAST(count(*) AS BIGINT) AS n FROM diffed GROUP BY ALL")
+def typed_merge(spark, sf):
+    """States of rows by the type of their key."""
+    s, t = typed_pair(spark, sf)
+    k = F.col("k")
+    kind = F.when(k.startswith('"'), 1).when(k.startswith('{"a"') | k.startswith('{"x"'), 2).when(k.startswith("["), 3).otherwise(0)
+    return typed.merge_diff(s, t).groupBy(kind.cast("long").alias("kind"), "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT k % 4 AS kind, CAST(count(*) AS BIGINT) AS ids, CAST(sum(copies) AS BIGINT) AS copies FROM (SELECT k, count(*) AS copies FROM (SELECT k FROM src UNION ALL SELECT k FROM dst) GROUP BY k HAVING count(*) > 1) GROUP BY 1")
+def typed_dupes(spark, sf):
+    """Keys that occur twice, in whatever form they are written."""
+    s, t = typed_pair(spark, sf)
+    k = F.col("k")
+    kind = F.when(k.startswith('"'), 1).when(k.startswith('{"a"') | k.startswith('{"x"'), 2).when(k.startswith("["), 3).otherwise(0)
+    return typed.duplicates(s.unionByName(t), "k").groupBy(kind.cast("long").alias("kind")).agg(F.count(F.lit(1)).alias("ids"), F.sum("copies").alias("copies"))
+
+
+# --- dumps ---
+
+
+def dumped(spark, sf):
+    """Orders as typed documents with nested parts, written as dump files."""
+    from tidemark.sources import dumps
+    from tidemark.sources.work import fresh_path
+
+    text = lambda c: F.to_json(F.struct(F.col(c).alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col(c).alias("v")))) - 6)
+    doc = F.concat(
+        F.lit('{"_id": {"$numberLong": "'), F.col("k").cast("string"), F.lit('"}, "cust": '), F.col("cust").cast("string"), F.lit(', "status": '), text("status"),
+        F.lit(', "paid": {"cents": {"$numberLong": "'), F.col("cents").cast("string"), F.lit('"}, "share": '), (F.col("cents") / 1000).cast("string"),
+        F.lit('}, "at": {"$date": "'), F.col("day"), F.lit('T00:00:00Z"}, "tags": ['), text("prio"), F.lit(', null, true, {"$minKey": 1}]}'),
+    )
+    path = fresh_path(spark, "dump")
+    dumps.write_dump(d.source(spark, sf).select(doc.alias("json")).repartition(3), path)
+    return path
+
+
+@query("SELECT k, cust, status, cents, day, prio, round(cents / 1000, 3) AS share, 'min' AS last FROM src")
+def dump_restore(spark, sf):
+    """A table written as dump files and read again by byte ranges, many a file."""
+    from tidemark.sources import dumps
+
+    at = lambda p: F.get_json_object("json", p)
+    x = dumps.read_dump(spark, dumped(spark, sf), split=1 << 16)
+    return x.select(
+        at("$._id.$numberLong").cast("long").alias("k"), at("$.cust").cast("long").alias("cust"), at("$.status").alias("status"), at("$.paid.cents.$numberLong").cast("long").alias("cents"),
+        F.date_format(F.timestamp_millis(at("$.at.$date.$numberLong").cast("long")), "yyyy-MM-dd").alias("day"), at("$.tags[0]").alias("prio"), F.round(at("$.paid.share").cast("double"), 3).alias("share"),
+        F.when(at("$.tags[3].$minKey") == "1", "min").alias("last"),
+    )
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS docs, CAST(0 AS BIGINT) AS gaps, CAST(max(k) AS BIGINT) AS last FROM src")
+def dump_cover(spark, sf):
+    """Documents found by tasks that start anywhere in a file, and places where they leave a gap or overlap."""
+    from tidemark.sources import dumps
+
+    x = dumps.read_dump(spark, dumped(spark, sf), split=5000)
+    n = x.agg(F.count(F.lit(1)).alias("docs"), F.max(F.get_json_object("json", "$._id.$numberLong").cast("long")).alias("last"))
+    return n.join(dumps.gaps(x).agg(F.count(F.lit(1)).alias("gaps")))

@@ -316,13 +316,13 @@ def scalar_ranges(spark, sf):
       CASE WHEN s_suppkey % 7 IN (4, 5) THEN s_acctbal END AS num, CASE WHEN s_suppkey % 7 IN (2, 3) THEN s_name END AS txt FROM supplier)""")
 def typed_order(spark, sf):
     """Values of mixed kinds in one order: missing, least key, then by rank of kind and by value, greatest key last."""
-    from pyspark.sql import Window
+    from tidemark.operators.ranges import ranked
 
     k = F.col("s_suppkey") % 7
     kind = F.element_at(F.array(*map(F.lit, ("null", "min", "string", "binary", "bool", "number", "max"))), (k + 1).cast("int"))
     x = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), kind.alias("kind"), F.when(k.isin(4, 5), F.col("s_acctbal")).alias("num"), F.when(k.isin(2, 3), F.col("s_name")).alias("txt"))
-    w = Window.orderBy(s.kind_rank("kind"), "num", "txt", "id")
-    return x.select("id", "kind", F.row_number().over(w).alias("place"))
+    x = ranked(x.select("id", "kind", F.struct(s.kind_rank("kind").alias("r"), "num", "txt", F.col("id").alias("i")).alias("key")), "key")
+    return x.select("id", "kind", F.col("r").cast("int").alias("place"))
 
 
 @query("""SELECT seq, id FROM (SELECT seq, id, op, lag(op) OVER (PARTITION BY id ORDER BY ts, seq) AS before FROM log WHERE op IN ('i', 'd')) WHERE op = 'i' AND before = 'i'""")
