@@ -20,6 +20,8 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._io import materialize
+
 SPACE = "\\x20\\x09-\\x0D"
 #: Fixed failure conditions: words, distinct words and capitals in percent, characters.
 LEAST_WORDS, LEAST_DISTINCT, MOST_UPPER, MARKS = 200, 50, 2, "#$%&*|"
@@ -51,6 +53,7 @@ def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # a text's copies are summed by part and label before its smallest doc_id is sought: a hot text becomes a few rows a part
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "rows"))).alias("first")
     x = x.groupBy(*kind).agg(F.sum("rows").alias("n"), F.sum(F.when(F.col("doc_id").isNull(), F.col("rows")).otherwise(0)).alias("nameless"), first)
+    x = materialize(x, "audit")  # read twice; no text is
     least = x.groupBy("digest").agg(F.min("first.doc_id").alias("least"))
     hidden = F.concat("digest", F.lit("")).alias("_digest")  # an exchange of its own, so that Spark can split the other side
     x = x.join(least.select(hidden, "least"), F.col("digest") == F.col("_digest"))
@@ -90,7 +93,7 @@ def steps(spark, filters: str = FILTERS) -> DataFrame:
 
 def audit(counts: DataFrame, filters: str = FILTERS) -> DataFrame:
     """One row per part, order and step, as joins of pairs of subsets; ``counts`` as for ``survivors``."""
-    alive = survivors(counts, filters)
+    alive = materialize(survivors(counts, filters), "audit", few=True)  # 2 ** len(filters) rows a part, joined several times
     at = lambda name: alive.select(F.col("part").alias(f"part_{name}"), F.col("subset").alias(f"subset_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in COUNTS])
 
     def pair(x: DataFrame, name: str, subset: str) -> DataFrame:
