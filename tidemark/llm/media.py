@@ -32,22 +32,30 @@ MOST_RATIO = 4096
 TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8}
 
 
+#: Equal bytes from which a run is written as one; shorter ones stay inside literals.
+LEAST_RUN = 3
+
+
 def packbits_encode(data: bytes) -> bytes:
-    out, i, n = bytearray(), 0, len(data)
-    while i < n:
-        run = 1
-        while i + run < n and run < 128 and data[i + run] == data[i]:
-            run += 1
-        if run > 1:
-            out += bytes((257 - run, data[i]))
-            i += run
-            continue
-        j = i + 1
-        while j < n and j - i < 128 and (j + 1 >= n or data[j] != data[j + 1]):
-            j += 1
-        out.append(j - i - 1)
-        out += data[i:j]
-        i = j
+    """Runs and the stretches between them, found for all bytes at once; the loop is over those pieces."""
+    b = np.frombuffer(data, np.uint8)
+    edges = np.concatenate([[0], np.flatnonzero(b[1:] != b[:-1]) + 1, [len(b)]]) if len(b) else np.zeros(1, np.int64)
+    long = np.flatnonzero(np.diff(edges) >= LEAST_RUN)
+    out, at = bytearray(), 0
+
+    def literal(end: int) -> None:
+        for i in range(at, end, 128):
+            part = data[i : min(i + 128, end)]
+            out.append(len(part) - 1)
+            out.extend(part)
+
+    for start, end in zip(edges[long].tolist(), edges[long + 1].tolist(), strict=True):
+        literal(start)
+        for i in range(start, end, 128):
+            n = min(128, end - i)
+            out.extend((257 - n, data[i]) if n > 1 else (0, data[i]))
+        at = end
+    literal(len(data))
     return bytes(out)
 
 
@@ -65,83 +73,105 @@ def packbits_decode(data: bytes, size: int) -> bytes:
     return bytes(out)
 
 
+#: LZW codes: start a new table, end; the first of strings; the entries that fill a table.
+CLEAR, END, FIRST, FULL = 256, 257, 258, 4094
+
+
+def code_widths(n: int) -> np.ndarray:
+    """Bits of the first ``n`` codes after a clear: each adds an entry, and codes widen one early."""
+    entries = FIRST + np.arange(n)
+    return 9 + (entries >= 512).astype(np.int64) + (entries >= 1024) + (entries >= 2048)
+
+
 def lzw_encode(data: bytes) -> bytes:
-    """TIFF's variant: codes of 9 to 12 bits, most significant bit first, widened one code early."""
-    acc = used = 0
-    out = bytearray()
-    table: dict[bytes, int] = {}
-    nxt, width = 258, 9
-
-    def put(code: int) -> None:
-        nonlocal acc, used
-        acc, used = (acc << width) | code, used + width
-        while used >= 8:
-            used -= 8
-            out.append((acc >> used) & 255)
-        acc &= (1 << used) - 1
-
-    code_of = lambda s: s[0] if len(s) == 1 else table[s]
-    put(256)
-    cur = b""
-    for k in range(len(data)):
-        longer = cur + data[k : k + 1]
-        if len(longer) == 1 or longer in table:
-            cur = longer
+    """TIFF's variant: codes of 9 to 12 bits, most significant bit first, widened one code early.
+
+    The loop only looks up (code so far, next byte); codes are packed to bits afterwards, all at once.
+    """
+    runs, codes, table, nxt = [], [CLEAR], {}, FIRST
+    cur = -1
+    for byte in data:
+        if cur < 0:
+            cur = byte
             continue
-        put(code_of(cur))
-        table[longer] = nxt
-        nxt += 1
-        if nxt == 4094:
-            put(256)
-            table, nxt, width = {}, 258, 9
-        elif nxt + 1 > (1 << width):
-            width += 1
-        cur = data[k : k + 1]
-    if cur:
-        put(code_of(cur))
+        key = cur << 8 | byte
+        found = table.get(key)
+        if found is not None:
+            cur = found
+            continue
+        codes.append(cur)
+        table[key] = nxt
         nxt += 1
-        if nxt + 1 > (1 << width) and width < 12:
-            width += 1
-    put(257)
-    if used:
-        out.append((acc << (8 - used)) & 255)
-    return bytes(out)
+        if nxt == FULL:
+            runs.append(codes)
+            codes, table, nxt = [CLEAR], {}, FIRST
+        cur = byte
+    if cur >= 0:
+        codes.append(cur)
+    codes.append(END)
+    runs.append(codes)
+    values, widths = [], []
+    before = 9
+    for codes in runs:
+        own = code_widths(len(codes))
+        widths.append(np.concatenate([[before], own[:-1]]))  # the first code, which clears, still has the width of the run before
+        values.append(np.array(codes, np.int64))
+        before = int(own[-1])
+    value, width = np.concatenate(values), np.concatenate(widths)
+    place = width[:, None] - 1 - np.arange(12)
+    bits = (value[:, None] >> np.maximum(place, 0) & 1).astype(np.uint8)
+    return np.packbits(bits[place >= 0]).tobytes()
 
 
 def lzw_decode(data: bytes, size: int) -> bytes:
-    out = bytearray()
-    fresh = [bytes((i,)) for i in range(256)] + [b"", b""]
-    table, width, acc, used, prev = list(fresh), 9, 0, 0, None
-    for byte in data:
-        acc, used = ((acc << 8) | byte) & 0xFFFFFF, used + 8
-        if used < width:
-            continue
-        used -= width
-        code = (acc >> used) & ((1 << width) - 1)
-        if code == 257:
-            break
-        if code == 256:
-            table, width, prev = list(fresh), 9, None
-            continue
-        if prev is None:
-            entry = table[code]
-        else:
-            if code < len(table):
+    """Codes between two clears are cut from the bits at once, as their widths follow from their number; the loop is over codes."""
+    padded = np.frombuffer(data + bytes(4), np.uint8).astype(np.int64)
+    most = 8 * len(data)
+    widths = code_widths(FULL - FIRST + 4)  # as long as a table can last
+    ends = np.cumsum(widths)
+    out, at, width = [], 0, 9
+    total = 0
+    if most >= 9 and (int(padded[0]) << 1 | int(padded[1]) >> 7) == CLEAR:
+        at = 9
+    while total < size and at < most:
+        n = int(np.searchsorted(ends, most - at, "right"))
+        place = at + ends[:n] - widths[:n]
+        q = place >> 3
+        word = padded[q] << 24 | padded[q + 1] << 16 | padded[q + 2] << 8 | padded[q + 3]
+        codes = word >> (32 - widths[:n] - (place & 7)) & ((1 << widths[:n]) - 1)
+        stops = np.flatnonzero((codes == CLEAR) | (codes == END))
+        stop = int(stops[0]) if len(stops) else n
+        table = SINGLE.copy()
+        add, prev = table.append, None
+        for code in codes[:stop].tolist():
+            if prev is None:
+                if code > 255:
+                    raise ValueError("LZW code out of range")
+                entry = table[code]
+            elif code < len(table):
                 entry = table[code]
+                add(prev + entry[:1])
             elif code == len(table):
                 entry = prev + prev[:1]
+                add(entry)
             else:
                 raise ValueError("LZW code out of range")
-            table.append(prev + entry[:1])
-            if len(table) + 1 >= (1 << width) and width < 12:
-                width += 1
-        out += entry
-        prev = entry
-        if len(out) >= size:
+            out.append(entry)
+            total += len(entry)
+            if total >= size:
+                break
+            prev = entry
+        if stop == n:
+            if total < size and n == len(ends):
+                raise ValueError("LZW table without end")
             break
-    return bytes(out)
+        if codes[stop] == END:
+            break
+        at += int(ends[stop])
+    return b"".join(out)
 
 
+SINGLE = [bytes((i,)) for i in range(256)] + [b"", b""]
 ENCODERS = {NONE: bytes, PACKBITS: packbits_encode, LZW: lzw_encode, DEFLATE: lambda b: zlib.compress(b, 6)}
 
 
@@ -292,8 +322,8 @@ def store(payload: bytes) -> bytes:
     """The stored form of a payload of whole 64-byte rows: its checksum picks the codec and whether pages are cut into strips or tiles."""
     rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
     pick = zlib.crc32(payload)
-    comp = (DEFLATE, PACKBITS, DEFLATE, LZW, DEFLATE, PACKBITS)[pick % 6]
-    return write_tiff([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], comp, 1 + pick // 6 % 2, TILE if pick // 12 % 2 else None)
+    comp = (PACKBITS, LZW, DEFLATE)[pick % 3]
+    return write_tiff([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], comp, 1 + pick // 3 % 2, TILE if pick // 6 % 2 else None)
 
 
 def feature(pages: int, rows: int, columns: np.ndarray) -> str:
