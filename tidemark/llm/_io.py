@@ -59,6 +59,11 @@ def own_exchange(column: str) -> Column:
     return F.col(column).bitwiseXOR(F.lit(0)).alias(column)
 
 
+def own_text_exchange(column: str) -> Column:
+    """The same for a text column."""
+    return F.concat(column, F.lit("")).alias(column)
+
+
 def discard(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
     """Delete the work tables written after the first ``since``, but for that at the path ``keep``; call it once the
     results that read them are stored."""

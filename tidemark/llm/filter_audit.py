@@ -20,7 +20,7 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._io import materialize
+from ._io import materialize, own_text_exchange
 
 SPACE = "\\x20\\x09-\\x0D"
 #: Fixed failure conditions: words, distinct words and capitals in percent, characters.
@@ -55,8 +55,7 @@ def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     x = x.groupBy(*kind).agg(F.sum("rows").alias("n"), F.sum(F.when(F.col("doc_id").isNull(), F.col("rows")).otherwise(0)).alias("nameless"), first)
     x = materialize(x, "audit")  # read twice; no text is
     least = x.groupBy("digest").agg(F.min("first.doc_id").alias("least"))
-    hidden = F.concat("digest", F.lit("")).alias("_digest")  # an exchange of its own, so that Spark can split the other side
-    x = x.join(least.select(hidden, "least"), F.col("digest") == F.col("_digest"))
+    x = x.join(least.select(own_text_exchange("digest").alias("_digest"), "least"), F.col("digest") == F.col("_digest"))
     passing = F.col("nameless") + F.when(F.col("first.doc_id") == F.col("least"), F.col("first.rows")).otherwise(0)
     x = x.select("part", "A", "B", "C", "D", "good", "toxic", F.explode(F.array(F.struct(F.lit(False).alias("E"), passing.alias("n")), F.struct(F.lit(True).alias("E"), (F.col("n") - passing).alias("n")))).alias("e"))
     x = x.select("part", "A", "B", "C", "D", "e.E", "good", "toxic", "e.n").where("n > 0")

@@ -19,11 +19,12 @@ import hashlib
 import math
 import re
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._io import map_arrow, materialize
+from ._io import map_arrow, materialize, own_text_exchange
 
 #: Fixed patterns of the base findings: kind, pattern, group of the value, its least length.
 BASE_PATTERNS = (
@@ -113,7 +114,8 @@ def findings(docs: DataFrame, repo: str = "doc_id", owner: str = "source", *keys
     found = materialize(candidates(docs, *cols).withColumn("_row", F.monotonically_increasing_id()), "secrets")
     verdicts = ownership(found, repo, owner)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("c.kind"))
-    each = found.select("_row", F.explode("cands").alias("c")).select("_row", "c", F.col("c.h").alias("h")).join(verdicts, "h", "left")
+    each = found.select("_row", F.explode("cands").alias("c")).select("_row", "c", F.col("c.h").alias("h"))
+    each = each.join(verdicts.select(own_text_exchange("h"), *[c for c in verdicts.columns if c != "h"]), "h", "left")
     keep = (F.col("c.kind") != "bare") | F.coalesce(F.col("is_live"), F.lit(False))
     span = F.struct(F.col("c.start").alias("start"), rank.cast("int").alias("rank"), F.col("c.kind").alias("kind"), F.col("c.end").alias("end"), "h", F.coalesce("n_owners", F.lit(0)).alias("n_owners"), F.coalesce("n_repos", F.lit(0)).alias("n_repos"), F.coalesce("is_live", F.lit(False)).alias("is_live"))
     spans = each.where(keep).groupBy("_row").agg(F.collect_list(span).alias("found"))
@@ -128,6 +130,17 @@ def digest(docs: DataFrame) -> DataFrame:
     return f.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"), F.size(F.filter("found", lambda s: s["is_live"])).cast("long").alias("n_live"), of("bare").alias("n_added"))
 
 
+def mask_spans(text: str, spans: list[tuple[int, int]], mask: str) -> str:
+    """``text`` with each of the ascending spans replaced; those that overlap share one mask. One pass, whatever their number."""
+    out, at = [], 0
+    for start, end in spans:
+        if end > at:
+            if start >= at:
+                out += [text[at:start], mask]
+            at = end
+    return "".join([*out, text[at:]])
+
+
 def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
     """``docs`` with live findings masked in ``text`` (and ``n_chars`` counted anew where it exists); copied examples stay."""
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "source", "text", F.xxhash64("text").alias("key")).alias("d")
@@ -135,9 +148,12 @@ def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
     spans = F.transform(F.array_sort(F.filter("found", lambda s: s["is_live"])), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     live = found.select("doc_id", "key", spans.alias("cut")).where(F.size("cut") > 0).dropDuplicates(["doc_id", "key"]).alias("l")
     got = keyed.join(live, F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d.key") == F.col("l.key")), "left").select("d.doc", "d.text", "l.cut")
-    text = F.expr(f"""aggregate(cut, named_struct('out', '', 'at', 0L),
-        (acc, s) -> if(s.end <= acc.at, acc, named_struct('out', if(s.start < acc.at, acc.out, concat(acc.out, substring(text, cast(acc.at as int) + 1, cast(s.start - acc.at as int)), '{mask}')), 'at', s.end)),
-        acc -> concat(acc.out, substring(text, cast(acc.at as int) + 1)))""")
+
+    @F.pandas_udf("string")
+    def masked(text: pd.Series, cuts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None or c is None else mask_spans(t, [(s["start"], s["end"]) for s in c], mask) for t, c in zip(text, cuts, strict=True)])
+
+    text = masked(F.when(F.col("cut").isNotNull(), F.col("text")), "cut")  # only texts with live findings go to Python
     got = got.withColumn("text", F.when(F.col("cut").isNotNull(), text).otherwise(F.col("text")))
     out = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in out:
