@@ -43,6 +43,8 @@ FIRST_BITS, LEAST_BITS, MOST_BITS = 17, 14, (20, 23)
 CONTEXTS, GATES, BUCKETS, NODES = 4, 8, 24, 256
 #: Units of a share, and first bytes that deal them out; more of those from 2**27 and 2**35 units on.
 SHARE, LEAD = 1 << 16, 4
+#: Leads are shorter than that.
+DEEPEST = 64
 #: Slots of a table in a row that is shuffled, units that are broadcast, bytes of a block and of the distinct units held,
 #: bytes of a step of learning and of the stretches that are counted or predicted at once.
 CHUNK, TOP, BLOCK, HELD, STEP, STRETCH = 8192, 1 << 18, 6 << 20, 24 << 20, 1 << 13, 1 << 15
@@ -418,14 +420,43 @@ def widened(raw) -> np.ndarray:
     return np.frombuffer(raw[1:], f"<u{raw[0]}").astype(np.uint64)
 
 
-def lead_of(units: int) -> int:
-    return LEAD + (units >= 1 << 27) + (units >= 1 << 35)
+def leads(units: DataFrame) -> tuple[int, dict[int, list[bytes]]]:
+    """How many units there are, and which first bytes are too frequent for one share: by length from ``LEAD``.
 
+    Units that start with those are dealt by one byte more, and so on, so that no lead fills a task. The driver gets the
+    frequent ones only, at most one for each ``2 * SHARE`` units.
+    """
+    hot: dict[int, list[bytes]] = {}
+    rows, total, length = units, None, LEAD
+    while length < DEEPEST:
+        each = rows.groupBy(F.substring("b", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        got = each.agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > 2 * SHARE, F.col("p"))).alias("hot")).first()
+        total = int(got["n"] or 0) if total is None else total
+        if not got["hot"]:
+            break
+        hot[length] = sorted(map(bytes, got["hot"]))
+        rows = rows.where(F.substring("b", 1, length).isin(hot[length]))
+        length += 1
+    return total or 0, hot
+
+
+def dealt(units: DataFrame, n: int, hot: dict[int, list[bytes]] | None = None) -> DataFrame:
+    """Units in shares that their first bytes decide, whole shares to a partition and in a fixed order; a share tells how many bytes those are (modulo ``DEEPEST``)."""
+    lead = None
+    for length, found in sorted((hot or {}).items()):
+        rest = ~F.substring("b", 1, length).isin(found)
+        lead = F.when(rest, length) if lead is None else lead.when(rest, length)
+    lead = F.lit(LEAD) if lead is None else lead.otherwise(max(hot) + 1)
+    share = F.pmod(F.xxhash64(F.expr("substring(b, 1, _lead)")), F.lit(max(1, -(-n // SHARE)))) * DEEPEST + F.col("_lead")
+    return units.withColumn("_lead", lead).withColumn("share", share).drop("_lead").repartition("share").sortWithinPartitions("share", "u", "k")
 
-def dealt(units: DataFrame, n: int) -> DataFrame:
-    """Units in shares that their first bytes decide, whole shares to a partition and in a fixed order."""
-    share = F.pmod(F.xxhash64(F.substring("b", 1, lead_of(n))), F.lit(max(1, -(-n // SHARE))))
-    return units.withColumn("share", share).repartition("share").sortWithinPartitions("share", "u", "k")
+
+def whole(held: list) -> pa.RecordBatch:
+    """One batch of all rows: the bytes get offsets of 64 bits, as those of 32 would be left in several."""
+    at = held[0].schema.get_field_index("b")
+    table = pa.Table.from_batches(held)
+    (batch,) = table.set_column(at, "b", table.column(at).cast(pa.large_binary())).combine_chunks().to_batches()
+    return batch
 
 
 def shares(batches, *names: str):
@@ -436,12 +467,17 @@ def shares(batches, *names: str):
         edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)] if len(ids) else []
         for lo, hi in zip(edges, edges[1:], strict=False):
             if held and ids[lo] != now:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield whole(held)
                 held = []
             now = ids[lo]
             held.append(batch.slice(lo, hi - lo))
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield whole(held)
+
+
+def lead_in(batch) -> int:
+    """First bytes that decide the share of this batch."""
+    return batch.column(batch.schema.get_field_index("share"))[0].as_py() % DEEPEST
 
 
 def share_columns(batch):
@@ -466,12 +502,12 @@ STATE = 99
 LEARN_SCHEMA = "kind int, t long, bytes binary"
 
 
-def learn_rows(units: DataFrame, n: int, tree) -> DataFrame:
+def learn_rows(units: DataFrame, n: int, tree, hot: dict | None = None) -> DataFrame:
     """What each task learns from its shares: chunks of the counts of table i (kind i) and the sum of weights and maps (kind ``STATE``)."""
-    bits, lead = table_bits(n), lead_of(n)
+    bits = table_bits(n)
 
     def learn(batches):
-        model, powers, total = Model(tree, bits, lead), Powers(), None
+        model, powers, total = Model(tree, bits), Powers(), None
         sums = [np.zeros(2 << b, np.uint64) for b in bits]
 
         def emit(kind, t, b):
@@ -485,6 +521,7 @@ def learn_rows(units: DataFrame, n: int, tree) -> DataFrame:
                 c[:] = 0
                 o[:] = 0
             model.fresh()
+            model.lead = lead_in(batch)
             model.room(len(text))
             with np.errstate(over="ignore"):
                 model.units(text, offsets, kind, powers, count)
@@ -501,7 +538,7 @@ def learn_rows(units: DataFrame, n: int, tree) -> DataFrame:
             yield emit(i, used, [narrow(c[j]) for j in used])
         yield emit(STATE, [0], [total.astype("<i8").tobytes()])
 
-    return map_arrow(dealt(units.select("u", "b", "k", "c"), n), learn, LEARN_SCHEMA, SHARE)
+    return map_arrow(dealt(units.select("u", "b", "k", "c"), n, hot), learn, LEARN_SCHEMA, SHARE)
 
 
 def summed(chunks: DataFrame) -> DataFrame:
@@ -521,7 +558,7 @@ def summed(chunks: DataFrame) -> DataFrame:
 
 def fitted(learned: DataFrame, n: int, tree) -> Model:
     """The model of all shares together; the table of whole units stays with the shares."""
-    model = Model(tree, table_bits(n), lead_of(n))
+    model = Model(tree, table_bits(n))
     model.counts = []
     for r in materialize(summed(learned), "fitted").toLocalIterator():
         if r["kind"] == STATE:
@@ -536,27 +573,28 @@ def fitted(learned: DataFrame, n: int, tree) -> Model:
     return model
 
 
-def unit_scores(units: DataFrame, n: int, model: Model) -> DataFrame:
+def unit_scores(units: DataFrame, n: int, model: Model, hot: dict | None = None) -> DataFrame:
     """(u, t, c, lp): log10 probability of each distinct unit, share by share."""
-    state = ([o.astype(np.float16) for o in model.odds[:-1]], model.weights, model.map, model.tree, model.bits[:-1], model.lead)
+    state = ([o.astype(np.float16) for o in model.odds[:-1]], model.weights, model.map, model.tree, model.bits[:-1])
     shared = units.sparkSession.sparkContext.broadcast(state)
 
     def rate(batches):
         m, powers = None, Powers()
         for batch in shares(batches):
             if m is None:
-                odds, weights, refine, tree, bits, lead = shared.value
-                m = Model(tree, [1] * len(bits), lead)
+                odds, weights, refine, tree, bits = shared.value
+                m = Model(tree, [1] * len(bits))
                 m.bits[:-1], m.odds[:-1], m.weights, m.map = bits, [o.astype(np.float32) for o in odds], weights, refine
             text, offsets, kind, count = share_columns(batch)
             with np.errstate(over="ignore"):
+                m.lead = lead_in(batch)
                 m.room(len(text))
                 m.gather(*learnable_of(text, offsets, kind, count)[:3], powers, count[count > 0])
                 lp = m.units(text, offsets, kind, powers) / np.log(10)
             names = ("u", "t", "c")
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(x)) for x in names), pa.array(lp)], names=[*names, "lp"])
 
-    return map_arrow(dealt(units, n), rate, "u long, t long, c long, lp double", SHARE)
+    return map_arrow(dealt(units, n, hot), rate, "u long, t long, c long, lp double", SHARE)
 
 
 def frequent(units: DataFrame) -> DataFrame:
@@ -625,15 +663,15 @@ def scored(docs: DataFrame, learnable: Column) -> DataFrame:
     for r in found.where("k = -1").select("t", "c").collect():
         histogram[r["t"]] = r["c"]
     tree = huffman(histogram)
-    size = units.count()
-    learned = materialize(learn_rows(units, size, tree), "contexts")
+    size, hot = leads(units)
+    learned = materialize(learn_rows(units, size, tree, hot), "contexts")
     counts = materialize(units.where("t <> 0").groupBy("t").agg(F.sum("c").alias("n")).where("n > 0"), "counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = units.agg(F.coalesce(F.sum(F.when(F.col("k") >= 8, F.col("c"))), F.lit(0)).alias("ends")).first()["ends"]
     n, v = total["n"] + ends, total["v"] + (ends > 0)
     whole = float(np.log10(n + 0.5 * (v + 1)))
     # of each unit: its log-probability, and its word's share of the base score (0 without a word)
-    valued = unit_scores(units, size, fitted(learned, size, tree)).join(counts, "t", "left")
+    valued = unit_scores(units, size, fitted(learned, size, tree), hot).join(counts, "t", "left")
     base = F.when(F.col("t") == 0, 0.0).otherwise(F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(whole))
     valued = materialize(valued.select("u", "c", "lp", base.alias("base"), F.col("n").isNotNull().cast("int").alias("known")), "valued")
     best = frequent(valued).toArrow()
