@@ -235,3 +235,138 @@ def test_dump_written_appended_and_overwritten(spark, tmp_path):
     with pytest.raises(Exception, match="zero in it"):
         dumps.write_dump(spark.createDataFrame([('{"a\\u0000": 1}',)], "json string"), path)
     assert read() == ['{"a": 1}'] and not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_")]
+
+
+# --- updates of any field ---
+
+
+def plain_updates(log):
+    """Operations one after the other on dictionaries."""
+    import json
+
+    docs = {}
+
+    def walk(doc, path):
+        for p in path[:-1]:
+            doc = doc.setdefault(p, {})
+        return doc
+
+    for i, _, _, op, text in sorted(log, key=lambda r: r[1:3]):
+        body = json.loads(text) if text else {}
+        body.pop("$v", None) if op == "u" else None
+        if op == "d":
+            docs.pop(i, None)
+        elif op == "i" or not body or not next(iter(body)).startswith("$"):
+            docs[i] = body
+        elif i in docs:
+            for name, value in body.get("$set", {}).items():
+                path = name.split(".")
+                at = walk(docs[i], path)
+                at[path[-1]] = json.loads(json.dumps(value))
+            for name in body.get("$unset", {}):
+                path, at = name.split("."), docs[i]
+                for p in path[:-1]:
+                    at = at.get(p) if isinstance(at, dict) else None
+                if isinstance(at, dict):
+                    at.pop(path[-1], None)
+    return {str(i): d for i, d in docs.items()}
+
+
+def servable(log):
+    """Without operations that a server would have rejected: a path through a value that is no document."""
+    import json
+
+    kept, docs = [], {}
+    for r in sorted(log, key=lambda r: r[1:3]):
+        body = json.loads(r[4]) if r[4] else {}
+        doc, ok = docs.get(str(r[0])), True
+        for name in body.get("$set", {}):
+            at = doc
+            for p in name.split(".")[:-1]:
+                at = at.get(p) if isinstance(at, dict) else at
+                ok = ok and (at is None and p not in (doc or {}) or isinstance(at, dict))
+            ok = ok and doc is not None
+        if ok:
+            kept.append(r)
+            docs = plain_updates([x for x in kept if x[3] in "iud" and x[0] == r[0]]) | {k: v for k, v in docs.items() if k != str(r[0])}
+    return [r for r in log if r in kept]
+
+
+def no_empty(x):
+    """Without documents that have become empty by unsetting: paths keep only what is set."""
+    if isinstance(x, dict):
+        y = {k: no_empty(v) for k, v in x.items()}
+        return {k: v for k, v in y.items() if v != {}}
+    return x
+
+
+def random_log(rng, n, ids):
+    import datetime as dt
+    import json
+
+    value = lambda: rng.choice([rng.randrange(99), "téxt", None, True, {"x": rng.randrange(9), "y": {"z": 1}}, {"y": 2}, [1, 2], {"$numberLong": "5"}])
+    path = lambda: rng.choice(["a", "a.x", "a.y", "a.y.z", "b", "b.c.d", "c"])
+    out = []
+    for seq in range(n):
+        kind = rng.random()
+        if kind < 0.25:
+            op, doc = "i", {k: value() for k in rng.sample("abc", rng.randrange(4))}
+        elif kind < 0.35:
+            op, doc = "u", {"$v": 1, "a": value()}
+        elif kind < 0.42:
+            op, doc = "d", None
+        elif kind < 0.47:
+            op, doc = rng.choice("nc"), {"x": 1}
+        elif kind < 0.75:
+            op, doc = "u", {"$v": 2, "$set": {path(): value()}}
+        else:
+            op, doc = "u", {"$unset": {path(): True}}
+        out.append((rng.randrange(ids), dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(50)), seq, op, None if doc is None else json.dumps(doc)))
+    return out
+
+
+LOG = "id long, ts timestamp, seq long, op string, doc string"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_updates_against_dictionaries(spark, seed):
+    import json
+
+    from tidemark.operators import updates
+
+    log = servable(random_log(random.Random(seed), 1500, 120))
+    got = {r["id"]: json.loads(r["doc"]) for r in updates.applied(spark.createDataFrame(log, LOG).repartition(3)).collect()}
+    want = plain_updates([r for r in log if r[3] in "iud"])
+    assert {k: no_empty(v) for k, v in got.items()} == {k: no_empty(v) for k, v in want.items()} and len(got) > 40
+
+
+def test_updates_of_lists_and_bad_operators(spark):
+    from tidemark.operators import updates
+
+    t = "2024-01-01 00:00:00"
+    log = lambda *docs: spark.createDataFrame([(1, None, n, op, d) for n, (op, d) in enumerate(docs)], LOG).withColumn("ts", F.lit(t).cast("timestamp"))
+    doc = lambda *docs: [r["doc"] for r in updates.applied(log(*docs)).collect()]
+    assert doc(("i", '{"l": [1, {"k": 2}]}'), ("u", '{"$set": {"l.1.k": 3, "l.3": 4}}')) == ['{"l":[1,{"k":3},null,4]}']
+    assert doc(("i", '{"l": [1], "e": {}}'), ("u", '{"$v": 1}')) == ["{}"]
+    assert doc(("u", '{"$set": {"a": 1}}')) == [] and doc(("i", "{}"), ("d", None), ("u", '{"$set": {"a": 1}}')) == []
+    assert updates.applied(log(("i", "{}")).limit(0)).count() == 0
+    with pytest.raises(Exception, match="holds no .push"):
+        doc(("i", "{}"), ("u", '{"$push": {"a": 1}}'))
+
+
+def test_updates_in_a_stream_that_is_run_twice_with_late_rows(spark, tmp_path):
+    import json
+
+    from tidemark.streaming import streams
+
+    log = servable(random_log(random.Random(9), 1400, 60))
+    src, at = str(tmp_path / "log"), str(tmp_path / "state")
+    shuffled = random.Random(1).sample(log, len(log))  # files hold operations in no order
+    step = -(-len(log) // 12)
+    for i in range(12):
+        spark.createDataFrame(shuffled[i * step : i * step + step], LOG).coalesce(1).write.mode("append").parquet(src)
+        if i in (6, 11):
+            stream = streams.tail(spark, src, spark.read.parquet(src).schema, files_per_trigger=1)
+            got = {r["id"]: no_empty(json.loads(r["doc"])) for r in streams.merge_updates(stream, at=at).collect()}
+            if i == 11:
+                assert got == {k: no_empty(v) for k, v in plain_updates([r for r in log if r[3] in "iud"]).items()}

@@ -116,3 +116,48 @@ def dump_cover(spark, sf):
     x = dumps.read_dump(spark, dumped(spark, sf), split=5000)
     n = x.agg(F.count(F.lit(1)).alias("docs"), F.max(F.get_json_object("json", "$._id.$numberLong").cast("long")).alias("last"))
     return n.join(dumps.gaps(x).agg(F.count(F.lit(1)).alias("gaps")))
+
+
+# --- updates of any field ---
+
+
+def update_log(e):
+    """A log of documents with nested fields: whole ones, fields and paths set and unset, replacements and deletions."""
+    n = F.col("event_id").cast("string")
+    whole = F.concat(F.lit('{"a": '), n, F.lit(', "n": {"x": '), n, F.lit(', "y": {"z": '), n, F.lit('}}, "l": [1, {"k": '), n, F.lit("}]}"))
+    set_ = F.concat(F.lit('{"$v": 1, "$set": {"n.x": '), n, F.lit(', "m": {"p": '), n, F.lit('}, "l.1.k": '), n, F.lit("}}"))
+    unset = F.when(F.col("event_id") % 2 == 0, F.lit('{"$unset": {"n.y": true}}')).otherwise(F.concat(F.lit('{"$set": {"n": {"x": '), n, F.lit('}}, "$unset": {"l": true}}')))
+    replace = F.concat(F.lit('{"$v": 1, "a": '), n, F.lit("}"))
+    t = F.col("event_type")
+    doc = F.when(t == "signup", whole).when(t == "click", set_).when(t == "view", unset).when(t == "error", replace)
+    op = F.when(t == "signup", "i").when(t == "purchase", "d").otherwise("u")
+    return e.select((F.col("user_id") % 50).alias("id"), "ts", F.col("event_id").alias("seq"), op.alias("op"), doc.alias("doc"))
+
+
+def field_values(x):
+    at = lambda p: F.get_json_object("doc", p).cast("long")
+    return x.select(F.col("id").cast("long").alias("id"), at("$.a").alias("a"), at("$.n.x").alias("nx"), at("$.n.y.z").alias("nyz"), at("$.m.p").alias("mp"))
+
+
+FIELDS = """WITH e AS (SELECT user_id % 50 AS id, event_id AS v, event_type AS t, row_number() OVER (PARTITION BY user_id % 50 ORDER BY ts, event_id) AS rn FROM events),
+    r AS (SELECT id, max(rn) FILTER (t IN ('signup', 'error', 'purchase')) AS root FROM e GROUP BY id), x AS (SELECT e.*, r.root FROM e JOIN r USING (id) WHERE e.rn >= r.root)
+    SELECT id, first(v ORDER BY rn) AS a, first(CASE WHEN t = 'error' THEN NULL ELSE v END ORDER BY rn DESC) FILTER (t IN ('signup', 'error', 'click') OR t = 'view' AND v % 2 = 1) AS nx,
+    first(CASE WHEN t = 'signup' THEN v END ORDER BY rn DESC) FILTER (t IN ('signup', 'error', 'view')) AS nyz, first(CASE WHEN t = 'click' THEN v END ORDER BY rn DESC) FILTER (t IN ('signup', 'error', 'click')) AS mp
+    FROM x GROUP BY id HAVING min(t) FILTER (rn = root) <> 'purchase'"""
+
+
+@query(FIELDS)
+def apply_any_field(spark, sf):
+    """Documents after a log with updates of nested fields."""
+    from tidemark.operators import updates
+
+    return field_values(updates.applied(update_log(load(spark, sf, "events"))))
+
+
+@query(FIELDS)
+def stream_any_field(spark, sf):
+    """The same through a stream whose batches are merged into a state of paths."""
+    from tidemark.streaming import streams
+
+    log = update_log(streams.tail(spark, f"{sf}/events.parquet*", load(spark, sf, "events").schema))
+    return field_values(streams.merge_updates(log))

@@ -59,31 +59,46 @@ def state_rows(spark: SparkSession, at: str, upto: int | None = None) -> DataFra
     return spark.read.parquet(*paths) if paths else None
 
 
-def merge_batches(log: DataFrame, tag: str = "state", at: str | None = None) -> DataFrame:
-    """The last operation per id over all batches so far.
+def fold_batches(log: DataFrame, delta, merge, tag: str = "state", at: str | None = None) -> tuple[DataFrame | None, str]:
+    """The state of a log over all batches so far, and its folder: ``delta`` makes the rows of one batch, ``merge`` reduces rows of several.
 
     The state lives beside its offsets in the folder ``at``, so a restarted stream goes on with both. A batch writes only
-    its own last operations; every ``COMPACT_EVERY`` batches they are merged with the rest, so that no batch
+    its own rows; every ``COMPACT_EVERY`` batches they are merged with the rest, so that no batch
     rewrites the state. A batch that is run again overwrites what it wrote before.
     """
     spark = log.sparkSession
     at = at or fresh_path(spark, tag)
 
-    def merge(batch: DataFrame, n: int) -> None:
-        last_of(batch.where(F.col("op").isin("i", "u", "d")).select("id", "op", "value", "ts", "seq")).write.mode("overwrite").parquet(f"{at}/delta-{n}")
+    def step(batch: DataFrame, n: int) -> None:
+        delta(batch).write.mode("overwrite").parquet(f"{at}/delta-{n}")
         if (n + 1) % COMPACT_EVERY == 0:
-            last_of(state_rows(spark, at, n)).write.mode("overwrite").parquet(f"{at}/base-{n}")
+            merge(state_rows(spark, at, n)).write.mode("overwrite").parquet(f"{at}/base-{n}")
             for kind in ("delta", "base"):
                 for old in versions(spark, at, kind):
                     if old < n - COMPACT_EVERY:  # the newest merged table covers them, and no batch that may run again reads them
                         remove(spark, f"{at}/{kind}-{old}")
 
-    q = log.writeStream.foreachBatch(merge).option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).start()
+    q = log.writeStream.foreachBatch(step).option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).start()
     q.awaitTermination()
     rows = state_rows(spark, at)
+    return (None if rows is None else merge(rows)), at
+
+
+def merge_batches(log: DataFrame, tag: str = "state", at: str | None = None) -> DataFrame:
+    """The last operation per id over all batches so far."""
+    delta = lambda batch: last_of(batch.where(F.col("op").isin("i", "u", "d")).select("id", "op", "value", "ts", "seq"))
+    rows, _ = fold_batches(log, delta, last_of, tag, at)
     if rows is None:
-        return spark.createDataFrame([], "id long, last_op string, value double")
-    return last_of(rows).where("op <> 'd'").select("id", F.col("op").alias("last_op"), "value")
+        return log.sparkSession.createDataFrame([], "id long, last_op string, value double")
+    return rows.where("op <> 'd'").select("id", F.col("op").alias("last_op"), "value")
+
+
+def merge_updates(log: DataFrame, tag: str = "documents", at: str | None = None) -> DataFrame:
+    """(id, doc) after all operations (id, ts, seq, op, doc) of a stream so far, in whatever order they came."""
+    from tidemark.operators import updates
+
+    rows, _ = fold_batches(log, updates.state_of, updates.reduced, tag, at)
+    return updates.documents(rows if rows is not None else log.sparkSession.createDataFrame([], updates.STATE))
 
 
 def round_counts(stream: DataFrame, at: str, *by: str) -> DataFrame:
