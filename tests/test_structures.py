@@ -370,3 +370,156 @@ def test_updates_in_a_stream_that_is_run_twice_with_late_rows(spark, tmp_path):
             got = {r["id"]: no_empty(json.loads(r["doc"])) for r in streams.merge_updates(stream, at=at).collect()}
             if i == 11:
                 assert got == {k: no_empty(v) for k, v in plain_updates([r for r in log if r[3] in "iud"]).items()}
+
+
+# --- prefix sums, bounds, sketches ---
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 300])
+def test_prefix_sums_and_splits(spark, n):
+    rng = random.Random(n)
+    keys = rng.sample(range(10_000), n)
+    sizes = {k: rng.choice([0, 1, 5, 5000]) for k in keys}
+    df = spark.createDataFrame([(k, b) for k, b in sizes.items()], "k long, b long").repartition(5)
+    before, want, last = 0, [], None
+    for k in sorted(keys):
+        want.append((k, before, last, sum(sizes.values())))
+        before, last = before + sizes[k], sizes[k]
+    got = sorted(tuple(r[c] for c in ("k", "before", "prev", "total")) for r in ranges.prefix_sums(df, "k", "b").collect())
+    assert got == want
+    size = max(sum(sizes.values()) // 2 // 10, 0)
+    size = size if size >= 1000 else 2000
+    splits = [(k, b, size) for k, b, prev, _ in want if prev is not None and b // size > (b - prev) // size]
+    twice = df.unionByName(df.withColumn("b", F.lit(0).cast("long"))).unionByName(spark.createDataFrame([(None, 9)], "k long, b long"))  # keys that repeat, a row without
+    assert rows(ranges.split_keys(twice, "k", "b", 2, mega=1000), "split_key", "bytes_before", "split_size") == splits
+
+
+@pytest.mark.parametrize("n", [1, 3, 7, 40])
+def test_equal_shares_with_hot_keys(spark, n):
+    keys = [5] * 60 + list(range(30)) + [29] * 25 + [100]
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "k long").repartition(4)
+    order, base, more = sorted(keys), len(keys) // n, len(keys) % n
+    want, at = [], 0
+    for t in range(n):
+        part = order[at : at + base + (t < more)]
+        at += len(part)
+        if part:
+            want.append((t + 1, part[0], part[-1], len(part)))
+    assert rows(ranges.equal_depth_bounds(df, "k", n), "tile", "lo", "hi", "n") == want
+    plan = ranges.equal_depth_bounds(df, "k", n)
+    assert ranges.equal_depth_bounds(df.limit(0), "k", n).count() == 0 and plan.columns == ["tile", "lo", "hi", "n"]
+
+
+def test_sketches_keep_their_error(spark):
+    df = spark.range(0, 200_000, 1, 7).select((F.col("id") * 7919 % 100_003 + F.when(F.col("id") % 3 == 0, 10**6).otherwise(0)).alias("k"))
+    order = sorted(r["k"] for r in df.collect())
+    for r in ranges.sketched_bounds(df, "k", 20, 1e-3).collect():
+        place = len(order) * r["bound_no"] / 20
+        assert bisect.bisect_left(order, r["bound"]) - 201 <= place <= bisect.bisect_right(order, r["bound"]) + 201
+    plan = ranges.sketched_bounds(df, "k", 20)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+# --- profiles ---
+
+
+def test_profile_of_nested_documents(spark):
+    import json
+
+    from tidemark.operators import profile
+
+    deep = {"x": 1}
+    for _ in range(60):
+        deep = {"d": [deep]}
+    docs = [
+        {"a": 1, "n": {"x": "t", "y": {"z": [1, 2.5, {"w": None}, []]}}, "o": {"$oid": "0" * 24}}, {"a": "x", "n": None, "b": {"$numberLong": "5"}}, {"a": {"k": True}, "n": {"x": 1 << 40}}, {}, {"": {"": 0}, "a": [[1], [["s"]]]}, deep,
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(99, None)], "at long, doc string").repartition(3)
+
+    def plain(path, v, out):
+        kind = profile.type_of(v)
+        out.append((path, kind))
+        if kind == "object":
+            for k, x in v.items():
+                plain(f"{path}.{k}", x, out)
+        elif kind == "array":
+            for x in v:
+                plain(path + "[]", x, out)
+
+    want = {}
+    for d in docs:
+        out = []
+        for k, v in d.items():
+            plain(k, v, out)
+        for p in {p for p, _ in out}:
+            want.setdefault(p, [{}, 0, None])[1] += 1
+        for p, t in out:
+            want[p][0][t] = want[p][0].get(t, 0) + 1
+            want[p][2] = t
+    got = {r["path"]: [{t["type"]: t["values"] for t in r["types"]}, r["docs"], r["last_type"]] for r in profile.schema_profile(df, "doc", "at").collect()}
+    assert got == want and got["d" + "[].d" * 59 + "[].x"][0] == {"int": 1}
+    one = profile.schema_profile(df.where("at = 1"), "doc", "at", limit=1).collect()
+    assert sorted(r["path"] for r in one) == ["a", "b", "n"] and profile.schema_profile(df.where("at = 99"), "doc", "at").count() == 0
+
+
+# --- versions ---
+
+
+def status(spark, *rows_):
+    return spark.createDataFrame(list(rows_), "ns string, lo long, hi long, status string, retry_num int")
+
+
+def table(spark, folder):
+    from tidemark.sources import versioned
+
+    return sorted(((r["ns"], r["lo"], r["hi"]), r["status"], r["retry_num"], [(h["status"], h["retry_num"]) for h in r["history"]]) for r in versioned.read(spark, folder).collect())
+
+
+def test_states_are_put_and_read_back(spark, tmp_path):
+    from tidemark.sources import versioned
+
+    folder, key = str(tmp_path / "status"), ["ns", "lo", "hi"]
+    assert versioned.read(spark, folder) is None
+    assert versioned.upsert(spark, folder, status(spark, ("a", 0, 5, "running", 1), ("a", 5, None, "running", 1)), key, "one") == 1
+    assert versioned.upsert(spark, folder, status(spark, ("a", 5, None, "failed", 1), ("b", 0, 9, "done", 1)), key, "two") == 2
+    assert versioned.upsert(spark, folder, status(spark, ("a", 5, None, "done", 2)), key) == 3
+    want = [(("a", 0, 5), "running", 1, []), (("a", 5, None), "done", 2, [("failed", 1)]), (("b", 0, 9), "done", 1, [])]
+    assert table(spark, folder) == want
+    assert versioned.upsert(spark, folder, status(spark, ("a", 5, None, "again", 9)), key, "two") == 3 and table(spark, folder) == want  # a batch counts once
+    assert versioned.read(spark, folder, 1).count() == 2
+    versioned.cleaned(spark, folder, keep=1)
+    assert table(spark, folder) == want and versioned.upsert(spark, folder, status(spark, ("c", 0, 1, "new", 0)), key) == 4
+
+
+def test_a_crash_before_publishing_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    from tidemark.sources import versioned
+
+    folder, key = str(tmp_path / "status"), ["ns", "lo", "hi"]
+    versioned.upsert(spark, folder, status(spark, ("a", 0, 5, "running", 1)), key, "one")
+    old = table(spark, folder)
+    with monkeypatch.context() as m:
+        m.setattr(versioned, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            versioned.upsert(spark, folder, status(spark, ("a", 0, 5, "done", 2)), key, "two")
+    assert table(spark, folder) == old
+    assert versioned.upsert(spark, folder, status(spark, ("a", 0, 5, "done", 2)), key, "two") == 2
+    assert table(spark, folder) == [(("a", 0, 5), "done", 2, [("running", 1)])]
+
+
+def test_two_writers_at_once_both_count(spark, tmp_path):
+    from tidemark.sources import versioned
+
+    folder, key = str(tmp_path / "status"), ["ns", "lo", "hi"]
+    versioned.upsert(spark, folder, status(spark, ("a", 0, 5, "running", 1)), key)
+    tries = []
+
+    def change(old):
+        if not tries:  # another writer is first
+            versioned.upsert(spark, folder, status(spark, ("b", 0, 1, "done", 1)), key)
+        tries.append(1)
+        return versioned.upserted(old, status(spark, ("a", 0, 5, "done", 2)), key)
+
+    assert versioned.update(spark, folder, change) == 3 and len(tries) == 2
+    assert table(spark, folder) == [(("a", 0, 5), "done", 2, [("running", 1)]), (("b", 0, 1), "done", 1, [])]
+    with pytest.raises(versioned.Conflict):
+        versioned.publish(spark, folder, 2, "rows-x", [])

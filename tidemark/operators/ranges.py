@@ -73,13 +73,58 @@ def ranked(rows: DataFrame, key: str, *group: str) -> DataFrame:
     return y.withColumn("r", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(key)) + F.col("_before")).drop("_part", "_before")
 
 
+def prefix_sums(rows: DataFrame, key: str, weight: str) -> DataFrame:
+    """Adds ``before``, the weight of all rows with smaller keys, ``prev``, that of the row before (null for the first), and ``total``; keys are unique.
+
+    Rows are dealt out by ranges of the key and stored; each part adds up its own rows and the sums of the parts before it,
+    so neither a sum nor a sort goes through one task.
+    """
+    parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    x = stored(rows.repartitionByRange(parts, key).withColumn("_part", F.spark_partition_id()), "sums")
+    by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    sums = x.groupBy("_part").agg(F.sum(weight).alias("_w"), F.max_by(weight, key).alias("_last"))
+    sums = sums.select("_part", F.coalesce(F.sum("_w").over(by_part), F.lit(0)).alias("_before"), F.last("_last").over(by_part).alias("_prev"), F.sum("_w").over(Window.partitionBy()).alias("total"))
+    own = Window.partitionBy("_part").orderBy(key)
+    inside = F.coalesce(F.sum(weight).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    y = x.join(F.broadcast(sums), "_part")  # as many rows as there are shuffle partitions
+    return y.withColumn("before", inside + F.col("_before")).withColumn("prev", F.coalesce(F.lag(weight).over(own), "_prev")).drop("_part", "_before", "_prev")
+
+
 def equal_depth_bounds(rows: DataFrame, key: str, n: int | Column) -> DataFrame:
-    """Exact bounds of n shares of nearly equal size; n may be an expression over ``total``, the number of rows."""
-    y = ranked(rows.select(F.col(key).alias("key")), "key").withColumn("_n", F.lit(n) if isinstance(n, int) else n)
+    """Exact bounds of n shares of nearly equal size; n may be an expression over ``total``, the number of rows. Rows with a null key are in no share.
+
+    Rows are counted by key first, so a key that a large share of all rows has is one row; it lies in each share that its ranks reach into.
+    """
+    counts = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("c"))
+    y = prefix_sums(counts, "key", "c").withColumn("_n", F.lit(n) if isinstance(n, int) else n)
     # the first total % n shares hold one row more, as ntile does
     size, more = F.floor(F.col("total") / F.col("_n")), F.col("total") % F.col("_n")
-    tile = F.when(F.col("r") <= more * (size + 1), F.ceil(F.col("r") / (size + 1))).otherwise(more + F.ceil((F.col("r") - more * (size + 1)) / F.greatest(size, F.lit(1))))
-    return y.groupBy(tile.cast("int").alias("tile")).agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n"))
+    share = lambda r: F.when(r <= more * (size + 1), F.ceil(r / (size + 1))).otherwise(more + F.ceil((r - more * (size + 1)) / F.greatest(size, F.lit(1)))).cast("int")
+    upto = lambda t: t * size + F.least(t, more)  # noqa: E731  the last rank of share t
+    y = y.withColumn("tile", F.explode(F.sequence(share(F.col("before") + 1), share(F.col("before") + F.col("c")))))
+    held = F.least(F.col("before") + F.col("c"), upto(F.col("tile"))) - F.greatest(F.col("before"), upto(F.col("tile") - 1))
+    return y.groupBy("tile").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.sum(held).cast("long").alias("n"))
+
+
+def sketched_bounds(rows: DataFrame, key: str, n: int, error: float = 1e-4) -> DataFrame:
+    """(bound_no, bound): n - 1 inner bounds of n shares in one pass, from mergeable quantile sketches; no key is shuffled.
+
+    The rank of each bound is at most ``error`` times the number of rows from its place. A key that many rows have is no hot group, as
+    each task only sends its sketch, of a size in the order of 1 / error.
+    """
+    q = F.percentile_approx(key, [i / n for i in range(1, n)], max(1, round(1 / error)))
+    return rows.agg(q.alias("q")).select(F.posexplode("q").alias("bound_no", "bound")).withColumn("bound_no", F.col("bound_no") + 1)
+
+
+def split_keys(rows: DataFrame, key: str, size: str, shards: int, **limits) -> DataFrame:
+    """(split_key, bytes_before, split_size): keys at which another split begins, from the true bytes of rows.
+
+    Bytes are added up by key first, then over keys in their order; a split begins at the first key that has another multiple of the
+    split's size before it.
+    """
+    sums = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.sum(size).alias("b"))
+    y = prefix_sums(sums, "k", "b").withColumn("s", split_size(F.col("total"), shards, **limits))
+    return y.where("prev is not null and before div s > (before - prev) div s").select(F.col("k").alias("split_key"), F.col("before").cast("long").alias("bytes_before"), F.col("s").alias("split_size"))
 
 
 def partition_count(size, docs, part_size: int = 400 << 20, least_docs: int = 101) -> Column:

@@ -161,3 +161,51 @@ def stream_any_field(spark, sf):
 
     log = update_log(streams.tail(spark, f"{sf}/events.parquet*", load(spark, sf, "events").schema))
     return field_values(streams.merge_updates(log))
+
+
+# --- profiles and states ---
+
+
+@query("""WITH e AS (SELECT event_id AS v, event_type AS t, row_number() OVER (ORDER BY event_id) AS rn FROM events), x AS (
+      SELECT 'a' AS path, CASE WHEN t IN ('signup', 'error') THEN 'int' END AS kind, v FROM e UNION ALL SELECT '$v', CASE WHEN t IN ('click', 'error') THEN 'int' END, v FROM e
+      UNION ALL SELECT 'n', CASE WHEN t = 'signup' THEN 'object' END, v FROM e UNION ALL SELECT 'n.x', CASE WHEN t = 'signup' THEN 'int' END, v FROM e
+      UNION ALL SELECT 'n.y', CASE WHEN t = 'signup' THEN 'object' END, v FROM e UNION ALL SELECT 'n.y.z', CASE WHEN t = 'signup' THEN 'int' END, v FROM e
+      UNION ALL SELECT 'l', CASE WHEN t = 'signup' THEN 'array' END, v FROM e UNION ALL SELECT 'l[]', CASE WHEN t = 'signup' THEN unnest(['int', 'object']) END, v FROM e UNION ALL SELECT 'l[].k', CASE WHEN t = 'signup' THEN 'int' END, v FROM e)
+    SELECT path, CAST(count(*) AS BIGINT) AS values, CAST(count(DISTINCT v) AS BIGINT) AS docs, string_agg(DISTINCT kind, ',' ORDER BY kind) AS types, CASE path WHEN 'l[]' THEN 'object' ELSE max(kind) END AS last_type FROM x WHERE kind IS NOT NULL GROUP BY path""")
+def schema_nested(spark, sf):
+    """Paths and types of nested documents: those of the log that are whole or replace, and their updates' version fields."""
+    from tidemark.operators import profile
+
+    log = update_log(load(spark, sf, "events"))
+    bare = F.when(F.col("doc").contains('"$set"') | F.col("doc").contains('"$unset"'), F.when(F.col("doc").contains('"$v"'), F.lit('{"$v": 1}'))).otherwise(F.col("doc"))
+    x = profile.schema_profile(log.select(bare.alias("doc"), "seq"), "doc", "seq")
+    return x.select("path", "values", "docs", F.array_join(F.transform("types", lambda t: t["type"]), ",").alias("types"), "last_type")
+
+
+@query("""SELECT 'db.orders' AS ns, r.lo, r.hi, CASE WHEN n.bad IS NULL THEN 'done' WHEN n.left_bad = 0 THEN 'done' ELSE 'failed' END AS status, CAST(CASE WHEN n.bad IS NULL THEN 1 ELSE 2 END AS INTEGER) AS retry_num, CAST(coalesce(n.left_bad, 0) AS BIGINT) AS failed,
+    CAST(CASE WHEN n.bad IS NULL THEN 0 ELSE 1 END AS INTEGER) AS earlier, n.bad AS failed_before FROM ranges r LEFT JOIN
+    (SELECT r.id, CAST(count(*) AS BIGINT) AS bad, count(*) FILTER (NOT (d.status = 'dest_only' OR d.k % 2 = 0)) AS left_bad FROM diffed d JOIN ranges r ON d.k >= r.lo AND (r.hi IS NULL OR d.k < r.hi) WHERE d.status <> 'match' GROUP BY r.id) n USING (id)""")
+def status_store(spark, sf):
+    """States of ranges in a versioned table: a diff writes the first, a recheck of what failed the second, and the first moves to the history."""
+    from tidemark.operators import diff, ranges
+    from tidemark.plans.diff_queries import pair
+    from tidemark.sources import versioned
+    from tidemark.sources.work import fresh_path
+
+    s, t = pair(spark, sf)
+    parts, folder = d.ranges(spark, sf).select("id", "lo", "hi"), fresh_path(spark, "status")
+    key = ["ns", "lo", "hi"]
+
+    def states(failed, retry, only=False):
+        n = ranges.floor_join(failed.select("k"), "k", parts).groupBy("id").agg(F.count(F.lit(1)).alias("failed"))
+        x = parts.join(n, "id", "left").withColumn("failed", F.coalesce("failed", F.lit(0)))
+        x = x.join(again.select("id"), "id", "left_semi") if only else x
+        return x.select(F.lit("db.orders").alias("ns"), "lo", "hi", F.when(F.col("failed") > 0, "failed").otherwise("done").alias("status"), F.lit(retry).alias("retry_num"), "failed")
+
+    failed = diff.full_diff(s, t).where("status <> 'match'").withColumn("ns", F.lit("db.orders"))
+    versioned.upsert(spark, folder, states(failed, 1), key, "diff")
+    again = parts.join(versioned.read(spark, folder).where("status = 'failed'").select(F.col("lo").alias("_lo")), F.col("lo") == F.col("_lo"), "left_semi")
+    repaired = s.where("k % 2 = 0").unionByName(t.where("k % 2 <> 0").join(s.select("k"), "k", "left_semi"))
+    versioned.upsert(spark, folder, states(diff.recheck(failed, s, repaired).where("outcome = 'stay'"), 2, only=True), key, "recheck")
+    out = versioned.read(spark, folder)
+    return out.select(*key, "status", "retry_num", "failed", F.size("history").alias("earlier"), F.get("history", F.lit(0))["failed"].alias("failed_before"))

@@ -76,3 +76,24 @@ def floor_join_many(spark, sf):
     key = (F.col("l_partkey") * 7919 * 1000 % (((F.col("top") - 1000) * 11 / 10).cast("long")) + F.col("l_suppkey")).alias("key")
     rows = load(spark, sf, "lineitem").join(F.broadcast(most)).select(key)
     return ranges.floor_join(rows, "key", r, few=False).groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("key") - F.col("lo")).alias("past"))
+
+
+# --- bounds ---
+
+
+@query("SELECT CAST(tile AS INTEGER) AS tile, min(k) AS lo, max(k) AS hi, CAST(count(*) AS BIGINT) AS n FROM (SELECT k, ntile(12) OVER (ORDER BY k) AS tile FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 4000 ELSE l_suppkey * 37 END AS k FROM lineitem)) GROUP BY tile")
+def equal_depth_hot(spark, sf):
+    """Bounds of equal shares where one key has a third of all rows and lies in several shares."""
+    k = F.when(F.col("l_orderkey") % 3 == 0, F.lit(4000).cast("long")).otherwise(F.col("l_suppkey") * 37)
+    return ranges.equal_depth_bounds(load(spark, sf, "lineitem").select(k.alias("k")), "k", 12)
+
+
+@query("SELECT CAST(i AS INTEGER) AS bound_no, true AS within FROM (SELECT unnest(range(1, 16)) AS i)")
+def sketch_bounds(spark, sf):
+    """Whether the rank of each bound from sketches is within the stated error of its place: the bounds are held against all rows."""
+    x, n, error = load(spark, sf, "lineitem").select((F.col("l_partkey") * 7919 % 100_003).alias("k")), 16, 1e-3
+    bounds = ranges.sketched_bounds(x, "k", n, error).collect()  # n - 1 rows
+    ranks = x.agg(F.count(F.lit(1)).alias("rows"), F.array(*[F.struct(F.lit(b["bound_no"]).alias("bound_no"), F.count_if(F.col("k") < b["bound"]).alias("less"), F.count_if(F.col("k") <= b["bound"]).alias("upto")) for b in bounds]).alias("b"))
+    y = ranks.select("rows", F.explode("b").alias("b")).select("rows", "b.*")
+    place, slack = F.col("rows") * F.col("bound_no") / n, F.col("rows") * error + 1
+    return y.select("bound_no", ((F.col("less") <= place + slack) & (F.col("upto") >= place - slack)).alias("within"))

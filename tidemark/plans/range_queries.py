@@ -286,14 +286,19 @@ def equi_depth_bounds(spark, sf):
     return ranges.equal_depth_bounds(load(spark, sf, "orders"), "o_orderkey", 10)
 
 
-@query("""WITH total AS (SELECT count(*) AS docs, CASE WHEN count(*) < 101 THEN 1 ELSE CAST(count(*) * 4096 // 1048576 + 1 AS BIGINT) END AS n FROM orders)
+def sized(spark, sf):
+    """Documents by their key and true bytes."""
+    return load(spark, sf, "documents").select(F.col("doc_id").alias("k"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
+
+
+@query("""WITH total AS (SELECT count(*) AS docs, CASE WHEN count(*) < 101 THEN 1 ELSE CAST(sum(coalesce(strlen(text), 0)) // 65536 + 1 AS BIGINT) END AS n FROM documents)
     SELECT CAST(tile - 1 AS INTEGER) AS part_no, lo, lead(lo) OVER (ORDER BY tile) AS hi, CAST((SELECT docs // n FROM total) AS BIGINT) AS est_docs FROM
-    (SELECT tile, min(k) AS lo FROM (SELECT o_orderkey AS k, ntile((SELECT CAST(n AS BIGINT) FROM total)) OVER (ORDER BY o_orderkey) AS tile FROM orders) GROUP BY tile)""")
+    (SELECT tile, min(k) AS lo FROM (SELECT doc_id AS k, ntile((SELECT CAST(n AS BIGINT) FROM total)) OVER (ORDER BY doc_id) AS tile FROM documents) GROUP BY tile)""")
 def partition_plan(spark, sf):
-    """Partitions of a megabyte at four kilobytes a row: their number follows from the table's size, their bounds from its keys."""
-    o = load(spark, sf, "orders")
-    n = ranges.partition_count(F.col("total") * 4096, F.col("total"), 1 << 20)
-    return ranges.partition_plan(ranges.equal_depth_bounds(o, "o_orderkey", n))
+    """Partitions of 64 kilobytes: their number follows from the documents' true bytes, which one job adds up while the plan is built, their bounds from the keys."""
+    x = sized(spark, sf)
+    n = x.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("size"), F.count(F.lit(1)).alias("docs")).select(ranges.partition_count(F.col("size"), F.col("docs"), 1 << 16).alias("n")).first()["n"]
+    return ranges.partition_plan(ranges.equal_depth_bounds(x, "k", n))
 
 
 @query("""SELECT o_orderkey AS k FROM orders QUALIFY row_number() OVER (ORDER BY md5('sample|' || o_orderkey), o_orderkey) <= (SELECT CASE WHEN count(*) < 100000 THEN CAST(floor(count(*) * 0.01 + 0.5) AS BIGINT) ELSE 25000 END FROM orders)""")
@@ -323,13 +328,12 @@ def round_robin_map(spark, sf):
     return d.ranges(spark, sf).select("id", F.concat(F.lit("target"), rn % 5).alias("target"))
 
 
-@query("""WITH size AS (SELECT count(*) * 4096 AS bytes FROM orders), split AS (SELECT CASE WHEN bytes // 3 // 10 >= 16793599 THEN 16793599 WHEN bytes // 3 // 10 < 1048576 THEN 2097152 ELSE bytes // 3 // 10 END AS s FROM size)
-    SELECT k AS split_key, CAST(upto AS BIGINT) AS bytes_before, CAST(s AS BIGINT) AS split_size FROM (SELECT o_orderkey AS k, sum(4096) OVER (ORDER BY o_orderkey) - 4096 AS upto FROM orders), split WHERE upto > 0 AND upto // s <> (upto - 4096) // s""")
+@query("""WITH size AS (SELECT sum(coalesce(strlen(text), 0)) AS bytes FROM documents), split AS (SELECT CAST(CASE WHEN bytes // 3 // 10 >= 16793599 THEN 16793599 WHEN bytes // 3 // 10 < 16384 THEN 32768 ELSE bytes // 3 // 10 END AS BIGINT) AS s FROM size)
+    SELECT k AS split_key, before AS bytes_before, s AS split_size FROM (SELECT *, lag(before) OVER (ORDER BY k) AS last FROM
+      (SELECT doc_id AS k, CAST(sum(coalesce(strlen(text), 0)) OVER (ORDER BY doc_id) - coalesce(strlen(text), 0) AS BIGINT) AS before FROM documents)), split WHERE before // s > last // s""")
 def split_vector(spark, sf):
-    """Keys at which another split begins: its size is a tenth of a shard's share of the table, within bounds."""
-    y = ranges.ranked(load(spark, sf, "orders").select(F.col("o_orderkey").alias("k")), "k")
-    y = y.withColumn("s", ranges.split_size(F.col("total") * 4096, 3)).withColumn("upto", (F.col("r") - 1) * 4096)
-    return y.where("upto > 0 and upto div s <> (upto - 4096) div s").select(F.col("k").alias("split_key"), F.col("upto").cast("long").alias("bytes_before"), F.col("s").alias("split_size"))
+    """Keys at which another split begins, from the true bytes of documents: a split is a tenth of a shard's share of the table, within bounds."""
+    return ranges.split_keys(sized(spark, sf), "k", "bytes", 3, mega=1 << 14)
 
 
 @query("SELECT user_id AS id, event_id AS seq, array_to_string(list(event_type || '@' || event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), ',') AS last3 FROM events")
