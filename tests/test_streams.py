@@ -73,3 +73,49 @@ def test_rounds_start_at_zero(spark, tmp_path):
     write(spark, src, (1, "u", at("10:05:00"), 4))
     got = {(r["round"], r["op"]): r["n"] for r in streams.round_counts(tail(spark, src), out, "op").collect()}
     assert got == {(0, "i"): 1, (0, "u"): 2, (1, "u"): 1}
+
+
+def test_rounds_over_two_runs_with_late_rows_and_a_silent_key(spark, tmp_path):
+    """Counters start at zero in each round and are written by timer; a key that falls silent is written; rows too late for their round are not counted twice."""
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    kind = "ts timestamp_ntz, seq long, shard string, ns string, op string, size long"
+    src, out = str(tmp_path / "log"), str(tmp_path / "rounds")
+
+    def write(*rows):
+        spark.createDataFrame([(at(m), i, s, n, "i", b) for i, (m, s, n, b) in enumerate(rows)], kind).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        s = spark.read.parquet(src).schema
+        x = streams.run_once(streams.rounds(streams.tail(spark, src, s, files_per_trigger=1), 60, "10 minutes"), at=out)
+        got = [(r["shard"], r["ns"], (r["round_start"] - t0) // dt.timedelta(minutes=60), r["n"], r["bytes"]) for r in x.collect()]
+        assert len(got) == len(set(got))
+        return sorted(got, key=str)
+
+    write((5, "a", "x", 10), (59, "a", "x", 1), (30, "b", None, 5), (61, "a", "x", 2))
+    assert run() == []
+    write((75, "a", "x", 3), (58, "a", "x", 7))  # late, but its round is open: the watermark is at 51
+    write((200, "a", "y", 1))
+    first = run()
+    assert first == [("a", "x", 0, 3, 18), ("a", "x", 1, 2, 5), ("b", None, 0, 1, 5)]
+    write((20, "a", "x", 99), (205, "a", "y", 1), (199, "a", "y", 1))  # the first is too late: its round is written
+    write((400, "c", "z", 1))
+    assert run() == sorted([*first, ("a", "y", 3, 3, 3)], key=str)
+
+
+def test_a_stream_starts_after_a_time_or_an_entry(spark, tmp_path):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(t, 1, "i"), (t, 2, "u"), (t + dt.timedelta(seconds=1), 1, "u"), (t + dt.timedelta(seconds=1), 2, "n")]
+    spark.createDataFrame(rows, "ts timestamp_ntz, seq long, op string").write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert streams.latest(log) == (rows[2][0], 1) and streams.latest(log.where("false")) == (None, None)
+    seen = lambda df: sorted((r["ts"], r["seq"]) for r in df.collect())
+    assert seen(streams.since(log, t)) == [r[:2] for r in rows[2:]]
+    assert seen(streams.since(log, t, 1)) == [r[:2] for r in rows[1:]]
+    stream = streams.since(streams.tail(spark, str(tmp_path / "log"), log.schema), *streams.latest(log))
+    assert seen(streams.run_once(stream)) == [rows[3][:2]]
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts" in streams.since(log, t)._jdf.queryExecution().executedPlan().toString()

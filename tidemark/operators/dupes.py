@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.work import stored
+
 
 def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     """Counts are partial sums before the shuffle, so a hot key is no hot task."""
@@ -64,35 +66,46 @@ def applied(log: DataFrame) -> DataFrame:
     return x.groupBy("id").agg(F.max_by("value", at).alias("a"), F.max_by(F.when(F.col("form") == "whole", F.col("value")), F.when(F.col("form") == "whole", at)).alias("b"))
 
 
-def resolved(placed: DataFrame, shards: list[str], most: int = 100) -> tuple[dict, int]:
-    """(moves, conflicts left): shards for ranges of ``placed`` (k, range_id, shard) so that fewer keys have two copies on one shard.
+def scores(keys: DataFrame, placement: DataFrame, shards: list[str]) -> DataFrame:
+    """(range_id, shard, here, best): pairs that the copies of each range make with other ranges' on its own shard, and the
+    shard (n, to) where they would make fewest. A key adds one row for each range and shard that it is on, never pairs of ranges."""
+    now = keys.join(placement, "range_id")
+    on = now.groupBy("k", F.col("shard").alias("to")).agg(F.sum("m").alias("c"))
+    met = now.join(on, "k").withColumn("n", F.col("m") * (F.col("c") - F.when(F.col("to") == F.col("shard"), F.col("m")).otherwise(0)))
+    per = met.groupBy("range_id", "shard", "to").agg(F.sum("n").alias("n"))
+    per = per.groupBy("range_id", "shard").agg(F.map_from_entries(F.collect_list(F.struct("to", "n"))).alias("at"))  # a shard an entry
+    n = lambda s: F.coalesce(F.try_element_at("at", s), F.lit(0))
+    best = F.array_min(F.transform(F.array(*map(F.lit, shards)), lambda s: F.struct(n(s).alias("n"), s.alias("to"))))
+    return per.select("range_id", "shard", n(F.col("shard")).alias("here"), best.alias("best"))
+
+
+def conflict_pairs(keys: DataFrame, placement: DataFrame) -> DataFrame:
+    """One row, ``pairs``: how many pairs of copies of a key are on one shard."""
+    c = keys.join(placement, "range_id").groupBy("k", "shard").agg(F.sum("m").alias("c"))
+    return c.agg(F.coalesce(F.sum(F.expr("c * (c - 1) div 2")), F.lit(0)).cast("long").alias("pairs"))
 
-    Each round moves the range with most conflicting copies to the shard where it meets fewest; a placement that was
-    seen before ends the search, as does a round that gains nothing. Only counts by range and shard reach the driver, and
-    ranges are few; the map of moves is a literal in the next round's plan.
+
+def resolved(placed: DataFrame, shards: list[str], most: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Shards for the ranges of ``placed`` (k, range_id, shard) so that fewer keys have two copies on one shard.
+
+    Returns the keys (k, range_id, m copies), the placement before and the one found, both (range_id, shard). Each round scores
+    all ranges and moves every one that gains and gains most among the ranges that it shares a key with: such moves do
+    not touch each other's keys, so their gains add up, the pairs left fall in each round, no placement comes again, and the search ends where
+    no single move gains. A placement is a stored table; what reaches the driver is the number of moves of a round.
     """
-    moves: dict[int, str] = {}
-    seen, best = set(), None
+    keys = stored(placed.groupBy("k", "range_id").agg(F.count(F.lit(1)).alias("m")), "keys")
+    twice = keys.groupBy("k").agg(F.sum("m").alias("c")).where("c > 1").select(F.col("k").alias("_k"))
+    keys = stored(keys.join(twice, F.col("k") == F.col("_k"), "left_semi"), "keys")
+    start = stored(placed.groupBy("range_id").agg(F.min("shard").alias("shard")), "placement")
+    now = start
     for _ in range(most):
-        target = F.col("shard")
-        if moves:
-            m = F.create_map(*[x for r, to in sorted(moves.items()) for x in (F.lit(r).cast("long"), F.lit(to))])
-            target = F.coalesce(F.try_element_at(m, F.col("range_id").cast("long")), F.col("shard"))
-        now = placed.select("k", "range_id", target.alias("shard"))
-        meet = now.alias("a").join(now.select("k", F.col("range_id").alias("r"), F.col("shard").alias("s")).alias("b"), "k").where("range_id <> r")
-        here = {(x["range_id"], x["s"]): x["n"] for x in meet.groupBy("range_id", "s").agg(F.count(F.lit(1)).alias("n")).collect()}
-        home = {x["range_id"]: x["shard"] for x in now.select("range_id", "shard").distinct().collect()}
-        clash = {r: here.get((r, s), 0) for r, s in home.items()}
-        left = sum(clash.values()) // 2
-        if best is None or left < best[1]:
-            best = (dict(moves), left)
-        worst = max(clash, key=lambda r: (clash[r], -r), default=None)
-        if worst is None or not clash[worst]:
-            break
-        to = min(shards, key=lambda s: (here.get((worst, s), 0), s))
-        state = (*sorted(moves.items()), worst, to)
-        if here.get((worst, to), 0) >= clash[worst] or state in seen:
+        s = scores(keys, now, shards)
+        gains = stored(s.select("range_id", (F.col("here") - F.col("best.n")).alias("gain"), F.col("best.to").alias("to")).where("gain > 0"), "gains")
+        here = keys.join(gains, "range_id").select("k", "range_id", F.struct("gain", (-F.col("range_id")).alias("id")).alias("claim"))
+        top = here.groupBy("k").agg(F.max("claim").alias("top"))
+        free = here.join(top, "k").groupBy("range_id").agg(F.min(F.col("claim") == F.col("top")).alias("free")).where("free").select("range_id")
+        moves = stored(gains.join(free, "range_id", "left_semi").select("range_id", "to"), "moves")
+        if moves.isEmpty():
             break
-        seen.add(state)
-        moves[worst] = to
-    return best if best is not None else ({}, 0)
+        now = stored(now.join(moves, "range_id", "left").select("range_id", F.coalesce("to", "shard").alias("shard")), "placement")
+    return keys, start, now

@@ -97,3 +97,49 @@ def sketch_bounds(spark, sf):
     y = ranks.select("rows", F.explode("b").alias("b")).select("rows", "b.*")
     place, slack = F.col("rows") * F.col("bound_no") / n, F.col("rows") * error + 1
     return y.select("bound_no", ((F.col("less") <= place + slack) & (F.col("upto") >= place - slack)).alias("within"))
+
+
+# --- conflicts ---
+
+
+@query("SELECT CAST(coalesce(sum(c * (c - 1) // 2), 0) AS BIGINT) AS pairs_before, true AS fewer_or_equal, CAST(0 AS BIGINT) AS moves_left FROM (SELECT k, shard, count(*) AS c FROM dupx WHERE k IN (SELECT k FROM dup_ids) GROUP BY ALL)")
+def resolve_conflicts(spark, sf):
+    """Pairs of copies on one shard before ranges are moved, whether there are no more of them after, and moves of one range that would still gain."""
+    from tidemark.operators import dupes
+    from tidemark.plans.range_queries import dup_placed
+
+    x = dup_placed(spark, sf)
+    shards = [r["shard"] for r in d.ranges(spark, sf).select("shard").distinct().orderBy("shard").collect()]
+    keys, start, found = dupes.resolved(x.select("k", "range_id", "shard"), shards)
+    left = dupes.scores(keys, found, shards).agg(F.count_if(F.col("best.n") < F.col("here")).alias("moves_left"))
+    one = dupes.conflict_pairs(keys, start).select(F.col("pairs").alias("pairs_before")).join(dupes.conflict_pairs(keys, found)).join(left)  # three rows of sums
+    return one.select("pairs_before", (F.col("pairs") <= F.col("pairs_before")).alias("fewer_or_equal"), "moves_left")
+
+
+@query()
+def resolved_ranges(spark, sf):
+    """The shard of each range before and after."""
+    from tidemark.operators import dupes
+    from tidemark.plans.range_queries import dup_placed
+
+    shards = [r["shard"] for r in d.ranges(spark, sf).select("shard").distinct().orderBy("shard").collect()]
+    _, start, found = dupes.resolved(dup_placed(spark, sf).select("k", "range_id", "shard"), shards)
+    return start.join(found.withColumnRenamed("shard", "to"), "range_id")
+
+
+# --- rounds of a stream ---
+
+START = "(SELECT date_trunc('second', min(ts) + (max(ts) - min(ts)) / 4) FROM log)"
+
+
+@query(f"""SELECT shard, ns, to_timestamp(epoch_us(ts) // 1000000 // 21600 * 21600) AT TIME ZONE 'UTC' AS round_start, CAST(count(*) AS BIGINT) AS n, CAST(sum(size) AS BIGINT) AS bytes FROM log
+    WHERE op <> 'n' AND ts > {START} GROUP BY ALL HAVING epoch_ms(min(ts)) // 1000 // 21600 * 21600 + 21600 < (SELECT epoch_us(max(ts)) / 1e6 - 600 FROM log WHERE op <> 'n')""")
+def stream_rounds(spark, sf):
+    """Rounds of six hours of a stream that starts at a time; rounds that are still open at its end are not written."""
+    from tidemark.plans.misc_queries import log_stream
+    from tidemark.streaming import streams
+
+    ends = d.change_log(spark, sf).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    at = ends.select(F.date_trunc("second", F.timestamp_micros(F.expr("unix_micros(cast(a as timestamp)) + (unix_micros(cast(b as timestamp)) - unix_micros(cast(a as timestamp))) div 4"))).cast("timestamp_ntz").alias("t")).first()["t"]
+    x = streams.since(log_stream(spark, sf).where("op <> 'n'"), at)
+    return streams.run_once(streams.rounds(x, 360)).withColumn("round_start", F.col("round_start").cast("timestamp_ntz"))

@@ -13,6 +13,65 @@ def tail(spark: SparkSession, path: str, schema, files_per_trigger: int = 64) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def latest(log: DataFrame) -> tuple:
+    """(ts, seq) of the newest entry of a log that is no mark of idle time: where a stream that starts now begins. Nulls for an empty log."""
+    return tuple(log.where("op <> 'n'").agg(F.max(F.struct("ts", "seq")).alias("x")).select("x.ts", "x.seq").first())
+
+
+def since(log: DataFrame, ts, seq: int | None = None) -> DataFrame:
+    """The entries of a log or stream after a time, or after an entry (ts, seq); the time is a plain comparison, which reaches the scan."""
+    if seq is None:
+        return log.where(F.col("ts") > F.lit(ts))
+    return log.where((F.col("ts") >= F.lit(ts)) & ((F.col("ts") > F.lit(ts)) | (F.col("seq") > seq)))
+
+
+ROUND = "shard string, ns string, round_start timestamp, n long, bytes long"
+
+
+def rounds(log: DataFrame, minutes: int, late: str = "10 minutes") -> DataFrame:
+    """(shard, ns, round_start, n, bytes) of the rounds of a stream: counters by shard and namespace that are written and set to zero at each round's end.
+
+    The counters are state by key; a timer in event time fires once the watermark has passed the end of the oldest round that is open,
+    so a key that falls silent is written too. Entries that come after their round was written are dropped. Each task
+    sums its entries by key and round first, so a hot key sends one row a task and batch.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    width = minutes * 60
+
+    def partial(frames):
+        for pdf in frames:
+            g = pdf.groupby(["shard", "ns", "round"], as_index=False, dropna=False).agg(n=("size", "size"), bytes=("size", "sum"), at=("at", "max"))
+            yield g[["shard", "ns", "round", "n", "bytes", "at"]]
+
+    def step(key, frames, state):
+        held: dict[int, list[int]] = {}
+        if state.exists:
+            for r, n, b in zip(*state.get, strict=True):
+                held[r] = [n, b]
+        mark = state.getCurrentWatermarkMs()
+        for pdf in frames:
+            for r, n, b in zip(pdf["round"], pdf["n"], pdf["bytes"], strict=True):
+                if (r + width) * 1000 >= mark:
+                    x = held.setdefault(int(r), [0, 0])
+                    x[0] += int(n)
+                    x[1] += int(b)
+        over = sorted(r for r in held if (r + width) * 1000 < mark)
+        done = [(*key, pd.Timestamp(r, unit="s"), *held.pop(r)) for r in over]
+        if held:
+            state.update(([*held], [x[0] for x in held.values()], [x[1] for x in held.values()]))
+            state.setTimeoutTimestamp(max((min(held) + width) * 1000, mark + 1))
+        elif state.exists:
+            state.remove()
+        if done:
+            yield pd.DataFrame(done, columns=["shard", "ns", "round_start", "n", "bytes"])
+
+    x = log.select("shard", "ns", F.col("ts").cast("timestamp").alias("at"), F.col("size").cast("long").alias("size"), F.expr(f"unix_seconds(cast(ts as timestamp)) div {width} * {width}").alias("round")).where("at is not null")
+    x = x.mapInPandas(partial, "shard string, ns string, round long, n long, bytes long, at timestamp").withWatermark("at", late)
+    return x.groupBy("shard", "ns").applyInPandasWithState(step, ROUND, "rounds array<long>, n array<long>, bytes array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def windowed_stats(log: DataFrame, late: str = "10 minutes") -> DataFrame:
     """Counts and sizes by five-minute bucket, namespace and operation.
 
