@@ -181,6 +181,45 @@ def test_every_type_survives_a_round_trip():
                 bson.typed(broken)
 
 
+def test_export_forms():
+    import uuid
+
+    from tidemark.sources import bson
+
+    u = uuid.UUID("00112233-4455-6677-8899-aabbccddeeff")
+    import base64
+
+    binary = lambda raw, kind: {"$binary": {"base64": base64.b64encode(raw).decode(), "subType": kind}}
+    legacy = u.bytes[7::-1] + u.bytes[:7:-1]
+    doc = {
+        "l": {"$numberLong": "5"}, "i": 3, "x": 1.5, "nan": {"$numberDouble": "NaN"}, "d": {"$date": {"$numberLong": "1"}}, "e": {"$date": {"$numberLong": "-1000"}}, "o": {"$oid": "ab" * 12}, "n": {"$numberDecimal": "1.50"}, "y": {"$symbol": "s"},
+        "t": {"$timestamp": {"t": 7, "i": 2}}, "u4": binary(u.bytes, "04"), "u3": binary(legacy, "03"), "b": binary(b"ab", "00"), "m": {"$minKey": 1}, "a": [{"$numberLong": "6"}, {"k": {"$oid": "00"}}], "z": {}, "q": None,
+    }
+    assert bson.exported(doc) == {
+        "l": 5, "i": 3, "x": 1.5, "nan": {"$numberDouble": "NaN"}, "d": "1970-01-01T00:00:00.001Z", "e": "1969-12-31T23:59:59Z", "o": "ab" * 12, "n": "1.50", "y": "s",
+        "t": {"t": 7, "i": 2}, "u4": str(u), "u3": str(u), "b": "YWI=", "m": {"$minKey": 1}, "a": [6, {"k": "00"}], "z": {}, "q": None,
+    }
+
+
+def test_base32_of_all_lengths(spark):
+    import base64
+
+    from tidemark.functions import scalars
+
+    values = [bytes(range(200, 200 + n)) for n in range(12)] + [None, b"\x00", b"\xff" * 20]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v binary")
+    assert rows(df.select("i", scalars.base32("v").alias("x")), "i", "x") == [(i, None if v is None else base64.b32encode(v).decode()) for i, v in enumerate(values)]
+
+
+def test_order_of_reports_by_each_metric(spark):
+    from tidemark.operators import metrics
+
+    stats = spark.createDataFrame([("b", "s0", None, 5, 1), ("a", "s0", 10, None, 3), ("c", "s0", 10, 5, 2), ("c", "s1", 0, 1, 9)], "ns string, shard string, cache_bytes long, dirty_bytes long, data_bytes long")
+    order = lambda name: [(r["ns"], r["shard"]) for r in stats.orderBy(*metrics.sorted_by(stats, name)).collect()]
+    assert order("cacheMB") == order("what?") == [("a", "s0"), ("c", "s0"), ("b", "s0"), ("c", "s1")]
+    assert order("namespace")[0] == ("a", "s0") and order("DATAGB")[0] == ("c", "s1") and order("dirty%") == [("c", "s0"), ("a", "s0"), ("b", "s0"), ("c", "s1")]
+
+
 def test_ranges_find_the_same_documents(spark, tmp_path, monkeypatch):
     """Ranges of any size, with documents inside documents, long ones, and zeros and whole documents inside binary values."""
     import json

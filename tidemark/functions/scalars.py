@@ -1,4 +1,4 @@
-"""Scalar expressions; everything stays in the JVM except ``base32`` and ``query_shape``."""
+"""Scalar expressions; everything stays in the JVM except ``query_shape``."""
 
 from __future__ import annotations
 
@@ -47,11 +47,22 @@ def base64_url(raw) -> Column:
     return F.regexp_replace(F.translate(F.base64(c(raw)), "+/", "-_"), "=", "")
 
 
-@F.pandas_udf(StringType())
-def base32(raw: pd.Series) -> pd.Series:
-    import base64
+def base32(raw) -> Column:
+    """The bits of the bytes in fives, each a letter, filled up with ``=`` to eight."""
+    nibbles = F.regexp_extract_all(F.hex(c(raw)), F.lit("[0-9A-F]"), F.lit(0))
+    bits = F.array_join(F.transform(nibbles, lambda h: F.lpad(F.conv(h, 16, 2), 4, "0")), "")
+    fives = F.regexp_extract_all(F.rpad(bits, F.ceil(F.length(bits) / 5).cast("int") * 5, "0"), F.lit("[01]{5}"), F.lit(0))
+    letters = F.array_join(F.transform(fives, lambda f: F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.conv(f, 2, 10).cast("int") + 1, F.lit(1))), "")
+    return F.rpad(letters, F.ceil(F.length(letters) / 8).cast("int") * 8, "=")
+
+
+#: Fixed: seconds of a year, and years that expiry is put off while data moves.
+YEAR_SECONDS, EXTENDED_YEARS = 31_536_000, 50
+
 
-    return raw.map(lambda b: None if b is None else base64.b32encode(b).decode())
+def extended_ttl(seconds) -> Column:
+    """The expiry that an index gets while data moves: fifty years where it has one, null where it has none."""
+    return F.when(c(seconds).isNotNull(), F.lit(YEAR_SECONDS * EXTENDED_YEARS)).cast("long")
 
 
 def uuid_text(raw, legacy: bool = False) -> Column:

@@ -18,6 +18,39 @@ def index_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.select("ns", "name", kind.alias("diff_kind")).where("diff_kind is not null")
 
 
+def index_totals(a: DataFrame, b: DataFrame, namespaces: DataFrame) -> DataFrame:
+    """Per namespace of ``a``: its indexes, those that are equal, missing or differ (by expiry alone or otherwise), and whether ``namespaces`` (ns), what the other side has, lacks it; the indexes of such a namespace are all missing. A row without ns sums them up."""
+    diffs = index_diff(a, b).withColumnRenamed("diff_kind", "kind")
+    there = namespaces.select("ns").distinct().withColumn("_there", F.lit(True))
+    n = lambda kind: F.count_if(kind)
+    x = a.select("ns", "name").join(diffs, ["ns", "name"], "left").join(there, "ns", "left")
+    per = x.groupBy("ns").agg(
+        F.count(F.lit(1)).alias("indexes"), n(F.col("kind").isNull()).alias("equal"), n(F.col("kind") == "missing").alias("missing"), n(F.col("kind") == "ttl").alias("ttl_only"),
+        n(F.col("kind").isin("unique", "sparse", "other")).alias("other"), F.max(F.col("_there").isNull().cast("int")).cast("long").alias("missing_namespaces"),
+    )
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per.columns[1:]]
+    return per.unionByName(per.agg(*sums).withColumn("ns", F.lit(None).cast("string")))
+
+
+def count_totals(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(level, name, src, dst, delta, status) from counts (ns, docs): each collection of ``a``, each database of ``a``, and all.
+
+    Driven by the source: what the destination has alone does not appear; a database that it lacks is ``missing``, and its
+    collections and documents are in no sum. System databases and collections are left out.
+    """
+    user = lambda df: df.where(~is_system_db(ns_db("ns")) & ~F.col("ns").rlike(r"^[^.]*\.system\."))
+    dst = user(b).groupBy("ns").agg(F.sum("docs").alias("dst"))
+    dbs = b.select(ns_db("ns").alias("db")).distinct().withColumn("_there", F.lit(True))
+    x = user(a).groupBy("ns").agg(F.sum("docs").alias("src")).join(dst, "ns", "left").withColumn("db", ns_db("ns")).join(dbs, "db", "left")
+    here = F.col("_there").isNotNull()
+    x = x.select("db", "ns", "src", F.when(here, F.coalesce("dst", F.lit(0))).alias("dst"), here.alias("here"))
+    each = x.where("here").select(F.lit("collection").alias("level"), F.col("ns").alias("name"), "src", "dst")
+    per = x.groupBy("db").agg(F.sum("src").alias("src"), F.sum("dst").alias("dst")).select(F.lit("database").alias("level"), F.col("db").alias("name"), "src", "dst")
+    all_ = per.where("dst is not null").agg(F.coalesce(F.sum("src"), F.lit(0)).alias("src"), F.coalesce(F.sum("dst"), F.lit(0)).alias("dst")).select(F.lit("all").alias("level"), F.lit("ALL").alias("name"), "src", "dst")
+    status = F.when(F.col("dst").isNull(), "missing").when(F.col("src") == F.col("dst"), "match").otherwise("mismatch")
+    return each.unionByName(per).unionByName(all_).select("level", "name", "src", "dst", (F.col("src") - F.col("dst")).alias("delta"), status.alias("status"))
+
+
 def chunk_diff(a: DataFrame, b: DataFrame, shard_map: DataFrame) -> DataFrame:
     """Each chunk of ``a`` with the shard that the map expects it on and the one that ``b`` has it on."""
     x = mapped(a.select("chunk_id", F.col("shard").alias("expected_shard")), "expected_shard", shard_map).join(b.select("chunk_id", F.col("shard").alias("actual_shard")), "chunk_id", "left")

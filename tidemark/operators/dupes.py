@@ -49,10 +49,22 @@ def restore(df: DataFrame, rows: DataFrame, key: str) -> tuple[DataFrame, DataFr
     return df.unionByName(x.where(free).select(*df.columns)), x.where(~free).select(*rows.columns)
 
 
-def rejected_inserts(log: DataFrame) -> DataFrame:
-    """Inserts of an ordered log (id, op, ts, seq) whose id is there already: the last insert or deletion before was an insert."""
+def met_inserts(log: DataFrame) -> DataFrame:
+    """Inserts and deletions of an ordered log (id, op, ts, seq) with ``met``: whether an insert's id is there already, as the last insert or deletion before was an insert."""
     w = Window.partitionBy("id").orderBy("ts", "seq")
-    return log.where(F.col("op").isin("i", "d")).withColumn("_before", F.lag("op").over(w)).where("op = 'i' and _before = 'i'").drop("_before")
+    return log.where(F.col("op").isin("i", "d")).withColumn("met", (F.col("op") == "i") & F.lag("op").over(w).eqNullSafe("i"))
+
+
+def rejected_inserts(log: DataFrame) -> DataFrame:
+    """Inserts of an ordered log whose id is there already."""
+    return met_inserts(log).where("met").drop("met")
+
+
+def bulk_totals(log: DataFrame, batch: Column) -> DataFrame:
+    """What bulk writes of a log have done, by batch: rows inserted, modified and deleted, and inserts that met a key and were left out."""
+    ops = met_inserts(log).unionByName(log.where("op = 'u'").withColumn("met", F.lit(False)))
+    n = lambda cond, name: F.count_if(F.expr(cond)).alias(name)
+    return ops.groupBy(batch.alias("batch")).agg(n("op = 'i' and not met", "inserted"), n("op = 'u'", "modified"), n("op = 'd'", "deleted"), n("met", "duplicates"))
 
 
 def applied(log: DataFrame) -> DataFrame:

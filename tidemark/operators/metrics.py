@@ -38,6 +38,20 @@ def pivot_metrics(rows: DataFrame, names: list[str], shards: list[str]) -> DataF
     return p.select("ns", "metric", *[F.round(F.coalesce(s, F.lit(0.0)), 4).alias(s) for s in shards])
 
 
+#: Metrics of collections that a report can be sorted by, and the columns that they are computed from; all descend but the name.
+SORTS = {
+    "namespace": "coalesce(ns, '')", "cachemb": "cache_bytes", "dirtymb": "dirty_bytes", "datagb": "data_bytes", "idxgb": "index_bytes", "dirty%": "dirty_bytes / nullif(cache_bytes, 0)",
+    "idxdty%": "index_dirty_bytes / nullif(index_cache_bytes, 0)", "readmb": "read_bytes", "writmb": "written_bytes",
+}
+
+
+def sorted_by(stats: DataFrame, name: str) -> list[Column]:
+    """The order of a report by one of ``SORTS``, in any case; an unknown name sorts by the cache, missing values count as 0, ties go by ns and shard."""
+    kind = name.lower() if name.lower() in SORTS else "cachemb"
+    first = F.expr(SORTS[kind]).asc() if kind == "namespace" else F.coalesce(F.expr(f"double({SORTS[kind]})"), F.lit(0.0)).desc()
+    return [first, F.col("ns").asc_nulls_first(), F.col("shard").asc_nulls_first()]
+
+
 def eviction_notes(history_mb: int = 512) -> list[Column]:
     """One expression for each threshold of cache eviction, null where it is not crossed: from pct (dirty share), app, dirty
     and clean (pages evicted by applications, changed, unchanged), blocked and waits (evictions held up), history (MB)."""

@@ -151,6 +151,13 @@ def split_size(size, shards: int, most: int = 16793599, mega: int = 1 << 20) ->
     return F.when(share >= most, most).when(share < mega, 2 * mega).otherwise(share).cast("long")
 
 
+def uber_ids(ranges: DataFrame, key: str, small: int = 100, large: int = 300, many: int = 1000) -> DataFrame:
+    """Adds ``uber_id``: neighbouring ranges in the order of ``key`` share one, ``small`` of them each, or ``large`` from ``many`` ranges on."""
+    x = ranked(ranges, key)
+    step = F.when(F.col("total") >= many, large).otherwise(small)
+    return x.withColumn("uber_id", (F.floor((F.col("r") - 1) / step) + 1).cast("long")).drop("r", "total")
+
+
 def partition_plan(bounds: DataFrame) -> DataFrame:
     """(part_no, lo, hi, est_docs) from (tile, lo, hi, n): the last range is open. One row a partition, so one window."""
     w, whole = Window.orderBy("tile"), Window.partitionBy()

@@ -108,12 +108,21 @@ def dump_restore(spark, sf):
     )
 
 
+@query("""SELECT k, '{"_id": ' || k || ', "cust": ' || cust || ', "status": "' || status || '", "paid": {"cents": ' || cents || '}, "at": "' || day || 'T00:00:00Z", "tags": ["' || prio || '", null, true, {"$minKey": 1}]}' AS line FROM src""")
+def export_typed(spark, sf):
+    """Lines of an export from dump files: every type in the form that it is exported in."""
+    from tidemark.sources import dumps
+
+    x = dumps.export_lines(dumps.read_dump(spark, dumped(spark, sf), split=1 << 18))
+    return x.select(F.get_json_object("line", "$._id").cast("long").alias("k"), F.regexp_replace("line", ', "share": [^}]*', "").alias("line"))
+
+
 @query("SELECT CAST(count(*) AS BIGINT) AS docs, CAST(0 AS BIGINT) AS gaps, CAST(max(k) AS BIGINT) AS last FROM src")
 def dump_cover(spark, sf):
     """Documents found by tasks that start anywhere in a file, and places where they leave a gap or overlap."""
     from tidemark.sources import dumps
 
-    x = dumps.read_dump(spark, dumped(spark, sf), split=5000)
+    x = dumps.read_dump(spark, dumped(spark, sf), split=1 << 15)
     n = x.agg(F.count(F.lit(1)).alias("docs"), F.max(F.get_json_object("json", "$._id.$numberLong").cast("long")).alias("last"))
     return n.join(dumps.gaps(x).agg(F.count(F.lit(1)).alias("gaps")))
 

@@ -149,16 +149,15 @@ def corrupt_sink(spark, sf):
 @query("""SELECT i AS line, CASE i WHEN -1 THEN '<table><tr><th>db</th><th>ns</th><th>index</th><th>uses</th></tr>' ELSE '<tr><td>' || db || '</td><td>' || ns || '</td><td>' || replace(name, '&', '&amp;') || '</td><td>' || uses || '</td></tr>' END AS html FROM
     (SELECT row_number() OVER (ORDER BY ns, name) - 1 AS i, db, ns, name, primary_ops + secondary_ops AS uses FROM idx UNION ALL SELECT -1, NULL, NULL, NULL, NULL)""")
 def report_html(spark, sf):
-    """A health report as lines of HTML: index usage in order, text escaped. Reports are small, so one window numbers the lines."""
-    from pyspark.sql import Window
-
+    """A health report as lines of HTML: index usage in order, text escaped; line numbers come from counts of parts."""
     from tidemark.operators import metrics
+    from tidemark.operators.ranges import ranked
 
     u = metrics.index_usage(d.index_stats(spark, sf))
     safe = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     cells = [safe("db"), safe("ns"), safe("name"), (F.col("primary_ops") + F.col("secondary_ops")).cast("string")]
     line = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
-    body = u.select((F.row_number().over(Window.orderBy("ns", "name")) - 1).cast("long").alias("line"), line.alias("html"))
+    body = ranked(u.select(F.struct("ns", "name").alias("key"), line.alias("html")), "key").select((F.col("r") - 1).cast("long").alias("line"), "html")
     head = spark.range(1).select(F.lit(-1).cast("long").alias("line"), F.lit("<table><tr>" + "".join(f"<th>{h}</th>" for h in ("db", "ns", "index", "uses")) + "</tr>").alias("html"))
     return head.unionByName(body)
 
@@ -289,15 +288,16 @@ def scalar_numbers(spark, sf):
     )
 
 
-@query("""SELECT c_custkey AS id, md5(c_name) AS md5, lower(hex(crc)) AS crc, substr(replace(replace(replace(base64(c_name::BLOB), '+', '-'), '/', '_'), '=', ''), 1) AS url64, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'pydriver' ELSE 'pydriver 4.' || (c_custkey % 7) END AS driver,
-    CASE WHEN c_custkey % 3 = 0 THEN 'first' || c_custkey WHEN c_custkey % 3 = 1 THEN 'direct' || c_custkey END AS usr FROM (SELECT *, c_custkey AS crc FROM customer)""")
+@query("""SELECT c_custkey AS id, md5(c_name) AS md5, xor(list_reduce([4294967295::BIGINT] || [ascii(ch)::BIGINT FOR ch IN string_split(c_name, '')], lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) AS crc,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(list_reduce([CAST(ch AS INTEGER) FOR ch IN string_split(rpad(substr(bits, i * 5 + 1, 5), 5, '0'), '')], lambda a, b: a * 2 + b) AS INTEGER) + 1, 1) FOR i IN range(CAST(ceil(length(bits) / 5) AS BIGINT))], '') AS b32, substr(replace(replace(replace(base64(c_name::BLOB), '+', '-'), '/', '_'), '=', ''), 1) AS url64, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'pydriver' ELSE 'pydriver 4.' || (c_custkey % 7) END AS driver,
+    CASE WHEN c_custkey % 3 = 0 THEN 'first' || c_custkey WHEN c_custkey % 3 = 1 THEN 'direct' || c_custkey END AS usr FROM (SELECT *, array_to_string([lpad(bin(ascii(ch)), 8, '0') FOR ch IN string_split(c_name, '')], '') AS bits FROM customer)""")
 def scalar_sessions(spark, sf):
     """Codes of names, the driver of a session from nested metadata, and its user: the first effective one or the one named."""
     k, n = F.col("c_custkey"), F.col("c_name")
     driver = F.struct(F.struct(F.when(k % 5 != 0, "pydriver").alias("name"), F.when(k % 5 > 1, F.concat(F.lit("4."), k % 7)).alias("version")).alias("driver"))
     users = F.when(k % 3 == 0, F.array(F.struct(F.concat(F.lit("first"), k).alias("user")), F.struct(F.lit("second").alias("user"))))
     session = F.struct(users.alias("effectiveUsers"), F.when(k % 3 != 2, F.concat(F.lit("direct"), k)).alias("user"))
-    return load(spark, sf, "customer").select(k.alias("id"), F.md5(n).alias("md5"), F.lower(F.hex(k)).alias("crc"), s.base64_url(n.cast("binary")).alias("url64"), s.driver_text(F.to_json(driver)).alias("driver"), s.first_user(F.to_json(session)).alias("usr"))
+    return load(spark, sf, "customer").select(k.alias("id"), F.md5(n).alias("md5"), F.crc32(n.cast("binary")).alias("crc"), F.rtrim(s.base32(n.cast("binary")), F.lit("=")).alias("b32"), s.base64_url(n.cast("binary")).alias("url64"), s.driver_text(F.to_json(driver)).alias("driver"), s.first_user(F.to_json(session)).alias("usr"))
 
 
 @query("""SELECT r.id, CASE WHEN id = 0 THEN -4611686018427387904 + (hi >> 1) WHEN hi IS NULL THEN (lo >> 1) + 4611686018427387903 + ((lo & 1) + 1 >> 1) ELSE lo + (hi - lo) // 2 END AS middle, CASE WHEN id % 3 = 0 THEN NULL ELSE CAST(id * 7 AS BIGINT) END AS minutes,
@@ -390,6 +390,13 @@ def stream_stats(spark, sf):
     return streams.run_once(streams.windowed_stats(x), mode="complete")
 
 
+@query("""SELECT * FROM (SELECT date_trunc('minute', ts) + to_minutes((65 - minute(ts)) % 5) AS bucket, shard, ns, op, CAST(count(*) AS BIGINT) AS count, min(size) AS min_size, max(size) AS max_size, CAST(sum(size) AS BIGINT) AS total_size
+    FROM log WHERE op <> 'n' GROUP BY ALL) WHERE bucket + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM log WHERE op <> 'n')""")
+def stream_windows(spark, sf):
+    """The same windows in append mode: those that the watermark has passed, each written once."""
+    return streams.run_once(streams.windowed_stats(log_stream(spark, sf).where("op <> 'n'")))
+
+
 @query("""SELECT id, op AS last_op, value FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, seq DESC) AS rn FROM log WHERE op IN ('i', 'u', 'd') AND ns NOT LIKE 'config.%' AND ns NOT LIKE 'admin.%') WHERE rn = 1 AND op <> 'd'""")
 def stream_compact(spark, sf):
     x = log_stream(spark, sf).where(~F.col("ns").startswith("config.") & ~F.col("ns").startswith("admin."))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import is_system_db, ns_db
 from tidemark.operators import catalogs, metrics
 from tidemark.operators.small import small
-from tidemark.plans.base import query
+from tidemark.plans.base import query, with_inputs
 from tidemark.sources import derived as d
 from tidemark.sources.tables import load
 
@@ -107,10 +107,11 @@ def ns_stats_each(spark, sf):
     return listed.join(got, ["ns", "shard"], "left").fillna(0, ["ops", "bytes"])
 
 
-@query("SELECT entity, shard, max(ts) AS ts, CAST(max(counter) AS BIGINT) AS counter, CAST(count(*) AS BIGINT) AS samples FROM snap GROUP BY entity, shard")
+@query("""SELECT entity, shard, ts, CAST(counter % 50000 AS BIGINT) AS counter, samples FROM (SELECT *, row_number() OVER (PARTITION BY entity, shard ORDER BY ts DESC, seq DESC) AS rn, count(*) OVER (PARTITION BY entity, shard) AS samples FROM snap) WHERE rn = 1""")
 def server_counters(spark, sf):
-    """Each entity's newest counter, and how often it was read."""
-    return d.snapshots(spark, sf).groupBy("entity", "shard").agg(F.max("ts").alias("ts"), F.max("counter").alias("counter"), F.count(F.lit(1)).alias("samples"))
+    """Each entity's newest counter, which may be less than older ones as counters start anew with their server, and how often it was read."""
+    x = d.snapshots(spark, sf).withColumn("counter", F.col("counter") % 50_000)
+    return x.groupBy("entity", "shard").agg(F.max("ts").alias("ts"), F.max_by("counter", F.struct("ts", "seq")).alias("counter"), F.count(F.lit(1)).alias("samples"))
 
 
 @query("SELECT id, app, usr, op, secs FROM sess WHERE active AND op <> 'command' AND secs >= 100 AND app <> 'MACHINERY'")
@@ -261,10 +262,13 @@ def shardkey_diff(spark, sf):
     return a.join(b, "ns").where("src_key <> dst_key")
 
 
-@query("SELECT r.ns, r.id, c.uuid, r.lo, r.shard FROM ranges r JOIN (SELECT 'db.orders' AS ns, md5('orders') AS uuid) c ON r.ns = c.ns WHERE r.shard <> 'shard9'")
+@query("SELECT c.ns, p_partkey AS id, c.uuid, p_size AS lo, 'shard' || (p_partkey % 3) AS shard FROM part JOIN (SELECT DISTINCT ns, uuid FROM colls) c ON c.uuid = md5('n' || (p_partkey % 31)) WHERE p_partkey % 3 <> 2")
 def chunk_catalog_join(spark, sf):
-    colls = spark.createDataFrame([("db.orders",)], "ns string").withColumn("uuid", F.md5(F.lit("orders")))
-    return d.ranges(spark, sf).where("shard <> 'shard9'").join(small(colls), "ns").select("ns", "id", "uuid", "lo", "shard").orderBy("ns", "lo")
+    """Chunks of one shard fewer with the namespace of their collection, which is looked up by its identifier; chunks of unknown collections go."""
+    p = F.col("p_partkey")
+    chunks = load(spark, sf, "part").select(p.alias("id"), F.md5(F.concat(F.lit("n"), p % 31)).alias("uuid"), F.col("p_size").alias("lo"), F.concat(F.lit("shard"), p % 3).alias("shard"))
+    colls = d.collections(spark, sf).select("ns", "uuid").distinct()
+    return chunks.where("shard <> 'shard2'").join(colls, "uuid").select("ns", "id", "uuid", "lo", "shard").orderBy("ns", "lo", "id")
 
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -381,12 +385,13 @@ def copy_progress(spark, sf):
     return s.join(x, "ns", "left").select("ns", F.col("s.n").alias("total"), n.alias("copied"), F.round(100.0 * n / F.col("s.n"), 4).alias("pct"), (F.col("s.days") - F.coalesce("x.days", F.lit(0))).cast("long").alias("lag_days"))
 
 
-@query("""SELECT seq // 1000 AS batch, CAST(count(*) FILTER (op = 'i') AS BIGINT) AS inserted, CAST(count(*) FILTER (op = 'u') AS BIGINT) AS modified, CAST(count(*) FILTER (op = 'd') AS BIGINT) AS deleted, CAST(count(*) FILTER (op = 'i' AND seq % 50 = 0) AS BIGINT) AS duplicates FROM log WHERE op IN ('i', 'u', 'd') GROUP BY 1""")
+@query("""SELECT seq // 1000 AS batch, CAST(count(*) FILTER (op = 'i' AND NOT met) AS BIGINT) AS inserted, CAST(count(*) FILTER (op = 'u') AS BIGINT) AS modified, CAST(count(*) FILTER (op = 'd') AS BIGINT) AS deleted, CAST(count(*) FILTER (met) AS BIGINT) AS duplicates
+    FROM (SELECT seq, op, op = 'i' AND last_value(CASE WHEN op <> 'u' THEN op END IGNORE NULLS) OVER (PARTITION BY id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS NOT DISTINCT FROM 'i' AS met FROM log WHERE op IN ('i', 'u', 'd')) GROUP BY 1""")
 def bulk_totals(spark, sf):
-    """What bulk writes have done, summed by batch; inserts that met a key count as duplicates too."""
-    n = lambda c, name: F.count_if(c).alias(name)
-    op = F.col("op")
-    return d.change_log(spark, sf).where(op.isin("i", "u", "d")).groupBy(F.floor(F.col("seq") / 1000).alias("batch")).agg(n(op == "i", "inserted"), n(op == "u", "modified"), n(op == "d", "deleted"), n((op == "i") & (F.col("seq") % 50 == 0), "duplicates"))
+    """What bulk writes have done, summed by batch; inserts that met a key are left out and counted as duplicates."""
+    from tidemark.operators import dupes
+
+    return dupes.bulk_totals(d.change_log(spark, sf), F.floor(F.col("seq") / 1000))
 
 
 @query("SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem")
@@ -462,3 +467,65 @@ def ns_regex_filter(spark, sf):
 @query("SELECT ns, shard, uuid FROM colls WHERE split_part(ns, '.', 1) IN ('db1', 'db3')")
 def filter_by_db(spark, sf):
     return d.collections(spark, sf).where(F.split("ns", r"\.")[0].isin("db1", "db3"))
+
+
+# --- totals ---
+
+
+@query("""SELECT coalesce(x.ns, NULL) AS ns, CAST(count(*) AS BIGINT) AS indexes, CAST(count(*) FILTER (kind IS NULL) AS BIGINT) AS equal, CAST(count(*) FILTER (kind = 'missing') AS BIGINT) AS missing, CAST(count(*) FILTER (kind = 'ttl') AS BIGINT) AS ttl_only,
+    CAST(count(*) FILTER (kind = 'other') AS BIGINT) AS other, CAST(count(DISTINCT CASE WHEN NOT there THEN x.ns END) AS BIGINT) AS missing_namespaces FROM
+    (SELECT a.ns, a.ns <> 'Brand#2' AS there, CASE WHEN a.ns = 'Brand#2' OR a.ns = 'Brand#6' AND a.name = 'LARGE' THEN 'missing' WHEN a.uniq <> b.uniq OR a.sparse <> b.sparse THEN 'other' WHEN a.ttl IS DISTINCT FROM b.ttl THEN 'ttl' END AS kind
+      FROM ispec_a a LEFT JOIN ispec_b b USING (ns, name, key)) x GROUP BY ROLLUP (x.ns)""")
+def index_totals(spark, sf):
+    """How many indexes of each namespace are equal, missing or differ, namespaces that are missing altogether, and all in all."""
+    a, b = d.index_specs(spark, sf)
+    b = b.where("ns <> 'Brand#2'")
+    return catalogs.index_totals(a, b, b)
+
+
+NS_COUNTS = """WITH a AS (SELECT CASE k % 7 WHEN 5 THEN 'admin' WHEN 6 THEN 'db6' ELSE 'db' || (k % 7) END || CASE WHEN k % 11 = 0 THEN '.system.views' ELSE '.c' || (k % 3) END AS ns, count(*) AS src FROM src GROUP BY 1),
+    b AS (SELECT CASE k % 7 WHEN 5 THEN 'admin' ELSE 'db' || (k % 7) END || CASE WHEN k % 11 = 0 THEN '.system.views' ELSE '.c' || (k % 3) END AS ns, count(*) AS dst FROM dst WHERE k % 7 <> 6 AND NOT (k % 7 = 3 AND k % 3 = 1) GROUP BY 1),
+    x AS (SELECT split_part(a.ns, '.', 1) AS db, a.ns, src, CASE WHEN a.ns NOT LIKE 'db6.%' THEN coalesce(dst, 0) END AS dst FROM a LEFT JOIN b ON a.ns = b.ns WHERE a.ns NOT LIKE 'admin.%' AND a.ns NOT LIKE '%.system.%'),
+    y AS (SELECT 'collection' AS level, ns AS name, src, dst FROM x WHERE dst IS NOT NULL UNION ALL SELECT 'database', db, sum(src), sum(dst) FROM x GROUP BY db UNION ALL SELECT 'all', 'ALL', sum(src), sum(dst) FROM x WHERE dst IS NOT NULL)
+    SELECT level, name, CAST(src AS BIGINT) AS src, CAST(dst AS BIGINT) AS dst, CAST(src - dst AS BIGINT) AS delta, CASE WHEN dst IS NULL THEN 'missing' WHEN src = dst THEN 'match' ELSE 'mismatch' END AS status FROM y"""
+
+
+@query(NS_COUNTS)
+def count_totals(spark, sf):
+    """Documents of each collection and database on both sides; one database is missing, one collection too."""
+    k = F.col("k")
+    ns = F.concat(F.when(k % 7 == 5, "admin").otherwise(F.concat(F.lit("db"), k % 7)), F.when(k % 11 == 0, ".system.views").otherwise(F.concat(F.lit(".c"), k % 3)))
+    of = lambda df: df.groupBy(ns.alias("ns")).agg(F.count(F.lit(1)).alias("docs"))
+    return catalogs.count_totals(of(d.source(spark, sf)), of(d.dest(spark, sf).where("k % 7 <> 6 and not (k % 7 = 3 and k % 3 = 1)")))
+
+
+NINE = ("namespace", "cacheMB", "dirtyMB", "dataGB", "idxGB", "dirty%", "idxDty%", "readMB", "writMB", "other")
+NINE_SQL = {"namespace": None, "cacheMB": "cache", "dirtyMB": "dirty", "dataGB": "data", "idxGB": "idx", "dirty%": "dirty / nullif(cache, 0)", "idxDty%": "idirty / nullif(icache, 0)", "readMB": "rd", "writMB": "wr", "other": "cache"}
+NINE_STATS = """SELECT ns, shard, CAST(sum(size) AS DOUBLE) AS cache, CAST(sum(size) FILTER (seq % 3 = 0) AS DOUBLE) AS dirty, CAST(sum(seq) AS DOUBLE) AS data, CAST(sum(seq) FILTER (seq % 5 = 0) AS DOUBLE) AS idx,
+    CAST(sum(size) FILTER (seq % 7 = 0) AS DOUBLE) AS icache, CAST(sum(size) FILTER (seq % 21 = 0) AS DOUBLE) AS idirty, CAST(sum(size) FILTER (op = 'u') AS DOUBLE) AS rd, CAST(sum(size) FILTER (op = 'i') AS DOUBLE) AS wr FROM log GROUP BY ns, shard"""
+
+
+@query(f"SELECT * FROM (WITH s AS ({with_inputs(NINE_STATS)}) " + " UNION ALL ".join(f"(SELECT '{n}' AS sort, ns, shard, CAST(row_number() OVER (ORDER BY {'ns' if NINE_SQL[n] is None else f'coalesce({NINE_SQL[n]}, 0) DESC'}, ns, shard) AS INTEGER) AS rn FROM s QUALIFY rn <= 4)" for n in NINE) + ")")
+def topn_each_metric(spark, sf):
+    """The first four collections by each of the nine metrics, and by a name that is none."""
+    log, size, seq = d.change_log(spark, sf), F.col("size"), F.col("seq")
+    some = lambda x, cond, name: F.sum(F.when(F.expr(cond), x)).alias(name)
+    stats = log.groupBy("ns", "shard").agg(
+        F.sum(size).alias("cache_bytes"), some(size, "seq % 3 = 0", "dirty_bytes"), F.sum(seq).alias("data_bytes"), some(seq, "seq % 5 = 0", "index_bytes"),
+        some(size, "seq % 7 = 0", "index_cache_bytes"), some(size, "seq % 21 = 0", "index_dirty_bytes"), some(size, "op = 'u'", "read_bytes"), some(size, "op = 'i'", "written_bytes"),
+    )
+    out = None
+    for name in NINE:
+        top = stats.orderBy(*metrics.sorted_by(stats, name)).limit(4)
+        one = top.select(F.lit(name).alias("sort"), "ns", "shard", F.row_number().over(Window.orderBy(*metrics.sorted_by(top, name))).alias("rn"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("SELECT ns, name, CAST(CASE WHEN ttl IS NOT NULL THEN 1576800000 END AS BIGINT) AS ttl, CASE WHEN ttl IS NOT NULL THEN 'PT438000H' END AS shown FROM ispec_a WHERE ttl IS NOT NULL")
+def ttl_extend(spark, sf):
+    """Expiring indexes with the fifty years that they get while data moves."""
+    from tidemark.functions import scalars as s
+
+    x = d.index_specs(spark, sf)[0].where("ttl is not null").select("ns", "name", s.extended_ttl("ttl").alias("ttl"))
+    return x.withColumn("shown", s.ttl_text("ttl"))

@@ -314,11 +314,10 @@ def range_pairs(spark, sf):
     return ranges.neighbours(d.ranges(spark, sf).select(F.col("lo").alias("b")), "b")
 
 
-@query("SELECT s_suppkey AS id, CAST((row_number() OVER (PARTITION BY s_nationkey % 3 ORDER BY s_suppkey) - 1) // 10 + 1 AS BIGINT) AS uber_id, 'ns' || (s_nationkey % 3) AS ns FROM supplier")
+@query("SELECT p_partkey AS id, CAST((row_number() OVER (ORDER BY p_partkey) - 1) // (SELECT CASE WHEN count(*) >= 1000 THEN 300 ELSE 100 END FROM part) + 1 AS BIGINT) AS uber_id FROM part")
 def uber_id(spark, sf):
-    ns = F.concat(F.lit("ns"), F.col("s_nationkey") % 3)
-    rn = F.row_number().over(Window.partitionBy("ns").orderBy("s_suppkey"))
-    return load(spark, sf, "supplier").withColumn("ns", ns).select(F.col("s_suppkey").alias("id"), (F.floor((rn - 1) / 10) + 1).cast("long").alias("uber_id"), "ns")
+    """Numbers that neighbouring ranges share: a hundred each, or three hundred from a thousand ranges on."""
+    return ranges.uber_ids(load(spark, sf, "part").select(F.col("p_partkey").alias("id")), "id")
 
 
 @query("SELECT id, 'target' || (id % 5) AS target FROM (SELECT row_number() OVER (ORDER BY lo) - 1 AS rn, id FROM ranges)")

@@ -266,3 +266,44 @@ def millis(x) -> int:
     at = dt.datetime.fromisoformat(x.replace("Z", "+00:00"))
     at = at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
     return (at - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(milliseconds=1)
+
+
+# --- export form ---
+
+
+def java_legacy_uuid(raw: bytes) -> str:
+    """The text of a UUID whose halves were stored with their bytes in reverse."""
+    return str(uuid.UUID(bytes=raw[7::-1] + raw[:7:-1]))
+
+
+def iso_text(ms: int) -> str:
+    """UTC time without a fraction where it has none."""
+    at = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=ms)
+    return at.isoformat(timespec="milliseconds" if ms % 1000 else "seconds") + "Z"
+
+
+def exported(v):
+    """Values of extended JSON as an export writes them: numbers plain, identifiers, decimals, times, symbols and binary values as text, UUIDs in their own form."""
+    if isinstance(v, list):
+        return [exported(x) for x in v]
+    if not isinstance(v, dict):
+        return v
+    name = next(iter(v), "")
+    x = v.get(name)
+    match name:
+        case "$numberInt" | "$numberLong":
+            return int(x)
+        case "$date":
+            return iso_text(millis(x))
+        case "$oid" | "$numberDecimal" | "$symbol" | "$uuid":
+            return x
+        case "$timestamp":
+            return {"t": x["t"], "i": x["i"]}
+        case "$binary":
+            raw, kind = base64.b64decode(x["base64"]), int(x["subType"], 16)
+            if kind in (3, 4) and len(raw) == 16:
+                return str(uuid.UUID(bytes=raw)) if kind == 4 else java_legacy_uuid(raw)
+            return x["base64"]
+    if name.startswith("$"):
+        return v
+    return {k: exported(y) for k, y in v.items()}

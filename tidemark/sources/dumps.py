@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -232,6 +233,16 @@ def write_dump(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select("json").write.format("dump").mode(mode).save(path)
 
 
+def export_lines(docs: DataFrame, column: str = "json") -> DataFrame:
+    """``docs`` with extended JSON turned into the lines of an export, in column ``line``; a null stays null."""
+
+    @F.pandas_udf("string")
+    def line(values: pd.Series) -> pd.Series:
+        return values.map(lambda t: None if t is None else json.dumps(bson.exported(json.loads(t)), ensure_ascii=False, separators=(", ", ": ")))
+
+    return docs.withColumn("line", line(column))
+
+
 def gaps(dump: DataFrame) -> DataFrame:
     """(path, at) of places where the documents of a file leave a gap or overlap, or where it ends early; empty if all is well.
 
