@@ -184,12 +184,12 @@ def gen_sql() -> str:
         lambda i: f"upper(substr(sha256('{i}-' || id), 1, 2 * (16 + {word(i, 1)} % 16)))",
         lambda i: f"{word(i, 5)} % 2 = 0",
     )
-    return "SELECT CAST(id AS BIGINT) AS doc_id, " + ", ".join(f"{kinds[i % 6](i)} AS field_{i}" for i in range(12)) + " FROM (SELECT unnest(range(1000)) AS id)"
+    return "SELECT CAST(id AS BIGINT) AS doc_id, " + ", ".join(f"{kinds[i % 6](i)} AS field_{i}" for i in range(12)) + " FROM (SELECT o_orderkey AS id FROM orders)"
 
 
 @query(gen_sql())
 def gen_rows(spark, sf):
-    """Synthetic rows: the type of field i is i mod 6 (id, uuid, time, text, bytes as hex, flag)."""
+    """A synthetic row for each key of orders: the type of field i is i mod 6 (id, uuid, time, text, bytes as hex, flag)."""
     h = lambda i: F.md5(F.concat(F.lit(f"{i}-"), F.col("id").cast("string")))
     word = lambda i, at: F.conv(F.substring(h(i), at, 4), 16, 10).cast("int")
     kinds = (
@@ -200,22 +200,27 @@ def gen_rows(spark, sf):
         lambda i: F.upper(F.substring(F.sha2(F.concat(F.lit(f"{i}-"), F.col("id").cast("string")), 256), F.lit(1), 2 * (16 + word(i, 1) % 16))),
         lambda i: word(i, 5) % 2 == 0,
     )
-    return spark.range(1000).select(F.col("id").alias("doc_id"), *[kinds[i % 6](i).alias(f"field_{i}") for i in range(12)])
+    return load(spark, sf, "orders").select(F.col("o_orderkey").alias("id")).select(F.col("id").alias("doc_id"), *[kinds[i % 6](i).alias(f"field_{i}") for i in range(12)])
 
 
-@query("""SELECT CASE WHEN i >= 10000 THEN 'id' || ((i - 10000) * 100) ELSE 'id' || i END AS _id, CAST(CASE WHEN i >= 10000 THEN (i - 10000) * 100 ELSE i END % 97 AS BIGINT) AS x, CASE WHEN i >= 10000 THEN (i - 10000) * 100 ELSE i END * 1.5::DOUBLE AS score,
-    CASE WHEN i >= 10000 THEN (i - 10000) * 100 ELSE i END % 2 = 0 AS is_active, CASE WHEN i >= 10000 THEN true END AS is_duplicate FROM (SELECT unnest(range(10100)) AS i)""")
+@query("""SELECT 'id' || k AS _id, k % 97 AS x, k * 1.5::DOUBLE AS score, k % 2 = 0 AS is_active, dup AS is_duplicate FROM (SELECT c_custkey AS k, NULL::BOOLEAN AS dup FROM customer UNION ALL SELECT c_custkey, true FROM customer WHERE c_custkey % 100 = 0)""")
 def gen_dupes(spark, sf):
-    """Ten thousand rows and one in a hundred of them once more."""
-    base = spark.range(10000)
-    n = F.col("id")
+    """A synthetic row for each customer, and for one in a hundred of them once more."""
+    base, n = load(spark, sf, "customer").select(F.col("c_custkey").alias("id")), F.col("id")
     row = lambda df, dup: df.select(F.concat(F.lit("id"), n).alias("_id"), (n % 97).alias("x"), (n * 1.5).cast("double").alias("score"), (n % 2 == 0).alias("is_active"), dup.alias("is_duplicate"))
     return row(base, F.lit(None).cast("boolean")).unionByName(row(base.where("id % 100 = 0"), F.lit(True)))
 
 
 # --- schemas and shapes ---
 
-TYPES = {"bigint": "long", "int": "int", "double": "double", "string": "string", "timestamp_ntz": "DateTime", "timestamp": "DateTime", "boolean": "bool", "binary": "byte[]", "date": "DateTime"}
+#: Fixed names of types in emitted classes; all others are strings.
+TYPES = {"long": "long", "int": "int", "double": "double", "date": "DateTime", "bool": "bool", "binary": "byte[]"}
+
+
+def typed_json(df):
+    """Rows as extended JSON objects that keep the types of their columns; nulls are left out."""
+    of = {"bigint": lambda c: F.struct(c.cast("string").alias("$numberLong")), "timestamp_ntz": lambda c: F.struct(s.iso_utc(c).alias("$date"))}
+    return F.to_json(F.struct(*[F.when(F.col(f"`{n}`").isNotNull(), of[t](F.col(f"`{n}`")) if t in of else F.col(f"`{n}`")).alias(n) for n, t in df.dtypes]))
 
 
 KINDS = "CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'DateTime' WHEN 'DATE' THEN 'DateTime' WHEN 'BOOLEAN' THEN 'bool' WHEN 'BLOB' THEN 'byte[]' ELSE 'string' END"
@@ -224,13 +229,19 @@ EMITTED = ("events", "orders", "documents", "labels")
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS class, column_name AS field, {KINDS} AS type, '    public ' || {KINDS} || ' ' || upper(column_name[1]) || column_name[2:] || ' {{ get; set; }}' AS line FROM (DESCRIBE {t})" for t in EMITTED))
 def schema_emit(spark, sf):
-    """Class fields for the columns of tables, and the line of source that declares each; unknown types are strings."""
-    rows = []
+    """Class fields for what the rows of tables hold, and the line of source that declares each; the type that a field had last counts, unknown types are strings."""
+    from functools import reduce
+
+    from tidemark.operators.profile import schema_profile as profile
+
+    kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv]), "last_type"), F.lit("string"))
+    each = []
     for t in EMITTED:
-        for f in load(spark, sf, t).schema:
-            kind = TYPES.get(f.dataType.simpleString(), "string")
-            rows.append((t, f.name, kind, f"    public {kind} {f.name[0].upper()}{f.name[1:]} {{ get; set; }}"))
-    return spark.createDataFrame(rows, "class string, field string, type string, line string")
+        df = load(spark, sf, t)
+        found = profile(df.select(typed_json(df).alias("doc"), F.monotonically_increasing_id().alias("at")), "doc", "at")
+        each.append(found.select(F.lit(t).alias("class"), F.col("path").alias("field"), kind.alias("type")))
+    line = F.concat(F.lit("    public "), "type", F.lit(" "), F.upper(F.substring("field", 1, 1)), F.expr("substring(field, 2)"), F.lit(" { get; set; }"))
+    return reduce(lambda a, b: a.unionByName(b), each).withColumn("line", line)
 
 
 @query("""SELECT 'k' AS key, 'integer' AS type, CAST(count(*) AS BIGINT) AS n, max(event_id) AS last FROM events UNION ALL SELECT 'tag', CASE WHEN (SELECT max(event_id) FROM events WHERE event_id % 3 = 0) % 2 = 0 THEN 'string' ELSE 'boolean' END, CAST(count(*) AS BIGINT), max(event_id) FROM events WHERE event_id % 3 = 0""")
@@ -364,11 +375,22 @@ def users_scan(spark, sf):
     return g.orderBy("db", "usr")
 
 
-@query("SELECT CAST(n AS INTEGER) AS attempt, CASE WHEN n + 1 < 5 THEN CAST(sum(2 ** n + 10) OVER (ORDER BY n) AS BIGINT) END AS next_at FROM (SELECT unnest(range(5)) AS n)")
+@query("""SELECT event_id AS seq, CAST(event_id % 6 AS INTEGER) AS attempt, CASE WHEN event_id % 6 + 1 < 5 THEN ts + to_seconds(CAST(2 ** (event_id % 6 + 1) - 1 + 10 * (event_id % 6 + 1) AS BIGINT)) END AS next_at FROM events WHERE event_type = 'error'""")
 def retry_schedule(spark, sf):
-    """Seconds from the start at which each try follows: two to the power of the try, and ten."""
+    """When failed operations are tried again: each try waits two to the power of its number, and ten seconds; after five there is no other."""
     wait = F.aggregate(F.sequence(F.lit(0), F.col("attempt")), F.lit(0).cast("long"), lambda acc, n: acc + F.pow(F.lit(2), n).cast("long") + 10)
-    return spark.range(5).select(F.col("id").cast("int").alias("attempt")).withColumn("next_at", F.when(F.col("attempt") + 1 < 5, wait))
+    x = load(spark, sf, "events").where("event_type = 'error'").select(F.col("event_id").alias("seq"), (F.col("event_id") % 6).cast("int").alias("attempt"), "ts")
+    return x.select("seq", "attempt", F.when(F.col("attempt") + 1 < 5, F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + wait * 1_000_000).cast("timestamp_ntz")).alias("next_at"))
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN h >= 9223372036854775808 THEN CAST(h - 18446744073709551616 AS BIGINT) ELSE CAST(h AS BIGINT) END AS hash64, u[:8] || '-' || u[9:12] || '-' || u[13:16] || '-' || u[17:20] || '-' || u[21:32] AS standard,
+    u[7:8] || u[5:6] || u[3:4] || u[1:2] || '-' || u[11:12] || u[9:10] || '-' || u[15:16] || u[13:14] || '-' || u[17:20] || '-' || u[21:32] AS legacy,
+    CASE c_custkey % 6 WHEN 5 THEN NULL ELSE c_custkey * 1024 ** (c_custkey % 6)::BIGINT END::BIGINT AS bytes FROM (SELECT *, md5(c_name) AS u, CAST('0x' || substr(md5(c_name), 1, 16) AS UBIGINT)::HUGEINT AS h FROM customer)""")
+def scalar_ids(spark, sf):
+    """64-bit hashes of text, 16 bytes as identifiers in both byte orders, sizes in all units as bytes (text of no size is null)."""
+    k, raw = F.col("c_custkey"), F.unhex(F.md5("c_name"))
+    size = F.concat(k.cast("string"), F.element_at(F.array(*map(F.lit, ("B", "KB", " MB", "gb ", "T", "XB"))), (k % 6 + 1).cast("int")))
+    return load(spark, sf, "customer").select(k.alias("id"), s.hash64("c_name").alias("hash64"), s.uuid_text(raw).alias("standard"), s.uuid_text(raw, legacy=True).alias("legacy"), s.parse_bytes(size).alias("bytes"))
 
 
 # --- streams ---

@@ -300,11 +300,11 @@ def catalog_totals(spark, sf):
     return catalogs.catalog_totals(entries)
 
 
-@query("""SELECT 'position' AS mode, 'a' || i AS source, 'b' || i AS target FROM (SELECT unnest(range(3)) AS i) UNION ALL SELECT 'explicit', 'a' || i, CASE WHEN i < 2 THEN 'b0' ELSE 'b2' END FROM (SELECT unnest(range(3)) AS i)
-    UNION ALL SELECT 'spread', 'c' || i, 'b' || (i % 3) FROM (SELECT unnest(range(7)) AS i)""")
+@query("""SELECT DISTINCT 'position' AS mode, 'a' || s_suppkey % 3 AS source, 'b' || s_suppkey % 3 AS target FROM supplier UNION ALL SELECT DISTINCT 'explicit', 'a' || s_suppkey % 3, CASE WHEN s_suppkey % 3 < 2 THEN 'b0' ELSE 'b2' END FROM supplier
+    UNION ALL SELECT DISTINCT 'spread', 'c' || s_suppkey % 7, 'b' || (s_suppkey % 7 % 3) FROM supplier""")
 def shard_maps(spark, sf):
-    """The three ways to map shards: by position, by a list of entries, dealt in turn."""
-    names = lambda prefix, n: spark.range(n).select(F.concat(F.lit(prefix), "id").alias("shard"))
+    """The three ways to map the shards that suppliers lie on: by position, by a list of entries, dealt in turn."""
+    names = lambda prefix, n: load(spark, sf, "supplier").select(F.concat(F.lit(prefix), F.col("s_suppkey") % n).alias("shard")).distinct()
     tag = lambda df, mode: df.select(F.lit(mode).alias("mode"), "source", "target")
     a, b, c = names("a", 3), names("b", 3), names("c", 7)
     return tag(catalogs.shard_map(a, b), "position").unionByName(tag(catalogs.shard_map(a, b, explicit=["a0|b0", "a1|b0", "a2|b2"]), "explicit")).unionByName(tag(catalogs.shard_map(c, b, spread=True), "spread"))
@@ -331,21 +331,25 @@ def key_patterns(spark, sf):
     return load(spark, sf, "part").select(k.alias("id"), normal_key(written).alias("key"), (normal_key(written) == normal_key(rendered)).alias("same"))
 
 
-@query("""SELECT 'Brand#' || i AS ns, CASE WHEN i % 3 = 0 THEN 'ab_1' WHEN i % 3 = 1 THEN 'a_1' ELSE 'abc_1' END AS name FROM (SELECT unnest(range(1, 7)) AS i)""")
+@query("""SELECT 'db.' || p_partkey AS ns, CASE WHEN p_partkey % 3 = 0 THEN 'ab_1' WHEN p_partkey % 3 = 1 THEN CASE WHEN p_size % 2 = 0 THEN 'a_1' ELSE 'ab_1' END ELSE 'abc_1' END AS name FROM part""")
 def hint_index(spark, sf):
-    """The index to read chunks by: the one with the fewest fields that holds the shard key."""
-    ns = spark.range(1, 7).select(F.concat(F.lit("Brand#"), "id").alias("ns"), "id")
-    have = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, f)).alias("fields")) for n, f in (("a_1", "a"), ("ab_1", "ab"), ("abc_1", "abc"), ("zabc_1", "zabc"))]))
-    want = F.when(F.col("id") % 3 == 0, F.array(F.lit("b"))).when(F.col("id") % 3 == 1, F.array(F.lit("a"))).otherwise(F.array(F.lit("c"), F.lit("a")))
-    return catalogs.hinted_index(ns.select("ns", have.alias("x")).select("ns", "x.*"), ns.select("ns", want.alias("key_fields")))
+    """The index to read chunks by: the one with the fewest fields that holds the shard key; some collections lack the shortest."""
+    k = F.col("p_partkey")
+    ns = load(spark, sf, "part").select(F.concat(F.lit("db."), k).alias("ns"), "p_partkey", "p_size")
+    index = lambda n, f: F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, f)).alias("fields"))
+    have = F.explode(F.array(F.when(F.col("p_size") % 2 == 0, index("a_1", "a")), index("ab_1", "ab"), index("abc_1", "abc"), index("zabc_1", "zabc")))
+    want = F.when(k % 3 == 0, F.array(F.lit("b"))).when(k % 3 == 1, F.array(F.lit("a"))).otherwise(F.array(F.lit("c"), F.lit("a")))
+    return catalogs.hinted_index(ns.select("ns", have.alias("x")).where("x is not null").select("ns", "x.*"), ns.select("ns", want.alias("key_fields")))
 
 
-@query("SELECT 'shard' || i AS shard, i = 2 AS draining, true AS zones FROM (SELECT unnest(range(4)) AS i) WHERE i < 3 UNION ALL SELECT 'shard3', false, true")
+@query("SELECT 'shard' || (s_suppkey % 4) AS shard, coalesce(bool_or(CASE WHEN s_suppkey % 4 = 2 THEN s_acctbal > 0 WHEN s_suppkey % 4 < 2 THEN false END), false) AS draining, (SELECT count(*) > 0 FROM region WHERE r_name LIKE '%E%') AS zones FROM supplier GROUP BY 1")
 def draining_shards(spark, sf):
     """Shards of an unfinished removal (unmarked ones are not), and whether any zone is set."""
-    shards = spark.range(4).select(F.concat(F.lit("shard"), "id").alias("shard"), F.when(F.col("id") == 2, True).when(F.col("id") < 2, False).alias("draining"))
-    zones = spark.createDataFrame([("eu", "shard1")], "zone string, shard string").agg((F.count(F.lit(1)) > 0).alias("zones"))
-    return shards.withColumn("draining", F.coalesce("draining", F.lit(False))).join(F.broadcast(zones))
+    k = F.col("s_suppkey") % 4
+    mark = F.when(k == 2, F.col("s_acctbal") > 0).when(k < 2, False)
+    shards = load(spark, sf, "supplier").groupBy(F.concat(F.lit("shard"), k).alias("shard")).agg(F.coalesce(F.bool_or(mark), F.lit(False)).alias("draining"))
+    zones = load(spark, sf, "region").where(F.col("r_name").contains("E")).agg((F.count(F.lit(1)) > 0).alias("zones"))
+    return shards.join(F.broadcast(zones))  # one row
 
 
 @query("SELECT event_id AS seq, CAST(2000 + event_id % 8 AS BIGINT) AS opcode FROM events WHERE 2000 + event_id % 8 = 2004")
