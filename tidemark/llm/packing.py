@@ -10,7 +10,7 @@ sorted, however frequent a length.
 
 Only the histogram (at most ``SEQUENCE`` counts) and the patterns (at most twice as many) are on the
 driver. A null text is empty and yields one piece with the end token; a null doc_id is packed like any other;
-a very long text is cut at spaces while it is encoded; an empty table gives no piece; repeated rows are packed
+a very long text is encoded in parts that end where two tokens part; an empty table gives no piece; repeated rows are packed
 once each; other columns are ignored.
 """
 
@@ -30,6 +30,8 @@ from ._io import map_arrow, materialize
 SEQUENCE, END = 1024, 0
 #: Chunks of text whose ids a task holds, and their greatest length once it holds so many; what is beyond is encoded each time.
 HELD_CHUNKS, CHUNK_CHARS = 500_000, 48
+#: Characters of the parts that a very long text is encoded in.
+LONG_TEXT = 1 << 20
 #: Rounds of pricing, patterns that enter in each, and the share of padding at which it may stop early.
 MAX_ROUNDS, PATTERNS_A_ROUND, TOLERANCE = 120, 48, 0.002
 
@@ -60,6 +62,15 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(shown))}
 
 
+def parts(text: str, safe: re.Pattern):
+    """A text in parts of at least ``LONG_TEXT`` characters that begin at a safe place; a stretch without one stays whole."""
+    at = 0
+    while len(text) - at > LONG_TEXT and (m := safe.search(text, at + LONG_TEXT)):
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:]
+
+
 def encoder(path: str):
     """A function from text to the bytes of its ids (little-endian, 32 bits), as the tokenizers library gives them.
 
@@ -67,7 +78,8 @@ def encoder(path: str):
     that are not white space parts two tokens: a space begins the next one, a line feed is one of its own. Such
     texts are cut there, and each chunk that the task has not met before is encoded by the library. A chunk of letters, with
     marks after it or not, is one word of the pattern, and a run of marks another: the library's model encodes the word
-    alone. All other texts, and those with strings of special tokens, are encoded whole.
+    alone. All other texts, and those with strings of special tokens, are encoded whole, very long ones in parts of some ``LONG_TEXT``
+    characters that end at such a place.
     """
     import json
 
@@ -85,6 +97,7 @@ def encoder(path: str):
     special = [t["content"] for t in spec.get("added_tokens", [])]
     odd, word, letters = re.compile(r"\s\s"), re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u052f]+)([.,;:!?)]*)"), byte_alphabet()
     tokens, blank = tokenizer.model.tokenize, letters[32]
+    safe, cuttable = re.compile(r"(?<=\S)[ \n](?=\S)"), not any(re.search(r"\s", x) for x in special)
     packs = [struct.Struct(f"<{n}I").pack for n in range(4 * CHUNK_CHARS)]
     heads, others, marks = Chunks(), Chunks(), Chunks()  # chunks at a line's start, after a space (without it), and runs of marks
 
@@ -128,7 +141,7 @@ def encoder(path: str):
 
     def encode(text: str) -> bytes:
         if odd.search(text) or text[:1].isspace() or text[-1:].isspace() or any(x in text for x in special):
-            return whole(text)
+            return b"".join(map(whole, parts(text, safe))) if cuttable else whole(text)
         return feed.join([line_ids(head, rest) for head, *rest in (line.split(" ") for line in text.split("\n"))])
 
     return encode
