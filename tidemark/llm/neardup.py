@@ -372,5 +372,5 @@ def deduplicated(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGL
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("binary")).alias("key"), doc.alias("doc")).alias("d")
     got = whole.join(keep, same("d", "k")).select("d.doc_id", "d.key", "d.doc", "k.times")
-    many = got.where("times > 1").groupBy("doc_id", "key").agg(F.first("doc").alias("doc")).select("doc")
+    many = got.where("times > 1").groupBy("doc_id", "key").agg(F.min_by("doc", F.to_json("doc")).alias("doc")).select("doc")  # the same one in every run
     return got.where("times = 1").select("doc").union(many).select("doc.*")
