@@ -142,3 +142,56 @@ def test_digest_columns_against_plain_loops(spark, docs):
             feature = f"{-(-n // media.PAGE_ROWS)}x{n}:{1000 * sum(columns) // len(payload)}:{bits:016x}"
             want[r["doc_id"], len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(file), hashlib.sha256(file).hexdigest(), feature] += 1
         assert collections.Counter(tuple(r) for r in media.media_digest(df).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature").collect()) == want
+
+
+# --- long texts, links at the threshold ---
+
+
+def test_long_texts_with_blank_lines_are_encoded_in_parts(monkeypatch):
+    from tidemark.llm import packing
+
+    rng = random.Random(6)
+    path = packing.default_vocabulary()
+    plain = packing.encoder(path)
+    bits = ["word", "été", "x1", "42", "...", "!?", "漢字", "\U0001f600", "don't", "Ünï"]
+    gaps = [" ", "\n", "  ", "\n\n", " \n ", "\t", " ", " ", "\x1c", "\x85", ""]
+    texts = ["".join(rng.choice(bits) + rng.choice(gaps) for _ in range(300)) for _ in range(60)] + [" " * 500, "a" * 500 + "\n\n" + "b " * 300, "\n\na b"]
+    whole = [plain(t) for t in texts]
+    cut = []
+    keep = packing.parts
+    monkeypatch.setattr(packing, "LONG_TEXT", 40)
+    monkeypatch.setattr(packing, "parts", lambda t, safe: (cut.append(list(keep(t, safe))), cut[-1])[1])
+    small = packing.encoder(path)
+    assert [small(t) for t in texts] == whole
+    assert all("".join(c) == t for c, t in zip(cut, [t for t in texts if "".join(t) in {"".join(c) for c in cut}], strict=False)) and max(map(len, cut)) > 10
+
+
+def test_rows_that_differ_in_other_columns_only_give_the_same_row_in_each_run(spark):
+    from tidemark.llm import neardup
+
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, f"s{i % 7}", i % 5) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    assert {tuple(neardup.deduplicated(df.repartition(n, "source")).first()) for n in (1, 3, 5)} == {min(rows, key=lambda r: f'{{"doc_id":1,"text":"{text}","source":"{r[2]}","n_chars":{r[3]}}}')}
+
+
+def test_recall_of_planted_pairs_around_the_threshold(spark):
+    """Pairs of sets of 8 to 500 shingles whose similarity lies from 0.75 up; each pair has words of its own, so that every link is known."""
+    from tidemark.llm import neardup
+
+    rng = random.Random(8)
+    rows, want = [], set()
+    for p in range(900):
+        n = rng.choice([8, 12, 20, 40, 80, 200, 500])
+        words = [f"p{p}w{i}" for i in range(n + 4)]
+        other = list(words)
+        # k shingles fall out and k come in: similarity (n - k) / (n + k)
+        k = rng.choice([n // 7, n // 7, n // 7 + 1, max(1, n // 20)])
+        other = [f"p{p}v{i}" for i in range(k)] + other[k:] if rng.random() < 0.5 else other[: len(other) - k] + [f"p{p}v{i}" for i in range(k)]
+        a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (words, other))
+        rows += [(2 * p, " ".join(words)), (2 * p + 1, " ".join(other))]
+        if 100 * len(a & b) >= 75 * len(a | b):
+            want.add(p)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    found = {p for p in range(900) if got[2 * p + 1] == 2 * p}
+    assert not found - want and len(want) > 400 and len(found) >= 0.99 * len(want)
