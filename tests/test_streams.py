@@ -119,3 +119,36 @@ def test_a_stream_starts_after_a_time_or_an_entry(spark, tmp_path):
     stream = streams.since(streams.tail(spark, str(tmp_path / "log"), log.schema), *streams.latest(log))
     assert seen(streams.run_once(stream)) == [rows[3][:2]]
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts" in streams.since(log, t)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deltas_of_counters_over_batches_and_runs(spark, tmp_path):
+    """More batches than are compacted at once, in two runs, entities that come and go, a counter that starts anew."""
+    import random
+
+    rng = random.Random(3)
+    readings, value = [], {}
+    for seq in range(120):
+        e = rng.choice([1, 2, 3, None])
+        value[e] = 0 if rng.random() < 0.05 else value.get(e, 100) + rng.randrange(9)
+        readings.append((e, dt.datetime(2024, 5, 1) + dt.timedelta(seconds=seq // 2), seq, value[e]))
+    folder, out = str(tmp_path / "log"), str(tmp_path / "state")
+    kind = "entity long, ts timestamp_ntz, seq long, counter long"
+    for i in range(12):
+        spark.createDataFrame(readings[i * 10 : i * 10 + 10], kind).coalesce(1).write.parquet(f"{folder}/part-{i:02d}")
+        time.sleep(1.05)
+        if i in (8, 11):
+            got = streams.counter_deltas(streams.tail(spark, f"{folder}/*", spark.createDataFrame([], kind).schema, files_per_trigger=1), out)
+    last, want = {}, []
+    for e, ts, seq, c in readings:
+        want.append((e, ts, seq, c - last.get(e, c)))
+        last[e] = c
+    assert sorted((tuple(r[c] for c in ("entity", "ts", "seq", "delta")) for r in got.collect()), key=lambda r: r[2]) == want
+
+
+def test_polls_of_a_catalog(spark, tmp_path):
+    folder = str(tmp_path / "catalog")
+    poll = lambda name, *ns: sorted((r["ns"], r["change"]) for r in streams.catalog_changes(spark, folder, spark.createDataFrame([(n,) for n in ns], "ns string"), name).collect())
+    assert poll("one", "a", "b") == []
+    assert poll("two", "b", "c", "c") == [("a", "dropped"), ("c", "new")]
+    assert poll("two", "b", "c") == [("a", "dropped"), ("c", "new")]  # run again
+    assert poll("three", "b", "c") == [] and poll("four") == [("b", "dropped"), ("c", "dropped")]

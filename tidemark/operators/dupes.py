@@ -24,6 +24,15 @@ def summary(df: DataFrame, key: str) -> DataFrame:
     return per.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_docs"), F.count_if(F.col("n") > 1).alias("dupe_ids"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("dupe_docs"))
 
 
+def paired(archived: DataFrame, key: str, *values: str) -> DataFrame:
+    """(key, state, first and second of each value) of two archives, copy 1 and copy 2 of ``archive``: walked side by side in key order, as a merge
+    of sorted partitions. A key that one archive lacks shows up as ``first_only`` or ``second_only`` and does not shift the rest, as a walk by position would."""
+    side = lambda n, name: archived.where(F.col("copy_no") == n).select(F.col(key).alias(f"_{name}"), F.lit(True).alias(f"in_{name}"), *[F.col(v).alias(f"{name}_{v}") for v in values])
+    x = side(1, "first").hint("merge").join(side(2, "second"), F.col("_first").eqNullSafe(F.col("_second")), "full_outer")
+    state = F.when(F.col("in_second").isNull(), "first_only").when(F.col("in_first").isNull(), "second_only").otherwise("paired")
+    return x.select(F.coalesce("_first", "_second").alias(key), state.alias("state"), *[f"{n}_{v}" for v in values for n in ("first", "second")])
+
+
 def recheck(archived: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Archived keys counted in the source; keys that it no longer has are neither counted nor removed."""
     ids = archived.select(key).distinct()

@@ -266,7 +266,8 @@ def query_shape(spark, sf):
         .when(F.col("event_type") == "click", F.concat(F.lit('{"$and":[{"user":'), u, F.lit('},{"k":{"$in":['), k, F.lit("]}}]}")))
         .otherwise(F.concat(F.lit('{"user":'), u, F.lit(',"k":'), k, F.lit("}")))
     )
-    return load(spark, sf, "events").select(text.alias("t")).select(s.query_shape("t").alias("shape")).groupBy("shape").agg(F.count(F.lit(1)).alias("n"))
+    once = load(spark, sf, "events").groupBy(text.alias("t")).agg(F.count(F.lit(1)).alias("n"))  # each text is parsed once
+    return once.groupBy(s.query_shape("t").alias("shape")).agg(F.sum("n").alias("n"))
 
 
 # --- scalar functions ---
@@ -412,6 +413,33 @@ def stream_stats(spark, sf):
     return streams.run_once(streams.windowed_stats(x), mode="complete")
 
 
+@query("SELECT entity, ts, seq, CAST(coalesce(counter - lag(counter) OVER (PARTITION BY entity ORDER BY ts, seq), 0) AS BIGINT) AS delta FROM snap")
+def stream_deltas(spark, sf):
+    """Changes of counters through a stream of readings, the last of each entity kept as state."""
+    from tidemark.sources.work import fresh_path
+
+    path = fresh_path(spark, "readings")
+    x = d.snapshots(spark, sf).select("entity", "ts", "seq", "counter")
+    x.repartitionByRange(4, "ts").sortWithinPartitions("ts", "seq").write.parquet(path)
+    return streams.counter_deltas(streams.tail(spark, path, x.schema))
+
+
+@query("""WITH s AS (SELECT DISTINCT ns, op, CAST(day(ts) AS INTEGER) AS day FROM log WHERE day(ts) IN (1, 2, 3)) SELECT ns, op, 'new' AS change, day FROM s b WHERE day > 1 AND NOT EXISTS (SELECT 1 FROM s a WHERE a.ns = b.ns AND a.op = b.op AND a.day = b.day - 1)
+    UNION ALL SELECT ns, op, 'dropped', day + 1 FROM s a WHERE day < 3 AND NOT EXISTS (SELECT 1 FROM s b WHERE a.ns = b.ns AND a.op = b.op AND b.day = a.day + 1)""")
+def catalog_polls(spark, sf):
+    """Three polls of a catalog, each against the one before, which a table with versions keeps."""
+    from functools import reduce
+
+    from tidemark.sources.work import fresh_path
+
+    folder, log = fresh_path(spark, "catalog"), d.change_log(spark, sf)
+    polls = []
+    for day in (1, 2, 3):
+        now = log.where(F.dayofmonth("ts") == day).select("ns", "op")
+        polls.append(streams.catalog_changes(spark, folder, now, f"day-{day}").withColumn("day", F.lit(day)))
+    return reduce(lambda a, b: a.unionByName(b), polls)
+
+
 @query("""SELECT * FROM (SELECT date_trunc('minute', ts) + to_minutes((65 - minute(ts)) % 5) AS bucket, shard, ns, op, CAST(count(*) AS BIGINT) AS count, min(size) AS min_size, max(size) AS max_size, CAST(sum(size) AS BIGINT) AS total_size
     FROM log WHERE op <> 'n' GROUP BY ALL) WHERE bucket + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM log WHERE op <> 'n')""")
 def stream_windows(spark, sf):

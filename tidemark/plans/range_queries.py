@@ -182,6 +182,14 @@ def dupe_archive(spark, sf):
     return dupes.archive(d.duplicated(spark, sf), "k", "cents", "part").select("k", "copy_no", "cust", "status", "cents")
 
 
+@query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'first_only' WHEN a.k IS NULL THEN 'second_only' ELSE 'paired' END AS state, a.cents AS first_cents, b.cents AS second_cents
+    FROM (SELECT * FROM archive WHERE copy_no = 1 AND k % 7 <> 0) a FULL JOIN (SELECT * FROM archive WHERE copy_no = 2 AND k % 11 <> 0) b ON a.k = b.k""")
+def paired_archives(spark, sf):
+    """The first and second copies of duplicated keys side by side; each archive has lost some keys."""
+    x = dupes.archive(d.duplicated(spark, sf), "k", "cents", "part").where("not (copy_no = 1 and k % 7 = 0) and not (copy_no = 2 and k % 11 = 0)")
+    return dupes.paired(x, "k", "cents")
+
+
 @query("SELECT k, l FROM (SELECT l_orderkey AS k, l_linenumber AS l, lag(l_orderkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS p FROM lineitem) WHERE p = k")
 def dupe_lag(spark, sf):
     """Rows whose key repeats the one before in key order."""

@@ -160,6 +160,56 @@ def merge_updates(log: DataFrame, tag: str = "documents", at: str | None = None)
     return updates.documents(rows if rows is not None else log.sparkSession.createDataFrame([], updates.STATE))
 
 
+def counter_deltas(snapshots: DataFrame, at: str | None = None) -> DataFrame:
+    """(entity, ts, seq, delta) of a stream of counters (entity, ts, seq, counter): what each reading adds to the one before, 0 for an entity's first.
+
+    The last reading of each entity is the state, a delta of batches like any other here; a batch is compared
+    within itself by a window and with the state by one join on entities. Readings are taken in the order of batches: one that
+    comes after newer ones is compared with those.
+    """
+    from pyspark.sql import Window
+
+    spark = snapshots.sparkSession
+    at = at or fresh_path(spark, "deltas")
+    last = lambda rows: rows.groupBy("entity").agg(F.max_by(F.struct("ts", "seq", "counter"), F.struct("ts", "seq")).alias("x")).select("entity", "x.*")
+
+    def step(batch: DataFrame, n: int) -> None:
+        rows = batch.select("entity", "ts", "seq", "counter")
+        before = state_rows(spark, at, n - 1)
+        w = Window.partitionBy("entity").orderBy("ts", "seq")
+        x = rows.withColumn("_prev", F.lag("counter").over(w))
+        if before is not None:
+            x = x.join(last(before).select(F.col("entity").alias("_e"), F.col("counter").alias("_held")), F.col("entity").eqNullSafe(F.col("_e")), "left")
+            x = x.withColumn("_prev", F.coalesce("_prev", "_held"))
+        x.select("entity", "ts", "seq", F.coalesce(F.col("counter") - F.col("_prev"), F.lit(0)).cast("long").alias("delta")).write.mode("overwrite").parquet(f"{at}/out/batch={n}")
+        last(rows).write.mode("overwrite").parquet(f"{at}/delta-{n}")
+        if (n + 1) % COMPACT_EVERY == 0:
+            last(state_rows(spark, at, n)).write.mode("overwrite").parquet(f"{at}/base-{n}")
+
+    q = snapshots.writeStream.foreachBatch(step).option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema("entity long, ts timestamp_ntz, seq long, delta long").option("recursiveFileLookup", "true").parquet(f"{at}/out") if versions(spark, f"{at}", "delta") else spark.createDataFrame([], "entity long, ts timestamp_ntz, seq long, delta long")
+
+
+def catalog_changes(spark: SparkSession, folder: str, catalog: DataFrame, poll: str) -> DataFrame:
+    """(entry..., change) of a poll of a catalog: ``new`` and ``dropped`` against the poll before, which a table with versions in ``folder`` keeps.
+
+    ``poll`` names the poll: run again after a failure it compares with the same one before. The first poll finds nothing.
+    """
+    from tidemark.sources import versioned
+
+    now = catalog.distinct()
+    found = versioned.manifest(spark, folder)
+    own = poll in found["batches"]
+    version = found["version"] if not own else next(n for n in range(found["version"], 0, -1) if poll not in versioned.manifest(spark, folder, n - 1)["batches"]) - 1
+    before = versioned.read(spark, folder, version)
+    if not own:
+        versioned.update(spark, folder, lambda _: now, poll)
+    if before is None:
+        return now.limit(0).withColumn("change", F.lit("new"))
+    return now.exceptAll(before).withColumn("change", F.lit("new")).unionByName(before.exceptAll(now).withColumn("change", F.lit("dropped")))
+
+
 def round_counts(stream: DataFrame, at: str, *by: str) -> DataFrame:
     """Counts by round: each call is one, starts its counters at zero, reads what has come since the last and adds its rows to those before."""
     spark = stream.sparkSession
