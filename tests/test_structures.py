@@ -51,6 +51,10 @@ def test_floor_join_with_one_range_a_billion_times_wider(spark):
     want = sorted((i, n) for i, k in enumerate(keys) for lo, hi, n in narrow + wide if lo <= k and (hi is None or k < hi))
     for few in (False, None, True):
         assert rows(ranges.floor_join(x, "key", r, few=few), "i", "name") == want
+    below = r.unionByName(spark.createDataFrame([(None, -9, "below")], r.schema))
+    y = x.unionByName(spark.createDataFrame([(-(1 << 62), 9001), (-10, 9002), (-9, 9003)], x.schema))
+    for few in (False, True):
+        assert rows(ranges.floor_join(y, "key", below, few=few), "i", "name") == sorted([*want, (9001, "below"), (9002, "below")])
     plan = ranges.floor_join(x, "key", r, few=False)._jdf.queryExecution().executedPlan().toString()
     assert "Nested" not in plan and "Cartesian" not in plan
 
@@ -96,6 +100,17 @@ def test_tree_of_equal_and_of_empty_tables(spark):
     assert merkle.tree_diff(a, none, 4, 5)[0].count() == 100
 
 
+def test_tree_over_keys_that_are_no_numbers(spark):
+    a = {f"key{i}": str(i) for i in range(3000)} | {None: "x"}
+    b = a | {"key7": "other", "new": "1", None: "y"}
+    b.pop("key2999")
+    make = lambda d: spark.createDataFrame(list(d.items()), "k string, h string")
+    found, nodes = merkle.tree_diff(make(a), make(b), fanout=8, leaf_rows=10)
+    assert states(found) == {"key7": "mismatch", "new": "dest_only", "key2999": "source_only", None: "mismatch"}
+    last = max(r["level"] for r in nodes.collect())
+    assert nodes.where(f"level = {last}").agg(F.sum("source_rows")).first()[0] < 200
+
+
 def test_swapped_values_are_seen_and_many_nodes_are_joined(spark, monkeypatch):
     a, b = kv(spark, *[(i, str(i)) for i in range(200)]), kv(spark, *[(i, str(i ^ 1)) for i in range(200)])
     monkeypatch.setattr(merkle, "MOST_NODES", 3)

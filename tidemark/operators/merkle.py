@@ -41,15 +41,19 @@ def under(rows: DataFrame, nodes: DataFrame, few: list | None, node: Column) ->
 
 
 def tree_diff(source: DataFrame, dest: DataFrame, fanout: int = FANOUT, leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows that differ between two (k, h) tables with long keys, and the nodes opened: ((k, status), (level, node, source_rows, dest_rows)).
+    """Rows that differ between two (k, h) tables, and the nodes opened: ((k, status), (level, node, source_rows, dest_rows)).
 
-    A node of level i is a range of keys of width ``fanout`` ** (levels - i). Level by level only nodes that differ are
+    A node of level i is a range of keys of width ``fanout`` ** (levels - i); keys that are no whole numbers have their place
+    by a hash, which deals them evenly. Level by level only nodes that differ are
     opened: rows elsewhere are filtered out where they are read, and what is shuffled is a sum a node and task. Under the last level the rows of differing
     leaves are joined. Rows with a null key are one leaf that is always opened. One job a level finds how many nodes differ; a list of at
     most ``MOST_NODES`` is kept in the driver.
     """
     spark = source.sparkSession
-    ends = source.select("k").unionByName(dest.select("k")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n")).first()
+    whole = dict(source.dtypes)["k"] in ("tinyint", "smallint", "int", "bigint")
+    place = F.col("k").cast("long") if whole else F.when(F.col("k").isNotNull(), F.shiftrightunsigned(F.xxhash64("k"), 1))
+    source, dest = (x.select("k", "h", place.alias("_at")) for x in (source, dest))
+    ends = source.select("_at").unionByName(dest.select("_at")).agg(F.min("_at").alias("lo"), F.max("_at").alias("hi"), F.count("_at").alias("n")).first()
     seen = spark.createDataFrame([], "level int, node long, source_rows long, dest_rows long")
     nulls = lambda x: x.where("k is null")
     left, right = source, dest
@@ -62,7 +66,7 @@ def tree_diff(source: DataFrame, dest: DataFrame, fanout: int = FANOUT, leaf_row
             leaf *= fanout
         known, few, last = None, None, None
         for level, width in enumerate(reversed(widths or [span])):
-            node = F.expr(f"(k - {ends['lo']}) div {width}")
+            node = F.expr(f"(_at - {ends['lo']}) div {width}")
             if last is not None:
                 left, right = under(left, known, few, last), under(right, known, few, last)
             known = stored(differing(left.where("k is not null"), right.where("k is not null"), node), "nodes")

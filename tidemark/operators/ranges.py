@@ -16,16 +16,21 @@ BIN, MOST_BOUNDS = 64, 1 << 16
 
 
 def last_at_most(sorted_values: Column, x: Column, size: int | None = None) -> Column:
-    """How many entries of an ascending array are at most ``x``: a binary search of one comparison a halving.
+    """How many entries of an ascending array are at most ``x``: a binary search of one comparison a halving. A null entry is below all, a null ``x`` below those.
 
     ``size``: the most entries that the array may have, ``MOST_BOUNDS`` by default.
     """
     halvings = F.array(*[F.lit(1 << i) for i in reversed(range((size or MOST_BOUNDS).bit_length()))])
-    return F.aggregate(halvings, F.lit(0), lambda at, step: F.when((at + step <= F.size(sorted_values)) & (F.get(sorted_values, at + step - 1) <= x), at + step).otherwise(at))
+
+    def step(at: Column, width: Column) -> Column:
+        entry = F.get(sorted_values, at + width - 1)
+        return F.when((at + width <= F.size(sorted_values)) & x.isNotNull() & (entry.isNull() | (entry <= x)), at + width).otherwise(at)
+
+    return F.aggregate(halvings, F.lit(0), step)
 
 
 def floor_join(rows: DataFrame, key: str, ranges: DataFrame, few: bool | None = None) -> DataFrame:
-    """Each row with the range [lo, hi) that holds its key; ranges are disjoint, a null hi is open, keys below all are dropped.
+    """Each row with the range [lo, hi) that holds its key; ranges are disjoint, a null lo or hi is open, rows with a null key or one in no range are dropped.
 
     The ranges are counted while the plan is built: up to ``FEW`` are broadcast and every row is held against them. Many are ranked by their lower
     bounds and packed into bins of equal depth, ``BIN`` ranges each (more where bounds would exceed ``MOST_BOUNDS``, which
@@ -35,12 +40,14 @@ def floor_join(rows: DataFrame, key: str, ranges: DataFrame, few: bool | None =
     """
     n = ranges.limit(FEW + 1).count() if few is None else 0
     if few or (few is None and n <= FEW):
-        return rows.join(F.broadcast(ranges), (F.col(key) >= F.col("lo")) & (F.col("hi").isNull() | (F.col(key) < F.col("hi"))))
+        inside = (F.col("lo").isNull() | (F.col(key) >= F.col("lo"))) & (F.col("hi").isNull() | (F.col(key) < F.col("hi")))
+        return rows.where(F.col(key).isNotNull()).join(F.broadcast(ranges), inside)
     depth = max(BIN, -(-ranges.count() // MOST_BOUNDS))
-    binned = ranked(ranges.where("lo is not null"), "lo").withColumn("_bin", F.floor((F.col("r") - 1) / depth).cast("long")).drop("r", "total")
+    binned = ranked(ranges, "lo").withColumn("_bin", F.floor((F.col("r") - 1) / depth).cast("long")).drop("r", "total")
     bins = stored(binned.groupBy("_bin").agg(F.sort_array(F.collect_list(F.struct("lo", *[c for c in ranges.columns if c != "lo"]))).alias("_ranges")), "bins")
     kind = dict(ranges.dtypes)["lo"]
-    bounds = bins.agg(F.to_json(F.sort_array(F.collect_list(F.col("_ranges")[0]["lo"]))).alias("b")).first()["b"]
+    firsts = F.sort_array(F.collect_list(F.struct("_bin", F.col("_ranges")[0]["lo"].alias("lo"))))  # a list of values would leave a null out
+    bounds = bins.agg(F.to_json(F.transform(firsts, lambda f: f["lo"])).alias("b")).first()["b"]
     bin_ = (last_at_most(F.from_json(F.lit(bounds), f"array<{kind}>"), F.col(key)) - 1).cast("long")
     # the key of the join is an expression, so each side has an exchange of its own and Spark can split a bin that many rows fall in
     x = rows.withColumn("_at", bin_).join(bins.select(F.col("_bin").bitwiseXOR(F.lit(0)).alias("_bin"), "_ranges"), F.col("_at") == F.col("_bin"))

@@ -14,13 +14,11 @@ systems open (local, hdfs, s3, gs, abfs).
 from __future__ import annotations
 
 import json
-import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
@@ -31,10 +29,6 @@ from tidemark.sources import bson
 SPLIT, BACK, CHAIN, LARGEST = 64 << 20, 1 << 16, 8, 64 << 20
 BUFFER = 4 << 20
 
-# The source travels by value: planner and executors need only public libraries.
-for _module in (bson, sys.modules[__name__]):
-    cloudpickle.register_pickle_by_value(_module)
-
 
 def opened(path: str):
     """(file system, path in it)."""

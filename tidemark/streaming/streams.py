@@ -118,6 +118,17 @@ def state_rows(spark: SparkSession, at: str, upto: int | None = None) -> DataFra
     return spark.read.parquet(*paths) if paths else None
 
 
+def compact(spark: SparkSession, at: str, n: int, merge) -> None:
+    """After every ``COMPACT_EVERY``th batch: the rows of a state merged into one table, older parts deleted."""
+    if (n + 1) % COMPACT_EVERY:
+        return
+    merge(state_rows(spark, at, n)).write.mode("overwrite").parquet(f"{at}/base-{n}")
+    for kind in ("delta", "base"):
+        for old in versions(spark, at, kind):
+            if old < n - COMPACT_EVERY:  # the newest merged table covers them, and no batch that may run again reads them
+                remove(spark, f"{at}/{kind}-{old}")
+
+
 def fold_batches(log: DataFrame, delta, merge, tag: str = "state", at: str | None = None) -> tuple[DataFrame | None, str]:
     """The state of a log over all batches so far, and its folder: ``delta`` makes the rows of one batch, ``merge`` reduces rows of several.
 
@@ -130,12 +141,7 @@ def fold_batches(log: DataFrame, delta, merge, tag: str = "state", at: str | Non
 
     def step(batch: DataFrame, n: int) -> None:
         delta(batch).write.mode("overwrite").parquet(f"{at}/delta-{n}")
-        if (n + 1) % COMPACT_EVERY == 0:
-            merge(state_rows(spark, at, n)).write.mode("overwrite").parquet(f"{at}/base-{n}")
-            for kind in ("delta", "base"):
-                for old in versions(spark, at, kind):
-                    if old < n - COMPACT_EVERY:  # the newest merged table covers them, and no batch that may run again reads them
-                        remove(spark, f"{at}/{kind}-{old}")
+        compact(spark, at, n, merge)
 
     q = log.writeStream.foreachBatch(step).option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).start()
     q.awaitTermination()
@@ -183,8 +189,7 @@ def counter_deltas(snapshots: DataFrame, at: str | None = None) -> DataFrame:
             x = x.withColumn("_prev", F.coalesce("_prev", "_held"))
         x.select("entity", "ts", "seq", F.coalesce(F.col("counter") - F.col("_prev"), F.lit(0)).cast("long").alias("delta")).write.mode("overwrite").parquet(f"{at}/out/batch={n}")
         last(rows).write.mode("overwrite").parquet(f"{at}/delta-{n}")
-        if (n + 1) % COMPACT_EVERY == 0:
-            last(state_rows(spark, at, n)).write.mode("overwrite").parquet(f"{at}/base-{n}")
+        compact(spark, at, n, last)
 
     q = snapshots.writeStream.foreachBatch(step).option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).start()
     q.awaitTermination()
