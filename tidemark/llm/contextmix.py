@@ -12,7 +12,8 @@ is bits per byte.
 Units are counted over the whole corpus, so each different one is learned from and predicted once, with
 its count as weight. They are dealt by their first bytes into shares of some ``SHARE`` units, as many as
 there are units for. All units that agree in more than those bytes are in one share, so the counts of the
-whole-unit context are exact and grow with the corpus, however large; they never leave their share. The
+whole-unit context are exact and grow with the corpus, however large; they never leave their share. First bytes
+that more units have than two shares hold are dealt by one byte more, and so on. The
 tables of the short contexts grow with the number of units up to ``MOST_BITS`` and are broadcast.
 
 Learning is online: a share is walked in order of its units in small steps; a step is predicted with what the
@@ -25,7 +26,7 @@ bound), all others are joined.
 Null texts are empty and score the end symbol alone; a null doc_id is learned from; without learnable
 texts all counts are zero; very long texts are cut at words while they are read; repeated rows count and score
 twice; an empty table gives an empty result; other columns are ignored. Words and units are told apart by 64-bit
-hashes.
+hashes. Nothing depends on ties: units of a share are walked in the order of their hashes, and of equally frequent units all or none are broadcast.
 """
 
 from __future__ import annotations

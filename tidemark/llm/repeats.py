@@ -16,6 +16,7 @@ single windows, so that no bucket holds them all; equal windows (one anchor, 128
 Null texts are empty; texts shorter than ``LENGTH`` bytes lose nothing; very long texts are cut into overlapping
 pieces while they are read; equal rows are two occurrences, so both lose what they share; rows that share a
 doc_id, null included, are told apart by their text; an empty table gives an empty result, other columns are ignored.
+There are no ties to break: every occurrence of a passage is removed, and of equal least grams of a window the first is its anchor.
 """
 
 from __future__ import annotations

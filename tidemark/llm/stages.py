@@ -4,7 +4,8 @@ Every stage keeps the columns of its input, whatever they are called, and works
 Null texts count as empty: the quality stage rejects them, as they have too few words; the near-duplicate
 stage alone would keep each. Repeated rows are one group of copies for the near-duplicate stage, which
 keeps one of them, as it does of copies without an id. A null source is a source. Of equal documents that tie
-for a place the one with the least id stays. An empty table gives an empty table.
+for a place the one with the least id stays; of rows with one id and text that differ in other columns, that whose JSON comes first.
+An empty table gives an empty table.
 """
 
 from __future__ import annotations
