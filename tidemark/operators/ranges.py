@@ -44,14 +44,16 @@ def floor_join(rows: DataFrame, key: str, ranges: DataFrame, few: bool | None =
         return rows.where(F.col(key).isNotNull()).join(F.broadcast(ranges), inside)
     depth = max(BIN, -(-ranges.count() // MOST_BOUNDS))
     binned = ranked(ranges, "lo").withColumn("_bin", F.floor((F.col("r") - 1) / depth).cast("long")).drop("r", "total")
-    bins = stored(binned.groupBy("_bin").agg(F.sort_array(F.collect_list(F.struct("lo", *[c for c in ranges.columns if c != "lo"]))).alias("_ranges")), "bins")
+    members = F.sort_array(F.collect_list(F.struct("lo", *[c for c in ranges.columns if c != "lo"]))).alias("_ranges")
+    # the bounds of a bin are an array of their own: a row's search reads them in place
+    bins = stored(binned.groupBy("_bin").agg(members).withColumn("_los", F.transform("_ranges", lambda r: r["lo"])), "bins")
     kind = dict(ranges.dtypes)["lo"]
     firsts = F.sort_array(F.collect_list(F.struct("_bin", F.col("_ranges")[0]["lo"].alias("lo"))))  # a list of values would leave a null out
     bounds = bins.agg(F.to_json(F.transform(firsts, lambda f: f["lo"])).alias("b")).first()["b"]
     bin_ = (last_at_most(F.from_json(F.lit(bounds), f"array<{kind}>"), F.col(key)) - 1).cast("long")
     # the key of the join is an expression, so each side has an exchange of its own and Spark can split a bin that many rows fall in
-    x = rows.withColumn("_at", bin_).join(bins.select(F.col("_bin").bitwiseXOR(F.lit(0)).alias("_bin"), "_ranges"), F.col("_at") == F.col("_bin"))
-    found = F.get("_ranges", last_at_most(F.transform("_ranges", lambda r: r["lo"]), F.col(key), depth) - 1)
+    x = rows.withColumn("_at", bin_).join(bins.select(F.col("_bin").bitwiseXOR(F.lit(0)).alias("_bin"), "_ranges", "_los"), F.col("_at") == F.col("_bin"))
+    found = F.get("_ranges", last_at_most(F.col("_los"), F.col(key), depth) - 1)
     x = x.withColumn("_found", found).where(F.col("_found.hi").isNull() | (F.col(key) < F.col("_found.hi")))
     return x.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in ranges.columns])
 
