@@ -201,3 +201,11 @@ def test_awkward_rows_and_missing_labels(spark, docs, empty, labels):
     assert [r["held_out"] for r in got if r["doc_id"] is None] == [False]
     for few in (labels.limit(0), labels.where("quality = 1"), labels.withColumn("quality", F.lit(None).cast("int"))):
         assert {(r["score"], r["predicted"]) for r in discriminant.digest(docs, few).collect()} == {(0.5, 1)}
+
+
+def test_panels_of_the_grid_do_not_go_through_the_driver(spark):
+    rows = hard_negatives.prepared(spark.createDataFrame([(i * 10, [0.5, i / 40], i % 3) for i in range(40)], "vec_id long, embedding array<float>, label int"))
+    left, right = hard_negatives.panels(rows.where("id % 100 = 0"), 1, 2, np.int16), hard_negatives.panels(rows, 5, 2, np.int16)
+    totals = hard_negatives.tiles(left, right, 1, 5, True, 2, np.int16, np.int32)
+    assert "Broadcast" not in totals._jdf.queryExecution().executedPlan().toString()
+    assert sum(len(r["tile"]) for r in totals.collect()) == 4 * 4 * 40
