@@ -291,6 +291,29 @@ def test_dump_written_appended_and_overwritten(spark, tmp_path):
     assert read() == ['{"a": 1}'] and not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_")]
 
 
+def test_a_place_that_is_no_document_costs_few_bytes_and_many_small_ranges_are_few_tasks(tmp_path):
+    from tidemark.sources import bson, dumps
+
+    class Counted:
+        def __init__(self, raw):
+            self.raw, self.read = raw, 0
+
+        def read_at(self, n, at):
+            self.read += n
+            return self.raw[at : at + n]
+
+    # the bytes of the numbers read as lengths of 3 to 4 MB, which the file is long enough for
+    raw = b"".join(bson.encode({"i": i, "a": [1 << 22 | i % 7, 3 << 20, 0x30000 + i]}) for i in range(1000)) * 500
+    file = Counted(raw)
+    w = dumps.Bytes(file, len(raw))
+    assert dumps.first_start(w, len(raw) // 2) is not None and file.read < 16 << 20
+    (tmp_path / "a.bson").write_bytes(raw)
+    parts = dumps.DumpReader({"path": str(tmp_path), "splitBytes": str(1 << 15)}).partitions()
+    assert len(parts) < 100 and [p.lo for p in parts] == [0, *[p.hi for p in parts[:-1]]] and parts[-1].hi == len(raw)
+    found = [x.column(2).to_pylist() for p in parts[:2] for x in dumps.DumpReader({"path": str(tmp_path)}).read(p)]
+    assert sum(found, []) == list(range(0, parts[1].hi, len(raw) // 500_000))
+
+
 # --- updates of any field ---
 
 

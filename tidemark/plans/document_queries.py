@@ -121,9 +121,11 @@ def export_typed(spark, sf):
 def dump_cover(spark, sf):
     """Documents found by tasks that start anywhere in a file, and places where they leave a gap or overlap."""
     from tidemark.sources import dumps
+    from tidemark.sources.work import stored
 
     x = dumps.read_dump(spark, dumped(spark, sf), split=1 << 15)
-    n = x.agg(F.count(F.lit(1)).alias("docs"), F.max(F.get_json_object("json", "$._id.$numberLong").cast("long")).alias("last"))
+    x = stored(x.select("path", "length", "at", "size", F.get_json_object("json", "$._id.$numberLong").cast("long").alias("k")), "places")  # files are read once
+    n = x.agg(F.count(F.lit(1)).alias("docs"), F.max("k").alias("last"))
     return n.join(dumps.gaps(x).agg(F.count(F.lit(1)).alias("gaps")))
 
 
