@@ -77,6 +77,9 @@ def typed_dupes(spark, sf):
 
 # --- dumps ---
 
+#: Documents of a dump file: a task writes one file, so files grow in number, not in size.
+FILE_DOCS = 100_000
+
 
 def dumped(spark, sf):
     """Orders as typed documents with nested parts, written as dump files."""
@@ -89,8 +92,9 @@ def dumped(spark, sf):
         F.lit(', "paid": {"cents": {"$numberLong": "'), F.col("cents").cast("string"), F.lit('"}, "share": '), (F.col("cents") / 1000).cast("string"),
         F.lit('}, "at": {"$date": "'), F.col("day"), F.lit('T00:00:00Z"}, "tags": ['), text("prio"), F.lit(', null, true, {"$minKey": 1}]}'),
     )
-    path = fresh_path(spark, "dump")
-    dumps.write_dump(d.source(spark, sf).select(doc.alias("json")).repartition(3), path)
+    path, x = fresh_path(spark, "dump"), d.source(spark, sf)
+    files = max(3, -(-x.count() // FILE_DOCS))  # a count of the table's footers
+    dumps.write_dump(x.select(doc.alias("json")).repartition(files), path)
     return path
 
 
