@@ -125,10 +125,11 @@ def shorten(text, n: int, dots: str = "...") -> Column:
 # --- numbers and times ---
 
 
-def pretty_bytes(n) -> Column:
+def pretty_bytes(n, last: str = UNITS[-1]) -> Column:
+    """Bytes in the largest unit up to ``last`` that they fill."""
     x = c(n).cast("double")
     out = F.format_string("%.2fB", x)
-    for i, unit in enumerate(UNITS[1:], 1):
+    for i, unit in enumerate(UNITS[1 : UNITS.index(last) + 1], 1):
         out = F.when(x >= 1024.0**i, F.format_string(f"%.2f{unit}", x / 1024.0**i)).otherwise(out)
     return out
 

@@ -295,7 +295,7 @@ def scalar_numbers(spark, sf):
     b = k * c + k
     t = s.log_time(F.concat(k, F.lit(", "), c % 100))
     return load(spark, sf, "orders").select(
-        k.alias("id"), s.pretty_bytes(b).alias("pretty"), s.parse_bytes(F.concat(k % 50, F.lit("MB"))).alias("parsed"), s.ratio(k, c % 3).alias("ratio"), s.midpoint(k, b).alias("middle"),
+        k.alias("id"), s.pretty_bytes(b, "G").alias("pretty"), s.parse_bytes(F.concat(k % 50, F.lit("MB"))).alias("parsed"), s.ratio(k, c % 3).alias("ratio"), s.midpoint(k, b).alias("middle"),
         s.log_seconds(F.shiftleft(k, 32) + 7).alias("log_secs"), t["t"].cast("long").alias("t"), t["i"].alias("i"), s.ttl_text(k % 5000).alias("ttl"), s.truthy(k % 2).alias("truthy"),
     )
 
