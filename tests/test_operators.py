@@ -234,3 +234,14 @@ def test_no_single_move_is_left_that_gains(spark):
         left = plain_pairs(rows_, where)
         assert left == dupes.conflict_pairs(keys, found).first()["pairs"] <= plain_pairs(rows_, home)
         assert all(plain_pairs(rows_, where | {r: s}) >= left for r in where for s in ("s0", "s1", "s2"))
+
+
+def test_index_hints_of_many_collections_are_dealt_out_not_broadcast(spark, monkeypatch):
+    from tidemark.operators import catalogs, small
+
+    monkeypatch.setattr(small, "TASK_ROWS", 20)
+    ns = spark.range(100).select(F.concat(F.lit("n"), "id").alias("ns"))
+    found = catalogs.hinted_index(ns.selectExpr("ns", "explode(array('a', 'ab', 'ba', 'b')) AS name", "split(name, '') AS fields"), ns.selectExpr("ns", "array('b') AS key_fields"))
+    assert {r["name"] for r in found.collect()} == {"b"} and found.count() == 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count(", 20)") >= 2 and ", 4)" not in plan

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import is_system_db, ns_db
-from tidemark.operators.small import small
+from tidemark.operators.small import dealt, small
 
 
 def index_diff(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -113,6 +113,10 @@ def catalog_totals(entries: DataFrame) -> DataFrame:
 
 
 def hinted_index(indexes: DataFrame, shard_keys: DataFrame) -> DataFrame:
-    """For each namespace the index with the fewest fields of those that hold all fields of the shard key (arrays ``fields`` and ``key_fields``)."""
-    x = indexes.join(shard_keys, "ns").where(F.size(F.array_except("key_fields", "fields")) == 0)
+    """For each namespace the index with the fewest fields of those that hold all fields of the shard key (arrays ``fields`` and ``key_fields``).
+
+    Both sides are dealt out by namespace once; neither is broadcast, as a catalog may have millions of collections.
+    """
+    rows = indexes.count()
+    x = dealt(indexes, rows, "ns").join(dealt(shard_keys, rows, "ns").hint("merge"), "ns").where(F.size(F.array_except("key_fields", "fields")) == 0)
     return x.groupBy("ns").agg(F.min_by("name", F.struct(F.size("fields"), F.col("name"))).alias("name"))
