@@ -245,3 +245,15 @@ def test_index_hints_of_many_collections_are_dealt_out_not_broadcast(spark, monk
     assert {r["name"] for r in found.collect()} == {"b"} and found.count() == 100
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and plan.count(", 20)") >= 2 and ", 4)" not in plan
+
+
+def test_tables_with_copies_are_dealt_out_by_their_rows(spark, monkeypatch):
+    from tests.oracle import SF, assert_same
+    from tidemark.operators import small
+    from tidemark.plans import registry
+
+    monkeypatch.setattr(small, "TASK_ROWS", 100)
+    query = registry.QUERIES["restore_insert"]
+    plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(k#" in plan and ", 15)" in plan and ", 4)" not in plan
+    assert_same(spark, query, registry.ORACLES["restore_insert"])

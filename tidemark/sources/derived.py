@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.small import dealt
 from tidemark.sources.tables import load
 
 ROW = ("k", "cust", "status", "cents", "day", "prio")
@@ -55,10 +56,10 @@ def user_ranges(spark: SparkSession) -> DataFrame:
 
 
 def duplicated(spark: SparkSession, d: str) -> DataFrame:
-    """Orders with injected copies of some keys."""
+    """Orders with injected copies of some keys, in partitions by key whose number grows with the table."""
     s = source(spark, d).select("k", "cust", "status", "cents")
     again = lambda step, part: s.where(F.col("k") % step == 0).withColumn("cents", F.col("cents") + (part - 1)).withColumn("part", F.lit(part))
-    return s.withColumn("part", F.lit(1)).unionByName(again(50, 2)).unionByName(again(200, 3))
+    return dealt(s.withColumn("part", F.lit(1)).unionByName(again(50, 2)).unionByName(again(200, 3)), load(spark, d, "orders").count(), "k")
 
 
 def sessions(spark: SparkSession, d: str) -> DataFrame:
