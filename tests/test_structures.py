@@ -117,6 +117,16 @@ def test_swapped_values_are_seen_and_many_nodes_are_joined(spark, monkeypatch):
     assert states(merkle.tree_diff(a, b, 4, 5)[0]) == {i: "mismatch" for i in range(200)}
 
 
+def test_rows_are_summed_once_for_all_levels_of_the_tree(spark, monkeypatch):
+    calls, sums = [], merkle.node_sums
+    monkeypatch.setattr(merkle, "node_sums", lambda *x: calls.append(x[2]) or sums(*x))
+    a, b = kv(spark, *[(i, str(i)) for i in range(3000)]), kv(spark, *[(i, "x" if i == 77 else str(i)) for i in range(3000)])
+    found, nodes = merkle.tree_diff(a, b, fanout=3, leaf_rows=5)
+    assert states(found) == {77: "mismatch"} and calls == ["source", "dest"]
+    opened = nodes.orderBy("level").collect()
+    assert [r["level"] for r in opened] == list(range(len(opened))) and len(opened) > 4 and [r["source_rows"] for r in opened[-2:]] == [15, 5]
+
+
 # --- keys of mixed types ---
 
 #: Values in ascending order; those in one list are equal.

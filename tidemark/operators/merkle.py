@@ -24,13 +24,25 @@ def node_sums(rows: DataFrame, node: Column, name: str) -> DataFrame:
     The key is part of what is summed, as rows of other keys may have equal values.
     """
     both = rows.select(node.alias("node"), F.md5(F.concat_ws(":", F.col("k").cast("string"), F.coalesce("h", F.lit("-")))).alias("h"))
-    return both.groupBy("node").agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.concat_ws(":", *[w.cast("string") for w in words()]).alias(f"{name}_sum"))
+    return both.groupBy("node").agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.array(*[w.cast("decimal(38,0)") for w in words()]).alias(f"{name}_sum"))
 
 
-def differing(source: DataFrame, dest: DataFrame, node: Column) -> DataFrame:
+def both_sums(source: DataFrame, dest: DataFrame, node: Column) -> DataFrame:
+    """(node, source_rows, source_sum, dest_rows, dest_sum) of the nodes of either side; what a side lacks is null."""
+    return node_sums(source, node, "source").join(node_sums(dest, node, "dest"), "node", "full_outer")
+
+
+def parents(leaves: DataFrame, fanout: int) -> DataFrame:
+    """The nodes above ``leaves``, ``fanout`` to one: rows and sums add up, so no row of a table is read again."""
+    sums = [F.sum(F.col(c)[i]).alias(f"_{c}{i}") for c in ("source_sum", "dest_sum") for i in range(4)]
+    x = leaves.groupBy(F.expr(f"node div {fanout}").alias("node")).agg(*[F.sum(c).alias(c) for c in ("source_rows", "dest_rows")], *sums)
+    whole = lambda c: F.when(F.col(f"_{c}0").isNotNull(), F.array(*[F.col(f"_{c}{i}").cast("decimal(38,0)") for i in range(4)])).alias(c)
+    return x.select("node", "source_rows", whole("source_sum"), "dest_rows", whole("dest_sum"))
+
+
+def differing(sums: DataFrame) -> DataFrame:
     """(node, source_rows, dest_rows) of the nodes whose hashes differ, or that one side has alone."""
-    x = node_sums(source, node, "source").join(node_sums(dest, node, "dest"), "node", "full_outer")
-    return x.where(~F.col("source_sum").eqNullSafe(F.col("dest_sum"))).select("node", F.coalesce("source_rows", F.lit(0)).alias("source_rows"), F.coalesce("dest_rows", F.lit(0)).alias("dest_rows"))
+    return sums.where(~F.col("source_sum").eqNullSafe(F.col("dest_sum"))).select("node", F.coalesce("source_rows", F.lit(0)).alias("source_rows"), F.coalesce("dest_rows", F.lit(0)).alias("dest_rows"))
 
 
 def under(rows: DataFrame, nodes: DataFrame, few: list | None, node: Column) -> DataFrame:
@@ -44,10 +56,10 @@ def tree_diff(source: DataFrame, dest: DataFrame, fanout: int = FANOUT, leaf_row
     """Rows that differ between two (k, h) tables, and the nodes opened: ((k, status), (level, node, source_rows, dest_rows)).
 
     A node of level i is a range of keys of width ``fanout`` ** (levels - i); keys that are no whole numbers have their place
-    by a hash, which deals them evenly. Level by level only nodes that differ are
-    opened: rows elsewhere are filtered out where they are read, and what is shuffled is a sum a node and task. Under the last level the rows of differing
-    leaves are joined. Rows with a null key are one leaf that is always opened. One job a level finds how many nodes differ; a list of at
-    most ``MOST_NODES`` is kept in the driver.
+    by a hash, which deals them evenly. The sums of the leaves of both sides are made in one pass over each and stored, a row a leaf;
+    the sums of the levels above are added up from them, so the rows are not read again for a level. Level by level only nodes under
+    one that differs are opened. Then the rows of differing leaves are joined; rows elsewhere are filtered out where they are read.
+    Rows with a null key are one leaf that is always opened. A list of at most ``MOST_NODES`` leaves is kept in the driver.
     """
     spark = source.sparkSession
     whole = dict(source.dtypes)["k"] in ("tinyint", "smallint", "int", "bigint")
@@ -64,18 +76,23 @@ def tree_diff(source: DataFrame, dest: DataFrame, fanout: int = FANOUT, leaf_row
         while leaf < span:
             widths.append(leaf)
             leaf *= fanout
-        known, few, last = None, None, None
-        for level, width in enumerate(reversed(widths or [span])):
-            node = F.expr(f"(_at - {ends['lo']}) div {width}")
-            if last is not None:
-                left, right = under(left, known, few, last), under(right, known, few, last)
-            known = stored(differing(left.where("k is not null"), right.where("k is not null"), node), "nodes")
-            found = known.select("node").limit(MOST_NODES + 1).collect()
-            few, last = ([r["node"] for r in found] if len(found) <= MOST_NODES else None), node
+        node = F.expr(f"(_at - {ends['lo']}) div {(widths or [span])[0]}")
+        filled = lambda x: x.where("k is not null")
+        leaves = stored(both_sums(filled(left), filled(right), node), "leaves")
+        levels = [leaves]
+        for _ in widths[1:]:
+            levels.append(parents(levels[-1], fanout))
+        known = None
+        for level, sums in enumerate(reversed(levels)):
+            opened = differing(sums)
+            if known is not None:
+                opened = opened.join(known.select(F.col("node").alias("_parent")), F.expr(f"node div {fanout}") == F.col("_parent"), "left_semi")
+            known = opened
             seen = seen.unionByName(known.select(F.lit(level).cast("int").alias("level"), "node", "source_rows", "dest_rows"))
-            if few == []:
-                break
-        left, right = under(left.where("k is not null"), known, few, last), under(right.where("k is not null"), known, few, last)
+        differ = differing(leaves).select("node")
+        found = differ.limit(MOST_NODES + 1).collect()
+        few = [r["node"] for r in found] if len(found) <= MOST_NODES else None
+        left, right = under(filled(left), differ, few, node), under(filled(right), differ, few, node)
         left, right = left.unionByName(nulls(source)), right.unionByName(nulls(dest))
     from tidemark.operators.diff import full_diff
 
