@@ -66,6 +66,21 @@ def test_floor_join_of_texts_and_of_no_ranges(spark):
     assert ranges.floor_join(x, "key", r.limit(0), few=False).count() == 0
 
 
+def test_floor_join_keeps_bins_small_where_ranges_are_many(spark, monkeypatch):
+    depths, search = [], ranges.last_at_most
+    monkeypatch.setattr(ranges, "last_at_most", lambda v, x, size=None: depths.append(size) or search(v, x, size))
+    monkeypatch.setattr(ranges, "BIN", 2)
+    monkeypatch.setattr(ranges, "MOST_BOUNDS", 5)
+    big = 1 << 60
+    for below in (False, True):
+        held = [(None, -5, -1)] * below + [(big + i * 10, big + i * 10 + 7, i) for i in range(400)]
+        r = spark.createDataFrame(held, "lo long, hi long, name int")
+        x = spark.createDataFrame([(None,), (-9,), (-5,), (0,)] + [(big + k,) for k in range(-3, 4010)], "key long")
+        want = sorted([(-9, -1)] * below + [(big + k, k // 10) for k in range(4000) if k % 10 < 7])
+        assert rows(ranges.floor_join(x, "key", r, few=False), "key", "name") == want
+    assert max(d for d in depths if d) == 9
+
+
 # --- trees of hashes ---
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,30 +33,56 @@ def last_at_most(sorted_values: Column, x: Column, size: int | None = None) -> C
     return F.aggregate(halvings, F.lit(0), step)
 
 
+def place_among(bounds: str, kind: str, key: str) -> Column:
+    """How many of the ascending ``bounds``, a JSON list of values of type ``kind``, are at most the key: a binary search, by whole batches for whole numbers."""
+    import json
+
+    values = json.loads(bounds)
+    if kind not in ("tinyint", "smallint", "int", "bigint") or None in values:
+        return last_at_most(F.from_json(F.lit(bounds), f"array<{kind}>"), F.col(key))
+    known = np.array(values, np.int64)
+
+    @F.pandas_udf("int")
+    def place(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(known, keys.to_numpy(np.int64), "right").astype(np.int32))
+
+    # without nulls, as those would turn a batch into floating point
+    return F.when(F.col(key).isNotNull(), place(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))))
+
+
 def floor_join(rows: DataFrame, key: str, ranges: DataFrame, few: bool | None = None) -> DataFrame:
     """Each row with the range [lo, hi) that holds its key; ranges are disjoint, a null lo or hi is open, rows with a null key or one in no range are dropped.
 
     The ranges are counted while the plan is built: up to ``FEW`` are broadcast and every row is held against them. Many are ranked by their lower
-    bounds and packed into bins of equal depth, ``BIN`` ranges each (more where bounds would exceed ``MOST_BOUNDS``, which
-    the plan holds as one literal). A row finds its bin by binary search among the bounds, both sides are equi-joined on
+    bounds and packed into bins of equal depth, ``BIN`` ranges each. A row finds its bin by binary search among the bounds, both sides are equi-joined on
     the bin, and a second binary search in the bin's sorted array picks the range: a few comparisons a row, however
-    wide or narrow ranges are, and no row is paired with a range that does not hold it. ``few`` forces one of the two forms.
+    wide or narrow ranges are, and no row is paired with a range that does not hold it. The plan holds at most ``MOST_BOUNDS`` bounds; with more bins,
+    bins are packed into bins in turn, found in the same way, and the depth of both grows with the square root of what is beyond,
+    so that a row carries a short array. ``few`` forces one of the two forms.
     """
     n = ranges.limit(FEW + 1).count() if few is None else 0
     if few or (few is None and n <= FEW):
         inside = (F.col("lo").isNull() | (F.col(key) >= F.col("lo"))) & (F.col("hi").isNull() | (F.col(key) < F.col("hi")))
         return rows.where(F.col(key).isNotNull()).join(F.broadcast(ranges), inside)
-    depth = max(BIN, -(-ranges.count() // MOST_BOUNDS))
+    n = ranges.count()
+    two = n > BIN * MOST_BOUNDS
+    depth = max(BIN, math.isqrt(n // MOST_BOUNDS) + 1) if two else BIN
     binned = ranked(ranges, "lo").withColumn("_bin", F.floor((F.col("r") - 1) / depth).cast("long")).drop("r", "total")
     members = F.sort_array(F.collect_list(F.struct("lo", *[c for c in ranges.columns if c != "lo"]))).alias("_ranges")
     # the bounds of a bin are an array of their own: a row's search reads them in place
     bins = stored(binned.groupBy("_bin").agg(members).withColumn("_los", F.transform("_ranges", lambda r: r["lo"])), "bins")
     kind = dict(ranges.dtypes)["lo"]
-    firsts = F.sort_array(F.collect_list(F.struct("_bin", F.col("_ranges")[0]["lo"].alias("lo"))))  # a list of values would leave a null out
-    bounds = bins.agg(F.to_json(F.transform(firsts, lambda f: f["lo"])).alias("b")).first()["b"]
-    bin_ = (last_at_most(F.from_json(F.lit(bounds), f"array<{kind}>"), F.col(key)) - 1).cast("long")
-    # the key of the join is an expression, so each side has an exchange of its own and Spark can split a bin that many rows fall in
-    x = rows.withColumn("_at", bin_).join(bins.select(F.col("_bin").bitwiseXOR(F.lit(0)).alias("_bin"), "_ranges", "_los"), F.col("_at") == F.col("_bin"))
+    # a list of values would leave a null out, so lower bounds are listed with their bins
+    listed = lambda c: F.transform(F.sort_array(F.collect_list(F.struct(c, F.col("_los")[0].alias("lo")))), lambda f: f["lo"])
+    tops = stored(bins.groupBy(F.expr(f"_bin div {depth}").alias("_top")).agg(listed("_bin").alias("_los")), "bins") if two else bins.withColumn("_top", F.col("_bin"))
+    bounds = tops.agg(F.to_json(listed("_top")).alias("b")).first()["b"]
+    # the key of a join is an expression, so each side has an exchange of its own and Spark can split a bin that many rows fall in
+    own = lambda c: F.col(c).bitwiseXOR(F.lit(0))
+    x = rows.where(F.col(key).isNotNull()).withColumn("_at", (place_among(bounds, kind, key) - 1).cast("long"))
+    if two:
+        x = x.join(tops.select(own("_top").alias("_top"), F.col("_los").alias("_heads")), F.col("_at") == F.col("_top"))
+        x = x.withColumn("_at", F.col("_top") * depth + last_at_most(F.col("_heads"), F.col(key), depth) - 1).drop("_top", "_heads")
+    x = x.join(bins.select(own("_bin").alias("_bin"), "_ranges", "_los"), F.col("_at") == F.col("_bin"))
     found = F.get("_ranges", last_at_most(F.col("_los"), F.col(key), depth) - 1)
     x = x.withColumn("_found", found).where(F.col("_found.hi").isNull() | (F.col(key) < F.col("_found.hi")))
     return x.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in ranges.columns])
