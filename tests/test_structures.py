@@ -142,6 +142,40 @@ def test_rows_are_summed_once_for_all_levels_of_the_tree(spark, monkeypatch):
     assert [r["level"] for r in opened] == list(range(len(opened))) and len(opened) > 4 and [r["source_rows"] for r in opened[-2:]] == [15, 5]
 
 
+def test_tree_tells_a_missing_hash_from_a_dash(spark):
+    a = [(i, str(i)) for i in range(50)]
+    for left, right in ((None, "-"), ("-", None), (None, ""), (None, None)):
+        found, nodes = merkle.tree_diff(kv(spark, *a, (50, left)), kv(spark, *a, (50, right)), 4, 5)
+        assert states(found) == ({50: "mismatch"} if left != right else {}) and bool(nodes.count()) == (left != right)
+
+
+def test_leaves_are_joined_64_a_row_and_rows_are_filtered_where_they_are_read(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "MOST_NODES", 3)
+    rng = random.Random(5)
+    a = {i: str(i) for i in range(-3000, 3000)}
+    b = a | {i: "x" for i in rng.sample(sorted(a), 150)} | {9000: "new"}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found, nodes = merkle.tree_diff(kv(spark, *a.items()), kv(spark, *b.items()), fanout=8, leaf_rows=5)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert states(found) == {k: v for k, v in brute_states(a, b).items() if v != "match"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert len(semi) == 2 and all("BroadcastHashJoin" in line for line in semi)
+    last = nodes.where(f"level = {nodes.agg(F.max('level')).first()[0]}").select("node")
+    bits = {r["_word"]: r["_bits"] % 2**64 for r in merkle.packed(last).collect()}
+    assert sorted(64 * w + i for w, x in bits.items() for i in range(64) if x >> i & 1) == sorted(r["node"] for r in last.collect()) and len(bits) < 25 < 100 < last.count()
+
+
+def test_sums_of_a_tree_are_whole_numbers_of_hashes_of_64_bits(spark):
+    x = spark.createDataFrame([(i, str(i), i) for i in range(100)], "k long, h string, _at long")
+    sums = merkle.node_sums(x, F.lit(0).cast("long"), "source")
+    assert dict(sums.dtypes)["source_sum"] == "array<bigint>" and "conv(" not in sums._jdf.queryExecution().executedPlan().toString()
+    assert all(0 < w < 100 << 24 for w in sums.first()["source_sum"])
+
+
 # --- keys of mixed types ---
 
 #: Values in ascending order; those in one list are equal.

@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.small import small
 from tidemark.sources.work import stored
 
 #: Children of a node and rows of a leaf that are looked at one by one.
 FANOUT, LEAF_ROWS = 64, 1000
-#: Differing nodes that the driver may hold as a plan's literal; with more, they are joined.
+#: Differing nodes that the driver may hold as a plan's literal; with more, they are joined, 64 a row.
 MOST_NODES = 4096
 
 
-def words(h: str = "h") -> list[Column]:
-    """The two halves of an md5 in hex as numbers whose sums do not overflow; sums do not depend on the order of rows."""
-    return [F.sum(F.conv(F.substring(h, at, 8), 16, 10).cast("decimal(20,0)")) for at in (1, 9, 17, 25)]
+def words(*hashes: str) -> list[Column]:
+    """Sums of hashes in words of 24 bits at most: they fit 64 bits up to 2^39 rows and do not depend on the order of rows."""
+    return [F.sum(F.shiftrightunsigned(x, at).bitwiseAND(0xFFFFFF)) for x in hashes for at in (0, 24, 48)]
 
 
 def node_sums(rows: DataFrame, node: Column, name: str) -> DataFrame:
-    """One row a node: how many rows it has and the sums of their hashes; partial sums are made before the shuffle.
+    """One row a node: how many rows it has and the sums of their hashes of 128 bits; partial sums are made before the shuffle.
 
     The key is part of what is summed, as rows of other keys may have equal values.
     """
-    both = rows.select(node.alias("node"), F.md5(F.concat_ws(":", F.col("k").cast("string"), F.coalesce("h", F.lit("-")))).alias("h"))
-    return both.groupBy("node").agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.array(*[w.cast("decimal(38,0)") for w in words()]).alias(f"{name}_sum"))
+    k = F.col("k").cast("string")
+    both = rows.select(node.alias("node"), F.xxhash64(k, "h").alias("_x"), F.xxhash64(F.lit(1), k, "h").alias("_y"))
+    return both.groupBy("node").agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.array(*words("_x", "_y")).alias(f"{name}_sum"))
 
 
 def both_sums(source: DataFrame, dest: DataFrame, node: Column) -> DataFrame:
@@ -34,9 +36,9 @@ def both_sums(source: DataFrame, dest: DataFrame, node: Column) -> DataFrame:
 
 def parents(leaves: DataFrame, fanout: int) -> DataFrame:
     """The nodes above ``leaves``, ``fanout`` to one: rows and sums add up, so no row of a table is read again."""
-    sums = [F.sum(F.col(c)[i]).alias(f"_{c}{i}") for c in ("source_sum", "dest_sum") for i in range(4)]
+    sums = [F.sum(F.col(c)[i]).alias(f"_{c}{i}") for c in ("source_sum", "dest_sum") for i in range(6)]
     x = leaves.groupBy(F.expr(f"node div {fanout}").alias("node")).agg(*[F.sum(c).alias(c) for c in ("source_rows", "dest_rows")], *sums)
-    whole = lambda c: F.when(F.col(f"_{c}0").isNotNull(), F.array(*[F.col(f"_{c}{i}").cast("decimal(38,0)") for i in range(4)])).alias(c)
+    whole = lambda c: F.when(F.col(f"_{c}0").isNotNull(), F.array(*[F.col(f"_{c}{i}") for i in range(6)])).alias(c)
     return x.select("node", "source_rows", whole("source_sum"), "dest_rows", whole("dest_sum"))
 
 
@@ -45,11 +47,17 @@ def differing(sums: DataFrame) -> DataFrame:
     return sums.where(~F.col("source_sum").eqNullSafe(F.col("dest_sum"))).select("node", F.coalesce("source_rows", F.lit(0)).alias("source_rows"), F.coalesce("dest_rows", F.lit(0)).alias("dest_rows"))
 
 
-def under(rows: DataFrame, nodes: DataFrame, few: list | None, node: Column) -> DataFrame:
-    """The rows of some nodes: by a literal list that is applied in the scan's stage, or by a semi join if there are many."""
+def packed(nodes: DataFrame) -> DataFrame:
+    """(_word, _bits): 64 neighbouring nodes a row, a bit for each."""
+    return nodes.groupBy(F.expr("node div 64").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(node % 64 as int))")).alias("_bits"))
+
+
+def under(rows: DataFrame, nodes: DataFrame | None, few: list | None, node: Column) -> DataFrame:
+    """The rows of some nodes: by a literal list, or by the bits of ``packed`` nodes if there are many; both are applied in the scan's stage."""
     if few is not None:
         return rows.where(node.isin(few))
-    return rows.withColumn("_node", node).join(nodes.select(F.col("node").alias("_n")), F.col("_node") == F.col("_n"), "left_semi").drop("_node")
+    x = rows.withColumn("_node", node)
+    return x.join(nodes, F.expr("_node div 64 = _word and bit_get(_bits, cast(_node % 64 as int)) = 1"), "left_semi").drop("_node")
 
 
 def tree_diff(source: DataFrame, dest: DataFrame, fanout: int = FANOUT, leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -92,7 +100,8 @@ def tree_diff(source: DataFrame, dest: DataFrame, fanout: int = FANOUT, leaf_row
         differ = differing(leaves).select("node")
         found = differ.limit(MOST_NODES + 1).collect()
         few = [r["node"] for r in found] if len(found) <= MOST_NODES else None
-        left, right = under(filled(left), differ, few, node), under(filled(right), differ, few, node)
+        many = None if few is not None else small(stored(packed(differ), "words"))
+        left, right = under(filled(left), many, few, node), under(filled(right), many, few, node)
         left, right = left.unionByName(nulls(source)), right.unionByName(nulls(dest))
     from tidemark.operators.diff import full_diff
 
